@@ -14,6 +14,26 @@ def column(name: Column | str) -> Column:
     return F.col(name) if isinstance(name, str) else name
 
 
+def sql_text(value: str) -> str:
+    """A string literal for SQL expressions."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def sql_list(values: Sequence[str]) -> str:
+    return ", ".join(sql_text(value) for value in values)
+
+
+def period_sql(period: str = "period") -> str:
+    """SQL for ``parse_period``."""
+    return f"try_to_timestamp({period}, {sql_text(PERIOD_FORMAT)})"
+
+
+def exact_sum_sql(value: str) -> str:
+    """SQL for ``exact_sum``."""
+    return f"sum(CAST({value} AS {EXACT}))"
+
+
 def safe_numeric(raw: Column | str) -> Column:
     """Text to double; text that is no number gives null instead of an error."""
     return column(raw).try_cast("double")
@@ -57,18 +77,19 @@ def first_present(
     return text.cast("double") if numeric else text
 
 
+def close_sql(
+    a: str, b: str, abs_tol: float = ABS_TOLERANCE, rel_tol: float = REL_TOLERANCE
+) -> str:
+    """SQL for ``is_close``."""
+    allowed = f"greatest({abs_tol}D, {rel_tol}D * greatest(abs({a}), abs({b})))"
+    return f"({a} = {b} OR abs({a} - {b}) <= {allowed})"
+
+
 def is_close(
-    a: Column | str,
-    b: Column | str,
-    abs_tol: float = ABS_TOLERANCE,
-    rel_tol: float = REL_TOLERANCE,
+    a: str, b: str, abs_tol: float = ABS_TOLERANCE, rel_tol: float = REL_TOLERANCE
 ) -> Column:
     """Equal within the absolute or the relative tolerance, whichever is wider."""
-    left, right = column(a), column(b)
-    allowed = F.greatest(
-        F.lit(abs_tol), F.lit(rel_tol) * F.greatest(F.abs(left), F.abs(right))
-    )
-    return (left == right) | (F.abs(left - right) <= allowed)
+    return F.expr(close_sql(a, b, abs_tol, rel_tol))
 
 
 def is_newer(source: str, target: str, order: Sequence[str] = NEWEST) -> Column:
@@ -76,11 +97,11 @@ def is_newer(source: str, target: str, order: Sequence[str] = NEWEST) -> Column:
 
     Compares column by column; a null on either side never counts as newer.
     """
-    newer = F.lit(False)
+    newer = "false"
     for name in reversed(order):
-        mine, theirs = F.col(f"{source}.{name}"), F.col(f"{target}.{name}")
-        newer = (mine > theirs) | ((mine == theirs) & newer)
-    return F.coalesce(newer, F.lit(False))
+        mine, theirs = f"{source}.`{name}`", f"{target}.`{name}`"
+        newer = f"({mine} > {theirs} OR ({mine} = {theirs} AND {newer}))"
+    return F.expr(f"coalesce({newer}, false)")
 
 
 def content_fingerprint(content: Column | str) -> Column:
@@ -91,7 +112,3 @@ def content_fingerprint(content: Column | str) -> Column:
 def exact_sum(name: Column | str) -> Column:
     """Sum whose result does not depend on the order of the rows (still a decimal)."""
     return F.sum(column(name).cast(EXACT))
-
-
-def missing_number(name: Column | str) -> Column:
-    return column(name).isNull() | F.isnan(column(name))

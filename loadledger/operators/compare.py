@@ -3,29 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadledger.contract import KPI_DAYS, READING_KEY, RECORD_FIELDS, SeriesContract
-from loadledger.functions.columns import exact_sum, is_close, normalize_date, normalize_hour
-
-MISSING, EXTRA, VALUE, METADATA, EQUAL = (
-    "missing",
-    "extra",
-    "value_change",
-    "metadata_change",
-    "equal",
+from loadledger.functions.columns import (
+    close_sql,
+    exact_sum_sql,
+    normalize_date,
+    normalize_hour,
+    sql_text,
 )
+from loadledger.operators.daily import in_windows
 
 
 def changed_fields(names: Sequence[str], left: str = "mine", right: str = "theirs") -> Column:
     """Names of the fields that differ between two aliased rows; null equals null."""
-    tests = [
-        F.when(~F.col(f"{left}.`{n}`").eqNullSafe(F.col(f"{right}.`{n}`")), F.lit(n)) for n in names
-    ]
-    return F.array_compact(F.array(*tests))
+    tests = ", ".join(
+        f"CASE WHEN NOT ({left}.`{n}` <=> {right}.`{n}`) THEN {sql_text(n)} END" for n in names
+    )
+    return F.expr(f"array_compact(array({tests}))")
 
 
 def snapshot_diff(
@@ -40,35 +38,30 @@ def snapshot_diff(
 
     ``missing`` is absent from theirs, ``extra`` from mine. A common key is a
     value change when the value differs, a metadata change when only another
-    field does. Keys are unique on both sides.
+    field does, else equal. Keys are unique on both sides.
     """
-    compared = [n for n in fields if n not in keys]
     left = mine.withColumn("_mine", F.lit(True)).alias("mine")
     right = theirs.withColumn("_theirs", F.lit(True)).alias("theirs")
-    same_key = reduce(lambda a, b: a & b, [F.col(f"mine.{k}") == F.col(f"theirs.{k}") for k in keys])
-    common = F.col("_mine").isNotNull() & F.col("_theirs").isNotNull()
-    changed = F.when(common, changed_fields(compared))
-    status = (
-        F.when(F.col("_theirs").isNull(), F.lit(MISSING))
-        .when(F.col("_mine").isNull(), F.lit(EXTRA))
-        .when(F.array_contains("changed_fields", value), F.lit(VALUE))
-        .when(F.size("changed_fields") > 0, F.lit(METADATA))
-        .otherwise(F.lit(EQUAL))
+    same_key = F.expr(" AND ".join(f"mine.`{k}` = theirs.`{k}`" for k in keys))
+    differing = changed_fields([n for n in fields if n not in keys])
+    paired = left.join(right, same_key, "full_outer").withColumn(
+        "changed_fields", F.when(F.expr("_mine AND _theirs"), differing)
     )
-    paired = left.join(right, same_key, "full_outer").withColumn("changed_fields", changed)
-    return paired.select(
-        *[F.coalesce(F.col(f"mine.{k}"), F.col(f"theirs.{k}")).alias(k) for k in keys],
-        status.alias("status"),
-        F.col(f"theirs.`{value}`").alias("old_value"),
-        F.col(f"mine.`{value}`").alias("new_value"),
-        F.coalesce(F.col(f"mine.`{unit}`"), F.col(f"theirs.`{unit}`")).alias("unit"),
-        F.col("changed_fields"),
+    return paired.selectExpr(
+        *[f"coalesce(mine.`{k}`, theirs.`{k}`) AS `{k}`" for k in keys],
+        f"""CASE WHEN _theirs IS NULL THEN 'missing' WHEN _mine IS NULL THEN 'extra'
+            WHEN array_contains(changed_fields, {sql_text(value)}) THEN 'value_change'
+            WHEN size(changed_fields) > 0 THEN 'metadata_change' ELSE 'equal' END AS status""",
+        f"theirs.`{value}` AS old_value",
+        f"mine.`{value}` AS new_value",
+        f"coalesce(mine.`{unit}`, theirs.`{unit}`) AS unit",
+        "changed_fields",
     )
 
 
 def diff_summary(diff: DataFrame) -> DataFrame:
     """Keys per outcome."""
-    return diff.groupBy("status").agg(F.count(F.lit(1)).alias("key_count"))
+    return diff.groupBy("status").agg(F.expr("count(*) AS key_count"))
 
 
 def _side_by_side(
@@ -81,111 +74,93 @@ def _side_by_side(
     """
 
     def side(df: DataFrame, mine: str, other: str) -> DataFrame:
-        return df.select(
+        return df.selectExpr(
             *keys,
-            F.lit(1).alias(f"{mine}_n"),
-            F.lit(0).alias(f"{other}_n"),
-            *[F.col(m).cast("double").alias(f"{mine}_{m}") for m in measures],
-            *[F.lit(None).cast("double").alias(f"{other}_{m}") for m in measures],
+            f"1 AS {mine}_n",
+            f"0 AS {other}_n",
+            *[f"CAST({m} AS DOUBLE) AS {mine}_{m}" for m in measures],
+            *[f"CAST(NULL AS DOUBLE) AS {other}_{m}" for m in measures],
         )
 
     both = side(left, "l", "r").unionByName(side(right, "r", "l"))
     return both.groupBy(*keys).agg(
-        F.sum("l_n").alias("l_n"),
-        F.sum("r_n").alias("r_n"),
-        *[F.max(f"{s}_{m}").alias(f"{s}_{m}") for m in measures for s in ("l", "r")],
+        F.expr("sum(l_n) AS l_n"),
+        F.expr("sum(r_n) AS r_n"),
+        *[F.expr(f"max({s}_{m}) AS {s}_{m}") for m in measures for s in ("l", "r")],
     )
 
 
-def _total(test: Column) -> Column:
-    return F.coalesce(F.sum(F.when(test, 1).otherwise(0)), F.lit(0)).cast("bigint")
+def _stacked(rows: Sequence[tuple[int, str, str, str]]) -> str:
+    """SQL turning one row of totals into rows (ordinal, check, compared, failed)."""
+    entries = ", ".join(
+        f"{ordinal}, {sql_text(label)}, CAST({compared} AS BIGINT), CAST({failed} AS BIGINT)"
+        for ordinal, label, compared, failed in rows
+    )
+    return f"stack({len(rows)}, {entries}) AS (ordinal, check, compared, failed)"
 
 
 def _checks(pairs: DataFrame, grain: str, measures: dict[str, str], first: int) -> DataFrame:
-    """Rows (ordinal, check, compared, failed) from one aggregate over the pairs."""
-    common = (F.col("l_n") > 0) & (F.col("r_n") > 0)
-    sums = {
-        "left_rows": F.coalesce(F.sum("l_n"), F.lit(0)),
-        "right_rows": F.coalesce(F.sum("r_n"), F.lit(0)),
-        "repeated": _total((F.col("l_n") > 1) | (F.col("r_n") > 1)),
-        "one_sided": _total(~common),
-        "common": _total(common),
-    }
-    for name in measures:
-        close = F.coalesce(is_close(f"l_{name}", f"r_{name}"), F.lit(False))
-        sums[f"off_{name}"] = _total(common & ~close)
-    totals = pairs.agg(*[expr.alias(name) for name, expr in sums.items()])
-
-    one = F.lit(1).cast("bigint")
-    rows: list[tuple[str, Column, Column]] = [
-        (f"{grain} row count", one, (F.col("left_rows") != F.col("right_rows")).cast("bigint")),
-        (f"{grain} keys unique", one, (F.col("repeated") > 0).cast("bigint")),
-        (f"{grain} keys match", one, (F.col("one_sided") > 0).cast("bigint")),
-    ]
-    rows += [(f"{grain} {label}", F.col("common"), F.col(f"off_{n}")) for n, label in measures.items()]
-    entries = [
-        F.struct(
-            F.lit(first + i).alias("ordinal"),
-            F.lit(label).alias("check"),
-            compared.alias("compared"),
-            failed.alias("failed"),
-        )
-        for i, (label, compared, failed) in enumerate(rows)
+    """Counts, key sets and measures of both sides, from one aggregate over the pairs."""
+    common = "l_n > 0 AND r_n > 0"
+    totals = pairs.agg(
+        F.expr("coalesce(sum(l_n), 0) AS left_rows"),
+        F.expr("coalesce(sum(r_n), 0) AS right_rows"),
+        F.expr("count(CASE WHEN l_n > 1 OR r_n > 1 THEN 1 END) AS repeated"),
+        F.expr(f"count(CASE WHEN {common} THEN 1 END) AS common"),
+        F.expr(f"count(CASE WHEN NOT ({common}) THEN 1 END) AS one_sided"),
+        *[
+            F.expr(
+                f"count(CASE WHEN {common} AND NOT coalesce({close_sql(f'l_{m}', f'r_{m}')}, false) "
+                f"THEN 1 END) AS off_{m}"
+            )
+            for m in measures
+        ],
+    )
+    rows = [
+        (f"{grain} row count", "1", "left_rows <> right_rows"),
+        (f"{grain} keys unique", "1", "repeated > 0"),
+        (f"{grain} keys match", "1", "one_sided > 0"),
+        *[(f"{grain} {label}", "common", f"off_{m}") for m, label in measures.items()],
     ]
-    return totals.select(F.inline(F.array(*entries)))
+    return totals.selectExpr(_stacked([(first + i, *row) for i, row in enumerate(rows)]))
 
 
 def _window_checks(
-    hourly: DataFrame,
-    daily: DataFrame,
+    hours: DataFrame,
+    days: DataFrame,
     contract: SeriesContract,
     windows: Sequence[int],
     first: int,
 ) -> DataFrame:
     """Coverage and energy of each respondent's last N days, hours against days."""
-    per_day = hourly.groupBy("_date", "respondent").agg(
-        F.count(F.lit(1)).alias("hours"), exact_sum("actual_demand_mwh").alias("hour_energy")
-    )
-    days = daily.select(
-        "_date", "respondent", F.col("total_daily_energy_mwh").alias("day_energy")
+    per_day = hours.groupBy("day_key", "respondent").agg(
+        F.expr("count(*) AS hours"),
+        F.expr(f"{exact_sum_sql('actual_demand_mwh')} AS hour_energy"),
     )
-    newest = Window.partitionBy("respondent").orderBy(F.col("_date").desc())
-    selected = (
-        days.withColumn("_rank", F.row_number().over(newest))
-        .filter(F.col("_rank") <= max(windows))
-        .join(per_day, ["_date", "respondent"], "left")
+    selected = in_windows(days, windows).join(per_day, ["day_key", "respondent"], "left")
+    sums = selected.groupBy("respondent", "window_days").agg(
+        F.expr("sum(hours) AS hours"),
+        F.expr("CAST(sum(hour_energy) AS DOUBLE) AS hour_energy"),
+        F.expr(f"CAST({exact_sum_sql('total_daily_energy_mwh')} AS DOUBLE) AS day_energy"),
     )
-    reaching = F.filter(F.array(*[F.lit(n) for n in windows]), lambda n: n >= F.col("_rank"))
-    sums = (
-        selected.withColumn("n", F.explode(reaching))
-        .groupBy("respondent", "n")
-        .agg(
-            F.sum("hours").alias("hours"),
-            F.sum("hour_energy").cast("double").alias("hour_energy"),
-            exact_sum("day_energy").cast("double").alias("day_energy"),
-        )
-    )
-    covered = F.coalesce(F.col("hours") == F.col("n") * contract.hours_per_day, F.lit(False))
-    agrees = F.coalesce(is_close("hour_energy", "day_energy"), F.lit(False))
-    tests = []
-    for position, n in enumerate(windows):
-        for offset, (label, holds) in enumerate(
-            [(f"{n}-day hourly coverage", covered), (f"{n}-day total energy", agrees)]
-        ):
-            tests.append(
-                F.struct(
-                    F.lit(first + 2 * position + offset).alias("ordinal"),
-                    F.lit(label).alias("check"),
-                    F.lit(n).alias("n"),
-                    holds.alias("holds"),
-                )
+    covered = f"coalesce(hours = window_days * {contract.hours_per_day}, false)"
+    agrees = f"coalesce({close_sql('hour_energy', 'day_energy')}, false)"
+    totals = sums.agg(
+        *[
+            F.expr(f"count(CASE WHEN window_days = {n} {test} THEN 1 END) AS {name}_{n}")
+            for n in windows
+            for name, test in (
+                ("seen", ""),
+                ("uncovered", f"AND NOT {covered}"),
+                ("off", f"AND NOT {agrees}"),
             )
-    judged = sums.select(F.col("n").alias("_n"), F.explode(F.array(*tests)).alias("t"))
-    return (
-        judged.filter(F.col("_n") == F.col("t.n"))
-        .groupBy(F.col("t.ordinal").alias("ordinal"), F.col("t.check").alias("check"))
-        .agg(F.count(F.lit(1)).alias("compared"), _total(~F.col("t.holds")).alias("failed"))
+        ]
     )
+    rows = []
+    for n in windows:
+        rows.append((f"{n}-day hourly coverage", f"seen_{n}", f"uncovered_{n}"))
+        rows.append((f"{n}-day total energy", f"seen_{n}", f"off_{n}"))
+    return totals.selectExpr(_stacked([(first + i, *row) for i, row in enumerate(rows)]))
 
 
 def reconcile(
@@ -203,23 +178,22 @@ def reconcile(
     """
 
     def by_hour(df: DataFrame) -> DataFrame:
-        key = normalize_hour(F.col("period"))
-        return df.withColumns({"_hour": key, "_date": F.substring(key, 1, 10)})
+        keyed = df.withColumn("hour_key", normalize_hour("period"))
+        return keyed.selectExpr("*", "substring(hour_key, 1, 10) AS day_key")
 
     def by_day(df: DataFrame) -> DataFrame:
-        return df.withColumn("_date", normalize_date("date"))
+        return df.withColumn("day_key", normalize_date("date"))
 
     hours = {"actual_demand_mwh": "actual", "forecast_demand_mwh": "forecast"}
     days = {"total_daily_energy_mwh": "energy", "peak_demand_mwh": "peak", "mae_mwh": "MAE"}
+    mine, published = by_hour(hourly), by_day(published_daily)
     hour_pairs = _side_by_side(
-        by_hour(hourly), by_hour(published_hourly), ["_hour", "respondent"], list(hours)
-    )
-    day_pairs = _side_by_side(
-        by_day(daily), by_day(published_daily), ["_date", "respondent"], list(days)
+        mine, by_hour(published_hourly), ["hour_key", "respondent"], list(hours)
     )
+    day_pairs = _side_by_side(by_day(daily), published, ["day_key", "respondent"], list(days))
     checks = (
         _checks(hour_pairs, "hourly", hours, 1)
         .unionByName(_checks(day_pairs, "daily", days, 6))
-        .unionByName(_window_checks(by_hour(hourly), by_day(published_daily), contract, windows, 12))
+        .unionByName(_window_checks(mine, published, contract, windows, 12))
     )
-    return checks.withColumn("passed", F.col("failed") == 0)
+    return checks.selectExpr("*", "failed = 0 AS passed")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadledger.contract import DAY_KEY, KPI_DAYS, SeriesContract
-from loadledger.functions.columns import exact_sum
+from loadledger.functions.columns import exact_sum_sql
 from loadledger.operators.hourly import paired_hours
 
 
@@ -18,21 +18,21 @@ def daily_kpi(hourly: DataFrame) -> DataFrame:
     Averages are an order-independent sum over the count of non-null values.
     """
     totals = hourly.groupBy(*DAY_KEY).agg(
-        F.count(F.lit(1)).alias("hour_count"),
-        exact_sum("actual_demand_mwh").cast("double").alias("total_daily_energy_mwh"),
-        F.count("actual_demand_mwh").alias("_actuals"),
-        F.max("actual_demand_mwh").alias("peak_demand_mwh"),
-        exact_sum("absolute_error_mwh").cast("double").alias("_abs_error"),
-        F.count("absolute_error_mwh").alias("_errors"),
-        F.max("source_modified_at").alias("source_modified_at"),
+        F.expr("count(*) AS hour_count"),
+        F.expr(f"CAST({exact_sum_sql('actual_demand_mwh')} AS DOUBLE) AS total_daily_energy_mwh"),
+        F.expr("count(actual_demand_mwh) AS actuals"),
+        F.expr("max(actual_demand_mwh) AS peak_demand_mwh"),
+        F.expr(f"CAST({exact_sum_sql('absolute_error_mwh')} AS DOUBLE) AS abs_error"),
+        F.expr("count(absolute_error_mwh) AS errors"),
+        F.expr("max(source_modified_at) AS source_modified_at"),
     )
-    return totals.select(
+    return totals.selectExpr(
         *DAY_KEY,
         "hour_count",
-        F.try_divide("total_daily_energy_mwh", "_actuals").alias("avg_hourly_demand_mwh"),
+        "try_divide(total_daily_energy_mwh, actuals) AS avg_hourly_demand_mwh",
         "peak_demand_mwh",
         "total_daily_energy_mwh",
-        F.try_divide("_abs_error", "_errors").alias("mae_mwh"),
+        "try_divide(abs_error, errors) AS mae_mwh",
         "source_modified_at",
     )
 
@@ -55,52 +55,54 @@ def trailing_kpi(
     ranked, and a day then counts towards every window it lies in.
     """
     days = paired_hours(hourly).groupBy(*DAY_KEY).agg(
-        F.count(F.lit(1)).alias("hours"),
-        exact_sum("actual_demand_mwh").alias("energy"),
-        exact_sum("absolute_error_mwh").alias("abs_error"),
-        F.max("actual_demand_mwh").alias("peak"),
+        F.expr("count(*) AS hours"),
+        F.expr(f"{exact_sum_sql('actual_demand_mwh')} AS energy"),
+        F.expr(f"{exact_sum_sql('absolute_error_mwh')} AS abs_error"),
+        F.expr("max(actual_demand_mwh) AS peak"),
     )
-    newest = Window.partitionBy("respondent").orderBy(F.col("date").desc())
-    ranked = days.withColumn("_rank", F.row_number().over(newest)).filter(
-        F.col("_rank") <= max(windows)
-    )
-    reaching = F.filter(F.array(*[F.lit(n) for n in windows]), lambda n: n >= F.col("_rank"))
     sums = (
-        ranked.withColumn("window_days", F.explode(reaching))
+        in_windows(days, windows)
         .groupBy("respondent", "window_days")
         .agg(
-            F.min("date").alias("first_date"),
-            F.max("date").alias("last_date"),
-            F.sum("hours").alias("hour_count"),
-            F.sum("energy").cast("double").alias("total_energy_mwh"),
-            F.max("peak").alias("peak_demand_mwh"),
-            F.sum("abs_error").cast("double").alias("_abs_error"),
+            F.expr("min(date) AS first_date"),
+            F.expr("max(date) AS last_date"),
+            F.expr("sum(hours) AS hour_count"),
+            F.expr("CAST(sum(energy) AS DOUBLE) AS total_energy_mwh"),
+            F.expr("max(peak) AS peak_demand_mwh"),
+            F.expr("CAST(sum(abs_error) AS DOUBLE) AS abs_error"),
         )
     )
-    missed = F.try_divide("_abs_error", "total_energy_mwh")
-    return sums.select(
+    return sums.selectExpr(
         "respondent",
         "window_days",
         "first_date",
         "last_date",
         "hour_count",
-        (F.col("hour_count") == F.col("window_days") * contract.hours_per_day).alias("is_covered"),
+        f"hour_count = window_days * {contract.hours_per_day} AS is_covered",
         "total_energy_mwh",
         "peak_demand_mwh",
-        F.try_divide("_abs_error", "hour_count").alias("mae_mwh"),
-        (F.lit(100.0) * (F.lit(1.0) - missed)).alias("accuracy_pct"),
+        "try_divide(abs_error, hour_count) AS mae_mwh",
+        "100D * (1D - try_divide(abs_error, total_energy_mwh)) AS accuracy_pct",
     )
 
 
+def in_windows(days: DataFrame, windows: Sequence[int]) -> DataFrame:
+    """Each respondent's last days, once per window of N days that they lie in."""
+    newest = Window.partitionBy("respondent").orderBy(F.col("date").desc())
+    ranked = days.withColumn("day_rank", F.row_number().over(newest))
+    reached = ranked.filter(f"day_rank <= {max(windows)}")
+    listed = ", ".join(str(n) for n in windows)
+    spans = f"explode(filter(array({listed}), n -> n >= day_rank)) AS window_days"
+    return reached.selectExpr("*", spans)
+
+
 def weekend_share(daily: DataFrame) -> DataFrame:
     """Part of each respondent's energy that fell on Saturdays and Sundays."""
-    energy = F.col("total_daily_energy_mwh")
-    weekend = F.dayofweek("date").isin(1, 7)
+    weekend = "CASE WHEN dayofweek(date) IN (1, 7) THEN total_daily_energy_mwh END"
     sums = daily.groupBy("respondent").agg(
-        F.coalesce(exact_sum(F.when(weekend, energy)).cast("double"), F.lit(0.0)).alias(
-            "weekend_energy_mwh"
-        ),
-        exact_sum(energy).cast("double").alias("total_energy_mwh"),
+        F.expr(f"CAST(coalesce({exact_sum_sql(weekend)}, 0) AS DOUBLE) AS weekend_energy_mwh"),
+        F.expr(f"CAST({exact_sum_sql('total_daily_energy_mwh')} AS DOUBLE) AS total_energy_mwh"),
+    )
+    return sums.selectExpr(
+        "*", "try_divide(weekend_energy_mwh, total_energy_mwh) AS weekend_share"
     )
-    share = F.try_divide("weekend_energy_mwh", "total_energy_mwh")
-    return sums.withColumn("weekend_share", share)

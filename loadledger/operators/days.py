@@ -18,22 +18,18 @@ def day_records(records: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     repeated reading key fails the job, so a day collects no more than one
     entry per hour and type it holds.
     """
-    fields = [F.col(f"`{name}`") for name in RECORD_FIELDS]
+    fields = ", ".join(f"`{name}`" for name in RECORD_FIELDS)
     group = (*DAY_KEY, *extra)
     keyed = records.groupBy(*group, "period", "type").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.to_json(F.struct(*fields))).alias("record")
+        F.expr("count(*) AS n"), F.expr(f"max(to_json(struct({fields}))) AS record")
     )
-    message = F.concat(
-        F.lit("duplicate record: "), F.concat_ws(" ", "period", "respondent", "type")
-    )
-    single = F.when(F.col("n") > 1, F.raise_error(message).cast("string")).otherwise(F.col("record"))
-    entry = F.struct("period", "type", single.alias("record"))
-    days = keyed.groupBy(*group).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    lines = F.transform("entries", lambda e: e["record"])
-    return days.select(
+    entry = """struct(period, type, CASE WHEN n = 1 THEN record ELSE CAST(raise_error(
+        concat_ws(' ', 'duplicate record:', period, respondent, type)) AS STRING) END AS record)"""
+    days = keyed.groupBy(*group).agg(F.expr(f"sort_array(collect_list({entry})) AS entries"))
+    return days.selectExpr(
         *group,
-        F.size("entries").alias("record_count"),
-        F.concat(F.lit("["), F.array_join(lines, ","), F.lit("]")).alias("records_json"),
+        "size(entries) AS record_count",
+        "concat('[', array_join(transform(entries, e -> e.record), ','), ']') AS records_json",
     )
 
 

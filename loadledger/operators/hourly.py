@@ -2,44 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadledger.contract import HOUR_KEY, HOURLY_SCHEMA, SeriesContract
-from loadledger.functions.columns import parse_period
-
-
-def with_forecast_error(hourly: DataFrame) -> DataFrame:
-    """Signed error (actual minus forecast) and its size; null when one is missing."""
-    error = F.col("actual_demand_mwh") - F.col("forecast_demand_mwh")
-    return hourly.withColumns({"forecast_error_mwh": error, "absolute_error_mwh": F.abs(error)})
+from loadledger.functions.columns import period_sql, sql_text
 
 
 def pivot_hourly(latest: DataFrame, contract: SeriesContract) -> DataFrame:
-    """One row per hour and respondent; the measure types become columns."""
-
-    def of(kind: str, name: str) -> Column:
-        return F.max(F.when(F.col("type") == kind, F.col(name)))
+    """One row per hour and respondent; the measure types become columns.
 
+    The signed error is actual minus forecast. It is null, like its size, when
+    one of the two is missing.
+    """
+    actual, forecast = sql_text(contract.actual_type), sql_text(contract.forecast_type)
     wide = latest.groupBy(*HOUR_KEY).agg(
-        of(contract.actual_type, "value").alias("actual_demand_mwh"),
-        of(contract.forecast_type, "value").alias("forecast_demand_mwh"),
-        of(contract.actual_type, "source_modified_at").alias("_actual_at"),
-        of(contract.forecast_type, "source_modified_at").alias("_forecast_at"),
+        F.expr(f"max(CASE WHEN type = {actual} THEN value END) AS actual_demand_mwh"),
+        F.expr(f"max(CASE WHEN type = {forecast} THEN value END) AS forecast_demand_mwh"),
+        F.expr(f"max(CASE WHEN type = {actual} THEN source_modified_at END) AS actual_at"),
+        F.expr(f"max(CASE WHEN type = {forecast} THEN source_modified_at END) AS forecast_at"),
     )
-    hour = parse_period("period")
-    dated = with_forecast_error(wide).withColumns(
-        {
-            "period_ts": hour,
-            "date": F.to_date(hour),
-            "source_modified_at": F.greatest("_actual_at", "_forecast_at"),
-        }
-    )
-    return dated.select(*HOURLY_SCHEMA.names)
+    return wide.selectExpr(
+        "*",
+        f"{period_sql()} AS period_ts",
+        "to_date(period_ts) AS date",
+        "actual_demand_mwh - forecast_demand_mwh AS forecast_error_mwh",
+        "abs(forecast_error_mwh) AS absolute_error_mwh",
+        "greatest(actual_at, forecast_at) AS source_modified_at",
+    ).select(*HOURLY_SCHEMA.names)
 
 
 def paired_hours(hourly: DataFrame) -> DataFrame:
     """Hours that have both an actual and a forecast value."""
-    return hourly.filter(
-        F.col("actual_demand_mwh").isNotNull() & F.col("forecast_demand_mwh").isNotNull()
-    )
+    return hourly.filter("actual_demand_mwh IS NOT NULL AND forecast_demand_mwh IS NOT NULL")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +14,7 @@ INSERTED, UPDATED, UNCHANGED, KEPT = "inserted", "updated", "unchanged", "kept"
 
 def differs(names: Sequence[str]) -> Column:
     """Any of the columns differs between source and target; null equals null."""
-    tests = [~F.col(f"source.{n}").eqNullSafe(F.col(f"target.{n}")) for n in names]
-    return reduce(lambda a, b: a | b, tests)
+    return F.expr(" OR ".join(f"NOT (source.`{n}` <=> target.`{n}`)" for n in names))
 
 
 def merge_upsert(
@@ -36,27 +34,24 @@ def merge_upsert(
     """
     stored = target.withColumn("_stored", F.lit(True)).alias("target")
     arriving = source.select(*target.columns).withColumn("_arrived", F.lit(True)).alias("source")
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
-    )
+    same_key = F.expr(" AND ".join(f"target.`{k}` = source.`{k}`" for k in keys))
     action = (
-        F.when(F.col("_stored").isNull(), F.lit(INSERTED))
-        .when(F.col("_arrived").isNull(), F.lit(KEPT))
-        .when(when, F.lit(UPDATED))
-        .otherwise(F.lit(UNCHANGED))
+        F.when(F.col("_stored").isNull(), INSERTED)
+        .when(F.col("_arrived").isNull(), KEPT)
+        .when(when, UPDATED)
+        .otherwise(UNCHANGED)
     )
     paired = stored.join(arriving, same_key, "full_outer").withColumn("action", action)
 
-    inserted = F.col("action") == INSERTED
-    replaced = F.col("action").isin(INSERTED, UPDATED)
-
-    def pick(name: str) -> Column:
-        mine, theirs = F.col(f"source.{name}"), F.col(f"target.{name}")
+    def pick(name: str) -> str:
         if name in keys:
-            return F.coalesce(theirs, mine).alias(name)
-        return F.when(replaced if name in update else inserted, mine).otherwise(theirs).alias(name)
+            return f"coalesce(target.`{name}`, source.`{name}`) AS `{name}`"
+        taken = f"'{INSERTED}', '{UPDATED}'" if name in update else f"'{INSERTED}'"
+        return (
+            f"CASE WHEN action IN ({taken}) THEN source.`{name}` ELSE target.`{name}` END AS `{name}`"
+        )
 
-    return paired.select(*[pick(name) for name in target.columns], "action")
+    return paired.selectExpr(*[pick(name) for name in target.columns], "action")
 
 
 def merge_hourly(hourly: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadledger.contract import (
@@ -14,10 +13,11 @@ from loadledger.contract import (
     DAY_KEY,
     HOUR_KEY,
     HOURLY_SCHEMA,
+    LAST_HOUR,
     READING_KEY,
     SeriesContract,
 )
-from loadledger.functions.columns import missing_number, parse_period
+from loadledger.functions.columns import period_sql, sql_list, sql_text
 
 
 class QualityError(ValueError):
@@ -26,39 +26,38 @@ class QualityError(ValueError):
 
 @dataclass(frozen=True)
 class Rule:
-    """Rows for which ``broken`` is true violate the rule; null does not."""
+    """Rows for which the SQL condition ``broken`` is true violate the rule; null does not."""
 
     name: str
-    broken: Column
+    broken: str
 
 
-def any_missing(names: Sequence[str], numbers: Sequence[str] = ()) -> Column:
+def any_missing(names: Sequence[str], numbers: Sequence[str] = ()) -> str:
     """Null in any column, or NaN in any of the numeric ones."""
-    tests = [F.col(n).isNull() for n in names] + [missing_number(n) for n in numbers]
-    return reduce(lambda a, b: a | b, tests)
+    nulls = [f"`{n}` IS NULL" for n in (*names, *numbers)]
+    return " OR ".join([*nulls, *[f"isnan(`{n}`)" for n in numbers]])
 
 
 def domain_rules(contract: SeriesContract) -> list[Rule]:
     rules = []
     if contract.respondents is not None:
-        known = F.col("respondent").isin(*contract.respondents)
-        rules.append(Rule("respondent in domain", ~known))
-    rules.append(Rule("type in domain", ~F.col("type").isin(*contract.types)))
+        known = sql_list(contract.respondents)
+        rules.append(Rule("respondent in domain", f"respondent NOT IN ({known})"))
+    rules.append(Rule("type in domain", f"type NOT IN ({sql_list(contract.types)})"))
     return rules
 
 
 def record_rules(contract: SeriesContract) -> list[Rule]:
     """Rules for decoded records."""
     required = any_missing([*READING_KEY, "value_units"], numbers=["value"])
-    unit = Rule("unit in domain", F.col("value_units") != contract.unit)
+    unit = Rule("unit in domain", f"value_units <> {sql_text(contract.unit)}")
     return [Rule("required fields", required), *domain_rules(contract), unit]
 
 
 def latest_rules(contract: SeriesContract) -> list[Rule]:
     """Rules for readings that are about to be pivoted."""
-    required = any_missing(READING_KEY, numbers=["value"])
-    kind = Rule("type in domain", ~F.col("type").isin(*contract.types))
-    return [Rule("required fields", required), kind]
+    kind = Rule("type in domain", f"type NOT IN ({sql_list(contract.types)})")
+    return [Rule("required fields", any_missing(READING_KEY, numbers=["value"])), kind]
 
 
 def hourly_rules() -> list[Rule]:
@@ -69,33 +68,28 @@ def hourly_rules() -> list[Rule]:
 def daily_rules(contract: SeriesContract) -> list[Rule]:
     return [
         Rule("required fields", any_missing(DAILY_SCHEMA.names)),
-        Rule("complete days", F.col("hour_count") != contract.hours_per_day),
+        Rule("complete days", f"hour_count <> {contract.hours_per_day}"),
     ]
 
 
 def checkpoint_rules() -> list[Rule]:
     """State must name the last hour of a day."""
-    given = F.col("last_uploaded_hour")
-    hour = parse_period(given)
-    blank = given.isNull() | (given == "")
+    blank = "last_uploaded_hour IS NULL OR last_uploaded_hour = ''"
+    hour = period_sql("last_uploaded_hour")
     return [
         Rule("checkpoint present", blank),
-        Rule("checkpoint parses", ~blank & hour.isNull()),
-        Rule("checkpoint ends a day", F.hour(hour) != 23),
+        Rule("checkpoint parses", f"NOT ({blank}) AND {hour} IS NULL"),
+        Rule("checkpoint ends a day", f"hour({hour}) <> {LAST_HOUR}"),
     ]
 
 
 def _as_rows(counts: DataFrame, names: Sequence[str], first: int) -> DataFrame:
     """One-row counts ``r0, r1, …`` to rows (ordinal, check, violations)."""
-    entries = [
-        F.struct(
-            F.lit(first + i).alias("ordinal"),
-            F.lit(name).alias("check"),
-            F.coalesce(F.col(f"r{i}"), F.lit(0)).cast("bigint").alias("violations"),
-        )
+    entries = ", ".join(
+        f"{first + i}, {sql_text(name)}, CAST(coalesce(r{i}, 0) AS BIGINT)"
         for i, name in enumerate(names)
-    ]
-    return counts.select(F.inline(F.array(*entries)))
+    )
+    return counts.selectExpr(f"stack({len(names)}, {entries}) AS (ordinal, check, violations)")
 
 
 def quality_report(
@@ -111,20 +105,23 @@ def quality_report(
     fold per key on the map side, and the same pass sums the broken rows, so
     the input is read once however many rules there are.
     """
-    broken = [F.sum(F.when(rule.broken, 1).otherwise(0)).alias(f"r{i}") for i, rule in enumerate(rules)]
+    broken = [
+        F.expr(f"sum(CASE WHEN {rule.broken} THEN 1 ELSE 0 END) AS r{i}")
+        for i, rule in enumerate(rules)
+    ]
     names = [rule.name for rule in rules]
     if not unique:
         return _as_rows(df.agg(*broken), names, first)
-    per_key = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("_n"), *broken)
-    repeated = F.sum(F.when(F.col("_n") > 1, 1).otherwise(0)).alias(f"r{len(rules)}")
-    sums = [F.sum(f"r{i}").alias(f"r{i}") for i in range(len(rules))]
+    per_key = df.groupBy(*unique).agg(F.expr("count(*) AS n"), *broken)
+    repeated = F.expr(f"sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS r{len(rules)}")
+    sums = [F.expr(f"sum(r{i}) AS r{i}") for i in range(len(rules))]
     return _as_rows(per_key.agg(*sums, repeated), [*names, unique_name], first)
 
 
 def not_empty_report(df: DataFrame, name: str, first: int = 0) -> DataFrame:
     """One violation when there is no row at all."""
-    empty = F.when(F.count(F.lit(1)) == 0, 1).otherwise(0)
-    return _as_rows(df.agg(empty.alias("r0")), [name], first)
+    empty = F.expr("CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS r0")
+    return _as_rows(df.agg(empty), [name], first)
 
 
 def enforce(report: DataFrame) -> None:
@@ -164,13 +161,14 @@ def date_range(bounds: DataFrame, first: str = "first_date", last: str = "last_d
 
 def expected_grid(days: DataFrame, contract: SeriesContract) -> DataFrame:
     """All readings that the days (date, respondent) should have."""
-    hours = F.explode(F.sequence(F.lit(0), F.lit(contract.hours_per_day - 1)))
-    kinds = F.explode(F.array(*[F.lit(kind) for kind in contract.types]))
-    hourly = days.select("date", "respondent", hours.alias("_hour"))
-    period = F.concat(
-        F.date_format("date", "yyyy-MM-dd"), F.lit("T"), F.lpad(F.col("_hour").cast("string"), 2, "0")
+    hourly = days.selectExpr(
+        "date", "respondent", f"explode(sequence(0, {contract.hours_per_day - 1})) AS hour"
+    )
+    return hourly.selectExpr(
+        "concat(date_format(date, 'yyyy-MM-dd'), 'T', lpad(hour, 2, '0')) AS period",
+        "respondent",
+        f"explode(array({sql_list(contract.types)})) AS type",
     )
-    return hourly.select(period.alias("period"), "respondent", kinds.alias("type"))
 
 
 def coverage_gaps(
@@ -181,12 +179,13 @@ def coverage_gaps(
     Both sides go through one aggregate instead of two anti joins, and rows of
     one key fold together before they move.
     """
-    sides = expected.select(*keys, F.lit(1).alias("e"), F.lit(0).alias("a")).unionByName(
-        actual.select(*keys, F.lit(0).alias("e"), F.lit(1).alias("a"))
+    sides = expected.selectExpr(*keys, "1 AS e", "0 AS a").unionByName(
+        actual.selectExpr(*keys, "0 AS e", "1 AS a")
+    )
+    found = sides.groupBy(*keys).agg(F.expr("max(e) AS e"), F.expr("max(a) AS a"))
+    return found.filter("e <> a").selectExpr(
+        *keys, "CASE WHEN a = 0 THEN 'missing' ELSE 'unexpected' END AS gap"
     )
-    found = sides.groupBy(*keys).agg(F.max("e").alias("e"), F.max("a").alias("a"))
-    gap = F.when(F.col("a") == 0, F.lit("missing")).otherwise(F.lit("unexpected"))
-    return found.filter(F.col("e") != F.col("a")).select(*keys, gap.alias("gap"))
 
 
 def audit_days(records: DataFrame, contract: SeriesContract) -> DataFrame:
@@ -196,27 +195,20 @@ def audit_days(records: DataFrame, contract: SeriesContract) -> DataFrame:
     ``value``. Whether a key belongs to its day can be told from the row alone,
     so no grid is joined.
     """
-    fits = (F.to_date(parse_period("period")) == F.col("date")) & F.col("type").isin(*contract.types)
+    fits = f"to_date({period_sql()}) = date AND type IN ({sql_list(contract.types)})"
     if contract.respondents is not None:
-        fits = fits & F.col("respondent").isin(*contract.respondents)
+        fits += f" AND respondent IN ({sql_list(contract.respondents)})"
     keys = records.groupBy("date", *READING_KEY).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(F.col("value").isNull(), 1).otherwise(0)).alias("nulls"),
+        F.expr("count(*) AS n"), F.expr("sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) AS nulls")
     )
-    judged = keys.withColumn("fits", F.coalesce(fits, F.lit(False)))
+    judged = keys.selectExpr("*", f"coalesce({fits}, false) AS fits")
     per_day = judged.groupBy(*DAY_KEY).agg(
-        F.sum("n").alias("records"),
-        F.sum("nulls").alias("null_values"),
-        F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).alias("duplicate_keys"),
-        F.sum(F.when(F.col("fits"), 1).otherwise(0)).alias("_fitting"),
-        F.sum(F.when(~F.col("fits"), 1).otherwise(0)).alias("unexpected_keys"),
-    )
-    missing = F.lit(contract.records_per_day) - F.col("_fitting")
-    flaws = (
-        F.col("null_values") + F.col("duplicate_keys") + F.col("unexpected_keys") + F.col("missing_keys")
+        F.expr("sum(n) AS records"),
+        F.expr("sum(nulls) AS null_values"),
+        F.expr("count(CASE WHEN n > 1 THEN 1 END) AS duplicate_keys"),
+        F.expr("count(CASE WHEN NOT fits THEN 1 END) AS unexpected_keys"),
+        F.expr(f"{contract.records_per_day} - count(CASE WHEN fits THEN 1 END) AS missing_keys"),
     )
-    return (
-        per_day.withColumn("missing_keys", missing)
-        .withColumn("is_valid", flaws == 0)
-        .drop("_fitting")
+    return per_day.selectExpr(
+        "*", "null_values + duplicate_keys + unexpected_keys + missing_keys = 0 AS is_valid"
     )

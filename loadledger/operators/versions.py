@@ -24,7 +24,7 @@ def latest_per_key(
     """
     order = Window.partitionBy(*keys).orderBy(*[F.col(name).desc() for name in newest])
     ranked = history.withColumn("_rank", F.row_number().over(order))
-    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 def new_versions(
@@ -66,15 +66,15 @@ def revision_stats(history: DataFrame, keys: Sequence[str] = READING_KEY) -> Dat
     Counting per (key, value) first keeps one busy key spread over its values.
     """
     per_value = history.groupBy(*keys, "value").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("source_modified_at").alias("first_at"),
-        F.max("source_modified_at").alias("last_at"),
+        F.expr("count(*) AS n"),
+        F.expr("min(source_modified_at) AS first_at"),
+        F.expr("max(source_modified_at) AS last_at"),
     )
     return per_value.groupBy(*keys).agg(
-        F.sum("n").alias("versions"),
-        F.count("value").alias("distinct_values"),
-        F.min("first_at").alias("first_published_at"),
-        F.max("last_at").alias("last_published_at"),
+        F.expr("sum(n) AS versions"),
+        F.expr("count(value) AS distinct_values"),
+        F.expr("min(first_at) AS first_published_at"),
+        F.expr("max(last_at) AS last_published_at"),
     )
 
 

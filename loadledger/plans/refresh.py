@@ -12,7 +12,7 @@ from loadledger.contract import (
     READING_KEY,
     SeriesContract,
 )
-from loadledger.functions.columns import parse_period
+from loadledger.functions.columns import period_sql
 from loadledger.operators.daily import daily_kpi
 from loadledger.operators.hourly import paired_hours, pivot_hourly
 from loadledger.operators.merge import (
@@ -58,7 +58,7 @@ def _changed(merged: DataFrame) -> DataFrame:
 
 def gate_records(records: DataFrame, contract: SeriesContract) -> DataFrame:
     """The rules a batch must pass before anything is stored."""
-    malformed = Rule("period parses", F.col("period").isNotNull() & parse_period("period").isNull())
+    malformed = Rule("period parses", f"period IS NOT NULL AND {period_sql()} IS NULL")
     return quality_report(
         records,
         [*record_rules(contract), malformed],

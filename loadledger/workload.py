@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.contract import HOURLY_SCHEMA, PERIOD_FORMAT, READING_KEY, SeriesContract
@@ -38,6 +38,7 @@ FIRST_FEEDS = ("click", "purchase", "view")
 SECOND_FEEDS = ("error", "purchase", "signup")
 CHANGES_FROM = "2024-01-06"
 NEWS_FROM = "2024-01-26"
+FEED = "substring_index(source_path, '/', 1)"
 
 _ZONES: dict[tuple[str, str, str], str] = {}
 
@@ -49,28 +50,18 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
-def level() -> Column:
-    return F.get_json_object("props", "$.k")
-
-
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as history rows."""
-    web = F.col("event_type").isin(*WEB_FEEDS)
-    actual = level().cast("int") < 50
-    return events(spark, sf_dir).select(
-        F.date_format("ts", PERIOD_FORMAT).alias("period"),
-        F.when(web, F.lit("WEB")).otherwise(F.lit("OPS")).alias("respondent"),
-        F.when(actual, F.lit("D")).otherwise(F.lit("DF")).alias("type"),
-        F.col("value").cast("decimal(18,2)").cast("double").alias("value"),
-        F.lit("megawatthours").alias("value_units"),
-        F.concat(
-            "event_type", F.lit("/"), F.lpad(F.col("event_id").cast("string"), 12, "0")
-        ).alias("source_path"),
-        F.col("ts").cast("timestamp").alias("source_modified_at"),
-        F.sha2(F.concat(F.col("event_id").cast("string"), F.lit("|"), "props"), 256).alias(
-            "content_hash"
-        ),
-        level().alias("level"),
+    return events(spark, sf_dir).selectExpr(
+        f"date_format(ts, {fc.sql_text(PERIOD_FORMAT)}) AS period",
+        f"CASE WHEN event_type IN ({fc.sql_list(WEB_FEEDS)}) THEN 'WEB' ELSE 'OPS' END AS respondent",
+        "get_json_object(props, '$.k') AS level",
+        "CASE WHEN CAST(level AS INT) < 50 THEN 'D' ELSE 'DF' END AS type",
+        "CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS value",
+        "'megawatthours' AS value_units",
+        "concat(event_type, '/', lpad(event_id, 12, '0')) AS source_path",
+        "CAST(ts AS TIMESTAMP) AS source_modified_at",
+        "sha2(concat(event_id, '|', props), 256) AS content_hash",
     )
 
 
@@ -84,52 +75,47 @@ def feed() -> Column:
 
 def first_delivery(rows: DataFrame) -> DataFrame:
     """What was published first: all of the early days, some feeds of the middle ones."""
-    at = F.col("source_modified_at")
-    early = at < F.lit(CHANGES_FROM).cast("timestamp")
-    middle = at < F.lit(NEWS_FROM).cast("timestamp")
-    return rows.filter(early | (middle & feed().isin(*FIRST_FEEDS)))
+    return rows.filter(
+        f"source_modified_at < TIMESTAMP '{CHANGES_FROM}' OR "
+        f"(source_modified_at < TIMESTAMP '{NEWS_FROM}' AND {FEED} IN ({fc.sql_list(FIRST_FEEDS)}))"
+    )
 
 
 def second_delivery(rows: DataFrame) -> DataFrame:
     """What followed. One feed of the middle days comes again; both together hold all rows."""
-    at = F.col("source_modified_at")
-    later = at >= F.lit(CHANGES_FROM).cast("timestamp")
-    news = at >= F.lit(NEWS_FROM).cast("timestamp")
-    return rows.filter(later & (news | feed().isin(*SECOND_FEEDS)))
+    return rows.filter(
+        f"source_modified_at >= TIMESTAMP '{CHANGES_FROM}' AND "
+        f"(source_modified_at >= TIMESTAMP '{NEWS_FROM}' OR {FEED} IN ({fc.sql_list(SECOND_FEEDS)}))"
+    )
 
 
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as records that are not clean: daily files, foreign units, text for numbers."""
-    kind = F.col("event_type")
-    text = F.when(kind == "click", F.col("props")).otherwise(
-        F.col("value").cast("decimal(18,2)").cast("string")
-    )
-    return events(spark, sf_dir).select(
+    return events(spark, sf_dir).selectExpr(
         "event_id",
-        F.concat(kind, F.lit("/"), F.date_format("ts", "yyyy-MM-dd")).alias("source_path"),
-        F.date_format("ts", PERIOD_FORMAT).alias("period"),
-        kind.alias("respondent"),
-        F.when(level().cast("int") < 50, F.lit("D")).otherwise(F.lit("DF")).alias("type"),
-        text.alias("value_raw"),
-        fc.safe_numeric(text).alias("value"),
-        F.when(kind == "signup", F.lit("signups"))
-        .otherwise(F.lit("megawatthours"))
-        .alias("value_units"),
-    )
-
-
-def to_records(latest: DataFrame, value: Column | None = None) -> DataFrame:
+        "concat(event_type, '/', date_format(ts, 'yyyy-MM-dd')) AS source_path",
+        f"date_format(ts, {fc.sql_text(PERIOD_FORMAT)}) AS period",
+        "event_type AS respondent",
+        "CASE WHEN CAST(get_json_object(props, '$.k') AS INT) < 50 THEN 'D' ELSE 'DF' END AS type",
+        "CASE WHEN event_type = 'click' THEN props "
+        "ELSE CAST(CAST(value AS DECIMAL(18,2)) AS STRING) END AS value_raw",
+        "CASE WHEN event_type = 'signup' THEN 'signups' ELSE 'megawatthours' END AS value_units",
+    ).withColumn("value", fc.safe_numeric("value_raw"))
+
+
+def to_records(
+    latest: DataFrame, value: str = "CAST(CAST(value AS DECIMAL(18,2)) AS STRING)"
+) -> DataFrame:
     """Served readings as raw records with their declared day."""
-    text = F.col("value").cast("decimal(18,2)").cast("string") if value is None else value
-    return latest.select(
+    return latest.selectExpr(
         "period",
         "respondent",
-        F.lower("respondent").alias("respondent-name"),
+        "lower(respondent) AS `respondent-name`",
         "type",
-        feed().alias("type-name"),
-        text.alias("value"),
-        F.col("value_units").alias("value-units"),
-        fc.period_date("period").alias("date"),
+        f"{FEED} AS `type-name`",
+        f"{value} AS value",
+        "value_units AS `value-units`",
+        f"to_date({fc.period_sql()}) AS date",
     )
 
 
@@ -466,8 +452,8 @@ def landing_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second delivery against the first, with whole-number values."""
     rows = readings(spark, sf_dir)
-    mine = to_records(versions.latest_per_key(second_delivery(rows)), F.col("level"))
-    theirs = to_records(versions.latest_per_key(first_delivery(rows)), F.col("level"))
+    mine = to_records(versions.latest_per_key(second_delivery(rows)), "level")
+    theirs = to_records(versions.latest_per_key(first_delivery(rows)), "level")
     return compare.snapshot_diff(mine, theirs)
 
 
@@ -485,12 +471,11 @@ def diff_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full series against what could be published after the first delivery."""
+    mine = hourly.paired_hours(_hourly(spark, sf_dir))
+    published = hourly.paired_hours(_first_hourly(spark, sf_dir))
     return compare.reconcile(
-        hourly.paired_hours(_hourly(spark, sf_dir)),
-        hourly.paired_hours(_first_hourly(spark, sf_dir)),
-        _daily(spark, sf_dir),
-        _first_daily(spark, sf_dir),
-        CONTRACT,
+        mine, published, daily.daily_kpi(mine), daily.daily_kpi(published), CONTRACT
     )
 
 
@@ -498,7 +483,7 @@ def first_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Click events give their level, others their value; no table has the first column."""
     feeds = events(spark, sf_dir).select(
         "event_id",
-        F.when(F.col("event_type") == "click", level()).otherwise(F.lit("")).alias("level"),
+        F.when(F.col("event_type") == "click", F.get_json_object("props", "$.k")).otherwise(F.lit("")).alias("level"),
         F.col("value").cast("decimal(18,2)").alias("value"),
         "event_type",
     )
