@@ -26,8 +26,9 @@ from loadledger.operators.quality import QualityError, audit_days
 
 
 def open_zone(spark: SparkSession, root: str) -> None:
-    """Create an empty landing zone if there is none."""
-    spark.createDataFrame([], "value string").write.mode("ignore").text(root)
+    """Create an empty landing zone if there is none; without rows no file is written."""
+    nothing = spark.createDataFrame([], "value string, respondent string")
+    nothing.write.mode("ignore").partitionBy("respondent").text(root)
 
 
 def scan_landing(
