@@ -400,6 +400,7 @@ def _strings() -> dict[str, str]:
             SELECT {HISTORY} FROM latest_all ORDER BY period, type, respondent LIMIT 20""",
         # layers
         "pivot_hourly": f"SELECT {HOURLY} FROM hourly_all",
+        "newest_hourly": f"SELECT {HOURLY} FROM hourly_all",
         "forecast_error": """
             SELECT period, respondent, forecast_error_mwh, absolute_error_mwh FROM paired_all""",
         "merge_hourly": HOURLY_MERGE,

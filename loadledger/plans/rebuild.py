@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame
 
 from loadledger.contract import SeriesContract
 from loadledger.operators.daily import daily_kpi
-from loadledger.operators.hourly import paired_hours, pivot_hourly
-from loadledger.operators.versions import latest_per_key
+from loadledger.operators.hourly import newest_hourly, paired_hours
 
 
 def hourly_from_history(history: DataFrame, contract: SeriesContract) -> DataFrame:
-    return pivot_hourly(latest_per_key(history), contract)
+    return newest_hourly(history, contract)
 
 
 def daily_from_history(history: DataFrame, contract: SeriesContract) -> DataFrame:

@@ -50,9 +50,21 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as history rows."""
-    return events(spark, sf_dir).selectExpr(
+# What was published first: all of the early days, some feeds of the middle ones.
+FIRST = (
+    f"ts < TIMESTAMP_NTZ '{CHANGES_FROM}' OR "
+    f"(ts < TIMESTAMP_NTZ '{NEWS_FROM}' AND event_type IN ({fc.sql_list(FIRST_FEEDS)}))"
+)
+# What followed. One feed of the middle days comes again; both together hold all events.
+SECOND = (
+    f"ts >= TIMESTAMP_NTZ '{CHANGES_FROM}' AND "
+    f"(ts >= TIMESTAMP_NTZ '{NEWS_FROM}' OR event_type IN ({fc.sql_list(SECOND_FEEDS)}))"
+)
+
+
+def readings(spark: SparkSession, sf_dir: str, delivery: str = "true") -> DataFrame:
+    """Events of a delivery, or all, as history rows."""
+    return events(spark, sf_dir).filter(delivery).selectExpr(
         f"date_format(ts, {fc.sql_text(PERIOD_FORMAT)}) AS period",
         f"CASE WHEN event_type IN ({fc.sql_list(WEB_FEEDS)}) THEN 'WEB' ELSE 'OPS' END AS respondent",
         "get_json_object(props, '$.k') AS level",
@@ -65,28 +77,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readings(spark, sf_dir).drop("level")
-
-
-def feed() -> Column:
-    return F.substring_index("source_path", "/", 1)
-
-
-def first_delivery(rows: DataFrame) -> DataFrame:
-    """What was published first: all of the early days, some feeds of the middle ones."""
-    return rows.filter(
-        f"source_modified_at < TIMESTAMP '{CHANGES_FROM}' OR "
-        f"(source_modified_at < TIMESTAMP '{NEWS_FROM}' AND {FEED} IN ({fc.sql_list(FIRST_FEEDS)}))"
-    )
-
-
-def second_delivery(rows: DataFrame) -> DataFrame:
-    """What followed. One feed of the middle days comes again; both together hold all rows."""
-    return rows.filter(
-        f"source_modified_at >= TIMESTAMP '{CHANGES_FROM}' AND "
-        f"(source_modified_at >= TIMESTAMP '{NEWS_FROM}' OR {FEED} IN ({fc.sql_list(SECOND_FEEDS)}))"
-    )
+def history(spark: SparkSession, sf_dir: str, delivery: str = "true") -> DataFrame:
+    return readings(spark, sf_dir, delivery).drop("level")
 
 
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +116,7 @@ def delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_records(versions.latest_per_key(first_delivery(history(spark, sf_dir))))
+    return to_records(versions.latest_per_key(history(spark, sf_dir, FIRST)))
 
 
 def _zone(spark: SparkSession, sf_dir: str, deliveries: str) -> str:
@@ -165,19 +157,19 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = history(spark, sf_dir)
-    return versions.history_append(first_delivery(rows), second_delivery(rows))
+    first, second = history(spark, sf_dir, FIRST), history(spark, sf_dir, SECOND)
+    return versions.history_append(first, second)
 
 
 def new_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = history(spark, sf_dir)
-    return versions.new_versions(first_delivery(rows), second_delivery(rows))
+    first, second = history(spark, sf_dir, FIRST), history(spark, sf_dir, SECOND)
+    return versions.new_versions(first, second)
 
 
 def merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = history(spark, sf_dir)
-    stored = versions.latest_per_key(first_delivery(rows))
-    return versions.merge_latest(stored, versions.latest_per_key(second_delivery(rows)))
+    stored = versions.latest_per_key(history(spark, sf_dir, FIRST))
+    arriving = versions.latest_per_key(history(spark, sf_dir, SECOND))
+    return versions.merge_latest(stored, arriving)
 
 
 def merge_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,11 +199,15 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _first_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hourly_from_history(first_delivery(history(spark, sf_dir)), CONTRACT)
+    return hourly_from_history(history(spark, sf_dir, FIRST), CONTRACT)
 
 
 def _first_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_from_history(first_delivery(history(spark, sf_dir)), CONTRACT)
+    return daily_from_history(history(spark, sf_dir, FIRST), CONTRACT)
+
+
+def pivot_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hourly.pivot_hourly(versions.latest_per_key(history(spark, sf_dir)), CONTRACT)
 
 
 def forecast_error(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -451,9 +447,8 @@ def landing_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second delivery against the first, with whole-number values."""
-    rows = readings(spark, sf_dir)
-    mine = to_records(versions.latest_per_key(second_delivery(rows)), "level")
-    theirs = to_records(versions.latest_per_key(first_delivery(rows)), "level")
+    mine = to_records(versions.latest_per_key(readings(spark, sf_dir, SECOND)), "level")
+    theirs = to_records(versions.latest_per_key(readings(spark, sf_dir, FIRST)), "level")
     return compare.snapshot_diff(mine, theirs)
 
 
@@ -523,14 +518,14 @@ def processing_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reached = state.batch_checkpoint(first_delivery(history(spark, sf_dir)))
+    reached = state.batch_checkpoint(history(spark, sf_dir, FIRST))
     return state.processing_hours(reached, CONTRACT)
 
 
 def next_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = history(spark, sf_dir)
-    previous = state.batch_checkpoint(first_delivery(rows))
-    return state.next_checkpoint(previous, state.batch_checkpoint(second_delivery(rows)))
+    previous = state.batch_checkpoint(history(spark, sf_dir, FIRST))
+    reached = state.batch_checkpoint(history(spark, sf_dir, SECOND))
+    return state.next_checkpoint(previous, reached)
 
 
 def checkpoint_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -543,11 +538,9 @@ def checkpoint_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     root = fresh_dir(pin_utc(spark), "layers")
-    rows = history(spark, sf_dir)
-    incremental_refresh(spark, first_delivery(rows), root, CONTRACT, require_complete=False)
-    outcome = incremental_refresh(
-        spark, second_delivery(rows), root, CONTRACT, require_complete=False
-    )
+    first, second = history(spark, sf_dir, FIRST), history(spark, sf_dir, SECOND)
+    incremental_refresh(spark, first, root, CONTRACT, require_complete=False)
+    outcome = incremental_refresh(spark, second, root, CONTRACT, require_complete=False)
     return root, outcome
 
 
@@ -599,7 +592,8 @@ QUERIES: dict[str, Query] = {
     "key_lookup": key_lookup,
     "preview_latest": preview_latest,
     # layers
-    "pivot_hourly": _hourly,
+    "pivot_hourly": pivot_hourly,
+    "newest_hourly": _hourly,
     "forecast_error": forecast_error,
     "merge_hourly": merge_hourly,
     "daily_kpi": daily_kpi,

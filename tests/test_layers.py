@@ -8,6 +8,8 @@ from series import T1, T2, day_of_records, days_from, history, version
 
 from loadledger.contract import DAILY_SCHEMA, HOURLY_SCHEMA, SeriesContract
 from loadledger.operators import daily, hourly, merge
+from loadledger.operators.versions import latest_per_key
+from test_versions import random_versions
 
 CONTRACT = SeriesContract()
 PUBLISHED = datetime(2026, 10, 4, 1, 21, 57)
@@ -36,6 +38,12 @@ def test_pivot_keeps_an_hour_with_one_type(spark):
     assert hourly.paired_hours(found).count() == 0
 
 
+def test_newest_hourly_equals_pivot_of_latest(spark):
+    stored = history(spark, random_versions(5, 300)).repartition(5)
+    expected = rows(hourly.pivot_hourly(latest_per_key(stored), CONTRACT))
+    assert rows(hourly.newest_hourly(stored, CONTRACT)) == expected
+
+
 def test_merge_hourly_cases(spark):
     target = [hour("2026-09-26T00"), hour("2026-09-26T01"), hour("2026-09-26T02"), hour("2026-09-26T03")]
     source = [hour("2026-09-26T00"), hour("2026-09-26T01", actual=1.0), hour("2026-09-26T02", at=T2),

@@ -73,6 +73,17 @@ def test_run_volumes_and_rerun(spark, tmp_path):
     assert before["daily"] == rows(daily_from_history(history, CONTRACT))
 
 
+def test_stored_lookup_prunes_partitions(spark, tmp_path):
+    zone, root = tmp_path / "zone", str(tmp_path / "layers")
+    land_first(zone)
+    refresh.run_pipeline(spark, str(zone), root, CONTRACT)
+    found = tables.find(spark, root, "hourly", period="2026-09-27T03", respondent="US48")
+    assert [r["actual_demand_mwh"] for r in found.collect()] == [403_027.0]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in text
+    assert tables.find(spark, root, "daily", date=date(2026, 9, 28)).count() == 1
+
+
 def test_date_range_run(spark, tmp_path):
     zone, root = tmp_path / "zone", str(tmp_path / "layers")
     land_first(zone)
