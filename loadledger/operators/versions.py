@@ -36,7 +36,7 @@ def new_versions(
     broadcasts the batch's keys, so the large side is scanned but not shuffled.
     """
     key = list(key)
-    known = history.select(key).join(incoming.select(key).distinct(), key, "left_semi")
+    known = history.select(key).join(incoming.select(key), key, "left_semi")
     return incoming.join(known, key, "left_anti")
 
 

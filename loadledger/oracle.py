@@ -523,6 +523,7 @@ def _strings() -> dict[str, str]:
         "scan_landing": """
             SELECT date, respondent, version FROM files WHERE date >= DATE '2024-01-06'""",
         "land_days": "SELECT * FROM classified",
+        "ingest_days": "SELECT * FROM classified WHERE date >= DATE '2024-01-24'",
         "decode_payload": """
             SELECT respondent, date, version, record_count, CAST(record_count AS VARCHAR) AS total
             FROM files""",

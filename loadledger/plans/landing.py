@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.contract import CANONICAL, DAY_KEY, SeriesContract
 from loadledger.operators.days import NEW, UNCHANGED, classify_days, day_fingerprint
+from loadledger.operators.quality import checkpoint_rules, enforce, quality_report
+from loadledger.operators.state import day_checkpoint, next_checkpoint, processing_range
 from loadledger.session import stage
+from loadledger.sources.checkpoints import read_checkpoint, write_checkpoint
 from loadledger.sources.landing import (
     absent_versions,
     decode_payload,
@@ -26,15 +31,15 @@ def deliver_days(
     root: str,
     contract: SeriesContract,
     baseline: str = CANONICAL,
-    seen_at: str | None = None,
+    seen_at: datetime | None = None,
     complete: bool = True,
 ) -> DataFrame:
     """Land the delivered days and return their classification.
 
     New days become canonical files, changed days revisions named after their
     content, unchanged days are not written. With ``baseline="latest"`` a day
-    that returns to earlier values counts as changed again; ``seen_at``
-    (``yyyyMMddTHHmmss``) then keeps its revision name apart from the earlier one.
+    that returns to earlier values counts as changed again; ``seen_at`` (UTC) then
+    keeps its revision name apart from the earlier one, and goes into the payload.
     """
     if baseline != CANONICAL and seen_at is None:
         raise ValueError("comparing with the latest version needs seen_at")
@@ -45,7 +50,7 @@ def deliver_days(
         day_fingerprint(delivered), landed_days(decode_payload(landed)), baseline
     )
     judged = stage(judged, "classified")
-    suffix = "" if baseline == CANONICAL else f"_at_{seen_at}"
+    suffix = "" if baseline == CANONICAL else f"_at_{seen_at:%Y%m%dT%H%M%S}"
     version = F.when(F.col("status") == NEW, F.lit(CANONICAL)).otherwise(
         F.concat(F.lit("revision_"), F.col("revision_id"), F.lit(suffix))
     )
@@ -56,5 +61,34 @@ def deliver_days(
     # finds its versions and writes nothing.
     known = landed_versions(landing_accept(scan_landing(spark, root), contract))
     due = absent_versions(delivered.join(named, list(DAY_KEY)), known)
-    land_days(due, root, contract, complete)
+    land_days(due, root, contract, complete, seen_at)
+    return judged
+
+
+def ingest_days(
+    spark: SparkSession,
+    records: DataFrame,
+    root: str,
+    checkpoint: str,
+    contract: SeriesContract,
+    end_date: str,
+    complete: bool = True,
+) -> DataFrame:
+    """Deliver the days that are due up to ``end_date``, then advance the checkpoint.
+
+    Each respondent starts before its last delivered day, so that late changes
+    of the days in the lookback are seen, or at the first date of the contract.
+    The checkpoint moves only after the days are stored; a run that fails leaves
+    it, and the next one delivers the same days again.
+    """
+    state = read_checkpoint(spark, checkpoint)
+    enforce(quality_report(state, checkpoint_rules()))
+    known = records.select("respondent").distinct().join(state, "respondent", "left")
+    ranges = processing_range(known, contract, F.lit(end_date))
+    due = records.join(ranges.filter("has_work"), "respondent").filter(
+        "date BETWEEN start_date AND end_date"
+    )
+    due = stage(due.select(*records.columns), "due")
+    judged = deliver_days(spark, due, root, contract, complete=complete)
+    write_checkpoint(next_checkpoint(state, day_checkpoint(judged)), checkpoint)
     return judged

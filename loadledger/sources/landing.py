@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,8 +114,15 @@ def explode_records(decoded: DataFrame) -> DataFrame:
     return rows.select(*[c for c in rows.columns if c != "record"], *fields)
 
 
-def to_history(exploded: DataFrame) -> DataFrame:
-    """Exploded records in the shape of the history table."""
+def to_history(exploded: DataFrame, by_observation: bool = False) -> DataFrame:
+    """Exploded records in the shape of the history table.
+
+    Versions are ordered by the modification time of their file, or with
+    ``by_observation`` by the download time in the payload where there is one.
+    """
+    if by_observation:
+        seen = F.coalesce("observed_at", "source_modified_at")
+        exploded = exploded.withColumn("source_modified_at", seen)
     return exploded.select(
         "period",
         "respondent",
@@ -144,13 +153,16 @@ def landed_days(decoded: DataFrame) -> DataFrame:
     return day_fingerprint(rows, extra=("version", "source_modified_at", "source_path"))
 
 
-def payload_text(records: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """One JSON payload per day: sorted records and their number as text."""
+def payload_text(
+    records: DataFrame, extra: tuple[str, ...] = (), seen_at: datetime | None = None
+) -> DataFrame:
+    """One JSON payload per day: sorted records, their number as text, the download time."""
     days = day_records(records, extra)
     total = F.col("record_count").cast("string")
-    text = F.concat(
-        F.lit('{"response":{"data":'), "records_json", F.lit(',"total":"'), total, F.lit('"}}')
-    )
+    head = '{"response":{"data":'
+    if seen_at is not None:
+        head = f'{{"ingestion_metadata":{{"downloaded_at_utc":"{seen_at.isoformat()}"}},{head[1:]}'
+    text = F.concat(F.lit(head), "records_json", F.lit(',"total":"'), total, F.lit('"}}'))
     return days.select(*DAY_KEY, *extra, text.alias("payload"))
 
 
@@ -171,6 +183,7 @@ def land_days(
     root: str,
     contract: SeriesContract,
     complete: bool = True,
+    seen_at: datetime | None = None,
 ) -> None:
     """Write one file per day and version below ``root``.
 
@@ -184,7 +197,7 @@ def land_days(
     if "version" not in records.columns:
         records = records.withColumn("version", F.lit(CANONICAL))
     check_days(records, contract, complete)
-    rows = payload_text(records, extra=("version",)).select(
+    rows = payload_text(records, ("version",), seen_at).select(
         F.col("payload").alias("value"),
         "respondent",
         F.date_format("date", "yyyy").alias("year"),

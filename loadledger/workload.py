@@ -17,7 +17,7 @@ from loadledger.contract import HOURLY_SCHEMA, PERIOD_FORMAT, READING_KEY, Serie
 from loadledger.functions import columns as fc
 from loadledger.functions import paths as fp
 from loadledger.operators import compare, daily, days, hourly, merge, quality, state, versions
-from loadledger.plans.landing import deliver_days
+from loadledger.plans.landing import deliver_days, ingest_days as deliver_due
 from loadledger.plans.rebuild import daily_from_history, hourly_from_history
 from loadledger.plans.refresh import incremental_refresh, run_pipeline
 from loadledger.session import fresh_dir, pin_utc
@@ -375,6 +375,17 @@ def land_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deliver_days(spark, delivered(spark, sf_dir), root, CONTRACT, complete=False)
 
 
+def ingest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs with a stored checkpoint; the second looks one day back."""
+    root, saved = fresh_dir(pin_utc(spark), "zone"), fresh_dir(spark, "checkpoint")
+    for records, end in (
+        (first_delivered(spark, sf_dir), "2024-01-25"),
+        (delivered(spark, sf_dir), "2024-01-30"),
+    ):
+        outcome = deliver_due(spark, records, root, saved, CONTRACT, end, complete=False)
+    return outcome
+
+
 def decode_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decoded(spark, sf_dir).select(
         F.col("path_respondent").alias("respondent"),
@@ -619,6 +630,7 @@ QUERIES: dict[str, Query] = {
     "parse_landing_path": parse_landing_path,
     "scan_landing": scan_landing,
     "land_days": land_days,
+    "ingest_days": ingest_days,
     "decode_payload": decode_payload,
     "content_fingerprint": content_fingerprint,
     "explode_records": explode_records,

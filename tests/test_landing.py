@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from conftest import rows
@@ -10,8 +10,9 @@ from series import T1, T2, T3, day_of_records, days_from, record, records_df, wr
 
 from loadledger.contract import SeriesContract
 from loadledger.operators import days, quality, versions
-from loadledger.plans.landing import deliver_days
+from loadledger.plans.landing import deliver_days, ingest_days
 from loadledger.sources import landing
+from loadledger.sources.checkpoints import read_checkpoint
 
 CONTRACT = SeriesContract()
 DAY = date(2026, 9, 26)
@@ -138,10 +139,14 @@ def test_return_to_earlier_values(spark, tmp_path):
     root = tmp_path / "latest"
     seen = []
     for i, r in enumerate((a, b, a, b)):
-        found = deliver(spark, root, r, baseline="latest", seen_at=f"2026100{i + 1}T080000")
+        found = deliver(spark, root, r, baseline="latest", seen_at=datetime(2026, 10, i + 1, 8))
         seen.append(found[26])
     assert seen == ["NEW", "REVISION", "REVISION", "REVISION"]
     assert len(landed(spark, root)) == 4
+    exploded = landing.explode_records(decoded(spark, root))
+    observed = landing.to_history(exploded, by_observation=True)
+    newest = versions.latest_per_key(observed).filter("period = '2026-09-26T00' AND type = 'D'").first()
+    assert (newest["value"], newest["source_modified_at"]) == (400_031.0, datetime(2026, 10, 4, 8))
     with pytest.raises(ValueError, match="seen_at"):
         deliver_days(spark, records_df(spark, a), str(root), CONTRACT, baseline="latest")
 
@@ -176,3 +181,27 @@ def test_conflicts(spark):
     found = days.landing_conflicts(due, there)
     assert rows(found.select("version", "outcome")) == [
         ("canonical", "skip"), ("revision_x", "conflict"), ("revision_y", "write")]
+
+
+def test_ingest_with_checkpoint(spark, tmp_path):
+    root, saved = str(tmp_path / "zone"), str(tmp_path / "state")
+
+    def run(records, end):
+        df = records_df(spark, records)
+        judged = ingest_days(spark, df, root, saved, CONTRACT, end)
+        state = {r["respondent"]: r["last_uploaded_hour"] for r in read_checkpoint(spark, saved).collect()}
+        return {r["date"].day: r["status"] for r in judged.collect()}, state
+
+    source = [r for d in days_from(DAY, 4) for r in day_of_records(d)]
+    assert run(source, "2026-09-28") == ({26: "NEW", 27: "NEW", 28: "NEW"}, {"US48": "2026-09-28T23"})
+    # the lookback takes in one day before the last; an older change is not seen
+    revised = [r for d in days_from(DAY, 4) for r in day_of_records(d, 5)]
+    assert run(revised, "2026-09-29") == (
+        {27: "REVISION", 28: "REVISION", 29: "NEW"}, {"US48": "2026-09-29T23"})
+    # an earlier end date finds nothing to do and does not move the state back
+    assert run(revised, "2026-09-27") == ({}, {"US48": "2026-09-29T23"})
+    # a day that is not fit stops the run before anything moves
+    later = [*revised, *day_of_records(date(2026, 9, 30))[1:]]
+    with pytest.raises(quality.QualityError):
+        run(later, "2026-09-30")
+    assert read_checkpoint(spark, saved).first()["last_uploaded_hour"] == "2026-09-29T23"
