@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,40 +97,38 @@ def incremental_refresh(
     dated = with_date(incoming)
     dates = dates_of(dated)
 
-    def stored(layer: str) -> DataFrame:
-        rows = restrict_dates(read_layer(spark, root, layer), dated, dates)
+    def stored(layer: str, changed: DataFrame, on: list[date] | None) -> DataFrame:
+        rows = restrict_dates(read_layer(spark, root, layer, on), changed, on)
         return rows.select(*LAYERS[layer].names)
 
-    fresh = stage(new_versions(stored("history"), incoming), "history")
+    fresh = stage(new_versions(stored("history", dated, dates), incoming), "history")
 
     # All incoming rows compete again, not just the fresh ones: older versions
     # lose, and a batch that was stored but not finished is picked up.
     latest = stage(
-        with_date(merge_latest(stored("latest"), latest_per_key(incoming))), "latest"
+        with_date(merge_latest(stored("latest", dated, dates), latest_per_key(incoming))),
+        "latest",
     )
     touched = _changed(latest)
     touched_dates = dates_of(touched)
 
-    def affected(df: DataFrame) -> DataFrame:
-        return restrict_dates(df, touched, touched_dates)
+    affected = restrict_dates(latest, touched, touched_dates)
 
     changed_hours = touched.select(*HOUR_KEY).distinct()
-    readings = affected(latest).join(changed_hours, list(HOUR_KEY), "left_semi")
-    hourly = stage(
-        merge_hourly(affected(stored("hourly")), pivot_hourly(readings, contract)), "hourly"
-    )
+    readings = affected.join(changed_hours, list(HOUR_KEY), "left_semi")
+    stored_hours = stored("hourly", touched, touched_dates)
+    hourly = stage(merge_hourly(stored_hours, pivot_hourly(readings, contract)), "hourly")
     changed_days = _changed(hourly).select(*DAY_KEY).distinct()
     hours = hourly.join(changed_days, list(DAY_KEY), "left_semi")
-    daily = stage(
-        merge_daily(affected(stored("daily")), daily_kpi(paired_hours(hours))), "daily"
-    )
+    stored_days = stored("daily", touched, touched_dates)
+    daily = stage(merge_daily(stored_days, daily_kpi(paired_hours(hours))), "daily")
     if require_complete:
         enforce(quality_report(hourly, hourly_rules(), unique=HOUR_KEY))
         enforce(quality_report(daily, daily_rules(contract), unique=DAY_KEY))
 
     replace_dates(daily, root, "daily")
     replace_dates(hourly, root, "hourly")
-    replace_dates(affected(latest), root, "latest")
+    replace_dates(affected, root, "latest")
     append_layer(with_date(fresh), root, "history")
 
     outcomes = [

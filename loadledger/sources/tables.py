@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,8 @@ from loadledger.operators.versions import key_lookup
 # Ten years of days. Up to here dates become a literal partition filter; a
 # wider change reads its partitions through a semi join instead.
 MAX_LITERAL_DATES = 3660
+# Up to here their folders are named one by one.
+MAX_NAMED_FOLDERS = 400
 
 LAYERS: dict[str, T.StructType] = {
     "history": HISTORY_SCHEMA,
@@ -46,9 +49,28 @@ def ensure_tables(spark: SparkSession, root: str) -> None:
         empty.write.mode("ignore").partitionBy("date").parquet(layer_path(root, layer))
 
 
-def read_layer(spark: SparkSession, root: str, layer: str) -> DataFrame:
-    """A layer with its partition column."""
-    return spark.read.schema(stored_schema(layer)).parquet(layer_path(root, layer))
+def read_layer(
+    spark: SparkSession, root: str, layer: str, dates: list[date] | None = None
+) -> DataFrame:
+    """A layer with its partition column, or only the given dates of it.
+
+    A short list of dates names its folders, so that the files of other dates
+    are not even listed; a longer one is a partition filter.
+    """
+    path = layer_path(root, layer)
+    reader = spark.read.schema(stored_schema(layer))
+    if dates is None:
+        return reader.parquet(path)
+    if dates and len(dates) <= MAX_NAMED_FOLDERS:
+        folders = ",".join(f"date={day}" for day in dates)
+        try:
+            return reader.option("basePath", path).parquet(f"{path}/{{{folders}}}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            dates = []  # none of them is stored yet
+    listed = ", ".join(f"DATE '{day}'" for day in dates)
+    return reader.parquet(path).filter(f"date IN ({listed})" if dates else "false")
 
 
 def published(spark: SparkSession, root: str, layer: str) -> DataFrame:
@@ -58,9 +80,8 @@ def published(spark: SparkSession, root: str, layer: str) -> DataFrame:
 
 def find(spark: SparkSession, root: str, layer: str, **key: object) -> DataFrame:
     """Rows of a stored layer by key. A period or date in the key prunes partitions."""
-    rows = read_layer(spark, root, layer)
-    if "period" in key:
-        rows = rows.filter(F.col("date") == F.lit(str(key["period"])[:10]).cast("date"))
+    day = key.get("date") or str(key.get("period", ""))[:10]
+    rows = read_layer(spark, root, layer, [day] if day else None)
     return key_lookup(rows, **key).select(*LAYERS[layer].names)
 
 

@@ -79,8 +79,8 @@ def test_stored_lookup_prunes_partitions(spark, tmp_path):
     refresh.run_pipeline(spark, str(zone), root, CONTRACT)
     found = tables.find(spark, root, "hourly", period="2026-09-27T03", respondent="US48")
     assert [r["actual_demand_mwh"] for r in found.collect()] == [403_027.0]
-    text = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in text
+    assert len(found.inputFiles()) == 1
+    assert tables.find(spark, root, "hourly", period="2030-01-01T00", respondent="US48").count() == 0
     assert tables.find(spark, root, "daily", date=date(2026, 9, 28)).count() == 1
 
 
@@ -157,8 +157,10 @@ def test_stream_equals_batch(spark, tmp_path):
     assert volumes(spark, streamed) == {"history": 288, "latest": 192, "hourly": 96, "daily": 4}
 
 
-def test_many_dates_use_a_semi_join(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_LITERAL_DATES", 2)
+@pytest.mark.parametrize("literal", [2, 100], ids=["join", "filter"])
+def test_many_dates(spark, tmp_path, monkeypatch, literal):
+    monkeypatch.setattr(tables, "MAX_LITERAL_DATES", literal)
+    monkeypatch.setattr(tables, "MAX_NAMED_FOLDERS", 1)
     zone, root = tmp_path / "zone", str(tmp_path / "layers")
     land_first(zone)
     refresh.run_pipeline(spark, str(zone), root, CONTRACT)
