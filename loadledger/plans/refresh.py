@@ -101,8 +101,6 @@ def incremental_refresh(
         rows = restrict_dates(read_layer(spark, root, layer, on), changed, on)
         return rows.select(*LAYERS[layer].names)
 
-    fresh = stage(new_versions(stored("history", dated, dates), incoming), "history")
-
     # All incoming rows compete again, not just the fresh ones: older versions
     # lose, and a batch that was stored but not finished is picked up.
     latest = stage(
@@ -129,18 +127,18 @@ def incremental_refresh(
     replace_dates(daily, root, "daily")
     replace_dates(hourly, root, "hourly")
     replace_dates(affected, root, "latest")
+    # Row counts of parquet come from file footers, so counting twice is cheap.
+    before = stored("history", dated, dates).count()
+    fresh = new_versions(stored("history", dated, dates), incoming)
     append_layer(with_date(fresh), root, "history")
-
-    outcomes = [
-        merge_stats(fresh.withColumn("action", F.lit(INSERTED))).withColumn("layer", F.lit("history")),
-        merge_stats(latest).withColumn("layer", F.lit("latest")),
-        merge_stats(hourly).withColumn("layer", F.lit("hourly")),
-        merge_stats(daily).withColumn("layer", F.lit("daily")),
-    ]
-    stats = outcomes[0]
-    for part in outcomes[1:]:
-        stats = stats.unionByName(part)
-    return stats.select("layer", "action", "row_count")
+    after = stored("history", dated, dates).count()
+
+    inserted = [("history", INSERTED, after - before)]
+    stats = spark.createDataFrame(inserted, "layer string, action string, row_count bigint")
+    for layer, merged in (("latest", latest), ("hourly", hourly), ("daily", daily)):
+        named = merge_stats(merged).withColumn("layer", F.lit(layer))
+        stats = stats.unionByName(named.select(*stats.columns))
+    return stats.filter("row_count > 0")
 
 
 def run_pipeline(
