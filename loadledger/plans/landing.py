@@ -23,6 +23,7 @@ from loadledger.sources.landing import (
     open_zone,
     scan_landing,
 )
+from loadledger.sources.tables import dates_of
 
 
 def deliver_days(
@@ -45,7 +46,9 @@ def deliver_days(
         raise ValueError("comparing with the latest version needs seen_at")
     open_zone(spark, root)
     delivered = stage(records, "delivery")
-    landed = landing_accept(scan_landing(spark, root), contract)
+    # Only the delivered days of the zone are listed and read.
+    dates = dates_of(delivered)
+    landed = landing_accept(scan_landing(spark, root, dates), contract)
     judged = classify_days(
         day_fingerprint(delivered), landed_days(decode_payload(landed)), baseline
     )
@@ -59,7 +62,7 @@ def deliver_days(
     )
     # The zone is listed again without reading any file; a repeated delivery
     # finds its versions and writes nothing.
-    known = landed_versions(landing_accept(scan_landing(spark, root), contract))
+    known = landed_versions(landing_accept(scan_landing(spark, root, dates), contract))
     due = absent_versions(delivered.join(named, list(DAY_KEY)), known)
     land_days(due, root, contract, complete, seen_at)
     return judged

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ from loadledger.operators.quality import (
     daily_rules,
     enforce,
     hourly_rules,
+    latest_rules,
     not_empty_report,
     quality_report,
     record_rules,
@@ -120,9 +122,11 @@ def incremental_refresh(
     hours = hourly.join(changed_days, list(DAY_KEY), "left_semi")
     stored_days = stored("daily", touched, touched_dates)
     daily = stage(merge_daily(stored_days, daily_kpi(paired_hours(hours))), "daily")
-    if require_complete:
-        enforce(quality_report(hourly, hourly_rules(), unique=HOUR_KEY))
-        enforce(quality_report(daily, daily_rules(contract), unique=DAY_KEY))
+    whole_hours = hourly_rules() if require_complete else []
+    whole_days = daily_rules(contract) if require_complete else []
+    enforce(quality_report(latest, latest_rules(contract), READING_KEY, "latest unique"))
+    enforce(quality_report(hourly, whole_hours, HOUR_KEY, "hourly unique"))
+    enforce(quality_report(daily, whole_days, DAY_KEY, "daily unique"))
 
     replace_dates(daily, root, "daily")
     replace_dates(hourly, root, "hourly")
@@ -146,17 +150,16 @@ def run_pipeline(
     landing: str,
     root: str,
     contract: SeriesContract,
-    start: str | None = None,
-    end: str | None = None,
+    dates: Sequence[date] | None = None,
     require_complete: bool = True,
 ) -> DataFrame:
     """Landed files to history, latest, hourly and daily tables, in that order.
 
-    Any failing gate raises and leaves the tables as they were. A date range
-    reads only the folders of those days.
+    Any failing gate raises and leaves the tables as they were. With dates only
+    the folders of those days are read.
     """
     pin_utc(spark)
-    files = landing_accept(scan_landing(spark, landing, start, end), contract)
+    files = landing_accept(scan_landing(spark, landing, dates), contract)
     enforce(not_empty_report(files.select("path"), "accepted files present"))
     records = to_history(explode_records(decode_payload(files)))
     return incremental_refresh(spark, records, root, contract, require_complete)

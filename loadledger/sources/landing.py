@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Sequence
+from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ from loadledger.functions.paths import (
 )
 from loadledger.operators.days import day_fingerprint, day_records
 from loadledger.operators.quality import QualityError, audit_days
+from loadledger.sources.tables import MAX_NAMED_FOLDERS
 
 
 def open_zone(spark: SparkSession, root: str) -> None:
@@ -34,24 +37,37 @@ def open_zone(spark: SparkSession, root: str) -> None:
 
 
 def scan_landing(
-    spark: SparkSession, root: str, start: str | None = None, end: str | None = None
+    spark: SparkSession, root: str, dates: Sequence[date] | None = None
 ) -> DataFrame:
     """Files below ``root`` with path, modification time, length and bytes.
 
-    With a date range only the folders of those days are listed and read, which
-    needs a zone that uses one folder layout throughout. The bytes are read only
-    where a later step uses them.
+    With dates only the folders of those days are listed and read, whatever the
+    layout below them; for a long list, the folders of their months. The bytes
+    are read only where a later step uses them.
     """
-    files = spark.read.format("binaryFile")
-    if start is None and end is None:
-        return files.option("recursiveFileLookup", "true").load(root)
-    day = F.make_date(*[F.col(part).cast("int") for part in ("year", "month", "day")])
-    found = files.load(root)
-    if start is not None:
-        found = found.filter(day >= F.lit(start).cast("date"))
-    if end is not None:
-        found = found.filter(day <= F.lit(end).cast("date"))
-    return found.select(*FILE_SCHEMA.names)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if dates is None:
+        return files.load(root)
+    by_day = len(dates) <= MAX_NAMED_FOLDERS
+    form = "year=%Y/month=%m/day=%d" if by_day else "year=%Y/month=%m"
+    folders = sorted({day.strftime(form) for day in dates})
+    found = spark.createDataFrame([], FILE_SCHEMA)  # in case nothing has landed on these days
+    try:
+        if dates:
+            found = files.load(f"{root}/respondent=*/{{{','.join(folders)}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    if by_day:
+        return found
+    listed = ", ".join(f"DATE '{day}'" for day in dates)
+    dated = found.withColumn("date", path_date("path"))
+    return dated.filter(f"date IN ({listed})").drop("date")
+
+
+def between(start: date, end: date) -> list[date]:
+    """The dates from start to end."""
+    return [start + timedelta(days=n) for n in range((end - start).days + 1)]
 
 
 def landing_accept(files: DataFrame, contract: SeriesContract) -> DataFrame:

@@ -9,6 +9,7 @@ tells actual from forecast readings.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -364,7 +365,8 @@ def parse_landing_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The days from the first revision on, read with folder pruning."""
     root = _zone(pin_utc(spark), sf_dir, "both")
-    files = landing.scan_landing(spark, root, start=CHANGES_FROM)
+    dates = landing.between(date.fromisoformat(CHANGES_FROM), date(2024, 1, 30))
+    files = landing.scan_landing(spark, root, dates)
     return landing.landed_versions(landing.landing_accept(files, CONTRACT))
 
 

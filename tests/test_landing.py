@@ -61,13 +61,19 @@ def test_declared_total(spark, tmp_path):
             for r in totals.collect()} == {26: (48, 48, True), 27: (48, 47, False)}
 
 
-def test_date_range_reads_only_its_folders(spark, tmp_path):
+def test_date_range_reads_only_its_folders(spark, tmp_path, monkeypatch):
     for day in days_from(DAY, 4):
         write_file(tmp_path, day, day_of_records(day), T1)
-    files = landing.scan_landing(spark, str(tmp_path), "2026-09-27", "2026-09-28")
-    assert {r["path"][-15:] for r in files.select("path").collect()} == {"2026-09-27.json", "2026-09-28.json"}
-    plan = files._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    (tmp_path / "respondent=US48/year=2026/month=09/day=28/version=canonical").mkdir()
+    wanted = landing.between(date(2026, 9, 27), date(2026, 9, 28))
+    files = landing.scan_landing(spark, str(tmp_path), [*wanted, date(2027, 1, 1)])
+    assert {path[-15:] for path in files.inputFiles()} == {"2026-09-27.json", "2026-09-28.json"}
+    assert files.count() == 2
+    assert landing.scan_landing(spark, str(tmp_path), [date(2027, 1, 1)]).count() == 0
+    assert landing.scan_landing(spark, str(tmp_path), []).count() == 0
+    monkeypatch.setattr(landing, "MAX_NAMED_FOLDERS", 1)
+    by_month = landing.scan_landing(spark, str(tmp_path), [*wanted, date(2027, 1, 1)])
+    assert {r["path"][-15:] for r in by_month.collect()} == {"2026-09-27.json", "2026-09-28.json"}
 
 
 def test_observed_time_is_read(spark, tmp_path):

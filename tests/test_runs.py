@@ -87,7 +87,8 @@ def test_stored_lookup_prunes_partitions(spark, tmp_path):
 def test_date_range_run(spark, tmp_path):
     zone, root = tmp_path / "zone", str(tmp_path / "layers")
     land_first(zone)
-    refresh.run_pipeline(spark, str(zone), root, CONTRACT, start="2026-09-28")
+    later = landing.between(date(2026, 9, 28), date(2026, 9, 30))
+    refresh.run_pipeline(spark, str(zone), root, CONTRACT, dates=later)
     assert volumes(spark, root) == {"history": 96, "latest": 96, "hourly": 48, "daily": 2}
 
 
@@ -137,6 +138,17 @@ def test_gates_leave_the_tables_as_they_were(spark, tmp_path):
     assert contents(spark, root) == before
 
 
+def test_repeated_key_in_latest_stops_the_run(spark, tmp_path):
+    zone, root = tmp_path / "zone", str(tmp_path / "layers")
+    land_first(zone)
+    refresh.run_pipeline(spark, str(zone), root, CONTRACT)
+    one = tables.find(spark, root, "latest", period="2026-09-26T00", type="D")
+    tables.append_layer(tables.with_date(one), root, "latest")
+    land_revisions(zone)
+    with pytest.raises(quality.QualityError, match="latest unique: 1"):
+        refresh.run_pipeline(spark, str(zone), root, CONTRACT)
+
+
 def test_stream_equals_batch(spark, tmp_path):
     zone, streamed, batch = tmp_path / "zone", str(tmp_path / "streamed"), str(tmp_path / "batch")
     checkpoint = str(tmp_path / "checkpoint")
