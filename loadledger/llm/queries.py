@@ -7,25 +7,92 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loadledger.llm import bpe, packing
+from loadledger.llm import bpe, order_minhash, packing, url_filter, warc
 from loadledger.llm.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+# The rules that every page is judged by, as (verdict, host, path).
+PREFIX_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+def op1_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(spark, table(spark, sf_dir, "pages"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [url_filter.prefix_rule(host, path, verdict) for verdict, host, path in PREFIX_RULES]
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.token_digests(docs, public_tokenizers.path(TOKENIZER))
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_bundles": op1_warc_bundles,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_url_filter": op5_url_filter,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op8_order_minhash": op8_order_minhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc_bundles": f"""
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+        ), g AS (
+            SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id FROM p
+        )
+        SELECT page_id,
+               CAST(strlen(html) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda n: substr('{_BASE32}',
+                   1 + ((CAST('0x' || substr(hex, 1 + 5 * CAST(floor(n / 4) AS INT), 5) AS BIGINT)
+                         >> (5 * (3 - CAST(n % 4 AS INT)))) & 31), 1)), '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM g""",
+    "op5_url_filter": r"""
+        WITH u AS (
+            SELECT page_id, CASE WHEN strpos(url, '://') > 0
+                       THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), h AS (
+            SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u
+        ), s AS (
+            SELECT page_id,
+                   translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h
+        ), r AS (
+            SELECT *, '.' || host AS d, CASE
+                WHEN ('.' || host) LIKE '%.www.example.com' AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+                WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/en/') THEN 'example.com/en/'
+                WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/es/') THEN 'net/es/'
+                WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/fr/') THEN 'net/fr/'
+                WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/') THEN 'com/' END AS rule FROM s
+        )
+        SELECT page_id, host, path, rule, CASE
+            WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+            WHEN rule IS NOT NULL THEN 'block'
+            WHEN contains(d, '.ads.') THEN 'block'
+            WHEN contains(path, '/login/') OR contains(path, '/tracking/') THEN 'block'
+            ELSE 'allow' END AS verdict FROM r""",
+}
