@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loadledger.llm import bpe, order_minhash, packing, url_filter, warc
+from loadledger.llm import bpe, near_dedup, order_minhash, packing, url_filter, warc
 from loadledger.llm.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -32,6 +32,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
+def op4_minhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_copies(table(spark, sf_dir, "documents"), length=3, percent=85)
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [url_filter.prefix_rule(host, path, verdict) for verdict, host, path in PREFIX_RULES]
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -49,6 +53,7 @@ def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_minhash_near_copies": op4_minhash_near_copies,
     "op5_url_filter": op5_url_filter,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op8_order_minhash": op8_order_minhash,
