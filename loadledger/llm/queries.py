@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loadledger.llm import bpe, near_dedup, order_minhash, packing, url_filter, warc
+from loadledger.llm import (
+    bpe,
+    near_dedup,
+    order_minhash,
+    packing,
+    quality,
+    secret_scan,
+    url_filter,
+    warc,
+)
 from loadledger.llm.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -32,6 +41,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
+def op3_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_minhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_copies(table(spark, sf_dir, "documents"), length=3, percent=85)
 
@@ -46,6 +59,11 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(docs, public_tokenizers.path(TOKENIZER))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.find_secrets(docs, secret_scan.learn(docs))
+
+
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -53,9 +71,11 @@ def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_quality_scores": op3_quality_scores,
     "op4_minhash_near_copies": op4_minhash_near_copies,
     "op5_url_filter": op5_url_filter,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op7_secret_scan": op7_secret_scan,
     "op8_order_minhash": op8_order_minhash,
 }
 
