@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loadledger.llm import (
+    ann,
     bpe,
     near_dedup,
     order_minhash,
@@ -68,6 +69,10 @@ def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op7_secret_scan": op7_secret_scan,
     "op8_order_minhash": op8_order_minhash,
+    "op10_multiprobe_neighbours": op10_multiprobe_neighbours,
 }
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
