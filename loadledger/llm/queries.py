@@ -13,6 +13,7 @@ from loadledger.llm import (
     near_dedup,
     order_minhash,
     packing,
+    pii,
     quality,
     secret_scan,
     url_filter,
@@ -69,6 +70,11 @@ def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs, pii.learn(docs))
+
+
 def op10_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op7_secret_scan": op7_secret_scan,
     "op8_order_minhash": op8_order_minhash,
+    "op9_personal_data": op9_personal_data,
     "op10_multiprobe_neighbours": op10_multiprobe_neighbours,
 }
 
