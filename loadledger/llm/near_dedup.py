@@ -21,7 +21,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadledger.llm.components import components
@@ -34,7 +34,7 @@ BLOCK = 512  # nodes of a bucket that one block holds
 WORD_CACHE = 400_000
 _CHUNK = 4096
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
-SIGNED = "doc_id long, node binary, n_shingles long, bands array<long>, sig binary"
+SIGNED = "doc_id long, row_key long, node binary, n_shingles long, bands array<long>, sig binary"
 
 
 def rows_per_band(percent: int, hashes: int = HASHES, miss: float = MISS) -> int:
@@ -118,6 +118,11 @@ def band_keys(sig: np.ndarray, rows: int) -> list[int]:
     return [k - (1 << 64) if k >> 63 else k for k in keys]
 
 
+def row_key() -> Column:
+    """Tells rows of ``documents`` apart; equal doc_id and text give equal keys."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def signed_documents(docs: DataFrame, length: int, percent: int, hashes: int = HASHES) -> DataFrame:
     """Node, set size, band keys and signature of every document. No words: no node."""
     rows = rows_per_band(percent, hashes)
@@ -126,9 +131,9 @@ def signed_documents(docs: DataFrame, length: int, percent: int, hashes: int = H
         odd, add = _coefficients(hashes)
         for part in parts:
             for start in range(0, len(part), 1000):
-                ids = part.column(0).slice(start, 1000)
+                ids, keys, texts = (c.slice(start, 1000) for c in part.columns)
                 nodes, sizes, bands, sigs = [], [], [], []
-                for text in part.column(1).slice(start, 1000):
+                for text in texts:
                     words = words_of(text.as_py())
                     found = shingle_set(words, length)
                     sizes.append(len(found))
@@ -140,11 +145,19 @@ def signed_documents(docs: DataFrame, length: int, percent: int, hashes: int = H
                     bands.append(band_keys(sig, rows))
                     sigs.append(sig.astype(np.uint16).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(nodes, "binary"), pa.array(sizes, "int64"), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, "binary")],
-                    ["doc_id", "node", "n_shingles", "bands", "sig"],
+                    [
+                        ids,
+                        keys,
+                        pa.array(nodes, "binary"),
+                        pa.array(sizes, "int64"),
+                        pa.array(bands, pa.list_(pa.int64())),
+                        pa.array(sigs, "binary"),
+                    ],
+                    ["doc_id", "row_key", "node", "n_shingles", "bands", "sig"],
                 )
 
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    text = F.col("text").cast("string")
+    narrow = docs.select(F.col("doc_id").cast("long"), row_key().alias("row_key"), text)
     return narrow.mapInArrow(sign, SIGNED)
 
 
@@ -292,7 +305,7 @@ def _pairs_across(members: DataFrame, roots: DataFrame, nodes: DataFrame, percen
 def near_copies(
     docs: DataFrame, length: int = 5, percent: int = 80, hashes: int = HASHES, miss: float = MISS
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per document.
+    """(doc_id, n_shingles, component_id, kept, row_key) per document.
 
     ``length`` words make a shingle; documents are linked when their sets of
     shingles share ``percent`` of their union or more. Every row gets a result
@@ -324,11 +337,34 @@ def near_copies(
     placed = _rooted(_rooted(nodes.select("node", "rep"), roots, "node", "comp"), joined, "comp", "final")
     least = placed.groupBy("final").agg(F.min("rep").alias("component_id"))
     named = placed.join(least, "final").select("node", "component_id")
-    out = signed.select("doc_id", "node", "n_shingles").join(named, "node", "left")
+    out = signed.select("doc_id", "row_key", "node", "n_shingles").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "row_key",
     )
+
+
+def without_near_copies(
+    docs: DataFrame, length: int = 5, percent: int = 80, hashes: int = HASHES, miss: float = MISS
+) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each group of near copies, as it was.
+
+    That is the row with the group's least doc_id; of several such rows the one
+    with the least key. Rows without words are in no group and all stay, but a
+    row repeated in doc_id and text stays once.
+    """
+    judged = near_copies(docs, length, percent, hashes, miss).filter("kept")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
+    grouped = judged.filter("n_shingles > 0").groupBy("component_id").agg(F.min("row_key").alias("row_key"))
+    grouped = grouped.select(F.col("component_id").alias("doc_id"), "row_key")
+    single = judged.filter("n_shingles = 0").select("doc_id", "row_key").distinct()
+    stay = grouped.unionByName(single).select(key.alias("_id"), F.col("row_key").alias("_key"))
+    wrapped = docs.select(F.struct(*docs.columns).alias("row"), key.alias("_id"), row_key().alias("_key"))
+    # The join leaves rows sorted by both keys, so this window costs no shuffle.
+    again = Window.partitionBy("_id", "_key").orderBy("_key")
+    found = wrapped.join(stay, ["_id", "_key"]).withColumn("_n", F.row_number().over(again))
+    return found.filter("_n = 1").select("row.*")

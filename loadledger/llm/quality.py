@@ -292,6 +292,13 @@ def _ids_of(names: tuple[str, ...]) -> WordIds:
     return _KNOWN[names]
 
 
+def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose score is ``least`` or more, with their own columns only."""
+    narrow = F.struct(*docs.columns).alias("row")
+    wrapped = docs.select(narrow, F.col("text").cast("string").alias("text"))
+    return scored(wrapped, model).filter(F.col("score") >= least).select("row.*")
+
+
 def judge_documents(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``."""
     model = learn(docs, labels, size=size)

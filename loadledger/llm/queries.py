@@ -48,7 +48,8 @@ def op3_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_copies(table(spark, sf_dir, "documents"), length=3, percent=85)
+    found = near_dedup.near_copies(table(spark, sf_dir, "documents"), length=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
