@@ -1,0 +1,127 @@
+from __future__ import annotations
+
+import hashlib
+import re
+import time
+
+import pytest
+from helpers import by_id, documents, prose
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from loadledger.llm import pii
+
+
+def luhn(digits):
+    total = 0
+    for n, c in enumerate(digits[::-1]):
+        v = int(c) * (2 if n % 2 else 1)
+        total += v if v < 10 else v - 9
+    return total % 10 == 0
+
+
+def brute(text):
+    def digits(m):
+        return re.sub("[^0-9]", "", m[0])
+
+    found = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    found += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+              if all(int(p) <= 255 for p in m[0].split("."))]
+    found += [("card", *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text)
+              if 13 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    found += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(digits(m)) <= 15]
+    return found
+
+
+PARTS = ["a", "b.c", "@", "x.org", ".", "-", "+", " ", "(", ")", "1", "25", "256", "001", "4111111111111111", "555-7713", "é", "٣", "\n", "%"]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=25).map("".join))
+def test_base_rules(text):
+    assert pii.base_spans(text) == brute(text)
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    texts = []
+    for n in range(80):
+        entity = [f"user{n}@mail{n % 9}.example.com", f"+1 (0{n + 10}) 555-{1000 + n}", f"{n}.{n + 1}.7.{2 * n}", "4111 1111 1111 1111",
+                  "1234567812345678", f"2024-01-{n % 28 + 1:02d}"][n % 6]
+        texts.append(f"{prose(n, 20)} {entity} {prose(n + 500, 20)}")
+    return pii.learn(documents(spark, texts))
+
+
+def added(text, field):
+    base, spans = pii.all_spans(text, field)
+    assert set(base) <= set(spans)
+    return [(k, text[s:e]) for k, s, e in spans if (k, s, e) not in base]
+
+
+def test_the_field_finds_what_the_rules_drop(field):
+    # the rule takes phone and address as one run of too many digits
+    assert added("call +1 (826) 555-4081 190.137.223.204 now", field) == [("phone", "+1 (826) 555-4081")]
+    assert added("ring (017) 555-7713 today", field) == [("phone", "(017) 555-7713")]
+    # two card numbers side by side are one run to the rule
+    assert added("pay 4111111111111111 5500005555555559 now", field) == [("card", "4111111111111111"), ("card", "5500005555555559")]
+
+
+def test_clean_texts_stay_clean(field):
+    clean = [prose(n, 100) for n in range(50)] + [
+        "Version 2.0, released 2024-01-30 at 10:30", "Licensed under CC BY-NC 4.0.", "it cost 1,234,567.89 in 2023",
+        "chapter 12.3.4 of 5", "number 1234567812345678 is no card", "see @home or a@b", "build v1.22.3.4567"]
+    assert [pii.all_spans(t, field)[1] for t in clean] == [[]] * len(clean)
+
+
+def test_segmentation_is_the_best_one(field):
+    """Dynamic programming against trying every set of segments that do not overlap."""
+    for part in ("+1 (826) 555-4081 190.137.22.204", "a@b.org 4111111111111111", "1.2.3.4 5.6.7.8"):
+        stretch = pii.Stretch.of(part, " ", " ")
+        scored = [(i, j, k, s) for i, j, found in stretch.segments for k, s in zip(pii.KINDS, field.scores(found)) if s > 0]
+
+        def best(at):
+            later = [(i, j, k, s) for i, j, k, s in scored if i >= at]
+            return max([0.0, *(s + best(j) for _, j, _, s in later)])
+
+        by = {(i, j, k): s for i, j, k, s in scored}
+        chosen = field.best(stretch)
+        assert sum(by[i, j, k] for k, i, j in chosen) == pytest.approx(best(0))
+        assert all(a[2] <= b[1] for a, b in zip(chosen, chosen[1:]))
+
+
+def test_likelihood_gradient():
+    """A step along the gradient makes the gold segmentation likelier."""
+    stretch = pii.Stretch.of("1.2.3.4 +1 555 555 5555", " ", " ")
+    gold = pii.gold_of(stretch, [("ip", 0, 7), ("phone", 8, 23)])
+    assert len(gold) == 2
+    field = pii.Field()
+    assert field.best(stretch) == []
+    for _ in range(30):
+        field.learn(stretch, gold, 0.3, 0.0)
+    assert set(field.best(stretch)) == gold
+
+
+def test_table(spark, field):
+    texts = ["mail a.b@c.org or 10.0.0.1", None, "", "x", "é 🙂 4111-1111-1111-1111 é", "mail a.b@c.org or 10.0.0.1"]
+    docs = documents(spark, [*enumerate(texts), (0, texts[0])])
+    rows = pii.find_personal_data(docs, field).collect()
+    assert len(rows) == 7
+    for row in rows:
+        base = brute(texts[row["doc_id"]] or "")
+        worded = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        assert [row[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in base) for k in pii.KINDS]
+        assert row["base_sha256"] == hashlib.sha256(worded.encode()).hexdigest()
+        assert row["spans"] == worded
+    empty = documents(spark, [])
+    assert pii.find_personal_data(empty, pii.learn(empty)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text", ["a" * 300_000 + "@" + "b" * 10, "1" * 200_000, "1." * 100_000, "@" * 100_000, "+1" * 60_000, "1 " * 60_000, "a@" * 50_000],
+    ids=["local", "digits", "dots", "signs", "plus", "spaced", "pairs"],
+)
+def test_long_texts_take_linear_time(field, text):
+    start = time.process_time()
+    base, spans = pii.all_spans(text, field)
+    assert set(base) <= set(spans)
+    assert time.process_time() - start < 60
