@@ -18,6 +18,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from math import exp, log
 
 import numpy as np
@@ -127,7 +128,8 @@ def _side(c: str) -> str:
 _RUNS = re.compile(r"([A-Za-z])[A-Za-z]*|[0-9]+")
 
 
-def features(part: str, before: str, after: str) -> list[str]:
+@lru_cache(maxsize=1 << 16)
+def features(part: str, before: str, after: str) -> tuple[str, ...]:
     """What a segment as a whole looks like."""
     digits = "".join(_DIGIT.findall(part))
     shape = _RUNS.sub(lambda m: "a" if m[1] else "9", part)
@@ -152,7 +154,7 @@ def features(part: str, before: str, after: str) -> list[str]:
         found.append(f"octets={all(map(_small, quads))}")
     if part[0] == "+":
         found.append(f"plus={9 <= n <= 15}")
-    return found
+    return tuple(found)
 
 
 @dataclass
@@ -160,7 +162,7 @@ class Stretch:
     """Atoms of a stretch and its candidate segments as (first atom, end atom, features)."""
 
     edges: list[int]
-    segments: list[tuple[int, int, list[str]]]
+    segments: list[tuple[int, int, tuple[str, ...]]]
 
     @staticmethod
     def of(part: str, before: str = "", after: str = "") -> Stretch:
@@ -192,15 +194,18 @@ class Field:
 
     weights: dict[tuple[str, str], float] = field(default_factory=lambda: defaultdict(float))
 
-    def scores(self, found: list[str]) -> list[float]:
+    def scores(self, found: tuple[str, ...]) -> list[float]:
         get = self.weights.get
         return [sum(get((kind, f), 0.0) for f in found) for kind in KINDS]
 
     def best(self, stretch: Stretch) -> list[Span]:
         """Kinds and atom ranges of the segmentation with the greatest score."""
         ending: dict[int, list[tuple[int, str, float]]] = {}
+        known: dict[tuple[str, ...], list[float]] = {}  # segments of one look, as in long lists
         for i, j, found in stretch.segments:
-            own = self.scores(found)
+            own = known.get(found)
+            if own is None:
+                own = known[found] = self.scores(found)
             kind = max(range(len(KINDS)), key=own.__getitem__)
             if own[kind] > 0:  # less than leaving its atoms out
                 ending.setdefault(j, []).append((i, KINDS[kind], own[kind]))

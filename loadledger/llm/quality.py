@@ -126,8 +126,9 @@ class Network:
     temperature: float = 1.0
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        hidden = np.maximum((x - self.mean) / self.scale @ self.w1 + self.b1, 0)
-        return hidden @ self.w2 + self.b2
+        # Not by matrix product: that may round a row by where it stands among others.
+        hidden = np.einsum("nd,dh->nh", (x - self.mean) / self.scale, self.w1) + self.b1
+        return np.einsum("nh,h->n", np.maximum(hidden, 0), self.w2) + self.b2
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -40, 40)))
