@@ -11,6 +11,7 @@ from loadledger.contract import KPI_DAYS, READING_KEY, RECORD_FIELDS, SeriesCont
 from loadledger.functions.columns import (
     close_sql,
     exact_sum_sql,
+    first_present,
     normalize_date,
     normalize_hour,
     sql_text,
@@ -99,49 +100,42 @@ def _stacked(rows: Sequence[tuple[int, str, str, str]]) -> str:
     return f"stack({len(rows)}, {entries}) AS (ordinal, check, compared, failed)"
 
 
-def _checks(pairs: DataFrame, grain: str, measures: dict[str, str], first: int) -> DataFrame:
-    """Counts, key sets and measures of both sides, from one aggregate over the pairs."""
+def _judged(pairs: DataFrame, measures: Sequence[str], prefix: str) -> DataFrame:
+    """Per key, 0 or 1 for each thing that can be wrong with it."""
     common = "l_n > 0 AND r_n > 0"
-    totals = pairs.agg(
-        F.expr("coalesce(sum(l_n), 0) AS left_rows"),
-        F.expr("coalesce(sum(r_n), 0) AS right_rows"),
-        F.expr("count(CASE WHEN l_n > 1 OR r_n > 1 THEN 1 END) AS repeated"),
-        F.expr(f"count(CASE WHEN {common} THEN 1 END) AS common"),
-        F.expr(f"count(CASE WHEN NOT ({common}) THEN 1 END) AS one_sided"),
-        *[
-            F.expr(
-                f"count(CASE WHEN {common} AND NOT coalesce({close_sql(f'l_{m}', f'r_{m}')}, false) "
-                f"THEN 1 END) AS off_{m}"
-            )
-            for m in measures
-        ],
-    )
-    rows = [
-        (f"{grain} row count", "1", "left_rows <> right_rows"),
-        (f"{grain} keys unique", "1", "repeated > 0"),
-        (f"{grain} keys match", "1", "one_sided > 0"),
-        *[(f"{grain} {label}", "common", f"off_{m}") for m, label in measures.items()],
+    tests = {
+        "repeated": "l_n > 1 OR r_n > 1",
+        "common": common,
+        "one_sided": f"NOT ({common})",
+        **{f"off_{m}": f"{common} AND NOT coalesce({close_sql(f'l_{m}', f'r_{m}')}, false)" for m in measures},
+    }
+    flags = [f"CAST({test} AS INT) AS {prefix}{name}" for name, test in tests.items()]
+    return pairs.selectExpr("*", f"l_n AS {prefix}left", f"r_n AS {prefix}right", *flags)
+
+
+def _counted(measures: Sequence[str], prefix: str) -> list[str]:
+    names = ["left", "right", "repeated", "common", "one_sided", *[f"off_{m}" for m in measures]]
+    return [f"{prefix}{name}" for name in names]
+
+
+def _check_rows(grain: str, measures: dict[str, str], prefix: str) -> list[tuple[str, str, str]]:
+    return [
+        (f"{grain} row count", "1", f"{prefix}left <> {prefix}right"),
+        (f"{grain} keys unique", "1", f"{prefix}repeated > 0"),
+        (f"{grain} keys match", "1", f"{prefix}one_sided > 0"),
+        *[(f"{grain} {label}", f"{prefix}common", f"{prefix}off_{m}") for m, label in measures.items()],
     ]
-    return totals.selectExpr(_stacked([(first + i, *row) for i, row in enumerate(rows)]))
 
 
 def _window_checks(
-    hours: DataFrame,
-    days: DataFrame,
-    contract: SeriesContract,
-    windows: Sequence[int],
-    first: int,
+    days: DataFrame, contract: SeriesContract, windows: Sequence[int], first: int
 ) -> DataFrame:
-    """Coverage and energy of each respondent's last N days, hours against days."""
-    per_day = hours.groupBy("day_key", "respondent").agg(
-        F.expr("count(*) AS hours"),
-        F.expr(f"{exact_sum_sql('actual_demand_mwh')} AS hour_energy"),
-    )
-    selected = in_windows(days, windows).join(per_day, ["day_key", "respondent"], "left")
+    """Coverage and energy of each respondent's last published days, hours against days."""
+    selected = in_windows(days.filter("d_right > 0").withColumnRenamed("day_key", "date"), windows)
     sums = selected.groupBy("respondent", "window_days").agg(
-        F.expr("sum(hours) AS hours"),
+        F.expr("sum(h_left) AS hours"),
         F.expr("CAST(sum(hour_energy) AS DOUBLE) AS hour_energy"),
-        F.expr(f"CAST({exact_sum_sql('total_daily_energy_mwh')} AS DOUBLE) AS day_energy"),
+        F.expr(f"CAST({exact_sum_sql('r_total_daily_energy_mwh')} AS DOUBLE) AS day_energy"),
     )
     covered = f"coalesce(hours = window_days * {contract.hours_per_day}, false)"
     agrees = f"coalesce({close_sql('hour_energy', 'day_energy')}, false)"
@@ -163,6 +157,31 @@ def _window_checks(
     return totals.selectExpr(_stacked([(first + i, *row) for i, row in enumerate(rows)]))
 
 
+HOUR_CHECKS = {"actual_demand_mwh": "actual", "forecast_demand_mwh": "forecast"}
+DAY_CHECKS = {"total_daily_energy_mwh": "energy", "peak_demand_mwh": "peak", "mae_mwh": "MAE"}
+
+
+def with_alternatives(df: DataFrame, names: dict[str, Sequence[str]]) -> DataFrame:
+    """Numbers under the names that the checks use, each from the first of its candidates that holds one."""
+    found = {
+        name: first_present(df, [name, *others], numeric=True, strict=False)
+        for name, others in names.items()
+    }
+    return df.withColumns(found)
+
+
+def _hour_pairs(hourly: DataFrame, published: DataFrame) -> DataFrame:
+    sides = [df.withColumn("hour_key", normalize_hour("period")) for df in (hourly, published)]
+    pairs = _side_by_side(*sides, ["hour_key", "respondent"], list(HOUR_CHECKS))
+    return _judged(pairs, list(HOUR_CHECKS), "h_")
+
+
+def _day_pairs(daily: DataFrame, published: DataFrame) -> DataFrame:
+    sides = [df.withColumn("day_key", normalize_date("date")) for df in (daily, published)]
+    pairs = _side_by_side(*sides, ["day_key", "respondent"], list(DAY_CHECKS))
+    return _judged(pairs, list(DAY_CHECKS), "d_")
+
+
 def reconcile(
     hourly: DataFrame,
     published_hourly: DataFrame,
@@ -175,25 +194,45 @@ def reconcile(
 
     Counts and key sets must agree, common keys must agree within tolerance,
     and the energy of the last N days must be the same from hours and from days.
+    Hours fold into days once; all checks come from those. Where published
+    columns have other names, see ``with_alternatives``; for the keys that fail,
+    ``reconcile_failures``.
     """
+    hours, measures = _counted(list(HOUR_CHECKS), "h_"), _counted(list(DAY_CHECKS), "d_")
+    folded = (
+        _hour_pairs(hourly, published_hourly)
+        .withColumn("day_key", F.substring("hour_key", 1, 10))
+        .groupBy("day_key", "respondent")
+        .agg(
+            *[F.sum(name).alias(name) for name in hours],
+            F.expr(f"{exact_sum_sql('l_actual_demand_mwh')} AS hour_energy"),
+        )
+    )
+    days = folded.join(_day_pairs(daily, published_daily), ["day_key", "respondent"], "full_outer")
+    totals = days.agg(*[F.expr(f"coalesce(sum({name}), 0) AS {name}") for name in (*hours, *measures)])
+    rows = [*_check_rows("hourly", HOUR_CHECKS, "h_"), *_check_rows("daily", DAY_CHECKS, "d_")]
+    checks = totals.selectExpr(_stacked([(1 + i, *row) for i, row in enumerate(rows)]))
+    checks = checks.unionByName(_window_checks(days, contract, windows, 1 + len(rows)))
+    return checks.selectExpr("*", "failed = 0 AS passed")
 
-    def by_hour(df: DataFrame) -> DataFrame:
-        keyed = df.withColumn("hour_key", normalize_hour("period"))
-        return keyed.selectExpr("*", "substring(hour_key, 1, 10) AS day_key")
 
-    def by_day(df: DataFrame) -> DataFrame:
-        return df.withColumn("day_key", normalize_date("date"))
+def reconcile_failures(
+    hourly: DataFrame, published_hourly: DataFrame, daily: DataFrame, published_daily: DataFrame
+) -> DataFrame:
+    """(grain, key, respondent, failures) of every hour and day that breaks a check."""
 
-    hours = {"actual_demand_mwh": "actual", "forecast_demand_mwh": "forecast"}
-    days = {"total_daily_energy_mwh": "energy", "peak_demand_mwh": "peak", "mae_mwh": "MAE"}
-    mine, published = by_hour(hourly), by_day(published_daily)
-    hour_pairs = _side_by_side(
-        mine, by_hour(published_hourly), ["hour_key", "respondent"], list(hours)
-    )
-    day_pairs = _side_by_side(by_day(daily), published, ["day_key", "respondent"], list(days))
-    checks = (
-        _checks(hour_pairs, "hourly", hours, 1)
-        .unionByName(_checks(day_pairs, "daily", days, 6))
-        .unionByName(_window_checks(mine, published, contract, windows, 12))
-    )
-    return checks.selectExpr("*", "failed = 0 AS passed")
+    def failing(pairs: DataFrame, grain: str, key: str, measures: dict[str, str], prefix: str) -> DataFrame:
+        tests = {"repeated": "repeated", "one_sided": "one-sided"}
+        tests |= {f"off_{m}": label for m, label in measures.items()}
+        listed = ", ".join(
+            f"CASE WHEN {prefix}{name} = 1 THEN {sql_text(label)} END" for name, label in tests.items()
+        )
+        named = pairs.selectExpr(
+            f"{sql_text(grain)} AS grain", f"{key} AS key", "respondent",
+            f"array_join(array_compact(array({listed})), ',') AS failures",
+        )
+        return named.filter("failures <> ''")
+
+    hours = failing(_hour_pairs(hourly, published_hourly), "hour", "hour_key", HOUR_CHECKS, "h_")
+    days = failing(_day_pairs(daily, published_daily), "day", "day_key", DAY_CHECKS, "d_")
+    return hours.unionByName(days)
