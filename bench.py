@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -57,6 +58,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="loadledger-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Series hours are UTC hours; another zone would skip or double one hour a year."""
@@ -16,21 +15,19 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` as the cluster sets it.
+def shared_setting(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir`` as the session has it, or the folder set on its context."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    return named or context.getCheckpointDir()
 
-    Only a local master may run without it; it then gets one folder per application.
-    """
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder all executors share."""
+    root = shared_setting(spark)
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="loadledger-")
-    return _LOCAL_SCRATCH[app]
+    return root.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -38,6 +35,12 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/loadledger/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark can write to, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -47,3 +50,20 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder under the shared one that goes when the step that uses it ends."""
+    path = fresh_dir(spark, label)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
+
+
+def stage_in(df: DataFrame, folder: str, label: str) -> DataFrame:
+    """Like ``stage``, below a folder that its owner removes."""
+    path = f"{folder}/{label}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
