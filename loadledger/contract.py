@@ -37,19 +37,8 @@ NEWEST = ("source_modified_at", "source_path", "content_hash")
 EXACT = "decimal(28,6)"
 
 
-_TYPES = {
-    "string": T.StringType(),
-    "double": T.DoubleType(),
-    "bigint": T.LongType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-    "binary": T.BinaryType(),
-}
-
-
-def _schema(columns: str) -> T.StructType:
-    pairs = [column.split() for column in columns.split(",")]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
 RECORD_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RECORD_FIELDS])
@@ -72,24 +61,46 @@ PAYLOAD_SCHEMA = T.StructType(
     ]
 )
 
-FILE_SCHEMA = _schema("path string, modificationTime timestamp, length bigint, content binary")
+FILE_SCHEMA = _schema(
+    path=T.StringType(),
+    modificationTime=T.TimestampType(),
+    length=T.LongType(),
+    content=T.BinaryType(),
+)
 
 HISTORY_SCHEMA = _schema(
-    "period string, respondent string, type string, value double, value_units string, "
-    "source_path string, source_modified_at timestamp, content_hash string"
+    period=T.StringType(),
+    respondent=T.StringType(),
+    type=T.StringType(),
+    value=T.DoubleType(),
+    value_units=T.StringType(),
+    source_path=T.StringType(),
+    source_modified_at=T.TimestampType(),
+    content_hash=T.StringType(),
 )
 LATEST_SCHEMA = HISTORY_SCHEMA
 
 HOURLY_SCHEMA = _schema(
-    "period string, period_ts timestamp, date date, respondent string, "
-    "actual_demand_mwh double, forecast_demand_mwh double, forecast_error_mwh double, "
-    "absolute_error_mwh double, source_modified_at timestamp"
+    period=T.StringType(),
+    period_ts=T.TimestampType(),
+    date=T.DateType(),
+    respondent=T.StringType(),
+    actual_demand_mwh=T.DoubleType(),
+    forecast_demand_mwh=T.DoubleType(),
+    forecast_error_mwh=T.DoubleType(),
+    absolute_error_mwh=T.DoubleType(),
+    source_modified_at=T.TimestampType(),
 )
 
 DAILY_SCHEMA = _schema(
-    "date date, respondent string, hour_count bigint, avg_hourly_demand_mwh double, "
-    "peak_demand_mwh double, total_daily_energy_mwh double, mae_mwh double, "
-    "source_modified_at timestamp"
+    date=T.DateType(),
+    respondent=T.StringType(),
+    hour_count=T.LongType(),
+    avg_hourly_demand_mwh=T.DoubleType(),
+    peak_demand_mwh=T.DoubleType(),
+    total_daily_energy_mwh=T.DoubleType(),
+    mae_mwh=T.DoubleType(),
+    source_modified_at=T.TimestampType(),
 )
 
 HOURLY_MEASURES = (
@@ -112,18 +123,21 @@ class SeriesContract:
     """Domain of one family of series.
 
     ``respondents=None`` leaves the respondent domain open, for feeds with more
-    of them than a literal list should hold.
+    of them than a literal list should hold. With ``by_observation`` versions are
+    ordered by the download time in their payload, where there is one, instead of
+    the modification time of their file.
     """
 
-    respondents: tuple[str, ...] | None = ("US48",)
+    respondents: tuple[str, ...] | None
+    file_prefix: str
+    initial_date: str
     actual_type: str = "D"
     forecast_type: str = "DF"
     unit: str = "megawatthours"
     hours_per_day: int = 24
-    file_prefix: str = "eia_us48"
-    initial_date: str = "2026-09-26"
     lookback_days: int = 1
     lookback_hours: int = 24
+    by_observation: bool = False
 
     @property
     def types(self) -> tuple[str, str]:

@@ -9,6 +9,7 @@ from loadledger.contract import CANONICAL, DAY_KEY, RECORD_FIELDS
 
 NEW, UNCHANGED, REVISION = "NEW", "UNCHANGED", "REVISION"
 WRITE, SKIP, CONFLICT = "write", "skip", "conflict"
+WITH_NULLS = "map('ignoreNullFields', 'false')"
 
 
 def day_records(records: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -21,7 +22,7 @@ def day_records(records: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     fields = ", ".join(f"`{name}`" for name in RECORD_FIELDS)
     group = (*DAY_KEY, *extra)
     keyed = records.groupBy(*group, "period", "type").agg(
-        F.expr("count(*) AS n"), F.expr(f"max(to_json(struct({fields}))) AS record")
+        F.expr("count(*) AS n"), F.expr(f"max(to_json(struct({fields}), {WITH_NULLS})) AS record")
     )
     entry = """struct(period, type, CASE WHEN n = 1 THEN record ELSE CAST(raise_error(
         concat_ws(' ', 'duplicate record:', period, respondent, type)) AS STRING) END AS record)"""
@@ -36,8 +37,9 @@ def day_records(records: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 def day_fingerprint(records: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """SHA-256 over a day's records in canonical form.
 
-    Records are sorted, fields are in name order, there is no white space and
-    null fields are left out, so file layout and record order do not matter.
+    Records are sorted, fields are in name order, a null field is ``null`` and there
+    is no white space, so file layout and record order do not matter. The seven
+    declared fields take part; others that a file may hold do not.
     """
     return day_records(records, extra).select(
         *DAY_KEY, *extra, "record_count", F.sha2("records_json", 256).alias("fingerprint")

@@ -124,11 +124,24 @@ def not_empty_report(df: DataFrame, name: str, first: int = 0) -> DataFrame:
     return _as_rows(df.agg(empty), [name], first)
 
 
-def enforce(report: DataFrame) -> None:
-    """Raise for the first broken rule. A report has one row per rule, so it is small."""
+NAMED = 5  # rows that a message names; the reports themselves hold all
+
+
+def enforce(report: DataFrame, culprits: dict[str, DataFrame] | None = None) -> None:
+    """Raise for the first broken rule. A report has one row per rule, so it is small.
+
+    ``culprits`` gives, by check, the rows that break it; the message names the
+    first of them.
+    """
     broken = report.filter(F.col("violations") > 0).orderBy("ordinal").limit(1).collect()
-    if broken:
-        raise QualityError(f"{broken[0]['check']}: {broken[0]['violations']} violations")
+    if not broken:
+        return
+    message = f"{broken[0]['check']}: {broken[0]['violations']} violations"
+    rows = (culprits or {}).get(broken[0]["check"])
+    if rows is not None:
+        first = rows.orderBy(*rows.columns).limit(NAMED).collect()
+        message += f" (first: {'; '.join(' '.join(map(str, r)) for r in first)})"
+    raise QualityError(message)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
@@ -13,9 +14,11 @@ from loadledger.contract import (
     HISTORY_SCHEMA,
     HOUR_KEY,
     READING_KEY,
+    VERSION_KEY,
     SeriesContract,
 )
 from loadledger.functions.columns import period_sql
+from loadledger.functions.paths import path_date, source_of
 from loadledger.operators.daily import daily_kpi
 from loadledger.operators.hourly import paired_hours, pivot_hourly
 from loadledger.operators.merge import (
@@ -28,32 +31,32 @@ from loadledger.operators.merge import (
 from loadledger.operators.quality import (
     Rule,
     daily_rules,
+    duplicate_keys,
     enforce,
     hourly_rules,
+    incomplete_days,
     latest_rules,
     not_empty_report,
     quality_report,
     record_rules,
+    unpaired_hours,
 )
-from loadledger.operators.versions import latest_per_key, merge_latest, new_versions
-from loadledger.session import pin_utc, stage
+from loadledger.operators.versions import latest_per_key, merge_latest
+from loadledger.session import pin_utc, remove, scratch, stage_in
+from loadledger.sources import tables
 from loadledger.sources.landing import (
+    accepted_counts,
     decode_payload,
     explode_records,
     landing_accept,
     scan_landing,
     to_history,
 )
-from loadledger.sources.tables import (
-    LAYERS,
-    append_layer,
-    dates_of,
-    ensure_tables,
-    read_layer,
-    replace_dates,
-    restrict_dates,
-    with_date,
-)
+from loadledger.sources.tables import LAYERS, bounds_of, on_dates_of, read_layer, with_date
+
+STATS = "layer string, action string, row_count bigint"
+# What a decoded batch may carry beside the history columns.
+TOTALS = ("declared_total", "record_count")
 
 
 def _changed(merged: DataFrame) -> DataFrame:
@@ -62,15 +65,36 @@ def _changed(merged: DataFrame) -> DataFrame:
 
 def gate_records(records: DataFrame, contract: SeriesContract) -> DataFrame:
     """The rules a batch must pass before anything is stored."""
-    malformed = Rule("period parses", f"period IS NOT NULL AND {period_sql()} IS NULL")
+    rules = [
+        *record_rules(contract),
+        Rule("period parses", f"period IS NOT NULL AND {period_sql()} IS NULL"),
+    ]
+    if set(TOTALS) <= set(records.columns):
+        rules.append(Rule("declared total", "NOT coalesce(declared_total = record_count, false)"))
     return quality_report(
         records,
-        [*record_rules(contract), malformed],
+        rules,
         unique=("source_path", *READING_KEY),
         unique_name="key unique within its file",
     )
 
 
+def known_versions(batch: DataFrame, history: DataFrame) -> DataFrame:
+    """The batch with ``fresh``: whether history lacks the version.
+
+    A version that history holds keeps the time that history gives it, whatever
+    its file says now, so that latest stays what history makes it.
+    """
+    known = history.select(*VERSION_KEY, F.col("source_modified_at").alias("_known_at"))
+    paired = batch.join(known, list(VERSION_KEY), "left")
+    return paired.withColumns(
+        {
+            "fresh": F.col("_known_at").isNull(),
+            "source_modified_at": F.coalesce("_known_at", "source_modified_at"),
+        }
+    ).drop("_known_at")
+
+
 def incremental_refresh(
     spark: SparkSession,
     batch: DataFrame,
@@ -83,66 +107,118 @@ def incremental_refresh(
     Returns the merge outcomes as rows (layer, action, row_count).
 
     The batch decides which dates, hours and days are looked at; every other
-    partition is neither read nor written. Each layer's new partitions are
-    staged in the shared folder and pass their gates before any layer changes.
-    Publishing goes from daily back to history: a run that dies half-way leaves
-    the earlier layers as they were, so running the same batch again finds the
-    same changes and completes them.
+    partition is neither read nor written. Each layer's new dates are written
+    to folders of this run and pass their gates before one commit makes all of
+    them count. A run that dies before it leaves the tables as they were.
 
     ``require_complete`` stops the run on hours without both measure types and
     on days with a wrong number of hours.
     """
     pin_utc(spark)
-    ensure_tables(spark, root)
-    incoming = stage(batch.select(*HISTORY_SCHEMA.names), "batch")
+    run = uuid.uuid4().hex
+    published = False
+    with scratch(spark, "batch") as folder:
+        try:
+            stats, entries = _refresh(spark, batch, root, contract, require_complete, run, folder)
+            if entries is not None:
+                tables.commit(spark, root, entries)
+            published = True
+        finally:
+            if not published:
+                for layer in LAYERS:
+                    remove(spark, tables.run_path(root, layer, run))
+    if entries is not None:
+        tables.clean_up(spark, root)
+    return spark.createDataFrame(stats, STATS)
+
+
+def _refresh(
+    spark: SparkSession,
+    batch: DataFrame,
+    root: str,
+    contract: SeriesContract,
+    require_complete: bool,
+    run: str,
+    folder: str,
+) -> tuple[list[tuple[str, str, int]], DataFrame | None]:
+    """Outcomes, and the (layer, date, run) rows to commit; none for an empty batch."""
+    own = [*HISTORY_SCHEMA.names, *[n for n in TOTALS if n in batch.columns]]
+    incoming = stage_in(with_date(batch.select(*own)), folder, "incoming")
     enforce(gate_records(incoming, contract))
-    dated = with_date(incoming)
-    dates = dates_of(dated)
+    bounds = bounds_of(incoming)
+    if bounds is None:
+        return [], None
 
-    def stored(layer: str, changed: DataFrame, on: list[date] | None) -> DataFrame:
-        rows = restrict_dates(read_layer(spark, root, layer, on), changed, on)
+    def stored(layer: str, changed: DataFrame) -> DataFrame:
+        rows = on_dates_of(read_layer(spark, root, layer, bounds), changed)
         return rows.select(*LAYERS[layer].names)
 
-    # All incoming rows compete again, not just the fresh ones: older versions
-    # lose, and a batch that was stored but not finished is picked up.
-    latest = stage(
-        with_date(merge_latest(stored("latest", dated, dates), latest_per_key(incoming))),
-        "latest",
-    )
+    resolved = stage_in(known_versions(incoming, stored("history", incoming)), folder, "resolved")
+    newest = latest_per_key(resolved.select(*HISTORY_SCHEMA.names))
+    merged = with_date(merge_latest(stored("latest", incoming), newest))
+    latest = tables.write_run(merged, root, "latest", run)
     touched = _changed(latest)
-    touched_dates = dates_of(touched)
 
-    affected = restrict_dates(latest, touched, touched_dates)
-
-    changed_hours = touched.select(*HOUR_KEY).distinct()
-    readings = affected.join(changed_hours, list(HOUR_KEY), "left_semi")
-    stored_hours = stored("hourly", touched, touched_dates)
-    hourly = stage(merge_hourly(stored_hours, pivot_hourly(readings, contract)), "hourly")
+    readings = on_dates_of(latest, touched).join(
+        touched.select(*HOUR_KEY).distinct(), list(HOUR_KEY), "left_semi"
+    )
+    hours = merge_hourly(stored("hourly", touched), pivot_hourly(readings, contract))
+    hourly = tables.write_run(hours, root, "hourly", run)
     changed_days = _changed(hourly).select(*DAY_KEY).distinct()
-    hours = hourly.join(changed_days, list(DAY_KEY), "left_semi")
-    stored_days = stored("daily", touched, touched_dates)
-    daily = stage(merge_daily(stored_days, daily_kpi(paired_hours(hours))), "daily")
-    whole_hours = hourly_rules() if require_complete else []
-    whole_days = daily_rules(contract) if require_complete else []
-    enforce(quality_report(latest, latest_rules(contract), READING_KEY, "latest unique"))
-    enforce(quality_report(hourly, whole_hours, HOUR_KEY, "hourly unique"))
-    enforce(quality_report(daily, whole_days, DAY_KEY, "daily unique"))
-
-    replace_dates(daily, root, "daily")
-    replace_dates(hourly, root, "hourly")
-    replace_dates(affected, root, "latest")
-    # Row counts of parquet come from file footers, so counting twice is cheap.
-    before = stored("history", dated, dates).count()
-    fresh = new_versions(stored("history", dated, dates), incoming)
-    append_layer(with_date(fresh), root, "history")
-    after = stored("history", dated, dates).count()
-
-    inserted = [("history", INSERTED, after - before)]
-    stats = spark.createDataFrame(inserted, "layer string, action string, row_count bigint")
-    for layer, merged in (("latest", latest), ("hourly", hourly), ("daily", daily)):
-        named = merge_stats(merged).withColumn("layer", F.lit(layer))
-        stats = stats.unionByName(named.select(*stats.columns))
-    return stats.filter("row_count > 0")
+    whole = paired_hours(hourly.join(changed_days, list(DAY_KEY), "left_semi"))
+    days = merge_daily(stored("daily", touched), daily_kpi(whole))
+    daily = tables.write_run(days, root, "daily", run)
+    fresh = tables.write_run(
+        resolved.filter("fresh").select(*HISTORY_SCHEMA.names, "date"), root, "history", run
+    )
+
+    hour_rules = hourly_rules() if require_complete else []
+    day_rules = daily_rules(contract) if require_complete else []
+    gates = (
+        quality_report(latest, latest_rules(contract), READING_KEY, "latest unique", 1)
+        .unionByName(quality_report(hourly, hour_rules, HOUR_KEY, "hourly unique", 11))
+        .unionByName(quality_report(daily, day_rules, DAY_KEY, "daily unique", 21))
+    )
+    enforce(
+        gates,
+        {
+            "actual and forecast paired": unpaired_hours(hourly),
+            "complete days": incomplete_days(daily, contract),
+            "latest unique": duplicate_keys(latest, READING_KEY),
+            "hourly unique": duplicate_keys(hourly, HOUR_KEY),
+            "daily unique": duplicate_keys(daily, DAY_KEY),
+        },
+    )
+
+    merges = {"latest": latest, "hourly": hourly, "daily": daily}
+    counted = spark.createDataFrame([], STATS)
+    entries = fresh.select(F.lit("history").alias("layer"), "date")
+    for layer, rows in merges.items():
+        named = merge_stats(rows).withColumn("layer", F.lit(layer))
+        counted = counted.unionByName(named.select("layer", "action", "row_count"))
+        entries = entries.unionByName(_changed(rows).select(F.lit(layer).alias("layer"), "date"))
+    added = fresh.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit("history").alias("layer"), F.lit(INSERTED).alias("action"), "row_count"
+    )
+    found = counted.unionByName(added).filter("row_count > 0").collect()
+    return list(map(tuple, found)), entries.distinct().withColumn("run", F.lit(run))
+
+
+def new_files(files: DataFrame, history: DataFrame, contract: SeriesContract) -> DataFrame:
+    """(source_path, modificationTime, date) of files that history does not hold yet.
+
+    Names and times tell; no file is opened. A file whose time moved is looked
+    at again. Where versions are ordered by observation, history knows no file
+    times, and the name alone decides.
+    """
+    listed = files.select(
+        source_of("path").alias("source_path"),
+        "modificationTime",
+        path_date("path").alias("date"),
+    )
+    keys = ["source_path"] if contract.by_observation else ["source_path", "modificationTime"]
+    known = history.withColumnRenamed("source_modified_at", "modificationTime")
+    return listed.join(known.select(*keys).distinct(), keys, "left_anti")
 
 
 def run_pipeline(
@@ -156,10 +232,36 @@ def run_pipeline(
     """Landed files to history, latest, hourly and daily tables, in that order.
 
     Any failing gate raises and leaves the tables as they were. With dates only
-    the folders of those days are read.
+    the folders of their months are listed, and only files of those days count.
+    Files that history holds already are not opened. Beside the merge outcomes
+    the result counts the files accepted, rejected and read.
     """
     pin_utc(spark)
-    files = landing_accept(scan_landing(spark, landing, dates), contract)
+    scanned = scan_landing(spark, landing, dates)
+    counts = accepted_counts(scanned, contract).first()
+    files = landing_accept(scanned, contract)
     enforce(not_empty_report(files.select("path"), "accepted files present"))
-    records = to_history(explode_records(decode_payload(files)))
-    return incremental_refresh(spark, records, root, contract, require_complete)
+    with scratch(spark, "files") as folder:
+        bounds = (min(dates), max(dates)) if dates else None
+        history = read_layer(spark, root, "history", bounds)
+        due = stage_in(new_files(files, history, contract), folder, "due")
+        span = due.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("modificationTime").alias("first"),
+            F.max("modificationTime").alias("last"),
+        ).first()
+        outcome = [
+            ("files", "accepted", counts["accepted"]),
+            ("files", "rejected", counts["rejected"]),
+            ("files", "read", span["n"]),
+        ]
+        stats = spark.createDataFrame(outcome, STATS)
+        if span["n"]:
+            # The times reach the scan, so older files are not opened.
+            recent = files.filter(F.col("modificationTime").between(span["first"], span["last"]))
+            recent = recent.withColumn("source_path", source_of("path"))
+            chosen = recent.join(due.select("source_path").distinct(), "source_path", "left_semi")
+            records = to_history(explode_records(decode_payload(chosen)), contract, totals=True)
+            merged = incremental_refresh(spark, records, root, contract, require_complete)
+            stats = stats.unionByName(merged)
+    return stats

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.contract import (
@@ -14,6 +14,7 @@ from loadledger.contract import (
     DAY_KEY,
     FILE_SCHEMA,
     PAYLOAD_SCHEMA,
+    READING_KEY,
     RECORD_FIELDS,
     SeriesContract,
 )
@@ -25,9 +26,9 @@ from loadledger.functions.paths import (
     path_version,
     source_of,
 )
-from loadledger.operators.days import day_fingerprint, day_records
-from loadledger.operators.quality import QualityError, audit_days
-from loadledger.sources.tables import MAX_NAMED_FOLDERS
+from loadledger.operators.days import CONFLICT, WRITE, day_fingerprint, day_records, landing_conflicts
+from loadledger.operators.quality import QualityError, Rule, audit_days, enforce, quality_report
+from loadledger.session import scratch, stage_in
 
 
 def open_zone(spark: SparkSession, root: str) -> None:
@@ -41,28 +42,27 @@ def scan_landing(
 ) -> DataFrame:
     """Files below ``root`` with path, modification time, length and bytes.
 
-    With dates only the folders of those days are listed and read, whatever the
-    layout below them; for a long list, the folders of their months. The bytes
-    are read only where a later step uses them.
+    With dates only the months from the first to the last of them are listed,
+    whatever the layout below, and only files between the two come back. The
+    bytes are read only where a later step uses them.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if dates is None:
         return files.load(root)
-    by_day = len(dates) <= MAX_NAMED_FOLDERS
-    form = "year=%Y/month=%m/day=%d" if by_day else "year=%Y/month=%m"
-    folders = sorted({day.strftime(form) for day in dates})
-    found = spark.createDataFrame([], FILE_SCHEMA)  # in case nothing has landed on these days
+    if not dates:
+        return spark.createDataFrame([], FILE_SCHEMA)
+    first, last = min(dates), max(dates)
+    months = [
+        f"year={n // 12:04d}/month={n % 12 + 1:02d}"
+        for n in range(first.year * 12 + first.month - 1, last.year * 12 + last.month)
+    ]
     try:
-        if dates:
-            found = files.load(f"{root}/respondent=*/{{{','.join(folders)}}}")
+        found = files.load(f"{root}/respondent=*/{{{','.join(months)}}}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    if by_day:
-        return found
-    listed = ", ".join(f"DATE '{day}'" for day in dates)
-    dated = found.withColumn("date", path_date("path"))
-    return dated.filter(f"date IN ({listed})").drop("date")
+        return spark.createDataFrame([], FILE_SCHEMA)  # nothing has landed in these months
+    return found.filter(path_date("path").between(F.lit(first), F.lit(last)))
 
 
 def between(start: date, end: date) -> list[date]:
@@ -75,6 +75,14 @@ def landing_accept(files: DataFrame, contract: SeriesContract) -> DataFrame:
     return files.filter(is_landing_path("path", contract))
 
 
+def accepted_counts(files: DataFrame, contract: SeriesContract) -> DataFrame:
+    """How many files of the zone are daily files or revisions, and how many are neither."""
+    accepted = is_landing_path("path", contract)
+    return files.agg(
+        F.count_if(accepted).alias("accepted"), F.count_if(~accepted).alias("rejected")
+    )
+
+
 def decode_payload(files: DataFrame) -> DataFrame:
     """Files with their payload as a struct and the fingerprint of their bytes.
 
@@ -94,10 +102,15 @@ def decode_payload(files: DataFrame) -> DataFrame:
     )
 
 
+def _totals() -> tuple[Column, Column]:
+    """Declared and actual number of records of a payload."""
+    actual = F.coalesce(F.size("payload.response.data"), F.lit(0))
+    return F.col("payload.response.total").try_cast("int"), actual
+
+
 def declared_totals(decoded: DataFrame) -> DataFrame:
     """Declared and actual number of records of every file."""
-    actual = F.coalesce(F.size("payload.response.data"), F.lit(0))
-    declared = F.col("payload.response.total").try_cast("int")
+    declared, actual = _totals()
     return decoded.select(
         "source_path",
         F.col("path_respondent").alias("respondent"),
@@ -116,6 +129,7 @@ def explode_records(decoded: DataFrame) -> DataFrame:
     rule sees it.
     """
     seen_at = F.try_to_timestamp(F.col("payload.ingestion_metadata.downloaded_at_utc"))
+    declared, actual = _totals()
     rows = decoded.select(
         "source_path",
         "source_modified_at",
@@ -124,19 +138,23 @@ def explode_records(decoded: DataFrame) -> DataFrame:
         "path_date",
         "version",
         seen_at.alias("observed_at"),
+        declared.alias("declared_total"),
+        actual.alias("record_count"),
         F.explode_outer("payload.response.data").alias("record"),
     )
     fields = [F.col(f"record.`{name}`").alias(name) for name in RECORD_FIELDS]
     return rows.select(*[c for c in rows.columns if c != "record"], *fields)
 
 
-def to_history(exploded: DataFrame, by_observation: bool = False) -> DataFrame:
+def to_history(
+    exploded: DataFrame, contract: SeriesContract, totals: bool = False
+) -> DataFrame:
     """Exploded records in the shape of the history table.
 
-    Versions are ordered by the modification time of their file, or with
-    ``by_observation`` by the download time in the payload where there is one.
+    Versions are ordered as the contract says. ``totals`` keeps the declared and
+    the actual number of records of each row's file, for the gate.
     """
-    if by_observation:
+    if contract.by_observation:
         seen = F.coalesce("observed_at", "source_modified_at")
         exploded = exploded.withColumn("source_modified_at", seen)
     return exploded.select(
@@ -148,24 +166,39 @@ def to_history(exploded: DataFrame, by_observation: bool = False) -> DataFrame:
         "source_path",
         "source_modified_at",
         "content_hash",
+        *(("declared_total", "record_count") if totals else ()),
     )
 
 
 def read_records(spark: SparkSession, root: str, contract: SeriesContract) -> DataFrame:
     """All accepted files below ``root`` as history rows."""
     files = landing_accept(scan_landing(spark, root), contract)
-    return to_history(explode_records(decode_payload(files)))
+    return to_history(explode_records(decode_payload(files)), contract)
+
+
+def check_landed(decoded: DataFrame) -> None:
+    """Refuse a zone with files that hold no readable records, repeat a key, or belong elsewhere.
+
+    A file that cannot be read must not make its day count as new.
+    """
+    rules = [
+        Rule("landed files readable", "period IS NULL OR type IS NULL"),
+        Rule("records in their folder", "respondent <> path_respondent"),
+    ]
+    rows = explode_records(decoded)
+    report = quality_report(rows, rules, ("source_path", *READING_KEY), "landed keys unique")
+    unreadable = rows.filter("period IS NULL").select("source_path")
+    enforce(report, {"landed files readable": unreadable.distinct()})
 
 
 def landed_days(decoded: DataFrame) -> DataFrame:
     """Fingerprint of every landed version of a day, with what orders the versions.
 
-    A landed file without readable records fails the job: it needs a look, and
-    must not make its day count as new.
+    ``check_landed`` says beforehand whether all files can be read; of one that
+    cannot, no row comes out.
     """
-    unreadable = F.raise_error(F.concat(F.lit("unreadable landed file: "), F.col("source_path")))
-    period = F.coalesce(F.col("period"), unreadable.cast("string"))
-    rows = explode_records(decoded).withColumns({"date": F.col("path_date"), "period": period})
+    rows = explode_records(decoded).filter("period IS NOT NULL")
+    rows = rows.withColumn("date", F.col("path_date"))
     return day_fingerprint(rows, extra=("version", "source_modified_at", "source_path"))
 
 
@@ -200,35 +233,55 @@ def land_days(
     contract: SeriesContract,
     complete: bool = True,
     seen_at: datetime | None = None,
+    landed: DataFrame | None = None,
 ) -> None:
     """Write one file per day and version below ``root``.
 
     ``records`` carries the record fields, the declared ``date`` and, unless
     every day is canonical, its ``version``. Each day is one row by the time it
     is written, so every version folder gets exactly one part file and no
-    repartitioning is needed. Versions that are already there are not written
-    again; other content under a known version must be ruled out beforehand
-    (see ``landing_conflicts``).
+    repartitioning is needed. A version that is already there is not written
+    again; other content under a known version is an error, and nothing is
+    written then. ``landed`` gives the versions of these days, if the caller
+    knows them.
     """
+    spark = records.sparkSession
     if "version" not in records.columns:
         records = records.withColumn("version", F.lit(CANONICAL))
     check_days(records, contract, complete)
-    rows = payload_text(records, ("version",), seen_at).select(
-        F.col("payload").alias("value"),
-        "respondent",
-        F.date_format("date", "yyyy").alias("year"),
-        F.date_format("date", "MM").alias("month"),
-        F.date_format("date", "dd").alias("day"),
-        "version",
-    )
-    layout = ["respondent", "year", "month", "day", "version"]
-    rows.write.mode("append").partitionBy(*layout).text(root)
-
-
-def absent_versions(records: DataFrame, landed: DataFrame) -> DataFrame:
-    """Records of (date, respondent, version) that the zone does not hold yet."""
-    keys = [*DAY_KEY, "version"]
-    return records.join(landed.select(*keys).distinct(), keys, "left_anti")
+    with scratch(spark, "landing") as folder:
+        records = stage_in(records, folder, "records")
+        if landed is None:
+            landed = landed_versions_of(spark, root, records, contract)
+        keys = [*DAY_KEY, "version"]
+        named = day_fingerprint(records, extra=("version",))
+        outcomes = stage_in(landing_conflicts(named, landed), folder, "outcomes")
+        clash = outcomes.filter(F.col("outcome") == CONFLICT).select(*keys)
+        rule = Rule("landed versions unchanged", f"outcome = '{CONFLICT}'")
+        enforce(quality_report(outcomes, [rule]), {rule.name: clash})
+        due = outcomes.filter(F.col("outcome") == WRITE).select(*keys)
+        rows = payload_text(records.join(due, keys, "left_semi"), ("version",), seen_at).select(
+            F.col("payload").alias("value"),
+            "respondent",
+            F.date_format("date", "yyyy").alias("year"),
+            F.date_format("date", "MM").alias("month"),
+            F.date_format("date", "dd").alias("day"),
+            "version",
+        )
+        layout = ["respondent", "year", "month", "day", "version"]
+        rows.write.mode("append").partitionBy(*layout).text(root)
+
+
+def landed_versions_of(
+    spark: SparkSession, root: str, records: DataFrame, contract: SeriesContract
+) -> DataFrame:
+    """Fingerprints of what the zone holds between the first and the last day of ``records``."""
+    open_zone(spark, root)
+    bounds = records.agg(F.min("date").alias("a"), F.max("date").alias("b")).first()
+    dates = [bounds["a"], bounds["b"]] if bounds["a"] is not None else []
+    decoded = decode_payload(landing_accept(scan_landing(spark, root, dates), contract))
+    check_landed(decoded)
+    return landed_days(decoded)
 
 
 def landed_versions(files: DataFrame) -> DataFrame:

@@ -1,10 +1,15 @@
-"""The four published tables, as date-partitioned parquet under one root."""
+"""The four published tables, as date-partitioned parquet under one root.
+
+A run writes its dates into folders of its own. One small file then names, per
+layer and date, the run that counts from now on: writing it is the commit, and
+readers see all of a run or nothing of it. History only grows, so all committed
+runs count there. One writer at a time is assumed.
+"""
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,12 +22,7 @@ from loadledger.contract import (
 )
 from loadledger.functions.columns import period_date
 from loadledger.operators.versions import key_lookup
-
-# Ten years of days. Up to here dates become a literal partition filter; a
-# wider change reads its partitions through a semi join instead.
-MAX_LITERAL_DATES = 3660
-# Up to here their folders are named one by one.
-MAX_NAMED_FOLDERS = 400
+from loadledger.session import remove
 
 LAYERS: dict[str, T.StructType] = {
     "history": HISTORY_SCHEMA,
@@ -30,6 +30,9 @@ LAYERS: dict[str, T.StructType] = {
     "hourly": HOURLY_SCHEMA,
     "daily": DAILY_SCHEMA,
 }
+COMMITS = "layer string, date date, run string, seq bigint"
+
+Bounds = tuple[date, date]
 
 
 def stored_schema(layer: str) -> T.StructType:
@@ -38,39 +41,53 @@ def stored_schema(layer: str) -> T.StructType:
     return T.StructType([*fields, T.StructField("date", T.DateType())])
 
 
-def layer_path(root: str, layer: str) -> str:
-    return f"{root.rstrip('/')}/{layer}"
+def run_path(root: str, layer: str, run: str) -> str:
+    return f"{root.rstrip('/')}/{layer}/run={run}"
 
 
-def ensure_tables(spark: SparkSession, root: str) -> None:
-    """Create the layers that do not exist yet, empty."""
-    for layer in LAYERS:
-        empty = spark.createDataFrame([], stored_schema(layer))
-        empty.write.mode("ignore").partitionBy("date").parquet(layer_path(root, layer))
+def _commits(spark: SparkSession, root: str) -> DataFrame:
+    path = f"{root.rstrip('/')}/_manifest"
+    nothing = spark.createDataFrame([], COMMITS)
+    nothing.write.mode("ignore").parquet(path)
+    return spark.read.schema(COMMITS).parquet(path)
+
+
+def committed(spark: SparkSession, root: str) -> DataFrame:
+    """(layer, date, run): what counts now. As many rows as there are days, or versions of them."""
+    every = _commits(spark, root)
+    newest = every.filter("layer <> 'history'").groupBy("layer", "date")
+    kept = every.filter("layer = 'history'").select("layer", "date", "run").distinct()
+    return kept.unionByName(newest.agg(F.max_by("run", "seq").alias("run")))
+
+
+def commit(spark: SparkSession, root: str, entries: DataFrame) -> None:
+    """Make (layer, date, run) rows count, all at once: they are one file, moved into place."""
+    top = _commits(spark, root).agg(F.coalesce(F.max("seq"), F.lit(0)) + 1).first()[0]
+    rows = entries.select("layer", "date", "run", F.lit(top).cast("bigint").alias("seq"))
+    rows.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/_manifest")
+
+
+def _folders(spark: SparkSession, root: str, layer: str, bounds: Bounds | None) -> list[str]:
+    entries = committed(spark, root).filter(F.col("layer") == layer)
+    if bounds is not None:
+        entries = entries.filter(F.col("date").between(*map(F.lit, bounds)))
+    found = entries.select("run", F.col("date").cast("string").alias("date")).distinct()
+    return sorted(f"{run_path(root, layer, r['run'])}/date={r['date']}" for r in found.collect())
 
 
 def read_layer(
-    spark: SparkSession, root: str, layer: str, dates: list[date] | None = None
+    spark: SparkSession, root: str, layer: str, bounds: Bounds | None = None
 ) -> DataFrame:
-    """A layer with its partition column, or only the given dates of it.
+    """A layer with its partition column, or only the dates from the first to the last given.
 
-    A short list of dates names its folders, so that the files of other dates
-    are not even listed; a longer one is a partition filter.
+    The folders that count are named one by one, so files of other dates, and of
+    runs that count no more, are not even listed.
     """
-    path = layer_path(root, layer)
+    folders = _folders(spark, root, layer, bounds)
+    if not folders:
+        return spark.createDataFrame([], stored_schema(layer))
     reader = spark.read.schema(stored_schema(layer))
-    if dates is None:
-        return reader.parquet(path)
-    if dates and len(dates) <= MAX_NAMED_FOLDERS:
-        folders = ",".join(f"date={day}" for day in dates)
-        try:
-            return reader.option("basePath", path).parquet(f"{path}/{{{folders}}}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            dates = []  # none of them is stored yet
-    listed = ", ".join(f"DATE '{day}'" for day in dates)
-    return reader.parquet(path).filter(f"date IN ({listed})" if dates else "false")
+    return reader.option("basePath", f"{root.rstrip('/')}/{layer}").parquet(*folders)
 
 
 def published(spark: SparkSession, root: str, layer: str) -> DataFrame:
@@ -81,7 +98,8 @@ def published(spark: SparkSession, root: str, layer: str) -> DataFrame:
 def find(spark: SparkSession, root: str, layer: str, **key: object) -> DataFrame:
     """Rows of a stored layer by key. A period or date in the key prunes partitions."""
     day = key.get("date") or str(key.get("period", ""))[:10]
-    rows = read_layer(spark, root, layer, [day] if day else None)
+    day = date.fromisoformat(str(day)) if day else None
+    rows = read_layer(spark, root, layer, (day, day) if day else None)
     return key_lookup(rows, **key).select(*LAYERS[layer].names)
 
 
@@ -90,56 +108,74 @@ def with_date(records: DataFrame) -> DataFrame:
     return records.withColumn("date", period_date("period"))
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    # Rebalancing brings a date's rows together for few, large files, yet lets
-    # adaptive execution split a date that is much larger than the others.
-    return df.hint("rebalance", F.col("date"))
-
+def write_run(df: DataFrame, root: str, layer: str, run: str) -> DataFrame:
+    """Write a run's rows of a layer, not yet visible, and read them back.
 
-def append_layer(df: DataFrame, root: str, layer: str) -> None:
-    rows = _spread(df.select(*stored_schema(layer).names))
-    rows.write.mode("append").partitionBy("date").parquet(layer_path(root, layer))
+    Columns beyond the layer's own are kept for the run and never published.
+    Rebalancing brings a date's rows together for few, large files, yet lets
+    adaptive execution split a date that is much larger than the others.
+    """
+    own = stored_schema(layer).names
+    extra = [name for name in df.columns if name not in own]
+    rows = df.select(*[n for n in own if n != "date"], *extra, "date")
+    path = run_path(root, layer, run)
+    rows.hint("rebalance", F.col("date")).write.partitionBy("date").parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def replace_dates(df: DataFrame, root: str, layer: str) -> None:
-    """Replace the partitions of the dates that ``df`` holds; others stay as they are.
+def publish(df: DataFrame, root: str, layer: str, run: str) -> None:
+    """Write and commit rows of one layer."""
+    spark = df.sparkSession
+    dates = write_run(df, root, layer, run).select("date").distinct()
+    commit(spark, root, dates.select(F.lit(layer).alias("layer"), "date", F.lit(run).alias("run")))
 
-    ``df`` must be staged: it may not read the layer it replaces.
-    """
-    rows = _spread(df.select(*stored_schema(layer).names))
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("date").parquet(layer_path(root, layer))
 
+def clean_up(spark: SparkSession, root: str) -> None:
+    """Remove folders that no commit names: superseded dates and runs that died."""
+    used = {
+        f"{run_path(root, r['layer'], r['run'])}/date={r['date']}"
+        for r in committed(spark, root).collect()
+    }
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/run=*/date=*")
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = system.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(root)).toString()
+    for status in system.globStatus(place) or []:
+        path = status.getPath().toString()
+        if root.rstrip("/") + path.removeprefix(base.rstrip("/")) not in used:
+            remove(spark, path)
 
-def dates_of(df: DataFrame) -> list[date] | None:
-    """The distinct dates in ``df``, or None when there are too many to list."""
-    found = df.select("date").distinct().limit(MAX_LITERAL_DATES + 1).collect()
-    return [row["date"] for row in found] if len(found) <= MAX_LITERAL_DATES else None
 
+def bounds_of(df: DataFrame) -> Bounds | None:
+    """The first and the last date in ``df``, or None without rows."""
+    row = df.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
+    return (row["first"], row["last"]) if row["first"] is not None else None
 
-def restrict_dates(layer: DataFrame, changed: DataFrame, dates: list[date] | None) -> DataFrame:
-    """Rows of ``layer`` on the dates that occur in ``changed``.
 
-    ``dates`` is what ``dates_of(changed)`` gave. A list prunes partitions while
-    the query is planned. Without one the dates are broadcast, which also prunes
-    partitions; there are never more of them than days in the calendar, four
-    million up to the year 9999 (about 60 MB), and no hot date is shuffled.
-    """
-    if dates is not None:
-        listed = ", ".join(f"DATE '{day}'" for day in dates)
-        return layer.filter(f"date IN ({listed})" if dates else "false")
-    return layer.join(F.broadcast(changed.select("date").distinct()), "date", "left_semi")
+def on_dates_of(layer: DataFrame, changed: DataFrame) -> DataFrame:
+    """Rows of ``layer`` on the dates that occur in ``changed``."""
+    return layer.join(changed.select("date").distinct(), "date", "left_semi")
 
 
 def register_tables(spark: SparkSession, root: str, database: str) -> None:
-    """Make the layers available to SQL as ``database.layer``."""
+    """Make what counts now available to SQL as ``database.layer``.
+
+    The tables hold the partitions by name; register again after a run.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    entries = committed(spark, root).collect()
     for layer in LAYERS:
         columns = ", ".join(
             f"{f.name} {f.dataType.simpleString()}" for f in stored_schema(layer).fields
         )
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{layer}")
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{layer} ({columns}) USING parquet "
-            f"PARTITIONED BY (date) LOCATION '{layer_path(root, layer)}'"
+            f"CREATE TABLE {database}.{layer} ({columns}, run string) USING parquet "
+            f"PARTITIONED BY (run, date) LOCATION '{root.rstrip('/')}/{layer}'"
+        )
+        parts = " ".join(
+            f"PARTITION (run = '{e['run']}', date = DATE'{e['date']}')"
+            for e in entries
+            if e["layer"] == layer
         )
-        spark.catalog.recoverPartitions(f"{database}.{layer}")
+        if parts:
+            spark.sql(f"ALTER TABLE {database}.{layer} ADD IF NOT EXISTS {parts}")

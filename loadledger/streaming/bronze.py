@@ -16,10 +16,19 @@ from loadledger.sources.landing import (
 )
 
 
+# The file source forgets names older than its newest file by this much and then
+# takes files of that age for old. Backfills may be of any age, so it is a century.
+OLDEST_FILE = "36500d"
+
+
 def stream_records(
-    spark: SparkSession, landing: str, contract: SeriesContract, files_per_batch: int = 10_000
+    spark: SparkSession,
+    landing: str,
+    contract: SeriesContract,
+    files_per_batch: int = 10_000,
+    oldest_file: str = OLDEST_FILE,
 ) -> DataFrame:
-    """Streaming history rows from files that appear below ``landing``.
+    """Streaming history rows from files that appear below ``landing``, whatever their age.
 
     A file that is overwritten in place is not seen again; landed files are
     immutable, and revisions come under names of their own.
@@ -29,9 +38,11 @@ def stream_records(
         .schema(FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", oldest_file)
         .load(landing)
     )
-    return to_history(explode_records(decode_payload(landing_accept(files, contract))))
+    decoded = decode_payload(landing_accept(files, contract))
+    return to_history(explode_records(decoded), contract, totals=True)
 
 
 def stream_bronze(

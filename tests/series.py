@@ -7,9 +7,10 @@ import os
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
-from loadledger.contract import HISTORY_SCHEMA, RECORD_SCHEMA
+from loadledger.contract import HISTORY_SCHEMA, RECORD_SCHEMA, SeriesContract
 from pyspark.sql import types as T
 
+CONTRACT = SeriesContract(("US48",), "eia_us48", "2026-09-26")
 T1 = datetime(2026, 10, 1, 8)
 T2 = datetime(2026, 10, 2, 8)
 T3 = datetime(2026, 10, 3, 8)

@@ -2,16 +2,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from series import T2, record, records_df
+from series import CONTRACT, T2, record, records_df
 from test_layers import full_days, hour, hours_df
 
-from loadledger.contract import DAILY_SCHEMA, HOURLY_SCHEMA, SeriesContract
+from loadledger.contract import DAILY_SCHEMA, HOURLY_SCHEMA
 from loadledger.operators import compare, daily
 from loadledger.session import fresh_dir
 from loadledger.sources import snapshots
 
-CONTRACT = SeriesContract()
-
 
 def test_snapshot_diff(spark):
     def at(h, value="1", **other):

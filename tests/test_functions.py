@@ -8,9 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadledger import functions as fn
-from loadledger.contract import SeriesContract
+from series import CONTRACT
 
-CONTRACT = SeriesContract()
 HEX = hashlib.sha256(b"x").hexdigest()
 FOLDER = "abc://zone/respondent=US48/year=2026/month=09/day=26/"
 

@@ -2,19 +2,19 @@ from __future__ import annotations
 
 import hashlib
 import json
+from dataclasses import replace
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows
-from series import T1, T2, T3, day_of_records, days_from, record, records_df, write_file
+from series import CONTRACT, T1, T2, T3, day_of_records, days_from, record, records_df, write_file
 
-from loadledger.contract import SeriesContract
 from loadledger.operators import days, quality, versions
 from loadledger.plans.landing import deliver_days, ingest_days
 from loadledger.sources import landing
 from loadledger.sources.checkpoints import read_checkpoint
 
-CONTRACT = SeriesContract()
 DAY = date(2026, 9, 26)
 
 
@@ -35,7 +35,7 @@ def test_reads_files_of_the_plain_layout(spark, tmp_path):
     name = "eia_us48_2026-09-26_revision_" + "a" * 64 + ".json"
     write_file(tmp_path, DAY, day_of_records(DAY, 7), T2, name, folder="revisions")
     write_file(tmp_path, DAY, day_of_records(DAY, 9), T3, "eia_us48_2026-09-26.json.tmp")
-    found = landing.to_history(landing.explode_records(decoded(spark, tmp_path)))
+    found = landing.to_history(landing.explode_records(decoded(spark, tmp_path)), CONTRACT)
     assert found.count() == 96
     assert {r["content_hash"] for r in found.filter("source_path LIKE '%26.json'").collect()} == {
         hashlib.sha256(path.read_bytes()).hexdigest()}
@@ -48,7 +48,7 @@ def test_bad_files_show_up_as_null_rows(spark, tmp_path):
     write_file(tmp_path, DAY, None, T1, raw="{not json")
     write_file(tmp_path, date(2026, 9, 27), [], T1)
     write_file(tmp_path, date(2026, 9, 28), [record("2026-09-28T00", "D", "abc")], T1)
-    found = landing.to_history(landing.explode_records(decoded(spark, tmp_path)))
+    found = landing.to_history(landing.explode_records(decoded(spark, tmp_path)), CONTRACT)
     gate = quality.quality_report(found, quality.record_rules(CONTRACT))
     assert {r["check"]: r["violations"] for r in gate.collect()}["required fields"] == 3
 
@@ -61,19 +61,20 @@ def test_declared_total(spark, tmp_path):
             for r in totals.collect()} == {26: (48, 48, True), 27: (48, 47, False)}
 
 
-def test_date_range_reads_only_its_folders(spark, tmp_path, monkeypatch):
-    for day in days_from(DAY, 4):
+def test_date_range_lists_only_its_months(spark, tmp_path):
+    far = date(2027, 3, 1)
+    for day in [*days_from(DAY, 4), far]:
         write_file(tmp_path, day, day_of_records(day), T1)
     (tmp_path / "respondent=US48/year=2026/month=09/day=28/version=canonical").mkdir()
     wanted = landing.between(date(2026, 9, 27), date(2026, 9, 28))
-    files = landing.scan_landing(spark, str(tmp_path), [*wanted, date(2027, 1, 1)])
-    assert {path[-15:] for path in files.inputFiles()} == {"2026-09-27.json", "2026-09-28.json"}
-    assert files.count() == 2
-    assert landing.scan_landing(spark, str(tmp_path), [date(2027, 1, 1)]).count() == 0
+    files = landing.scan_landing(spark, str(tmp_path), wanted)
+    assert {r["path"][-15:] for r in files.collect()} == {"2026-09-27.json", "2026-09-28.json"}
+    assert not any("2027" in path for path in files.inputFiles())
+    # a span of any length has one form of plan
+    long = landing.scan_landing(spark, str(tmp_path), [date(1990, 1, 1), date(2060, 1, 1)])
+    assert long.count() == 5
+    assert landing.scan_landing(spark, str(tmp_path), [date(2028, 1, 1)]).count() == 0
     assert landing.scan_landing(spark, str(tmp_path), []).count() == 0
-    monkeypatch.setattr(landing, "MAX_NAMED_FOLDERS", 1)
-    by_month = landing.scan_landing(spark, str(tmp_path), [*wanted, date(2027, 1, 1)])
-    assert {r["path"][-15:] for r in by_month.collect()} == {"2026-09-27.json", "2026-09-28.json"}
 
 
 def test_observed_time_is_read(spark, tmp_path):
@@ -89,6 +90,8 @@ def test_fingerprint_is_the_digest_of_canonical_json(spark):
     assert found["fingerprint"] == canonical_digest(records)
     accents = [record("2026-09-26T00", "D", "1", **{"type-name": 'Dé "x" / y'})]
     assert days.day_fingerprint(records_df(spark, accents)).first()["fingerprint"] == canonical_digest(accents)
+    nulls = [record("2026-09-26T00", "D", "1", **{"type-name": None})]
+    assert days.day_fingerprint(records_df(spark, nulls)).first()["fingerprint"] == canonical_digest(nulls)
 
 
 def test_repeated_record_fails_the_fingerprint(spark):
@@ -150,7 +153,7 @@ def test_return_to_earlier_values(spark, tmp_path):
     assert seen == ["NEW", "REVISION", "REVISION", "REVISION"]
     assert len(landed(spark, root)) == 4
     exploded = landing.explode_records(decoded(spark, root))
-    observed = landing.to_history(exploded, by_observation=True)
+    observed = landing.to_history(exploded, replace(CONTRACT, by_observation=True))
     newest = versions.latest_per_key(observed).filter("period = '2026-09-26T00' AND type = 'D'").first()
     assert (newest["value"], newest["source_modified_at"]) == (400_031.0, datetime(2026, 10, 4, 8))
     with pytest.raises(ValueError, match="seen_at"):
@@ -174,9 +177,47 @@ def test_unfit_days_are_not_landed(spark, tmp_path, records):
 
 
 def test_unreadable_canonical_file_is_an_error(spark, tmp_path):
-    write_file(tmp_path, DAY, None, T1, raw="{not json")
-    with pytest.raises(Exception, match="unreadable landed file"):
-        landed(spark, tmp_path)
+    root, saved = tmp_path / "zone", str(tmp_path / "state")
+    write_file(root, DAY, None, T1, raw="{not json")
+    files = sorted(root.rglob("*.*"))
+    records = records_df(spark, [*day_of_records(DAY), *day_of_records(date(2026, 9, 27))])
+    with pytest.raises(quality.QualityError, match="landed files readable: 1 violations .*2026-09-26.json"):
+        deliver_days(spark, records, str(root), CONTRACT)
+    with pytest.raises(quality.QualityError, match="landed files readable"):
+        ingest_days(spark, records, str(root), saved, CONTRACT, "2026-09-27")
+    assert read_checkpoint(spark, saved, CONTRACT).count() == 0
+    assert sorted(root.rglob("*.*")) == files
+
+
+def test_tampered_version_is_an_error(spark, tmp_path):
+    root = tmp_path / "zone"
+    deliver(spark, root, day_of_records(DAY))
+    revised = day_of_records(DAY, 5)
+    deliver(spark, root, revised)
+    path = next(root.rglob("version=revision_*/*.txt"))
+    path.write_text(path.read_text().replace('"400031"', '"7"'))
+    path.with_name(f".{path.name}.crc").unlink()
+    with pytest.raises(quality.QualityError, match="landed versions unchanged: 1 violations .*2026-09-26 US48 revision_"):
+        deliver(spark, root, revised)
+    # land_days on its own refuses as well, and does not write a known version twice
+    with pytest.raises(quality.QualityError, match="landed versions unchanged"):
+        landing.land_days(records_df(spark, revised), str(root), CONTRACT)
+    fresh = str(tmp_path / "fresh")
+    for _ in range(2):
+        landing.land_days(records_df(spark, revised), fresh, CONTRACT)
+    assert len(list(Path(fresh).rglob("*.txt"))) == 1
+
+
+def test_foreign_keys_are_refused_before_a_day_is_collected(spark, tmp_path, monkeypatch):
+    foreign = [record("2026-09-26T00", f"X{n}", "1") for n in range(500)]
+
+    def collected(*_, **__):
+        raise AssertionError("records are collected per day")
+
+    for name in ("loadledger.plans.landing.day_fingerprint", "loadledger.sources.landing.day_fingerprint"):
+        monkeypatch.setattr(name, collected)
+    with pytest.raises(quality.QualityError, match="1 days are not fit"):
+        deliver(spark, tmp_path / "zone", [*day_of_records(DAY), *foreign])
 
 
 def test_conflicts(spark):
@@ -195,7 +236,7 @@ def test_ingest_with_checkpoint(spark, tmp_path):
     def run(records, end):
         df = records_df(spark, records)
         judged = ingest_days(spark, df, root, saved, CONTRACT, end)
-        state = {r["respondent"]: r["last_uploaded_hour"] for r in read_checkpoint(spark, saved).collect()}
+        state = {r["respondent"]: r["last_uploaded_hour"] for r in read_checkpoint(spark, saved, CONTRACT).collect()}
         return {r["date"].day: r["status"] for r in judged.collect()}, state
 
     source = [r for d in days_from(DAY, 4) for r in day_of_records(d)]
@@ -210,4 +251,30 @@ def test_ingest_with_checkpoint(spark, tmp_path):
     later = [*revised, *day_of_records(date(2026, 9, 30))[1:]]
     with pytest.raises(quality.QualityError):
         run(later, "2026-09-30")
-    assert read_checkpoint(spark, saved).first()["last_uploaded_hour"] == "2026-09-29T23"
+    assert read_checkpoint(spark, saved, CONTRACT).first()["last_uploaded_hour"] == "2026-09-29T23"
+
+
+def test_forms_of_a_checkpoint(spark, tmp_path):
+    def saved(name, *lines):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "state.json").write_text("\n".join(map(json.dumps, lines)))
+        return str(tmp_path / name)
+
+    def hours(path, contract=CONTRACT):
+        return {r["respondent"]: r["last_uploaded_hour"] for r in read_checkpoint(spark, path, contract).collect()}
+
+    single = saved("single", {"last_uploaded_hour": "2026-09-28T23", "updated_at_utc": "2026-09-29T01:00:00+00:00"})
+    older = saved("older", {"last_successful_hour": "2026-09-27T23"})
+    both = saved("both", {"respondent": "US48", "last_uploaded_hour": "2026-09-26T23"}, {"last_uploaded_hour": "2026-09-27T23"})
+    assert hours(single) == {"US48": "2026-09-28T23"}
+    assert hours(older) == {"US48": "2026-09-27T23"}
+    assert hours(both) == {"US48": "2026-09-27T23"}
+    several = replace(CONTRACT, respondents=("A", "B"))
+    for contract in (several, replace(CONTRACT, respondents=None)):
+        with pytest.raises(quality.QualityError, match="checkpoint names its respondent"):
+            hours(single, contract)
+    # a run goes on from the single value
+    source = records_df(spark, [r for d in days_from(DAY, 5) for r in day_of_records(d)])
+    judged = ingest_days(spark, source, str(tmp_path / "zone"), single, CONTRACT, "2026-09-30")
+    assert sorted(r["date"].day for r in judged.collect()) == [27, 28, 29, 30]
+    assert hours(single) == {"US48": "2026-09-30T23"}

@@ -4,14 +4,13 @@ from datetime import date, datetime
 
 import pytest
 from conftest import rows
-from series import T1, T2, day_of_records, days_from, history, version
+from series import CONTRACT, T1, T2, day_of_records, days_from, history, version
 
-from loadledger.contract import DAILY_SCHEMA, HOURLY_SCHEMA, SeriesContract
+from loadledger.contract import DAILY_SCHEMA, HOURLY_SCHEMA
 from loadledger.operators import daily, hourly, merge
 from loadledger.operators.versions import latest_per_key
 from test_versions import random_versions
 
-CONTRACT = SeriesContract()
 PUBLISHED = datetime(2026, 10, 4, 1, 21, 57)
 
 

@@ -3,14 +3,13 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from series import T1, day_of_records, days_from, history, record, records_df, version
+from series import CONTRACT, T1, day_of_records, days_from, history, record, records_df, version
 from test_layers import full_days, hour, hours_df
 
 from loadledger.contract import DAILY_SCHEMA, READING_KEY, SeriesContract
 from loadledger.operators import daily, quality
 from loadledger.plans.refresh import gate_records
 
-CONTRACT = SeriesContract()
 DAY = date(2026, 9, 26)
 
 
@@ -50,7 +49,7 @@ def test_same_key_in_two_files_is_fine(spark):
 
 
 def test_open_respondent_domain(spark):
-    open_domain = SeriesContract(respondents=None)
+    open_domain = SeriesContract(None, "eia_us48", "2026-09-26")
     assert broken(gate_records(history(spark, [version(1.0, who="anyone")]), open_domain)) == {}
 
 

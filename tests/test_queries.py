@@ -9,19 +9,20 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
-from loadledger import workload
+from loadledger import oracle, workload
 from loadledger.operators import versions
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="needs the driver's tables")
 
-QUERIES = driver.queries()
-ORACLE = driver.oracle_sql()
+QUERIES = workload.QUERIES
+ORACLE = oracle.queries()
 # These run jobs while they are built; their plans only read back what was written.
 WRITING = {
     "scan_landing", "land_days", "decode_payload", "content_fingerprint", "explode_records",
     "classify_days", "landing_conflicts", "dq_declared_total", "dq_accepted_files", "read_snapshot",
-    "incremental_refresh", "refresh_outcome", "stream_bronze", "layers_from_landing",
+    "incremental_refresh", "refresh_outcome", "stream_bronze", "layers_from_landing", "ingest_days",
+    "stream_late_files", "pipeline_touched_files", "observed_order", "complete_days_refresh", "registered_tables",
 }
 
 
@@ -47,6 +48,7 @@ def table(columns, found):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

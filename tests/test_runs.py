@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from datetime import date
+import os
+import random
+from dataclasses import replace
+from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from conftest import rows
-from series import T1, T2, T3, day_of_records, days_from, write_file
+from series import CONTRACT, T1, T2, T3, day_of_records, days_from, records_df, write_file
 
-from loadledger.contract import SeriesContract
 from loadledger.operators import quality
 from loadledger.plans import refresh
+from loadledger.plans.landing import deliver_days
 from loadledger.plans.rebuild import daily_from_history, hourly_from_history
 from loadledger.sources import landing, tables
 from loadledger.operators.versions import latest_per_key
 from loadledger.streaming.bronze import stream_bronze
 
-CONTRACT = SeriesContract()
 FIRST = date(2026, 9, 26)
 
 
@@ -92,32 +95,138 @@ def test_date_range_run(spark, tmp_path):
     assert volumes(spark, root) == {"history": 96, "latest": 96, "hourly": 48, "daily": 2}
 
 
-@pytest.mark.parametrize("dies_at", ["hourly", "history"])
+def equal_to_rebuild(spark, zone, root):
+    """Latest is what history makes it, and all layers are those of a rebuild."""
+    found = contents(spark, root)
+    history = tables.published(spark, root, "history")
+    assert found["latest"] == rows(latest_per_key(history))
+    assert found["hourly"] == rows(hourly_from_history(history, CONTRACT))
+    assert found["daily"] == rows(daily_from_history(history, CONTRACT))
+    read = landing.read_records(spark, str(zone), CONTRACT).drop("source_modified_at")
+    assert rows(history.drop("source_modified_at")) == rows(read)
+
+
+# Every file operation of a run, in order; a run dies just before one of them.
+STEPS = ["latest", "hourly", "daily", "history", "commit", "clean_up"]
+
+
+@pytest.mark.parametrize("dies_at", STEPS)
 def test_a_run_that_dies_is_completed_by_the_next(spark, tmp_path, monkeypatch, dies_at):
     zone, root = tmp_path / "zone", str(tmp_path / "layers")
     land_first(zone)
     refresh.run_pipeline(spark, str(zone), root, CONTRACT)
+    before = contents(spark, root)
     land_revisions(zone)
-
     with monkeypatch.context() as patch:
-        for name in ("replace_dates", "append_layer"):
-            real = getattr(refresh, name)
+        write_run = tables.write_run
 
-            def failing(df, where, layer, real=real):
-                if layer == dies_at:
-                    raise OSError("disk gone")
-                real(df, where, layer)
+        def dying_write(df, where, layer, run):
+            if layer == dies_at:
+                raise OSError("disk gone")
+            return write_run(df, where, layer, run)
 
-            patch.setattr(refresh, name, failing)
+        def dying(*_):
+            raise OSError("disk gone")
+
+        patch.setattr(tables, "write_run", dying_write)
+        # nor does the dying run get to remove what it wrote
+        patch.setattr(refresh, "remove", lambda *_: None)
+        if dies_at in ("commit", "clean_up"):
+            patch.setattr(tables, dies_at, dying)
         with pytest.raises(OSError, match="disk gone"):
             refresh.run_pipeline(spark, str(zone), root, CONTRACT)
+    if dies_at != "clean_up":
+        assert contents(spark, root) == before
+    refresh.run_pipeline(spark, str(zone), root, CONTRACT)
+    equal_to_rebuild(spark, zone, root)
+    tables.clean_up(spark, root)
+    equal_to_rebuild(spark, zone, root)
+
 
+def test_no_copy_outlives_its_run(spark, tmp_path):
+    zone, root = tmp_path / "zone", tmp_path / "layers"
+    shared = Path(spark.sparkContext.getConf().get("spark.checkpoint.dir")) / "loadledger"
+    before = set(shared.glob("*")) if shared.exists() else set()
+    land_first(zone)
+    refresh.run_pipeline(spark, str(zone), str(root), CONTRACT)
+    land_revisions(zone)
+    refresh.run_pipeline(spark, str(zone), str(root), CONTRACT)
+    assert set(shared.glob("*")) == before
+    # one folder per date, and one more for the revised date's history
+    assert len(list(root.glob("latest/run=*/date=*"))) == 4
+    assert len(list(root.glob("daily/run=*/date=*"))) == 4
+    assert len(list(root.glob("history/run=*/date=*"))) == 5
+
+
+def touch(path, at):
+    os.utime(path, (at.timestamp(), at.timestamp()))
+
+
+def test_a_file_whose_time_moves_reverts_nothing(spark, tmp_path):
+    zone, root = tmp_path / "zone", str(tmp_path / "layers")
+    land_first(zone)
+    land_revisions(zone)
     refresh.run_pipeline(spark, str(zone), root, CONTRACT)
-    history = landing.read_records(spark, str(zone), CONTRACT)
-    found = contents(spark, root)
-    assert found["history"] == rows(history)
-    assert found["latest"] == rows(latest_per_key(history))
-    assert found["daily"] == rows(daily_from_history(history, CONTRACT))
+    before = contents(spark, root)
+    rng = random.Random(3)
+    files = sorted(zone.rglob("*.json"))
+    for n in range(3):
+        for path in rng.sample(files, rng.randint(1, len(files))):
+            touch(path, T3 + timedelta(days=n + 1))
+        refresh.run_pipeline(spark, str(zone), root, CONTRACT)
+        assert contents(spark, root) == before
+        history = tables.published(spark, root, "history")
+        assert before["latest"] == rows(latest_per_key(history))
+
+
+def test_a_run_without_news_opens_no_file(spark, tmp_path, monkeypatch):
+    zone, root = tmp_path / "zone", str(tmp_path / "layers")
+    land_first(zone)
+    first = outcome(refresh.run_pipeline(spark, str(zone), root, CONTRACT))
+    assert (first[("files", "accepted")], first[("files", "rejected")], first[("files", "read")]) == (4, 0, 4)
+    write_file(zone, FIRST, day_of_records(FIRST), T1, "notes.txt")
+
+    def opened(*_):
+        raise AssertionError("a file is decoded")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh, "decode_payload", opened)
+        again = outcome(refresh.run_pipeline(spark, str(zone), root, CONTRACT))
+    assert again == {("files", "accepted"): 4, ("files", "rejected"): 1, ("files", "read"): 0}
+    # an older file cannot be read any more, and no run notices
+    old = next(zone.rglob("*2026-09-27.json"))
+    at = T1.timestamp()
+    old.write_text("{not json")
+    os.utime(old, (at, at))
+    land_revisions(zone)
+    assert outcome(refresh.run_pipeline(spark, str(zone), root, CONTRACT))[("files", "read")] == 2
+
+
+def test_declared_total_is_a_gate(spark, tmp_path):
+    zone, root = tmp_path / "zone", str(tmp_path / "layers")
+    write_file(zone, FIRST, day_of_records(FIRST), T1, total="96")
+    with pytest.raises(quality.QualityError, match="declared total: 48"):
+        refresh.run_pipeline(spark, str(zone), root, CONTRACT)
+    assert volumes(spark, root) == dict.fromkeys(tables.LAYERS, 0)
+
+
+def test_observed_order_end_to_end(spark, tmp_path):
+    """A, B, A, B by download time; file times say the opposite."""
+    contract = replace(CONTRACT, by_observation=True)
+    zone, streamed, root = tmp_path / "zone", str(tmp_path / "streamed"), str(tmp_path / "layers")
+    a, b = day_of_records(FIRST), day_of_records(FIRST, 5)
+    for n, records in enumerate((a, b, a, b)):
+        seen = datetime(2026, 10, n + 1, 8)
+        df = records_df(spark, records)
+        deliver_days(spark, df, str(zone), contract, baseline="latest", seen_at=seen)
+        refresh.run_pipeline(spark, str(zone), root, contract)
+    for n, path in enumerate(sorted(zone.rglob("*.txt"), key=lambda p: "canonical" not in str(p))):
+        touch(path, datetime(2026, 11, 20 - n, 8))
+    stream_bronze(spark, str(zone), streamed, str(tmp_path / "checkpoint"), contract).awaitTermination()
+    for where in (root, streamed):
+        first = tables.find(spark, where, "latest", period="2026-09-26T00", type="D").first()
+        assert (first["value"], first["source_modified_at"]) == (400_031.0, datetime(2026, 10, 4, 8))
+        assert len(contents(spark, where)["history"]) == 192
 
 
 def test_gates_leave_the_tables_as_they_were(spark, tmp_path):
@@ -130,10 +239,10 @@ def test_gates_leave_the_tables_as_they_were(spark, tmp_path):
     before = contents(spark, root)
     later = date(2026, 9, 30)
     write_file(zone, later, day_of_records(later)[2:], T2)
-    with pytest.raises(quality.QualityError, match="complete days: 1"):
+    with pytest.raises(quality.QualityError, match=r"complete days: 1 violations \(first: 2026-09-30 US48 23\)"):
         refresh.run_pipeline(spark, str(zone), root, CONTRACT)
     write_file(zone, later, day_of_records(later)[1:], T2)
-    with pytest.raises(quality.QualityError, match="actual and forecast paired: 1"):
+    with pytest.raises(quality.QualityError, match=r"actual and forecast paired: 1 violations \(first: 2026-09-30T00 US48"):
         refresh.run_pipeline(spark, str(zone), root, CONTRACT)
     assert contents(spark, root) == before
 
@@ -143,7 +252,8 @@ def test_repeated_key_in_latest_stops_the_run(spark, tmp_path):
     land_first(zone)
     refresh.run_pipeline(spark, str(zone), root, CONTRACT)
     one = tables.find(spark, root, "latest", period="2026-09-26T00", type="D")
-    tables.append_layer(tables.with_date(one), root, "latest")
+    rest = tables.find(spark, root, "latest", date="2026-09-26")
+    tables.publish(tables.with_date(rest.unionByName(one)), root, "latest", "twice")
     land_revisions(zone)
     with pytest.raises(quality.QualityError, match="latest unique: 1"):
         refresh.run_pipeline(spark, str(zone), root, CONTRACT)
@@ -169,16 +279,14 @@ def test_stream_equals_batch(spark, tmp_path):
     assert volumes(spark, streamed) == {"history": 288, "latest": 192, "hourly": 96, "daily": 4}
 
 
-@pytest.mark.parametrize("literal", [2, 100], ids=["join", "filter"])
-def test_many_dates(spark, tmp_path, monkeypatch, literal):
-    monkeypatch.setattr(tables, "MAX_LITERAL_DATES", literal)
-    monkeypatch.setattr(tables, "MAX_NAMED_FOLDERS", 1)
-    zone, root = tmp_path / "zone", str(tmp_path / "layers")
-    land_first(zone)
-    refresh.run_pipeline(spark, str(zone), root, CONTRACT)
-    land_revisions(zone)
-    refresh.run_pipeline(spark, str(zone), root, CONTRACT)
-    assert volumes(spark, root) == {"history": 288, "latest": 192, "hourly": 96, "daily": 4}
+def test_a_late_file_with_an_old_time_is_streamed(spark, tmp_path):
+    zone, root, checkpoint = tmp_path / "zone", str(tmp_path / "layers"), str(tmp_path / "checkpoint")
+    day = date(2026, 9, 27)
+    write_file(zone, FIRST, day_of_records(FIRST), datetime(2026, 11, 1))
+    stream_bronze(spark, str(zone), root, checkpoint, CONTRACT).awaitTermination()
+    write_file(zone, day, day_of_records(day), datetime(2025, 10, 1))
+    stream_bronze(spark, str(zone), root, checkpoint, CONTRACT).awaitTermination()
+    assert volumes(spark, root) == {"history": 96, "latest": 96, "hourly": 48, "daily": 2}
 
 
 def test_tables_are_available_to_sql(spark, tmp_path):
@@ -188,5 +296,10 @@ def test_tables_are_available_to_sql(spark, tmp_path):
     for _ in range(2):
         tables.register_tables(spark, root, "ledger_test")
     assert spark.table("ledger_test.daily").count() == 4
+    land_revisions(zone)
+    refresh.run_pipeline(spark, str(zone), root, CONTRACT)
+    tables.register_tables(spark, root, "ledger_test")
+    assert spark.table("ledger_test.latest").count() == 192
+    assert spark.table("ledger_test.history").count() == 288
     peak = spark.sql("SELECT max(peak_demand_mwh) AS p FROM ledger_test.daily WHERE date = DATE'2026-09-27'")
     assert peak.first()["p"] == 423_027.0

@@ -6,10 +6,9 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from loadledger.contract import SeriesContract
+from series import CONTRACT
 from loadledger.operators import quality, state
 
-CONTRACT = SeriesContract()
 STATE = "respondent string, last_uploaded_hour string"
 
 
