@@ -126,10 +126,15 @@ CTES = {
     "latest_second": _latest("second_rows"),
     "hourly_all": _hourly("latest_all"),
     "hourly_first": _hourly("latest_first"),
+    "hourly_second": _hourly("latest_second"),
     "paired_all": _paired("hourly_all"),
     "paired_first": _paired("hourly_first"),
+    "paired_second": _paired("hourly_second"),
     "daily_all": _daily("paired_all"),
     "daily_first": _daily("paired_first"),
+    "daily_second": _daily("paired_second"),
+    "hourly_twice": f"SELECT {HOURLY} FROM hourly_first UNION ALL SELECT {HOURLY} FROM hourly_all",
+    "daily_twice": "SELECT * FROM daily_first UNION ALL SELECT * FROM daily_all",
     "records_all": _records("latest_all"),
     "records_first": _records("latest_first"),
     "mine": _records("latest_second", "level"),
@@ -251,6 +256,7 @@ CTES = {
     "spans": "SELECT 3 AS window_days UNION ALL SELECT 7 UNION ALL SELECT 10",
     "hour_pairs": """
     SELECT l.period IS NOT NULL AS in_left, r.period IS NOT NULL AS in_right,
+      coalesce(l.period, r.period) AS period, coalesce(l.respondent, r.respondent) AS respondent,
       abs(l.actual_demand_mwh - r.actual_demand_mwh) <= greatest(0.01,
         1e-9 * greatest(abs(l.actual_demand_mwh), abs(r.actual_demand_mwh))) AS actual_ok,
       abs(l.forecast_demand_mwh - r.forecast_demand_mwh) <= greatest(0.01,
@@ -259,6 +265,7 @@ CTES = {
       ON l.period = r.period AND l.respondent = r.respondent""",
     "day_pairs": """
     SELECT l.date IS NOT NULL AS in_left, r.date IS NOT NULL AS in_right,
+      coalesce(l.date, r.date) AS date, coalesce(l.respondent, r.respondent) AS respondent,
       abs(l.total_daily_energy_mwh - r.total_daily_energy_mwh) <= greatest(0.01,
         1e-9 * greatest(abs(l.total_daily_energy_mwh), abs(r.total_daily_energy_mwh))) AS energy_ok,
       abs(l.peak_demand_mwh - r.peak_demand_mwh) <= greatest(0.01,
@@ -359,12 +366,13 @@ def _picked_latest() -> str:
     )
 
 
-HOURLY_MERGE = _merge("hourly_first", "hourly_all", HOURLY, ("period", "respondent"), HOURLY_COMPARED)
+HOURLY_MERGE = _merge("hourly_first", "hourly_second", HOURLY, ("period", "respondent"), HOURLY_COMPARED)
 HOURS_REFRESHED = _merge(
     "hourly_first", "changed_hours", HOURLY, ("period", "respondent"), HOURLY_COMPARED
 )
 DAILY_COLUMNS = "date, respondent, " + ", ".join(DAILY_COMPARED)
-DAILY_MERGE = _merge("daily_first", "daily_all", DAILY_COLUMNS, ("date", "respondent"), DAILY_COMPARED)
+DAILY_MERGE = _merge("daily_first", "daily_second", DAILY_COLUMNS, ("date", "respondent"), DAILY_COMPARED)
+DAYS_REFRESHED = _merge("daily_first", "daily_all", DAILY_COLUMNS, ("date", "respondent"), DAILY_COMPARED)
 
 
 def _strings() -> dict[str, str]:
@@ -442,12 +450,12 @@ def _strings() -> dict[str, str]:
             SELECT 1 AS ordinal, 'key unique within its file' AS "check", count(*) AS violations
             FROM file_duplicates
             UNION ALL SELECT 2, 'latest unique', count(*) FROM (
-              SELECT {KEY} FROM latest_all GROUP BY {KEY} HAVING count(*) > 1) AS a
+              SELECT {KEY} FROM readings GROUP BY {KEY} HAVING count(*) > 1) AS a
             UNION ALL SELECT 3, 'hourly unique', count(*) FROM (
-              SELECT period, respondent FROM hourly_all GROUP BY period, respondent
+              SELECT period, respondent FROM hourly_twice GROUP BY period, respondent
               HAVING count(*) > 1) AS b
             UNION ALL SELECT 4, 'daily unique', count(*) FROM (
-              SELECT date, respondent FROM daily_all GROUP BY date, respondent
+              SELECT date, respondent FROM daily_twice GROUP BY date, respondent
               HAVING count(*) > 1) AS c""",
         "dq_pairing": """
             SELECT * FROM (
@@ -465,36 +473,54 @@ def _strings() -> dict[str, str]:
             WHERE missing_columns <> ''""",
         "dq_hourly_rules": f"""
             SELECT 1 AS ordinal, 'actual and forecast paired' AS "check", count(*) AS violations
-            FROM hourly_all WHERE {_missing(HOURLY)}
+            FROM hourly_twice WHERE {_missing(HOURLY)}
             UNION ALL SELECT 2, 'unique key', count(*) FROM (
-              SELECT period, respondent FROM hourly_all GROUP BY period, respondent
+              SELECT period, respondent FROM hourly_twice GROUP BY period, respondent
               HAVING count(*) > 1) AS b""",
         "dq_daily_rules": f"""
             SELECT 1 AS ordinal, 'required fields' AS "check", count(*) AS violations
-            FROM daily_all WHERE {_missing(DAILY_COLUMNS)}
-            UNION ALL SELECT 2, 'complete days', count(*) FROM daily_all WHERE hour_count <> 24
+            FROM daily_twice WHERE {_missing(DAILY_COLUMNS)}
+            UNION ALL SELECT 2, 'complete days', count(*) FROM daily_twice WHERE hour_count <> 24
             UNION ALL SELECT 3, 'unique key', count(*) FROM (
-              SELECT date, respondent FROM daily_all GROUP BY date, respondent
+              SELECT date, respondent FROM daily_twice GROUP BY date, respondent
               HAVING count(*) > 1) AS b""",
         "dq_complete_days": """
             SELECT date, respondent, hour_count FROM daily_all WHERE hour_count <> 24""",
         "dq_coverage": f"""
-            SELECT date, respondent, records, null_values, duplicate_keys, unexpected_keys, missing_keys,
-              null_values + duplicate_keys + unexpected_keys + missing_keys = 0 AS is_valid
+            SELECT date, respondent, CAST(sum(n) AS BIGINT) AS records,
+              CAST(sum(nulls) AS BIGINT) AS null_values, count(*) FILTER (n > 1) AS duplicate_keys,
+              count(*) FILTER (NOT fits) AS unexpected_keys, 48 - count(*) FILTER (fits) AS missing_keys,
+              sum(nulls) + count(*) FILTER (n > 1) + count(*) FILTER (NOT fits)
+                + 48 - count(*) FILTER (fits) = 0 AS is_valid
             FROM (
-              SELECT CAST(substr(period, 1, 10) AS DATE) AS date, respondent,
-                CAST(sum(n) AS BIGINT) AS records, CAST(sum(nulls) AS BIGINT) AS null_values,
-                count(*) FILTER (n > 1) AS duplicate_keys, CAST(0 AS BIGINT) AS unexpected_keys,
-                48 - count(*) AS missing_keys
-              FROM (SELECT {KEY}, count(*) AS n, count(*) FILTER (value IS NULL) AS nulls
-                FROM readings GROUP BY {KEY}) AS keyed
-              GROUP BY CAST(substr(period, 1, 10) AS DATE), respondent) AS audit""",
+              SELECT date, {KEY}, count(*) AS n, count(*) FILTER (value IS NULL) AS nulls,
+                CAST(substr(period, 1, 10) AS DATE) = date AND type IN ('D', 'F')
+                  AND respondent IN ('click', 'purchase', 'signup', 'view') AS fits
+              FROM (
+                SELECT *, CAST(substr(period, 1, 10) AS DATE)
+                  + CASE WHEN respondent = 'signup' THEN 1 ELSE 0 END AS date
+                FROM raw_feed) AS dated
+              GROUP BY date, {KEY}) AS keyed
+            GROUP BY date, respondent""",
         "dq_declared_total": """
-            SELECT respondent, date, version, record_count AS declared_total, record_count,
-              TRUE AS total_matches FROM files""",
+            SELECT respondent, date, 'canonical' AS version, record_count + wrong AS declared_total,
+              record_count, wrong = 0 AS total_matches
+            FROM (
+              SELECT *, CASE WHEN respondent = 'WEB' AND day(date) % 2 = 0 THEN 1 ELSE 0 END AS wrong
+              FROM days_first) AS declared""",
         "dq_accepted_files": """
             SELECT 0 AS ordinal, 'accepted files present' AS "check",
-              CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS violations FROM files""",
+              CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS violations FROM candidates
+            WHERE kind IN ('canonical', 'revision', 'sha256', 'version folder')
+            UNION ALL
+            SELECT 1, 'accepted files among the unfit',
+              CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) FROM candidates
+            WHERE kind IN ('short id', 'upper case id', 'unfinished', 'hour range')
+              AND regexp_matches(path, '(_[0-9-]{10}|_(revision|sha256)_[a-f0-9]{64})[.]json$')""",
+        "accepted_counts": """
+            SELECT count(*) FILTER (kind IN ('canonical', 'revision', 'sha256', 'version folder')) AS accepted,
+              count(*) FILTER (kind IN ('short id', 'upper case id', 'unfinished', 'hour range')) AS rejected
+            FROM candidates""",
         "duplicate_keys": f"SELECT source_path, {KEY}, row_count FROM file_duplicates",
         "expected_grid": f"SELECT {KEY} FROM grid",
         "coverage_gaps": f"""
@@ -561,6 +587,21 @@ def _strings() -> dict[str, str]:
         "reconcile": """
             SELECT ordinal, "check", CAST(compared AS BIGINT) AS compared,
               CAST(failed AS BIGINT) AS failed, failed = 0 AS passed FROM all_checks""",
+        "reconcile_failures": """
+            SELECT * FROM (
+              SELECT 'hour' AS grain, replace(period, 'T', ' ') AS key, respondent, concat_ws(',',
+                CASE WHEN NOT (in_left AND in_right) THEN 'one-sided' END,
+                CASE WHEN in_left AND in_right AND NOT actual_ok THEN 'actual' END,
+                CASE WHEN in_left AND in_right AND NOT forecast_ok THEN 'forecast' END) AS failures
+              FROM hour_pairs
+              UNION ALL
+              SELECT 'day', CAST(date AS VARCHAR), respondent, concat_ws(',',
+                CASE WHEN NOT (in_left AND in_right) THEN 'one-sided' END,
+                CASE WHEN in_left AND in_right AND NOT energy_ok THEN 'energy' END,
+                CASE WHEN in_left AND in_right AND NOT peak_ok THEN 'peak' END,
+                CASE WHEN in_left AND in_right AND NOT mae_ok THEN 'MAE' END)
+              FROM day_pairs) AS named
+            WHERE failures <> ''""",
         "first_present": """
             SELECT event_id,
               CASE WHEN event_type = 'click' THEN CAST(json_extract_string(props, '$.k') AS DOUBLE)
@@ -606,7 +647,7 @@ def _strings() -> dict[str, str]:
             SELECT 'hourly', action, count(*) FROM ({HOURS_REFRESHED}) AS h
             WHERE date IN (SELECT CAST(substr(period, 1, 10) AS DATE) FROM second_rows) GROUP BY action
             UNION ALL
-            SELECT 'daily', action, count(*) FROM ({DAILY_MERGE}) AS d
+            SELECT 'daily', action, count(*) FROM ({DAYS_REFRESHED}) AS d
             WHERE date IN (SELECT CAST(substr(period, 1, 10) AS DATE) FROM second_rows) GROUP BY action""",
         "stream_bronze": """
             SELECT l.period, l.respondent, l.type, l.value, l.value_units, s.version, f.content_hash
@@ -614,6 +655,40 @@ def _strings() -> dict[str, str]:
             JOIN served_day s ON s.date = CAST(substr(l.period, 1, 10) AS DATE)
               AND s.respondent = l.respondent
             JOIN files f ON f.date = s.date AND f.respondent = s.respondent AND f.version = s.version""",
+        "stream_late_files": """
+            SELECT l.period, l.respondent, l.type, l.value, l.value_units, 'canonical' AS version, f.content_hash
+            FROM latest_first l
+            JOIN days_first d ON d.date = CAST(substr(l.period, 1, 10) AS DATE)
+              AND d.respondent = l.respondent
+            JOIN files f ON f.date = d.date AND f.respondent = d.respondent AND f.version = 'canonical'
+            UNION ALL
+            SELECT l.period, l.respondent, l.type, l.value, l.value_units, s.version, f.content_hash
+            FROM latest_all l
+            JOIN served_day s ON s.date = CAST(substr(l.period, 1, 10) AS DATE)
+              AND s.respondent = l.respondent
+            JOIN files f ON f.date = s.date AND f.respondent = s.respondent AND f.version = s.version
+            WHERE NOT EXISTS (SELECT 1 FROM latest_first o WHERE o.period = l.period
+              AND o.respondent = l.respondent AND o.type = l.type)""",
+        "pipeline_touched_files": """
+            SELECT l.period, l.respondent, l.type, l.value, l.value_units, s.version, f.content_hash
+            FROM latest_all l
+            JOIN served_day s ON s.date = CAST(substr(l.period, 1, 10) AS DATE)
+              AND s.respondent = l.respondent
+            JOIN files f ON f.date = s.date AND f.respondent = s.respondent AND f.version = s.version""",
+        "observed_order": f"""
+            SELECT {KEY}, value FROM latest_first
+            UNION ALL
+            SELECT {KEY}, value FROM latest_all l WHERE NOT EXISTS (
+              SELECT 1 FROM latest_first o WHERE o.period = l.period
+                AND o.respondent = l.respondent AND o.type = l.type)""",
+        "complete_days_refresh": f"SELECT {DAILY_COLUMNS} FROM daily_all WHERE hour_count = 24",
+        "registered_tables": """
+            SELECT d.respondent, count(*) AS days, CAST(sum(d.hour_count) AS BIGINT) AS hours,
+              any_value(v.versions) AS versions
+            FROM daily_all d
+            JOIN (SELECT respondent, count(*) AS versions FROM readings GROUP BY respondent) v
+              ON v.respondent = d.respondent
+            GROUP BY d.respondent""",
         "layers_from_landing": """
             SELECT date, respondent, hour_count, avg_hourly_demand_mwh, peak_demand_mwh,
               total_daily_energy_mwh, mae_mwh FROM daily_all""",

@@ -8,8 +8,10 @@ tells actual from forecast readings.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date
+from dataclasses import replace
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +34,12 @@ CONTRACT = SeriesContract(
 )
 # What the raw feed is checked against: one feed and one measure type are foreign to it.
 STRICT = SeriesContract(
-    respondents=("click", "purchase", "signup", "view"), forecast_type="F", file_prefix="feed"
+    respondents=("click", "purchase", "signup", "view"),
+    file_prefix="feed",
+    initial_date="2024-01-01",
+    forecast_type="F",
 )
+OBSERVED = replace(CONTRACT, by_observation=True)
 WEB_FEEDS = ("click", "signup", "view")
 FIRST_FEEDS = ("click", "purchase", "view")
 SECOND_FEEDS = ("error", "purchase", "signup")
@@ -217,7 +223,8 @@ def forecast_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.merge_hourly(_first_hourly(spark, sf_dir), _hourly(spark, sf_dir))
+    second = hourly_from_history(history(spark, sf_dir, SECOND), CONTRACT)
+    return merge.merge_hourly(_first_hourly(spark, sf_dir), second)
 
 
 def daily_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,7 +232,8 @@ def daily_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.merge_daily(_first_daily(spark, sf_dir), _daily(spark, sf_dir))
+    second = daily_from_history(history(spark, sf_dir, SECOND), CONTRACT)
+    return merge.merge_daily(_first_daily(spark, sf_dir), second)
 
 
 def latest_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,19 +255,29 @@ def dq_row_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(raw_feed(spark, sf_dir), quality.record_rules(STRICT))
 
 
+def _twice_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An hourly layer that a faulty writer would leave: two deliveries one after the other."""
+    return _first_hourly(spark, sf_dir).unionByName(_hourly(spark, sf_dir))
+
+
+def _twice_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _first_daily(spark, sf_dir).unionByName(_daily(spark, sf_dir))
+
+
 def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layers that hold what they should not: all versions, and two deliveries, side by side."""
     file_key = ("source_path", *READING_KEY)
     in_file = quality.quality_report(
         raw_feed(spark, sf_dir), [], file_key, "key unique within its file", 1
     )
     latest = quality.quality_report(
-        latest_per_key(spark, sf_dir), [], READING_KEY, "latest unique", 2
+        history(spark, sf_dir), [], READING_KEY, "latest unique", 2
     )
     per_hour = quality.quality_report(
-        _hourly(spark, sf_dir), [], ("period", "respondent"), "hourly unique", 3
+        _twice_hourly(spark, sf_dir), [], ("period", "respondent"), "hourly unique", 3
     )
     per_day = quality.quality_report(
-        _daily(spark, sf_dir), [], ("date", "respondent"), "daily unique", 4
+        _twice_daily(spark, sf_dir), [], ("date", "respondent"), "daily unique", 4
     )
     return in_file.unionByName(latest).unionByName(per_hour).unionByName(per_day)
 
@@ -270,13 +288,13 @@ def dq_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_hourly_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(
-        _hourly(spark, sf_dir), quality.hourly_rules(), ("period", "respondent")
+        _twice_hourly(spark, sf_dir), quality.hourly_rules(), ("period", "respondent")
     )
 
 
 def dq_daily_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(
-        _daily(spark, sf_dir), quality.daily_rules(CONTRACT), ("date", "respondent")
+        _twice_daily(spark, sf_dir), quality.daily_rules(CONTRACT), ("date", "respondent")
     )
 
 
@@ -285,16 +303,43 @@ def dq_complete_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated = history(spark, sf_dir).withColumn("date", F.to_date("source_modified_at"))
-    return quality.audit_days(dated, CONTRACT)
+    """The raw feed, in which one feed is filed under the day after."""
+    late = F.when(F.col("respondent") == "signup", 1).otherwise(0)
+    dated = raw_feed(spark, sf_dir).withColumn("date", F.date_add(fc.period_date("period"), late))
+    return quality.audit_days(dated, STRICT)
 
 
 def dq_declared_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing.declared_totals(_decoded(spark, sf_dir)).drop("source_path")
+    """Payloads of the first delivery, of which some declare one record more than they hold."""
+    days_ = landing.payload_text(first_delivered(spark, sf_dir))
+    wrong = (F.col("respondent") == "WEB") & (F.dayofmonth("date") % 2 == 0)
+    total = F.regexp_extract("payload", r'"total":"(\d+)"', 1)
+    more = F.concat(F.lit('"total":"'), (total.cast("int") + 1).cast("string"), F.lit('"'))
+    text = F.when(wrong, F.regexp_replace("payload", F.lit(r'"total":"\d+"'), more))
+    files = days_.select(
+        F.concat(
+            F.lit("/zone/"),
+            fp.landing_folder("respondent", "date"),
+            F.lit("/"),
+            fp.canonical_name("date", CONTRACT),
+        ).alias("path"),
+        F.lit("2024-02-01").cast("timestamp").alias("modificationTime"),
+        F.coalesce(text, "payload").cast("binary").alias("content"),
+    )
+    return landing.declared_totals(landing.decode_payload(files)).drop("source_path")
 
 
 def dq_accepted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.not_empty_report(_files(spark, sf_dir), "accepted files present")
+    """All files of a zone, and one in which only unfinished and misnamed files have arrived."""
+    files = candidate_paths(spark, sf_dir)
+    unfit = files.filter(F.col("kind").isin("short id", "upper case id", "unfinished", "hour range"))
+    all_, none = (landing.landing_accept(f, CONTRACT) for f in (files, unfit))
+    first = quality.not_empty_report(all_, "accepted files present", 0)
+    return first.unionByName(quality.not_empty_report(none, "accepted files among the unfit", 1))
+
+
+def accepted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.accepted_counts(candidate_paths(spark, sf_dir), CONTRACT)
 
 
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,10 +407,14 @@ def parse_landing_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _last_day(spark: SparkSession, sf_dir: str) -> date:
+    return events(spark, sf_dir).agg(F.to_date(F.max("ts"))).first()[0]
+
+
 def scan_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The days from the first revision on, read with folder pruning."""
     root = _zone(pin_utc(spark), sf_dir, "both")
-    dates = landing.between(date.fromisoformat(CHANGES_FROM), date(2024, 1, 30))
+    dates = landing.between(date.fromisoformat(CHANGES_FROM), _last_day(spark, sf_dir))
     files = landing.scan_landing(spark, root, dates)
     return landing.landed_versions(landing.landing_accept(files, CONTRACT))
 
@@ -382,7 +431,7 @@ def ingest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, saved = fresh_dir(pin_utc(spark), "zone"), fresh_dir(spark, "checkpoint")
     for records, end in (
         (first_delivered(spark, sf_dir), "2024-01-25"),
-        (delivered(spark, sf_dir), "2024-01-30"),
+        (delivered(spark, sf_dir), str(_last_day(spark, sf_dir))),
     ):
         outcome = deliver_due(spark, records, root, saved, CONTRACT, end, complete=False)
     return outcome
@@ -487,6 +536,18 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reconcile_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours and days behind ``reconcile``; the published hours carry other column names."""
+    mine = hourly.paired_hours(_hourly(spark, sf_dir))
+    published = hourly.paired_hours(_first_hourly(spark, sf_dir))
+    renamed = published.withColumnsRenamed({"actual_demand_mwh": "actual", "forecast_demand_mwh": "forecast"})
+    names = {"actual_demand_mwh": ["demand", "actual"], "forecast_demand_mwh": ["forecast"]}
+    aligned = compare.with_alternatives(renamed, names)
+    return compare.reconcile_failures(
+        mine, aligned, daily.daily_kpi(mine), daily.daily_kpi(published)
+    )
+
+
 def first_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Click events give their level, others their value; no table has the first column."""
     feeds = events(spark, sf_dir).select(
@@ -593,6 +654,86 @@ def layers_from_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.published(spark, root, "daily").drop("source_modified_at")
 
 
+def _set_times(spark: SparkSession, pattern: str, at: datetime) -> None:
+    """Set the modification time of landed files, one per day, respondent and version."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.globStatus(place) or []:
+        system.setTimes(status.getPath(), int(at.timestamp() * 1000), -1)
+
+
+FILES = "respondent=*/year=*/month=*/day=*"
+
+
+def stream_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream takes the first delivery; all later files then come with times long past."""
+    zone, root = fresh_dir(pin_utc(spark), "zone"), fresh_dir(spark, "layers")
+    checkpoint = fresh_dir(spark, "stream")
+
+    def drain() -> None:
+        query = stream_bronze(spark, zone, root, checkpoint, CONTRACT, require_complete=False)
+        query.awaitTermination()
+
+    deliver_days(spark, first_delivered(spark, sf_dir), zone, CONTRACT, complete=False)
+    drain()
+    known = {r["path"] for r in landing.scan_landing(spark, zone).select("path").collect()}
+    deliver_days(spark, delivered(spark, sf_dir), zone, CONTRACT, complete=False)
+    for row in landing.scan_landing(spark, zone).select("path").collect():
+        if row["path"] not in known:
+            _set_times(spark, row["path"], datetime(2020, 1, 1))
+    drain()
+    return _served(spark, root)
+
+
+def pipeline_touched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both deliveries, then a run after the canonical files got a later time."""
+    zone, root = fresh_dir(pin_utc(spark), "zone"), fresh_dir(spark, "layers")
+    for records in (first_delivered(spark, sf_dir), delivered(spark, sf_dir)):
+        deliver_days(spark, records, zone, CONTRACT, complete=False)
+        run_pipeline(spark, zone, root, CONTRACT, require_complete=False)
+    _set_times(spark, f"{zone}/{FILES}/version=canonical/*.txt", datetime(2100, 1, 1))
+    run_pipeline(spark, zone, root, CONTRACT, require_complete=False)
+    return _served(spark, root)
+
+
+def observed_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A, B, A by download time: the readings of A count again, file times play no part."""
+    zone, root = fresh_dir(pin_utc(spark), "zone"), fresh_dir(spark, "layers")
+    first, both = first_delivered(spark, sf_dir), delivered(spark, sf_dir)
+    for day, records in enumerate((first, both, first), 1):
+        seen = datetime(2024, 2, day)
+        deliver_days(spark, records, zone, OBSERVED, "latest", seen, complete=False)
+    _set_times(spark, f"{zone}/{FILES}/version=canonical/*.txt", datetime(2100, 1, 1))
+    run_pipeline(spark, zone, root, OBSERVED, require_complete=False)
+    return tables.published(spark, root, "latest").select(*READING_KEY, "value")
+
+
+def complete_days_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days with all their hours, through a run with every gate on."""
+    root = fresh_dir(pin_utc(spark), "layers")
+    whole = _daily(spark, sf_dir).filter(f"hour_count = {CONTRACT.hours_per_day}")
+    batch = tables.with_date(history(spark, sf_dir)).join(
+        whole.select("date", "respondent"), ["date", "respondent"], "left_semi"
+    )
+    incremental_refresh(spark, batch, root, CONTRACT)
+    return tables.published(spark, root, "daily")
+
+
+def registered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layers of two deliveries as tables of a database, read in SQL."""
+    root, _ = _refreshed(spark, sf_dir)
+    database = f"ledger_{uuid.uuid4().hex}"
+    tables.register_tables(spark, root, database)
+    return spark.sql(
+        f"""SELECT d.respondent, count(*) AS days, sum(d.hour_count) AS hours,
+              any_value(v.versions) AS versions
+            FROM {database}.daily d
+            JOIN (SELECT respondent, count(*) AS versions FROM {database}.history GROUP BY respondent) v
+              ON v.respondent = d.respondent
+            GROUP BY d.respondent"""
+    )
+
+
 QUERIES: dict[str, Query] = {
     # versions
     "latest_per_key": latest_per_key,
@@ -624,6 +765,7 @@ QUERIES: dict[str, Query] = {
     "dq_coverage": dq_coverage,
     "dq_declared_total": dq_declared_total,
     "dq_accepted_files": dq_accepted_files,
+    "accepted_counts": accepted_counts,
     "duplicate_keys": duplicate_keys,
     "expected_grid": _grid,
     "coverage_gaps": coverage_gaps,
@@ -646,6 +788,7 @@ QUERIES: dict[str, Query] = {
     "changed_fields": changed_fields,
     "diff_summary": diff_summary,
     "reconcile": reconcile,
+    "reconcile_failures": reconcile_failures,
     "first_present": first_present,
     "normalize_period": normalize_period,
     "read_snapshot": read_snapshot,
@@ -658,4 +801,9 @@ QUERIES: dict[str, Query] = {
     "refresh_outcome": refresh_outcome,
     "stream_bronze": stream_latest,
     "layers_from_landing": layers_from_landing,
+    "stream_late_files": stream_late_files,
+    "pipeline_touched_files": pipeline_touched_files,
+    "observed_order": observed_order,
+    "complete_days_refresh": complete_days_refresh,
+    "registered_tables": registered_tables,
 }
