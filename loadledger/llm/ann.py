@@ -15,11 +15,13 @@ of queries whose true neighbours are found by brute force.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +32,9 @@ CELL = 2.0  # width of a cell in standard deviations of a projection
 TARGET = 0.95  # share of the sample's neighbours that the probes must reach
 SAMPLE = 64  # queries that the number of probes is set on
 MOST_PROBES = 20_000
-PART_ROWS = 8192  # points that one part of a table holds
+# Points that one part of a table holds, in numbers of their vectors. A query gets
+# its best from each part that it visits, so larger parts give fewer rows to merge.
+PART_VALUES = 1 << 22
 PART_QUERIES = 8192  # queries that one task answers
 SPARE = 4  # candidates kept beyond k for exact ranking
 
@@ -90,8 +94,10 @@ def probe_order(place: np.ndarray) -> Iterator[tuple[int, ...]]:
                     heapq.heappush(heap, (cost - steps[d][i][0] + steps[d][i + 1][0], after))
 
 
-def _key(cells: tuple[int, ...] | np.ndarray) -> str:
-    return ",".join(map(str, cells))
+def _keys(cells: Iterable[Iterable[int]]) -> pa.Array:
+    """Buckets as 64-bit keys. Two that share a key would be searched together, no more."""
+    data = (np.array(c, np.int64).tobytes() for c in cells)
+    return pa.array(np.array([xxhash.xxh3_64_intdigest(d) for d in data], np.uint64).view(np.int64))
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
@@ -223,7 +229,7 @@ def search(
                 continue
             found = np.floor(hashes.places(_vectors(part.column(1)), False)).astype(np.int64)
             for t in range(found.shape[1]):
-                keys = pa.array([_key(c) for c in found[:, t].tolist()])
+                keys = _keys(found[:, t])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(np.full(len(part), t, np.int32)), keys], ["point", "table", "bucket"]
                 )
@@ -234,24 +240,25 @@ def search(
                 own = part.slice(n, 1)
                 starts = hashes.places(_vectors(own.column(1)), True)[0]
                 for t, start in enumerate(starts):
-                    keys = [_key(b) for _, b in zip(range(probes), probe_order(start))]
+                    keys = _keys(islice(probe_order(start), probes))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([own.column(0)[0].as_py()] * len(keys)), pa.array(np.full(len(keys), t, np.int32)), pa.array(keys)],
+                        [pa.array([own.column(0)[0].as_py()] * len(keys)), pa.array(np.full(len(keys), t, np.int32)), keys],
                         ["point", "table", "bucket"],
                     )
 
     placed = stage(
-        points.select("point", "embedding").mapInArrow(cells, "point string, table int, bucket string"), "ann-cells"
+        points.select("point", "embedding").mapInArrow(cells, "point string, table int, bucket long"), "ann-cells"
     )
     buckets = placed.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    parts_ = max(1, -(-facts["n"] // PART_ROWS))
+    part_rows = max(1, PART_VALUES // facts["dims"])
+    parts_ = max(1, -(-facts["n"] // part_rows))
     # A bucket is dealt to one part of its table, a large one to several.
-    buckets = stage(buckets.select("table", "bucket", F.ceil(F.col("n") / PART_ROWS).alias("blocks")), "ann-buckets")
+    buckets = stage(buckets.select("table", "bucket", F.ceil(F.col("n") / part_rows).alias("blocks")), "ann-buckets")
     part_of = F.pmod(F.xxhash64("table", "bucket", "block"), F.lit(parts_))
     dealt = placed.join(buckets, ["table", "bucket"]).withColumn("block", F.pmod(F.xxhash64("point"), "blocks"))
     dealt = dealt.select("table", part_of.alias("part"), "point", "bucket")
 
-    wanted = queries.mapInArrow(visits, "point string, table int, bucket string").join(buckets, ["table", "bucket"])
+    wanted = queries.mapInArrow(visits, "point string, table int, bucket long").join(buckets, ["table", "bucket"])
     wanted = wanted.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1).cast("array<long>")))
     wanted = wanted.select("point", "table", part_of.alias("part"), "bucket").distinct()
     wanted = stage(wanted.groupBy("table", "part", "point").agg(F.collect_list("bucket").alias("buckets")), "ann-visits")
@@ -267,11 +274,11 @@ def search(
 
     def answer(held: pa.Table, asked: pa.Table) -> pa.Table:
         names, x = np.array(held.column("point").to_pylist(), object), _vectors(held.column("embedding").combine_chunks())
-        where: dict[str, list[int]] = {}
+        where: dict[int, list[int]] = {}
         for n, bucket in enumerate(held.column("bucket").to_pylist()):
             where.setdefault(bucket, []).append(n)
         q = _vectors(asked.column("embedding").combine_chunks())
-        visitors: dict[str, list[int]] = {}
+        visitors: dict[int, list[int]] = {}
         for n, own in enumerate(asked.column("buckets").to_pylist()):
             for bucket in own:
                 if bucket in where:

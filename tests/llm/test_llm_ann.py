@@ -72,7 +72,7 @@ def test_copies_and_ties(spark):
 
 
 def test_a_large_bucket_is_split(spark, monkeypatch):
-    monkeypatch.setattr(ann, "PART_ROWS", 40)
+    monkeypatch.setattr(ann, "PART_VALUES", 320)
     monkeypatch.setattr(ann, "PART_QUERIES", 3)
     rng = np.random.default_rng(5)
     centre = rng.normal(size=8)
