@@ -168,7 +168,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     base = docs.select(k1.alias("k1"), k2.alias("k2"), text.alias("text"))
     own = docs.select(doc_id.alias("doc_id"), k1.alias("k1"), k2.alias("k2"), text.alias("text"))
     printed = with_fingerprint(own, "text", "fp")
-    narrow = printed.select("doc_id", "k1", "k2", F.length("text").alias("n_chars"), "fp")
+    packed = F.unhex("fp").alias("fp")  # half the size while it travels
+    narrow = printed.select("doc_id", "k1", "k2", F.length("text").alias("n_chars"), packed)
     ordered = stage(_following(stage(narrow, "omh").dropDuplicates(["doc_id", "k2"])), "omh-next")
 
     quarter = F.floor(F.col("n_chars") / F.lit(4)).cast("int")
@@ -184,8 +185,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     whole = base.join(heads, ["k1", "k2"]).select(
         "doc_id",
         F.col("n_chars").cast("long").alias("n_chars"),
-        "fp",
-        "next_fp",
+        F.lower(F.hex("fp")).alias("fp"),
+        F.lower(F.hex("next_fp")).alias("next_fp"),
         F.concat(F.substring("text", F.lit(1), F.col("n_chars") - quarter), "head").alias("edited"),
     )
     return with_fingerprint(whole, "edited", "edited_fp").select(
