@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadledger.llm.tables import stage
+from loadledger.llm.tables import shuffle_partitions, stage
 from loadledger.session import fresh_dir
 
 # Fixed values of the seekable format.
@@ -287,7 +287,9 @@ def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
 
         return _batches(records(), payloads)
 
-    return index.select("bundle").distinct().mapInArrow(read, RECORD)
+    # A few names, but much to read behind each: they are dealt out one by one.
+    bundles = index.select("bundle").distinct()
+    return bundles.repartition(shuffle_partitions(index.sparkSession), "bundle").mapInArrow(read, RECORD)
 
 
 def lookup(index: DataFrame) -> DataFrame:
