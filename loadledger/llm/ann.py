@@ -80,7 +80,7 @@ def probe_order(place: np.ndarray) -> Iterator[tuple[int, ...]]:
         near = [(0.0, 0)]
         for j in range(1, 9):
             near += [((j - 1 + (1 - own)) ** 2, j), ((j - 1 + own) ** 2, -j)]
-        steps.append(sorted(near))
+        steps.append(sorted(near, key=lambda step: (step[0], abs(step[1]))))
     start = (0,) * len(steps)
     heap, seen = [(0.0, start)], {start}
     while heap:
