@@ -31,7 +31,7 @@ HASHES = 128
 MISS = 1e-6
 BATCH = 16  # hashes compared before a pair is judged again
 BLOCK = 512  # nodes of a bucket that one block holds
-WORD_CACHE = 400_000
+WORD_CACHE = 200_000
 _CHUNK = 4096
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 SIGNED = "doc_id long, row_key long, node binary, n_shingles long, bands array<long>, sig binary"
@@ -200,24 +200,33 @@ def plausible_pairs(pairs: DataFrame, nodes: DataFrame, percent: int, miss: floa
     return met.mapInArrow(compare, "u binary, v binary")
 
 
-def exact_links(
-    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, percent: int
-) -> DataFrame:
-    """The pairs (u, v) whose full shingle sets reach the threshold."""
+def node_texts(chosen: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the nodes in ``chosen``: the text of one of their documents."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("key")
-    involved = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    reps = nodes.select("node", F.col("rep").alias("doc_id")).join(involved, "node", "left_semi")
+    reps = nodes.select("node", F.col("rep").alias("doc_id")).join(chosen, "node", "left_semi")
     texts = docs.select(key, F.col("text").cast("string")).join(reps.select("node", key), "key")
 
     def own(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Without texts of another node, where a doc_id is repeated."""
         for part in parts:
-            pairs_ = zip(part.column(0), part.column(1))
-            same = [xxhash.xxh3_128_digest(b" ".join(words_of(t.as_py()))) == n.as_py() for n, t in pairs_]
+            pairs = zip(part.column(0), part.column(1))
+            same = [xxhash.xxh3_128_digest(b" ".join(words_of(t.as_py()))) == n.as_py() for n, t in pairs]
             yield part.filter(pa.array(same, pa.bool_()))
 
     texts = texts.select("node", "text").mapInArrow(own, "node binary, text string")
-    texts = stage(texts.dropDuplicates(["node"]), "near-texts")
+    return stage(texts.dropDuplicates(["node"]), "near-texts")
+
+
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def exact_links(
+    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, percent: int
+) -> DataFrame:
+    """The pairs (u, v) whose full shingle sets reach the threshold."""
+    texts = node_texts(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), nodes, docs)
 
     def verify(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[bytes, np.ndarray] = {}
@@ -232,10 +241,7 @@ def exact_links(
         for part in parts:
             kept = []
             for n, (u, v) in enumerate(zip(part.column("u").to_pylist(), part.column("v").to_pylist())):
-                a = set_of(u, part.column("text_u")[n])
-                b = set_of(v, part.column("text_v")[n])
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                if 100 * common >= percent * (len(a) + len(b) - common):
+                if similar(set_of(u, part.column("text_u")[n]), set_of(v, part.column("text_v")[n]), percent):
                     kept.append(n)
             yield part.select(["u", "v"]).take(pa.array(kept, pa.int64()))
 
@@ -255,8 +261,57 @@ def _rooted(df: DataFrame, roots: DataFrame, column: str, name: str) -> DataFram
     return joined.drop("_root")
 
 
-def _pairs_across(members: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Plausible pairs of different components within a bucket, compared in blocks."""
+BLOCK_ROW = "band long, i long, j long, node binary, comp binary, rest boolean, n_shingles long, bands array<long>, sig binary"
+
+
+class _Block:
+    """Rows of one block of a bucket: nodes outside its largest component, and those they face."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.band = table.column("band")[0].as_py()
+        self.rest = np.asarray(table.column("rest").to_pylist(), bool)
+        self.node = table.column("node").to_pylist()
+        self.size = table.column("n_shingles").to_numpy()
+        bands = table.column("bands").combine_chunks().flatten().to_numpy()
+        self.bands = bands.reshape(len(self.node), -1)
+        self.sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(self.node), -1)
+        numbers: dict[bytes, int] = {}
+        comps = table.column("comp").to_pylist()
+        self.comp = np.array([numbers.setdefault(c, len(numbers)) for c in comps])
+
+    def plausible(self, percent: int, miss: float) -> Iterator[tuple[int, np.ndarray]]:
+        """Each node outside and the rows it faces that no batch of hashes rules out.
+
+        A pair that shares several bands is looked at in the first of them only.
+        The components may change between two nodes.
+        """
+        others = np.flatnonzero(~self.rest)
+        for one in np.flatnonzero(self.rest):
+            facing = others[self.comp[others] != self.comp[one]]
+            first = (self.bands[facing] == self.bands[one]).argmax(1)
+            facing = facing[self.bands[one, first] == self.band] if len(facing) else facing
+            own = np.full(len(facing), one)
+            kept = surviving(self.sig[own], self.sig[facing], self.size[own], self.size[facing], percent, miss)
+            if len(kept):
+                yield one, facing[kept]
+
+
+def links_across(
+    members: DataFrame,
+    roots: DataFrame,
+    nodes: DataFrame,
+    docs: DataFrame,
+    length: int,
+    percent: int,
+    miss: float,
+) -> DataFrame:
+    """Links (u, v) between different components within a bucket.
+
+    Signatures are compared in blocks first, and only nodes with a plausible
+    partner go on, with their texts, to the exact comparison in the same blocks.
+    Neither step gives out pairs: the first gives nodes, the second links that
+    join components, of which a block has fewer than nodes.
+    """
     placed = _rooted(members, roots, "node", "comp")
     parts = placed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c"))
     buckets = parts.groupBy("band").agg(
@@ -272,40 +327,61 @@ def _pairs_across(members: DataFrame, roots: DataFrame, nodes: DataFrame, percen
     )
     rows = placed.join(buckets, "band").select("*", (F.col("comp") != F.col("main")).alias("outside"))
 
-    def dealt(df: DataFrame, i: object, j: object, rest: bool) -> DataFrame:
+    def dealt(df: DataFrame, i: Column, j: Column, rest: bool) -> DataFrame:
         out = df.withColumn("i", i).withColumn("j", j)
         return out.select("band", "i", "j", "node", "comp", F.lit(rest).alias("rest"))
 
-    def spread(blocks: str) -> object:
+    def spread(blocks: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1).cast("array<long>"))
 
     every = dealt(rows, spread("rest_blocks"), F.pmod(F.xxhash64("node"), "all_blocks"), False)
     outside = rows.filter("outside")
     rest = dealt(outside, F.pmod(F.xxhash64("node", F.lit(1)), "rest_blocks"), spread("all_blocks"), True)
-    blocks = every.unionByName(rest).join(nodes.select("node", "n_shingles", "sig"), "node")
-
-    def compare(table: pa.Table) -> pa.Table:
-        rest_ = np.asarray(table.column("rest").to_pylist(), bool)
-        node = np.array(table.column("node").to_pylist(), object)
-        comp = np.array(table.column("comp").to_pylist(), object)
-        size = table.column("n_shingles").to_numpy()
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(node), -1)
-        others = np.flatnonzero(~rest_)
+    own = nodes.select("node", "n_shingles", "bands", "sig")
+    blocks = every.unionByName(rest).join(own, "node")
+
+    def promising(table: pa.Table) -> pa.Table:
+        block = _Block(table)
+        touched = np.zeros(len(block.node), bool)
+        for one, facing in block.plausible(percent, miss):
+            touched[one] = True
+            touched[facing] = True
+        return table.filter(pa.array(touched))
+
+    names = [c.split()[0] for c in BLOCK_ROW.split(", ")]
+    keys = names[:3]
+    due = blocks.select(*names).groupBy(*keys).applyInArrow(promising, BLOCK_ROW)
+    due = stage(due, "near-across")
+    texts = node_texts(due.select("node").distinct(), nodes, docs)
+
+    def verify(table: pa.Table) -> pa.Table:
+        block = _Block(table)
+        sets: dict[int, np.ndarray] = {}
+
+        def set_of(row: int) -> np.ndarray:
+            if row not in sets:
+                sets[row] = shingle_set(words_of(table.column("text")[row].as_py()), length)
+            return sets[row]
+
         u, v = [], []
-        for one in np.flatnonzero(rest_):
-            facing = others[comp[others] != comp[one]]
-            own = np.full(len(facing), one)
-            for n in surviving(sig[own], sig[facing], size[own], size[facing], percent, miss):
-                u.append(node[one]), v.append(node[facing[n]])
+        for one, facing in block.plausible(percent, miss):
+            for other in facing:
+                if block.comp[other] != block.comp[one] and similar(set_of(one), set_of(other), percent):
+                    u.append(block.node[one])
+                    v.append(block.node[other])
+                    block.comp[block.comp == block.comp[other]] = block.comp[one]
         return pa.table({"u": pa.array(u, "binary"), "v": pa.array(v, "binary")})
 
-    return blocks.groupBy("band", "i", "j").applyInArrow(compare, "u binary, v binary")
+    met = due.join(texts, "node").select(*names, "text")
+    return met.groupBy(*keys).applyInArrow(verify, "u binary, v binary")
 
 
 def near_copies(
     docs: DataFrame, length: int = 5, percent: int = 80, hashes: int = HASHES, miss: float = MISS
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, row_key) per document.
+    """(doc_id, n_shingles, component_id, kept, row_key, group) per document.
+
+    ``group`` tells components apart, ``row_key`` rows of one doc_id.
 
     ``length`` words make a shingle; documents are linked when their sets of
     shingles share ``percent`` of their union or more. Every row gets a result
@@ -328,15 +404,14 @@ def near_copies(
     roots = components(links)
 
     # A bucket of two has had its only pair compared.
-    across = _pairs_across(members.filter("n > 2").select("band", "node"), roots, nodes, percent, miss)
-    again = stage(_ordered(across).join(tried, ["u", "v"], "left_anti"), "near-across")
-    more = exact_links(again, nodes, docs, length, percent)
+    mixed = members.filter("n > 2").select("band", "node")
+    more = links_across(mixed, roots, nodes, docs, length, percent, miss)
     bridges = _rooted(_rooted(more, roots, "u", "a"), roots, "v", "b")
     joined = components(bridges.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     placed = _rooted(_rooted(nodes.select("node", "rep"), roots, "node", "comp"), joined, "comp", "final")
     least = placed.groupBy("final").agg(F.min("rep").alias("component_id"))
-    named = placed.join(least, "final").select("node", "component_id")
+    named = placed.join(least, "final").select("node", "component_id", F.col("final").alias("group"))
     out = signed.select("doc_id", "row_key", "node", "n_shingles").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
@@ -345,6 +420,7 @@ def near_copies(
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
         "row_key",
+        "group",
     )
 
 
@@ -359,8 +435,8 @@ def without_near_copies(
     """
     judged = near_copies(docs, length, percent, hashes, miss).filter("kept")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
-    grouped = judged.filter("n_shingles > 0").groupBy("component_id").agg(F.min("row_key").alias("row_key"))
-    grouped = grouped.select(F.col("component_id").alias("doc_id"), "row_key")
+    rows = F.min(F.struct("row_key", "doc_id")).alias("first")
+    grouped = judged.filter("n_shingles > 0").groupBy("group").agg(rows).select("first.doc_id", "first.row_key")
     single = judged.filter("n_shingles = 0").select("doc_id", "row_key").distinct()
     stay = grouped.unionByName(single).select(key.alias("_id"), F.col("row_key").alias("_key"))
     wrapped = docs.select(F.struct(*docs.columns).alias("row"), key.alias("_id"), row_key().alias("_key"))
