@@ -10,16 +10,19 @@ fewer packers, so that half-empty bins remain in the last packer only.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadledger.llm.bpe import encoder_of
+from loadledger.llm.bpe import PRETOKEN, Encoder, MergeList
 from loadledger.llm.tables import stage
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -108,11 +111,30 @@ def _pack_stream(
     yield batch()
 
 
+@lru_cache(maxsize=2)
+def packing_encoder(path: str) -> Encoder:
+    """An encoder whose short pieces are merged by a compiled library, which gives the same ids.
+
+    The library ranks merges by the ids that they make, so it is used where these rise.
+    """
+    merges = MergeList(path)
+    if merges.made != sorted(merges.made) or max(merges.byte_id) > merges.made[0]:
+        return Encoder(merges)
+    ranks = {merges.bytes_of[i]: i for i in (*merges.byte_id, *merges.made)}
+    library = tiktoken.Encoding("pieces", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={})
+    ids_of = library._encode_single_piece
+
+    def merged(pieces: list[bytes]) -> list[bytes]:
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in map(ids_of, pieces)]
+
+    return Encoder(merges, merged)
+
+
 def document_pieces(
     parts: Iterator[pa.RecordBatch], path: str, size: int, end_id: int
 ) -> Iterator[list[tuple]]:
     """Pieces of (doc_id, text) rows: the tokens of a document and the end token, cut to size."""
-    encoder, end = encoder_of(path), np.array([end_id], "<u4").tobytes()
+    encoder, end = packing_encoder(path), np.array([end_id], "<u4").tobytes()
 
     def pieces(doc_id: int | None, ids: bytes) -> list[tuple]:
         ids += end
