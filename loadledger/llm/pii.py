@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadledger.llm.spans import Span, by_kind, covered, digest_of, worded
+from loadledger.llm.tables import sampled_texts
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -332,7 +333,7 @@ def learn(docs: DataFrame, documents: int = SAMPLE) -> Field:
     """Fit the field to stretches of a bounded sample of documents, labelled by the rules.
 
     The sample is the ``documents`` rows with digits or a sign and the least
-    hashes of their doc_id; each gives at most PER_DOCUMENT stretches.
+    hashes; each gives at most PER_DOCUMENT stretches.
     """
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,9 +352,7 @@ def learn(docs: DataFrame, documents: int = SAMPLE) -> Field:
                 [pa.array(list(c), "string") for c in columns], ["part", "before", "after", "spans"]
             )
 
-    text = F.col("text").cast("string").alias("text")
-    sample = docs.select(F.xxhash64("doc_id").alias("h"), text).filter(F.col("text").rlike("[0-9@]"))
-    sample = sample.orderBy("h", F.xxhash64("text")).limit(documents).select("text")
+    sample = sampled_texts(docs, documents, "[0-9@]")
     found = sample.mapInArrow(read, "part string, before string, after string, spans string").distinct()
     examples = []
     for part, before, after, spans in sorted(map(tuple, found.collect())):

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadledger.llm.spans import Span, by_start, covered, digest_of, worded
+from loadledger.llm.tables import sampled_texts
 
 # The base rules.
 ASSIGN = re.compile(
@@ -263,8 +264,7 @@ def labelled_findings(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
 def learn(docs: DataFrame, documents: int = DOCUMENTS) -> CharNetwork:
     """Fit the network to findings in a bounded sample of documents, and to made-up ones.
 
-    The sample is the ``documents`` rows with the least hashes of their doc_id;
-    each gives at most PER_DOCUMENT findings and as many places.
+    The sample is the ``documents`` rows with the least hashes; each gives at most PER_DOCUMENT findings and as many places.
     """
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,9 +276,7 @@ def learn(docs: DataFrame, documents: int = DOCUMENTS) -> CharNetwork:
                 arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds)]
                 yield pa.RecordBatch.from_arrays(arrays, ["label", "codes", "before", "after"])
 
-    text = F.col("text").cast("string").alias("text")
-    sample = docs.select(F.xxhash64("doc_id").alias("h"), text).filter("text IS NOT NULL")
-    sample = sample.orderBy("h", F.xxhash64("text")).limit(documents).select("text")
+    sample = sampled_texts(docs, documents)
     found = sample.mapInArrow(read, "label int, codes binary, before string, after string")
     rows = sorted(map(tuple, found.collect()), key=lambda r: (r[0] is None, r[0] or 0, *r[1:]))
     return train(*labelled_findings(rows))
