@@ -61,7 +61,7 @@ class WordIds(dict):
 
     def __init__(self, names: list[str]) -> None:
         super().__init__({name: n for n, name in enumerate(names)})
-        self.names, self.limit = names, len(names) + 200_000
+        self.names, self.limit = names, len(names) + 100_000
         # Signs repeat in any text.
         self.sign = np.array([n == "<signs>" or n not in CLASSES and class_of(n) == "<signs>" for n in names])
 
