@@ -3,7 +3,8 @@
 The rules give the base spans, which always stay. Every other run of key-like
 characters is a candidate: a convolutional network reads it with what stands
 around it, and adds it where its calibrated probability reaches a threshold
-chosen so that a set share of labelled secrets is found.
+chosen so that a set share of labelled secrets is found. A long run is read in
+overlapping windows; it is as likely a secret as the likeliest of them.
 
 The labelled findings that the network learns from are of two sorts: what the
 rules find or refuse in a bounded sample of documents, and made-up secrets and
@@ -16,6 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 from string import ascii_letters, digits
 
 import numpy as np
@@ -40,11 +42,14 @@ CANDIDATE = re.compile(r"[A-Za-z0-9_+/=-]{16,}")
 DOCUMENTS = 300  # documents whose contexts and findings are learned from
 PER_DOCUMENT = 8  # findings, and places for made-up ones, taken from each
 MADE = 1600  # made-up findings, secrets and look-alikes in turn
+MADE_INSIDE = 800  # the same as parts of longer runs
 BEFORE, INSIDE, AFTER = 20, 44, 8
 WIDTH = BEFORE + INSIDE + AFTER
+STEP = INSIDE // 4  # between the windows of a run longer than INSIDE
+LEARNED_WINDOWS = 16  # windows of one finding to learn from, spread over it
 RECALL = 0.95  # share of labelled secrets that the threshold must let through
 EMBEDDING, FILTERS, SPAN = 12, 24, 5
-BATCH = 4096  # candidates that the network reads at a time
+BATCH = 4096  # windows that the network reads at a time
 
 _ALPHABET = ascii_letters + digits + "_+/=-.:;,'\"@#$%&*!?()[]{}<>|\\~^` \n"
 _CODE = {c: n + 2 for n, c in enumerate(_ALPHABET)}
@@ -74,17 +79,29 @@ def candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
     return out
 
 
+def windows(start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Overlapping parts of a run, each of at most INSIDE characters, that hold all of it."""
+    last = max(start, end - INSIDE)
+    for at in range(start, last, STEP):
+        yield at, at + INSIDE
+    yield last, end
+
+
 def encoded(text: str, start: int, end: int) -> np.ndarray:
-    """Codes of what stands before, of the run (both its ends if long) and after it."""
+    """Codes of what stands before a window, of the window and of what stands after it."""
     run = text[start:end]
-    if len(run) > INSIDE:
-        run = run[: INSIDE // 2] + run[-INSIDE // 2 :]
     before = text[max(0, start - BEFORE) : start].rjust(BEFORE, "\0")
     after = text[end : end + AFTER].ljust(AFTER, "\0")
     codes = [0 if c == "\0" else _CODE.get(c, 1) for c in before + run.ljust(INSIDE, "\0") + after]
     return np.array(codes, np.int16)
 
 
+def learned(text: str, start: int, end: int) -> np.ndarray:
+    """Codes of a run to learn from, one row per window."""
+    parts = list(windows(start, end))
+    return np.stack([encoded(text, *part) for part in parts[:: -(-len(parts) // LEARNED_WINDOWS)]])
+
+
 @dataclass
 class CharNetwork:
     """Embedding, one convolution, greatest value over all places, one linear layer."""
@@ -111,14 +128,20 @@ class CharNetwork:
         ]
         return np.concatenate(parts) if parts else np.zeros(0)
 
+    def likeliest(self, findings: list[np.ndarray]) -> np.ndarray:
+        """Codes of the likeliest window of each finding."""
+        logits = self.logits(np.concatenate(findings))
+        ends = np.cumsum([len(f) for f in findings])
+        return np.stack([f[logits[e - len(f) : e].argmax()] for f, e in zip(findings, ends)])
+
     def probability(self, codes: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(codes) / self.temperature, -40, 40)))
 
 
-def train(codes: np.ndarray, y: np.ndarray, epochs: int = 10, rate: float = 5e-3) -> CharNetwork:
-    """Fit by Adam; every fourth finding sets temperature and threshold instead."""
+def train(findings: list[np.ndarray], y: np.ndarray, epochs: int = 10, rate: float = 5e-3) -> CharNetwork:
+    """Fit by Adam to the likeliest window of each finding; every fourth one sets temperature and threshold instead."""
     rng = np.random.default_rng(5)
-    order = rng.permutation(len(codes))
+    order = rng.permutation(len(findings))
     held, used = order[::4], np.setdiff1d(order, order[::4])
     net = CharNetwork(
         rng.normal(0, 0.5, (_CODES, EMBEDDING)).astype(np.float32),
@@ -133,7 +156,8 @@ def train(codes: np.ndarray, y: np.ndarray, epochs: int = 10, rate: float = 5e-3
     for _ in range(epochs):
         for batch in np.array_split(rng.permutation(used), max(1, len(used) // 32)):
             step += 1
-            flat, active, top = net._features(codes[batch])
+            codes = net.likeliest([findings[n] for n in batch])
+            flat, active, top = net._features(codes)
             p = 1 / (1 + np.exp(-np.clip(top @ net.out + net.bias, -40, 40)))
             error = ((p - y[batch]) / len(batch)).astype(np.float32)
             back = np.outer(error, net.out) * (top > 0)
@@ -151,7 +175,7 @@ def train(codes: np.ndarray, y: np.ndarray, epochs: int = 10, rate: float = 5e-3
             for k in range(SPAN):
                 np.add.at(
                     slopes["embed"],
-                    np.take_along_axis(codes[batch], place + k, 1),
+                    np.take_along_axis(codes, place + k, 1),
                     to_flat[:, :, k * EMBEDDING : (k + 1) * EMBEDDING],
                 )
             slopes["embed"][0] = 0
@@ -161,8 +185,9 @@ def train(codes: np.ndarray, y: np.ndarray, epochs: int = 10, rate: float = 5e-3
                 m[1] = 0.999 * m[1] + 0.001 * slope**2
                 move = rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.999**step)) + 1e-8)
                 setattr(net, name, getattr(net, name) - move)
-    net.temperature = _temperature(net.logits(codes[held]), y[held])
-    p = np.sort(net.probability(codes[held])[y[held] > 0])
+    codes = net.likeliest([findings[n] for n in held])
+    net.temperature = _temperature(net.logits(codes), y[held])
+    p = np.sort(net.probability(codes)[y[held] > 0])
     # The greatest threshold that keeps the set share of held-out secrets.
     net.threshold = max(0.5, float(p[int(np.floor((1 - RECALL) * len(p)))])) if len(p) else 1.0
     return net
@@ -226,6 +251,25 @@ def made_lookalike(rng: np.random.Generator, words: list[str]) -> tuple[str, str
     return forms[int(rng.integers(len(forms)))]()
 
 
+def made_inside(rng: np.random.Generator, words: list[str], run: str) -> tuple[str, str]:
+    """What makes a longer run of ``run``: (parts of a path or name before it, parts after it)."""
+    plain = [w.lower() for w in words if w.isascii()] or ["word"]
+
+    def part() -> str:
+        number = str(int(rng.integers(1, 3000))) if rng.random() < 0.3 else ""
+        return plain[int(rng.integers(len(plain)))] + number
+
+    def parts(characters: int) -> str:
+        out = part()
+        while len(out) < characters:
+            out += "/_-="[int(rng.choice(4, p=[0.5, 0.2, 0.2, 0.1]))] + part()
+        return out
+
+    before, after = rng.integers(0, 70, 2).tolist()
+    after = max(after, INSIDE - len(run) - before)
+    return (f"{parts(before)}/" if before > 5 else "", f"/{parts(after)}" if after > 5 else "")
+
+
 def findings(text: str, rng: np.random.Generator) -> Iterator[tuple[int | None, bytes, str, str]]:
     """What one sampled text gives to learn from: (label, codes, "", "") of what the
     rules confirm or do not, and (null, b"", before, after) of places chosen at random.
@@ -238,27 +282,30 @@ def findings(text: str, rng: np.random.Generator) -> Iterator[tuple[int | None,
     places += [(0, start, end) for start, end in candidates(text, base)]
     for n in rng.permutation(len(places))[:PER_DOCUMENT]:
         label, start, end = places[n]
-        yield label, encoded(text, start, end).tobytes(), "", ""
+        yield label, learned(text, start, end).tobytes(), "", ""
     for at in rng.integers(0, len(text) + 1, PER_DOCUMENT).tolist():
         at = text.rfind(" ", 0, at) + 1
         yield None, b"", text[max(0, at - 40) : at], text[at : at + 20]
 
 
-def labelled_findings(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+def labelled_findings(rows: list[tuple]) -> tuple[list[np.ndarray], np.ndarray]:
     """Codes and labels of what ``findings`` gave, and of made-up findings set into its places."""
     rng = np.random.default_rng(3)
     real = [r for r in rows if r[0] is not None]
     contexts = [(r[2], r[3]) for r in rows if r[0] is None] or [("", "")]
-    codes = [np.frombuffer(r[1], np.int16) for r in real]
+    codes = [np.frombuffer(r[1], np.int16).reshape(-1, WIDTH) for r in real]
     labels = [r[0] for r in real]
     words = sorted({w for c in contexts for w in " ".join(c).split() if w.isalpha() and len(w) > 2})
-    for n in range(MADE):
+    for n in range(MADE + MADE_INSIDE):
         before, after = contexts[n % len(contexts)]
         lead, run = made_secret(rng) if n % 2 else made_lookalike(rng, words)
+        if n >= MADE:
+            first, last = made_inside(rng, words, run)
+            lead, run = ("" if first else lead), first + run + last
         start = len(before + lead)
-        codes.append(encoded(f"{before}{lead}{run} {after}", start, start + len(run)))
+        codes.append(learned(f"{before}{lead}{run} {after}", start, start + len(run)))
         labels.append(n % 2)
-    return np.stack(codes), np.array(labels, np.float32)
+    return codes, np.array(labels, np.float32)
 
 
 def learn(docs: DataFrame, documents: int = DOCUMENTS) -> CharNetwork:
@@ -283,18 +330,17 @@ def learn(docs: DataFrame, documents: int = DOCUMENTS) -> CharNetwork:
 
 
 def all_spans(texts: list[str], net: CharNetwork) -> list[tuple[list[Span], list[Span]]]:
-    """(base spans, all spans) of each text; candidates of all texts are read together."""
+    """(base spans, all spans) of each text; windows of candidates of all texts are read together."""
     bases = [base_spans(t) for t in texts]
     found = [candidates(t, b) for t, b in zip(texts, bases)]
-    places = [(n, *span) for n, spans in enumerate(found) for span in spans]
-    extra: list[list[Span]] = [[] for _ in texts]
-    for first in range(0, len(places), BATCH):
-        some = places[first : first + BATCH]
-        p = net.probability(np.stack([encoded(texts[n], s, e) for n, s, e in some]))
-        for (n, start, end), keep in zip(some, p >= net.threshold):
+    places = ((n, span, part) for n, spans in enumerate(found) for span in spans for part in windows(*span))
+    extra: list[set[Span]] = [set() for _ in texts]
+    while some := list(islice(places, BATCH)):
+        p = net.probability(np.stack([encoded(texts[n], *part) for n, _, part in some]))
+        for (n, span, _), keep in zip(some, p >= net.threshold):
             if keep:
-                extra[n].append(("other", start, end))
-    return [(base, by_start(base + more, KINDS)) for base, more in zip(bases, extra)]
+                extra[n].add(("other", *span))
+    return [(base, by_start([*base, *more], KINDS)) for base, more in zip(bases, extra)]
 
 
 def find_secrets(docs: DataFrame, net: CharNetwork) -> DataFrame:

@@ -65,6 +65,45 @@ def test_candidates_that_no_rule_knows(net):
     assert np.mean(false) < 0.05
 
 
+def inside_a_path(run, words, rng, characters):
+    """A run in the middle of a longer one that starts and ends alike whatever the run is."""
+
+    def path():
+        out = ""
+        while len(out) < characters:
+            out += words[int(rng.integers(len(words)))] + "/_-"[int(rng.integers(3))]
+        return out[: characters - 1]
+
+    return f"download/archive/2024/{path()}/{run}/{path()}/some_long_file_name_01"
+
+
+def test_windows_hold_all_of_a_run():
+    for length in (1, 16, 43, 44, 45, 55, 56, 100, 1000):
+        parts = list(secret_scan.windows(7, 7 + length))
+        assert parts[0][0] == 7 and parts[-1][1] == 7 + length
+        assert all(0 < e - s <= secret_scan.INSIDE for s, e in parts)
+        assert all(0 < b[0] - a[0] <= secret_scan.STEP for a, b in zip(parts, parts[1:]))
+        assert length > secret_scan.INSIDE or len(parts) == 1
+
+
+@pytest.mark.parametrize("characters", [6, 60, 400])
+def test_a_key_in_the_middle_of_a_long_run(net, characters):
+    rng = np.random.default_rng(41)
+    context = prose(9, 30)
+    words = context.rstrip(".").split()
+    marks = ("ghp_", "xoxb-", "sk-")
+    made = [m[1] for m in (secret_scan.made_secret(rng) for _ in range(900)) if m[1].startswith(marks)]
+    plain = [secret_scan.made_lookalike(rng, words)[1] for _ in range(300)]
+    shares = []
+    for runs in (made, plain):
+        runs = [inside_a_path(run, words, rng, characters) for run in runs]
+        found = secret_scan.all_spans([f"{context} {run} {context}" for run in runs], net)
+        at = len(context) + 1
+        assert all(spans in ([], [("other", at, at + len(run))]) for run, (_, spans) in zip(runs, found))
+        shares.append(np.mean([bool(spans) for _, spans in found]))
+    assert shares[0] > 0.85 and shares[1] < 0.05
+
+
 def test_clean_texts_stay_clean(net):
     texts = [prose(n, 200) for n in range(200)] + ["mail und.34@mail7.example.com, call +1 (017) 555-7713, 9807915762804490"]
     assert all(not spans for _, spans in secret_scan.all_spans(texts, net))
