@@ -8,7 +8,8 @@ overlapping windows; it is as likely a secret as the likeliest of them.
 
 The labelled findings that the network learns from are of two sorts: what the
 rules find or refuse in a bounded sample of documents, and made-up secrets and
-look-alikes of well-known forms, set into contexts from the same sample.
+look-alikes of well-known forms, set into contexts from the same sample. A run
+that the rules refuse but that has a well-known form teaches nothing.
 """
 
 from __future__ import annotations
@@ -38,6 +39,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "other")
 _NAMES = ("passw", "secret", "token", "apikey", "api_key")
 
+# What the forms of made_secret begin with or follow on.
+KNOWN = re.compile(
+    r"(?<![a-z0-9])(gh[oprsu]_|xox[abprs]-|sk-|eyj|bearer\x20+|(aws_access|private_key|credential|key)\x20*[:=]\x20*)"
+    r"[a-z0-9_+/-]{20,}",
+    re.IGNORECASE | re.ASCII,
+)
 CANDIDATE = re.compile(r"[A-Za-z0-9_+/=-]{16,}")
 DOCUMENTS = 300  # documents whose contexts and findings are learned from
 PER_DOCUMENT = 8  # findings, and places for made-up ones, taken from each
@@ -49,6 +56,7 @@ STEP = INSIDE // 4  # between the windows of a run longer than INSIDE
 LEARNED_WINDOWS = 16  # windows of one finding to learn from, spread over it
 RECALL = 0.95  # share of labelled secrets that the threshold must let through
 EMBEDDING, FILTERS, SPAN = 12, 24, 5
+SEED = 5
 BATCH = 4096  # windows that the network reads at a time
 
 _ALPHABET = ascii_letters + digits + "_+/=-.:;,'\"@#$%&*!?()[]{}<>|\\~^` \n"
@@ -87,6 +95,11 @@ def windows(start: int, end: int) -> Iterator[tuple[int, int]]:
     yield last, end
 
 
+def of_known_form(text: str, start: int, end: int) -> bool:
+    """Whether a run holds what looks like a key of a well-known form."""
+    return bool(KNOWN.search(text[max(0, start - BEFORE) : end]))
+
+
 def encoded(text: str, start: int, end: int) -> np.ndarray:
     """Codes of what stands before a window, of the window and of what stands after it."""
     run = text[start:end]
@@ -138,11 +151,16 @@ class CharNetwork:
         return 1 / (1 + np.exp(-np.clip(self.logits(codes) / self.temperature, -40, 40)))
 
 
+def split(count: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Findings held out, one in four, and those to fit to."""
+    order = rng.permutation(count)
+    return order[::4], np.setdiff1d(order, order[::4])
+
+
 def train(findings: list[np.ndarray], y: np.ndarray, epochs: int = 10, rate: float = 5e-3) -> CharNetwork:
     """Fit by Adam to the likeliest window of each finding; every fourth one sets temperature and threshold instead."""
-    rng = np.random.default_rng(5)
-    order = rng.permutation(len(findings))
-    held, used = order[::4], np.setdiff1d(order, order[::4])
+    rng = np.random.default_rng(SEED)
+    held, used = split(len(findings), rng)
     net = CharNetwork(
         rng.normal(0, 0.5, (_CODES, EMBEDDING)).astype(np.float32),
         rng.normal(0, np.sqrt(2 / (SPAN * EMBEDDING)), (SPAN * EMBEDDING, FILTERS)).astype(np.float32),
@@ -189,7 +207,7 @@ def train(findings: list[np.ndarray], y: np.ndarray, epochs: int = 10, rate: flo
     net.temperature = _temperature(net.logits(codes), y[held])
     p = np.sort(net.probability(codes)[y[held] > 0])
     # The greatest threshold that keeps the set share of held-out secrets.
-    net.threshold = max(0.5, float(p[int(np.floor((1 - RECALL) * len(p)))])) if len(p) else 1.0
+    net.threshold = float(p[int(np.floor((1 - RECALL) * len(p)))]) if len(p) else 1.0
     return net
 
 
@@ -279,7 +297,7 @@ def findings(text: str, rng: np.random.Generator) -> Iterator[tuple[int | None,
     for kind, start, end in base:
         lead = re.match(r"[^:=]*[:=]\x20*[\"']?", text[start:end])[0] if kind == "assign" else ""
         places.append((1, start + len(lead), end))
-    places += [(0, start, end) for start, end in candidates(text, base)]
+    places += [(0, *span) for span in candidates(text, base) if not of_known_form(text, *span)]
     for n in rng.permutation(len(places))[:PER_DOCUMENT]:
         label, start, end = places[n]
         yield label, learned(text, start, end).tobytes(), "", ""
