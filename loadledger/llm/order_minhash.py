@@ -1,7 +1,8 @@
 """Order MinHash fingerprints, in DataFrame expressions only.
 
-A text is cut into units (words, long ones in parts). Every run of K units is a
-k-mer, numbered by how often it occurred before, so that repeats count. A sketch
+A text is cut into units: words, and of a longer run without white space all
+parts of UNIT_CHARS characters, one from each place on, so that units do not
+depend on where the run begins. Every run of K units is a k-mer, numbered by how often it occurred before, so that repeats count. A sketch
 selects the numbered k-mers whose hashes come first in its own order, lists them
 as they stand in the text, and hashes that list. Two texts agree in a sketch
 when they share its k-mers and have them in the same order, which falls with
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 
 from loadledger.llm.tables import shuffle_partitions, stage
 
-UNIT = r"\S{1,8}"
+UNIT_CHARS = 8
+# Matches nothing by itself, at every place where a unit starts, but not inside a surrogate pair; group 1 is the unit.
+UNIT = rf"(?![\uDC00-\uDFFF])(?=((?<!\S)\S{{1,{UNIT_CHARS}}}|\S{{{UNIT_CHARS}}}))"
 K = 2  # units in a k-mer
 SELECTED = 2  # k-mers in a sketch
 SKETCHES = 32
@@ -88,7 +91,7 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     A text without units (empty, or white space only) is hashed as it is.
     """
     others = df.columns
-    units = df.withColumn("_units", F.regexp_extract_all(F.col(text), F.lit(UNIT), F.lit(0)))
+    units = df.withColumn("_units", F.regexp_extract_all(F.col(text), F.lit(UNIT), F.lit(1)))
     kmers = units.withColumn(
         "_sorted",
         F.sort_array(

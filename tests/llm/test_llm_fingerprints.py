@@ -111,6 +111,23 @@ def test_numbering_matches_plain_python(spark):
     assert 0 <= same(longer, shorter) < 1
 
 
+def test_units_start_at_every_place_of_a_long_run(spark):
+    text = "ab word12 ninechars \t🙂🙃🙂é中🙂🙃🙂🙂 x"
+    df = spark.createDataFrame([(text,)], "text string")
+    units = df.select(F.regexp_extract_all("text", F.lit(omh.UNIT), F.lit(1)).alias("u")).first()["u"]
+    assert units == ["ab", "word12", "ninechar", "inechars", "🙂🙃🙂é中🙂🙃🙂", "🙃🙂é中🙂🙃🙂🙂", "x"]
+
+
+@pytest.mark.parametrize("alphabet", ["".join(map(chr, range(0x4E00, 0x5E00))), "ABCDabcdefghij0123456789+/", "".join(map(chr, range(0x1F300, 0x1F5FF)))])
+def test_a_shift_inside_a_text_without_blanks_changes_little(spark, alphabet):
+    rng = random.Random(6)
+    text, other = ("".join(rng.choice(alphabet) for _ in range(2000)) for _ in range(2))
+    texts = [text, "q" + text, text[1:], text[:900] + "q" + text[900:], other]
+    first, *near, far = prints(spark, texts)
+    assert all(same(first, p) > 0.85 for p in near)
+    assert same(first, far) < 0.1
+
+
 def test_repeats_nulls_and_empty_tables(spark):
     docs = [(1, "a b c d"), (1, "a b c d"), (2, None), (2, "other text"), (None, "zz zz")]
     rows = omh.fingerprints(documents(spark, docs)).collect()
