@@ -131,8 +131,18 @@ def _points(rows: DataFrame, keep: int) -> DataFrame:
     return points.select(name.alias("point"), "embedding", "ids")
 
 
+def _least_id(point: str) -> int:
+    return int(point.partition(":")[0])
+
+
 def _best(scores: np.ndarray, keep: int) -> np.ndarray:
-    return np.argpartition(-scores, keep - 1, 1)[:, :keep] if scores.shape[1] > keep else np.tile(np.arange(scores.shape[1]), (len(scores), 1))
+    """Columns of the ``keep`` greatest scores in each row, the first ones among equals."""
+    if scores.shape[1] <= keep:
+        return np.tile(np.arange(scores.shape[1]), (len(scores), 1))
+    last = -np.partition(-scores, keep - 1, 1)[:, keep - 1 : keep]
+    above, level = scores > last, scores == last
+    taken = above | (level & (np.cumsum(level, 1) <= keep - above.sum(1, keepdims=True)))
+    return np.nonzero(taken)[1].reshape(len(scores), keep)
 
 
 def _exact(query: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -273,6 +283,9 @@ def search(
     keep = k + 1 + SPARE
 
     def answer(held: pa.Table, asked: pa.Table) -> pa.Table:
+        # By least id, so that the first of several points with the same score is the one to keep.
+        points_held = held.column("point").to_pylist()
+        held = held.take(sorted(range(len(points_held)), key=lambda n: (_least_id(points_held[n]), points_held[n])))
         names, x = np.array(held.column("point").to_pylist(), object), _vectors(held.column("embedding").combine_chunks())
         where: dict[int, list[int]] = {}
         for n, bucket in enumerate(held.column("bucket").to_pylist()):
@@ -299,7 +312,7 @@ def search(
             if not parts:
                 continue
             both = np.concatenate(parts, 1)
-            order = np.argsort(-both[0], kind="stable")[:keep]
+            order = np.lexsort((both[1], -both[0]))[:keep]
             rows_ = both[1, order].astype(np.int64)
             queries_ += [asked_names[n]] * len(rows_)
             points_ += names[rows_].tolist()
@@ -307,7 +320,8 @@ def search(
         return pa.table({"query": pa.array(queries_, "string"), "point": pa.array(points_, "string"), "score": pa.array(scores_, "float64")})
 
     met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(answer, "query string, point string, score double")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("point"))
+    least = F.substring_index("point", ":", 1).cast("long")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), least, F.col("point"))
     merged = met.groupBy("query", "point").agg(F.max("score").alias("score"))
     merged = merged.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= keep).drop("n")
     # Points become ids, least first; one more than k, as a query's own id goes.

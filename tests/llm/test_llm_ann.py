@@ -71,6 +71,20 @@ def test_copies_and_ties(spark):
     assert recall(found, truth) >= 0.9
 
 
+def test_many_vectors_with_one_score_go_by_id(spark, monkeypatch):
+    monkeypatch.setattr(ann, "_calibrated", lambda *_: 500)  # reaches every cell
+    pairs = [[float(n in (a, b)) for n in range(16)] for a in range(16) for b in range(a)]
+    rows = [(0, [1.0] * 16)] + [(3 * n + 1, v) for n, v in enumerate(pairs[::-1])]
+    assert results(ann.search(table(spark, rows[::-1]), every=1000)) == brute(rows, 1000, 20)
+
+
+def test_the_first_of_equal_scores_are_best():
+    scores = np.random.default_rng(4).integers(0, 4, (50, 30)).astype(float)
+    for keep in (1, 7, 29, 30, 40):
+        wanted = np.sort(np.argsort(-scores, 1, kind="stable")[:, :keep], 1)
+        assert (np.sort(ann._best(scores, keep), 1) == wanted).all()
+
+
 def test_a_large_bucket_is_split(spark, monkeypatch):
     monkeypatch.setattr(ann, "PART_VALUES", 320)
     monkeypatch.setattr(ann, "PART_QUERIES", 3)
