@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from loadledger.llm import (
     ann,
     bpe,
+    exact_dedup,
+    filter_audit,
     near_dedup,
     order_minhash,
     packing,
@@ -80,6 +82,16 @@ def op10_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op13_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -91,6 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_order_minhash": op8_order_minhash,
     "op9_personal_data": op9_personal_data,
     "op10_multiprobe_neighbours": op10_multiprobe_neighbours,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_exact_copies": op13_exact_copies,
 }
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -134,4 +148,57 @@ ORACLE_SQL: dict[str, str] = {
             WHEN contains(d, '.ads.') THEN 'block'
             WHEN contains(path, '/login/') OR contains(path, '/tracking/') THEN 'block'
             ELSE 'allow' END AS verdict FROM r""",
+    "op12_filter_audit": r"""
+        WITH RECURSIVE letters AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+        ), orders AS (
+            SELECT f AS o FROM letters
+            UNION ALL
+            SELECT o || f FROM orders, letters WHERE strpos(o, f) = 0
+        ), d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+        ), w AS (
+            SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+                   min(doc_id) OVER (PARTITION BY text) AS first_id FROM d
+        ), l AS (
+            SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+        ), t AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   concat(CASE WHEN len(words) < 200 THEN 'A' END,
+                          CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+                          CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' END,
+                          CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+                          CASE WHEN first_id < w.doc_id THEN 'E' END) AS failed
+            FROM w LEFT JOIN l ON l.doc_id = w.doc_id
+        ), g AS (
+            SELECT part, failed, count(*) AS n, count(*) FILTER (WHERE good) AS good,
+                   count(*) FILTER (WHERE toxic) AS toxic FROM t GROUP BY part, failed
+        ), s AS (
+            SELECT o AS filter_order, i AS step, o[i:i] AS f, o[1:i-1] AS before
+            FROM orders, range(1, 6) r(i) WHERE length(o) = 5
+        ), j AS (
+            SELECT part, filter_order, CAST(step AS INT) AS step, f, failed, n, good, toxic,
+                   contains(failed, f) AS fails,
+                   before <> '' AND failed <> '' AND regexp_matches(failed, '[' || before || '_]') AS gone
+            FROM g, s
+        ), r AS (
+            SELECT part, filter_order, step, f,
+                   CAST(coalesce(sum(n) FILTER (WHERE NOT fails AND NOT gone), 0) AS BIGINT) AS kept,
+                   CAST(coalesce(sum(n) FILTER (WHERE fails AND NOT gone), 0) AS BIGINT) AS removed,
+                   CAST(coalesce(sum(n) FILTER (WHERE fails AND gone), 0) AS BIGINT) AS redundant,
+                   CAST(coalesce(sum(n) FILTER (WHERE failed = f), 0) AS BIGINT) AS unique_fails,
+                   CAST(coalesce(sum(good) FILTER (WHERE fails AND NOT gone), 0) AS BIGINT) AS good_lost,
+                   CAST(coalesce(sum(toxic) FILTER (WHERE fails AND NOT gone), 0) AS BIGINT) AS toxic_lost
+            FROM j GROUP BY part, filter_order, step, f
+        )
+        SELECT * EXCLUDE (f), CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r""",
+    "op13_exact_copies": """
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text FROM documents
+        ), g AS (
+            SELECT *, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS n FROM d
+        )
+        SELECT doc_id, keep_id, CAST(n AS BIGINT) AS group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
+               sha256(text) AS text_sha256
+        FROM g""",
 }
