@@ -17,6 +17,7 @@ from loadledger.llm import (
     packing,
     pii,
     quality,
+    ranked_search,
     secret_scan,
     url_filter,
     warc,
@@ -82,6 +83,12 @@ def op10_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(
         spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -103,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_order_minhash": op8_order_minhash,
     "op9_personal_data": op9_personal_data,
     "op10_multiprobe_neighbours": op10_multiprobe_neighbours,
+    "op11_ranked_search": op11_ranked_search,
     "op12_filter_audit": op12_filter_audit,
     "op13_exact_copies": op13_exact_copies,
 }
@@ -148,6 +156,35 @@ ORACLE_SQL: dict[str, str] = {
             WHEN contains(d, '.ads.') THEN 'block'
             WHEN contains(path, '/login/') OR contains(path, '/tracking/') THEN 'block'
             ELSE 'allow' END AS verdict FROM r""",
+    "op11_ranked_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+        ), i AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+        ), c AS (
+            SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(len(terms)) AS BIGINT) AS ll FROM d WHERE len(terms) > 0
+        ), t AS (
+            SELECT r, doc_id, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM d
+        ), p AS (
+            SELECT r, doc_id, n, term, count(*) AS tf FROM t
+            WHERE term IN (SELECT term FROM i) GROUP BY r, doc_id, n, term
+        ), w AS (
+            SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * nn + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+            FROM p, c GROUP BY term, nn
+        ), s AS (
+            SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf)
+                       // (1000 * tf + 8 * (10 + (90 * n * nn) // ll)))) AS BIGINT) AS score
+            FROM i JOIN p USING (term) JOIN w USING (term), c GROUP BY item_id, r, doc_id
+        ), k AS (
+            SELECT item_id, CAST(row_number() OVER (
+                       PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank, doc_id, score
+            FROM s WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10""",
     "op12_filter_audit": r"""
         WITH RECURSIVE letters AS (
             SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
