@@ -2,27 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadledger.contract import CANONICAL, DAY_KEY, RECORD_FIELDS
+from loadledger.contract import CANONICAL, DAY_KEY
 
 NEW, UNCHANGED, REVISION = "NEW", "UNCHANGED", "REVISION"
 WRITE, SKIP, CONFLICT = "write", "skip", "conflict"
 WITH_NULLS = "map('ignoreNullFields', 'false')"
 
 
+def whole_record(names: Sequence[str]) -> str:
+    """SQL for a record of these columns as canonical JSON.
+
+    As a variant value a record holds its keys sorted, also those of objects
+    within it; it is written without white space, a null field as ``null``.
+    """
+    fields = ", ".join(f"`{name}`" for name in names)
+    return f"to_json(parse_json(to_json(struct({fields}), {WITH_NULLS})))"
+
+
 def day_records(records: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """One row per day with its records as sorted compact JSON objects.
+    """One row per day with its records as sorted canonical JSON objects.
 
-    ``records`` carries the declared ``date`` next to the record fields. A
-    repeated reading key fails the job, so a day collects no more than one
-    entry per hour and type it holds.
+    ``records`` carries the declared ``date`` next to the record fields: the
+    declared ones and any others a source may send. Where there is a column
+    ``record``, that variant is the whole record instead. A repeated reading key fails the
+    job, so a day collects no more than one entry per hour and type it holds.
     """
-    fields = ", ".join(f"`{name}`" for name in RECORD_FIELDS)
     group = (*DAY_KEY, *extra)
+    apart = {"date", "version", *extra}
+    if "record" in records.columns:
+        whole = "to_json(record)"
+    else:
+        whole = whole_record([name for name in records.columns if name not in apart])
     keyed = records.groupBy(*group, "period", "type").agg(
-        F.expr("count(*) AS n"), F.expr(f"max(to_json(struct({fields}), {WITH_NULLS})) AS record")
+        F.expr("count(*) AS n"), F.expr(f"max({whole}) AS record")
     )
     entry = """struct(period, type, CASE WHEN n = 1 THEN record ELSE CAST(raise_error(
         concat_ws(' ', 'duplicate record:', period, respondent, type)) AS STRING) END AS record)"""
@@ -35,11 +52,11 @@ def day_records(records: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 
 
 def day_fingerprint(records: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """SHA-256 over a day's records in canonical form.
+    """SHA-256 over a day's whole records in canonical form.
 
-    Records are sorted, fields are in name order, a null field is ``null`` and there
-    is no white space, so file layout and record order do not matter. The seven
-    declared fields take part; others that a file may hold do not.
+    Records are sorted, keys are sorted at every depth, a null field is ``null`` and there
+    is no white space, so file layout, key order and record order do not matter. Fields
+    beyond the declared ones take part: a day in which only one of those changes is another day.
     """
     return day_records(records, extra).select(
         *DAY_KEY, *extra, "record_count", F.sha2("records_json", 256).alias("fingerprint")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from loadledger.contract import (
@@ -127,6 +127,9 @@ def not_empty_report(df: DataFrame, name: str, first: int = 0) -> DataFrame:
 NAMED = 5  # rows that a message names; the reports themselves hold all
 
 
+Finding = tuple[int, str, int]  # ordinal, check, violations
+
+
 def enforce(report: DataFrame, culprits: dict[str, DataFrame] | None = None) -> None:
     """Raise for the first broken rule. A report has one row per rule, so it is small.
 
@@ -134,16 +137,82 @@ def enforce(report: DataFrame, culprits: dict[str, DataFrame] | None = None) ->
     first of them.
     """
     broken = report.filter(F.col("violations") > 0).orderBy("ordinal").limit(1).collect()
-    if not broken:
+    enforce_findings([(r["ordinal"], r["check"], r["violations"]) for r in broken], culprits)
+
+
+def enforce_findings(
+    findings: Sequence[Finding], culprits: dict[str, DataFrame] | None = None
+) -> None:
+    """``enforce`` for a report that is at hand already."""
+    broken = min((f for f in findings if f[2] > 0), default=None)
+    if broken is None:
         return
-    message = f"{broken[0]['check']}: {broken[0]['violations']} violations"
-    rows = (culprits or {}).get(broken[0]["check"])
+    _, check, violations = broken
+    message = f"{check}: {violations} violations"
+    rows = (culprits or {}).get(check)
     if rows is not None:
         first = rows.orderBy(*rows.columns).limit(NAMED).collect()
         message += f" (first: {'; '.join(' '.join(map(str, r)) for r in first)})"
     raise QualityError(message)
 
 
+class Watch:
+    """Rules that are checked on rows on their way through a write.
+
+    ``numbered`` goes before the rows are dealt out for writing, ``watched`` after
+    it, in the stage that writes. There a task's counts enter once however often
+    it is tried, and the gate needs no second look at what was written.
+    """
+
+    NTH = "_nth"
+
+    def __init__(
+        self,
+        rules: Sequence[Rule] = (),
+        unique: Sequence[str] = (),
+        unique_name: str = "unique key",
+        first: int = 1,
+        tallied: str | None = None,
+    ) -> None:
+        self.rules, self.unique, self.first, self.tallied = rules, unique, first, tallied
+        self.names = [rule.name for rule in rules] + ([unique_name] if unique else [])
+        self.observation = Observation()
+
+    def numbered(self, df: DataFrame) -> DataFrame:
+        """The rows of a key numbered, so that the second of each tells a repeated key."""
+        if not self.unique:
+            return df
+        same = Window.partitionBy(*self.unique).orderBy(*self.unique)
+        return df.withColumn(self.NTH, F.row_number().over(same))
+
+    def watched(self, df: DataFrame, tallies: Sequence[str] = ()) -> DataFrame:
+        """Count what breaks each rule, and the rows for each of the values of the tallied column."""
+        tests = [rule.broken for rule in self.rules] + ([f"{self.NTH} = 2"] if self.unique else [])
+        tests += [f"{self.tallied} = {sql_text(value)}" for value in tallies]
+        counts = [
+            F.expr(f"sum(CASE WHEN {test} THEN 1 ELSE 0 END)").alias(f"r{i}")
+            for i, test in enumerate(tests)
+        ]
+        self._tallies = list(tallies)
+        counts.append(F.count(F.lit(1)).alias("rows"))
+        return df.observe(self.observation, *counts).drop(self.NTH)
+
+    def _count(self, name: str) -> int:
+        return self.observation.get.get(name) or 0
+
+    def findings(self) -> list[Finding]:
+        """The report, once the rows are written."""
+        return [(self.first + i, name, self._count(f"r{i}")) for i, name in enumerate(self.names)]
+
+    def tally(self) -> dict[str, int]:
+        """Rows by value of the tallied column, once they are written."""
+        at = len(self.names)
+        return {value: self._count(f"r{at + i}") for i, value in enumerate(self._tallies)}
+
+    def rows(self) -> int:
+        return self._count("rows")
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))

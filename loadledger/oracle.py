@@ -91,9 +91,9 @@ def _records(source: str, value: str = "CAST(CAST(value AS DECIMAL(18,2)) AS VAR
     FROM {source}"""
 
 
-def _days(source: str) -> str:
+def _days(source: str, first: str = "''") -> str:
     record = (
-        "'{\"period\":\"' || period || '\",\"respondent\":\"' || respondent || "
+        f"'{{' || {first} || " "'\"period\":\"' || period || '\",\"respondent\":\"' || respondent || "
         "'\",\"respondent-name\":\"' || respondent_name || '\",\"type\":\"' || type || "
         "'\",\"type-name\":\"' || type_name || '\",\"value\":\"' || value || "
         "'\",\"value-units\":\"' || value_units || '\"}'"
@@ -106,6 +106,31 @@ def _days(source: str) -> str:
       FROM {source} GROUP BY date, respondent) AS built"""
 
 
+
+def _origin(edition: str) -> str:
+    return f"""'"origin":{{"edition":' || ({edition}) || ',"unit":"' || value_units || '"}},'"""
+
+
+def _diff(mine: str, theirs: str) -> str:
+    return f"""
+    SELECT coalesce(m.period, t.period) AS period, coalesce(m.respondent, t.respondent) AS respondent,
+      coalesce(m.type, t.type) AS type,
+      CASE WHEN t.period IS NULL THEN 'missing' WHEN m.period IS NULL THEN 'extra'
+        WHEN m.value IS DISTINCT FROM t.value THEN 'value_change'
+        WHEN m.type_name IS DISTINCT FROM t.type_name
+          OR m.respondent_name IS DISTINCT FROM t.respondent_name
+          OR m.value_units IS DISTINCT FROM t.value_units THEN 'metadata_change'
+        ELSE 'equal' END AS status,
+      t.value AS old_value, m.value AS new_value, coalesce(m.value_units, t.value_units) AS unit,
+      CASE WHEN m.period IS NOT NULL AND t.period IS NOT NULL THEN concat_ws(',',
+        CASE WHEN m.respondent_name IS DISTINCT FROM t.respondent_name THEN 'respondent-name' END,
+        CASE WHEN m.type_name IS DISTINCT FROM t.type_name THEN 'type-name' END,
+        CASE WHEN m.value IS DISTINCT FROM t.value THEN 'value' END,
+        CASE WHEN m.value_units IS DISTINCT FROM t.value_units THEN 'value-units' END) END AS changed_fields
+    FROM {mine} m FULL JOIN {theirs} t
+      ON m.period = t.period AND m.respondent = t.respondent AND m.type = t.type"""
+
+
 CTES = {
     "readings": f"""
     SELECT strftime(ts, '%Y-%m-%dT%H') AS period,
@@ -141,6 +166,11 @@ CTES = {
     "theirs": _records("latest_first", "level"),
     "days_all": _days("records_all"),
     "days_first": _days("records_first"),
+    # with an eighth field, an object, that differs in the second edition
+    "editions_one": _days("records_all", _origin("1")),
+    "editions_two": _days(
+        "records_all", _origin("CASE WHEN respondent = 'WEB' AND day(date) % 2 = 0 THEN 2 ELSE 1 END")
+    ),
     # what the landing zone holds after both deliveries
     "landed": """
     SELECT date, respondent, 'canonical' AS version, record_count, records_json FROM days_first
@@ -229,23 +259,8 @@ CTES = {
     SELECT * FROM hourly_all h WHERE EXISTS (
       SELECT 1 FROM latest_actions l WHERE l.period = h.period AND l.respondent = h.respondent
         AND l.action IN ('inserted', 'updated'))""",
-    "diff": """
-    SELECT coalesce(m.period, t.period) AS period, coalesce(m.respondent, t.respondent) AS respondent,
-      coalesce(m.type, t.type) AS type,
-      CASE WHEN t.period IS NULL THEN 'missing' WHEN m.period IS NULL THEN 'extra'
-        WHEN m.value IS DISTINCT FROM t.value THEN 'value_change'
-        WHEN m.type_name IS DISTINCT FROM t.type_name
-          OR m.respondent_name IS DISTINCT FROM t.respondent_name
-          OR m.value_units IS DISTINCT FROM t.value_units THEN 'metadata_change'
-        ELSE 'equal' END AS status,
-      t.value AS old_value, m.value AS new_value, coalesce(m.value_units, t.value_units) AS unit,
-      CASE WHEN m.period IS NOT NULL AND t.period IS NOT NULL THEN concat_ws(',',
-        CASE WHEN m.respondent_name IS DISTINCT FROM t.respondent_name THEN 'respondent-name' END,
-        CASE WHEN m.type_name IS DISTINCT FROM t.type_name THEN 'type-name' END,
-        CASE WHEN m.value IS DISTINCT FROM t.value THEN 'value' END,
-        CASE WHEN m.value_units IS DISTINCT FROM t.value_units THEN 'value-units' END) END AS changed_fields
-    FROM mine m FULL JOIN theirs t
-      ON m.period = t.period AND m.respondent = t.respondent AND m.type = t.type""",
+    "diff": _diff("mine", "theirs"),
+    "diff_all": _diff("records_all", "records_first"),
     "ranked_days": """
     SELECT *, row_number() OVER (PARTITION BY respondent ORDER BY date DESC) AS day_rank FROM (
       SELECT date, respondent, count(*) AS hours,
@@ -401,6 +416,21 @@ def _strings() -> dict[str, str]:
                 AND f.respondent = s.respondent AND f.type = s.type)""",
         "merge_latest": f"SELECT {KEY}, {_picked_latest()}, action FROM latest_actions",
         "merge_stats": "SELECT action, count(*) AS row_count FROM latest_actions GROUP BY action",
+        "validity_intervals": f"""
+            SELECT {KEY}, source_path, source_modified_at AS valid_from, lead(source_modified_at) OVER (
+              PARTITION BY {KEY} ORDER BY source_modified_at, source_path, content_hash) AS valid_to
+            FROM readings""",
+        "as_of": f"""
+            SELECT {KEY}, asked_by, as_of, value, source_path, source_modified_at FROM (
+              SELECT a.asked_by, a.as_of, r.*, row_number() OVER (
+                PARTITION BY a.asked_by, a.as_of
+                ORDER BY r.source_modified_at DESC, r.source_path DESC, r.content_hash DESC) AS rn
+              FROM (
+                SELECT {KEY}, source_path AS asked_by, unnest([source_modified_at + INTERVAL 10 MINUTE,
+                  source_modified_at + INTERVAL 12 HOUR]) AS as_of FROM readings) AS a
+              JOIN readings r ON r.period = a.period AND r.respondent = a.respondent AND r.type = a.type
+                AND r.source_modified_at <= a.as_of) AS paired
+            WHERE rn = 1""",
         "key_lookup": """
             SELECT period, type, value, source_modified_at, source_path FROM latest_all
             WHERE period = '2024-01-15T12' AND respondent = 'WEB'""",
@@ -415,18 +445,8 @@ def _strings() -> dict[str, str]:
         "daily_kpi": f"SELECT {DAILY_COLUMNS}, hour_count = 24 AS is_complete FROM daily_all",
         "merge_daily": DAILY_MERGE,
         "latest_dates": "SELECT DISTINCT date FROM daily_all ORDER BY date DESC LIMIT 10",
-        "trailing_kpi": """
-            SELECT respondent, window_days, first_date, last_date, hour_count,
-              hour_count = window_days * 24 AS is_covered, total_energy_mwh, peak_demand_mwh,
-              abs_error / hour_count AS mae_mwh,
-              100.0 * (1.0 - abs_error / total_energy_mwh) AS accuracy_pct
-            FROM (
-              SELECT d.respondent, s.window_days, min(d.date) AS first_date, max(d.date) AS last_date,
-                CAST(sum(d.hours) AS BIGINT) AS hour_count,
-                CAST(sum(d.energy) AS DOUBLE) AS total_energy_mwh, max(d.peak) AS peak_demand_mwh,
-                CAST(sum(d.abs_error) AS DOUBLE) AS abs_error
-              FROM ranked_days d JOIN spans s ON d.day_rank <= s.window_days
-              GROUP BY d.respondent, s.window_days) AS sums""",
+        "trailing_kpi": _TRAILING,
+        "trailing_refresh": _TRAILING,
         "weekend_share": f"""
             SELECT respondent, weekend_energy_mwh, total_energy_mwh,
               weekend_energy_mwh / total_energy_mwh AS weekend_share
@@ -484,6 +504,24 @@ def _strings() -> dict[str, str]:
             UNION ALL SELECT 3, 'unique key', count(*) FROM (
               SELECT date, respondent FROM daily_twice GROUP BY date, respondent
               HAVING count(*) > 1) AS b""",
+        "gated_write": f"""
+            SELECT 1 AS ordinal, 'required fields' AS "check", count(*) AS violations FROM readings
+            WHERE period IS NULL OR respondent IS NULL OR type IS NULL OR value IS NULL
+            UNION ALL SELECT 2, 'type in domain', count(*) FROM readings WHERE type NOT IN ('D', 'DF')
+            UNION ALL SELECT 3, 'latest unique', count(*) FROM (
+              SELECT {KEY} FROM readings GROUP BY {KEY} HAVING count(*) > 1) AS a
+            UNION ALL SELECT 10, 'latest rows', count(*) FROM readings
+            UNION ALL SELECT 11, 'actual and forecast paired', count(*) FROM hourly_twice WHERE {_missing(HOURLY)}
+            UNION ALL SELECT 12, 'hourly unique', count(*) FROM (
+              SELECT period, respondent FROM hourly_twice GROUP BY period, respondent
+              HAVING count(*) > 1) AS b
+            UNION ALL SELECT 20, 'hourly rows', count(*) FROM hourly_twice
+            UNION ALL SELECT 21, 'required fields', count(*) FROM daily_twice WHERE {_missing(DAILY_COLUMNS)}
+            UNION ALL SELECT 22, 'complete days', count(*) FROM daily_twice WHERE hour_count <> 24
+            UNION ALL SELECT 23, 'daily unique', count(*) FROM (
+              SELECT date, respondent FROM daily_twice GROUP BY date, respondent
+              HAVING count(*) > 1) AS c
+            UNION ALL SELECT 30, 'daily rows', count(*) FROM daily_twice""",
         "dq_complete_days": """
             SELECT date, respondent, hour_count FROM daily_all WHERE hour_count <> 24""",
         "dq_coverage": f"""
@@ -531,6 +569,33 @@ def _strings() -> dict[str, str]:
             SELECT DISTINCT {KEY}, 'unexpected' FROM readings r WHERE NOT EXISTS (
               SELECT 1 FROM grid g WHERE r.period = g.period
                 AND r.respondent = g.respondent AND r.type = g.type)""",
+        "coverage_bitmap": f"""
+            SELECT {KEY}, 'missing' AS gap FROM grid g WHERE NOT EXISTS (
+              SELECT 1 FROM readings r WHERE r.period = g.period
+                AND r.respondent = g.respondent AND r.type = g.type)
+            UNION ALL
+            SELECT DISTINCT {KEY}, 'unexpected' FROM readings r WHERE NOT EXISTS (
+              SELECT 1 FROM grid g WHERE r.period = g.period
+                AND r.respondent = g.respondent AND r.type = g.type)""",
+        "day_masks": """
+            SELECT CAST(substr(period, 1, 10) AS DATE) AS date, respondent, bit_or(bit) AS mask,
+              CAST(bit_count(bit_or(bit)) AS INTEGER) AS readings,
+              CAST(48 - bit_count(bit_or(bit)) AS INTEGER) AS missing
+            FROM (
+              SELECT *, CAST(1 AS BIGINT) << (CAST(substr(period, 12, 2) AS INTEGER)
+                + CASE WHEN type = 'DF' THEN 24 ELSE 0 END) AS bit FROM readings) AS placed
+            GROUP BY ALL""",
+        "gap_runs": """
+            SELECT respondent, type, strftime(min(ts), '%Y-%m-%dT%H') AS first_period,
+              strftime(max(ts), '%Y-%m-%dT%H') AS last_period, count(*) AS hours
+            FROM (
+              SELECT respondent, type, ts, ts - INTERVAL 1 HOUR
+                * row_number() OVER (PARTITION BY respondent, type ORDER BY ts) AS island
+              FROM (
+                SELECT *, strptime(period, '%Y-%m-%dT%H') AS ts FROM grid g WHERE NOT EXISTS (
+                  SELECT 1 FROM first_rows r WHERE r.period = g.period
+                    AND r.respondent = g.respondent AND r.type = g.type)) AS open) AS numbered
+            GROUP BY respondent, type, island""",
         # landing
         "landing_accept": """
             SELECT kind, path FROM candidates
@@ -574,6 +639,11 @@ def _strings() -> dict[str, str]:
               SELECT strftime(ts, '%Y-%m-%dT%H') AS period FROM events
               UNION SELECT strftime(ts, '%Y-%m-%d %H') FROM events
               UNION SELECT strftime(ts, '%Y/%m/%dT%H') FROM events) AS texts""",
+        "record_digest": """
+            SELECT b.date, b.respondent, b.record_count, b.fingerprint,
+              CASE WHEN a.fingerprint = b.fingerprint THEN 'UNCHANGED' ELSE 'REVISION' END AS status,
+              CASE WHEN a.fingerprint <> b.fingerprint THEN b.fingerprint END AS revision_id
+            FROM editions_two b JOIN editions_one a ON a.date = b.date AND a.respondent = b.respondent""",
         "day_fingerprint": "SELECT date, respondent, record_count, fingerprint FROM days_all",
         "classify_days": "SELECT * FROM classified",
         "landing_conflicts": """
@@ -582,6 +652,8 @@ def _strings() -> dict[str, str]:
             FROM classified""",
         # compare
         "snapshot_diff": f"SELECT {KEY}, status, old_value, new_value, unit FROM diff",
+        "digest_diff": f"SELECT {KEY}, status, old_value, new_value, unit FROM diff_all WHERE status <> 'equal'",
+        "digest_summary": "SELECT status, count(*) AS key_count FROM diff_all GROUP BY status",
         "changed_fields": f"SELECT {KEY}, changed_fields FROM diff WHERE changed_fields <> ''",
         "diff_summary": "SELECT status, count(*) AS key_count FROM diff GROUP BY status",
         "reconcile": """
@@ -695,5 +767,19 @@ def _strings() -> dict[str, str]:
     }
 
 
+_TRAILING = """
+            SELECT respondent, window_days, first_date, last_date, hour_count,
+              hour_count = window_days * 24 AS is_covered, total_energy_mwh, peak_demand_mwh,
+              abs_error / hour_count AS mae_mwh,
+              100.0 * (1.0 - abs_error / total_energy_mwh) AS accuracy_pct
+            FROM (
+              SELECT d.respondent, s.window_days, min(d.date) AS first_date, max(d.date) AS last_date,
+                CAST(sum(d.hours) AS BIGINT) AS hour_count,
+                CAST(sum(d.energy) AS DOUBLE) AS total_energy_mwh, max(d.peak) AS peak_demand_mwh,
+                CAST(sum(d.abs_error) AS DOUBLE) AS abs_error
+              FROM ranked_days d JOIN spans s ON d.day_rank <= s.window_days
+              GROUP BY d.respondent, s.window_days) AS sums"""
+
+
 def queries() -> dict[str, str]:
     return {name: _q(text.strip()) for name, text in _strings().items()}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,16 +23,19 @@ from loadledger.operators.daily import daily_kpi
 from loadledger.operators.hourly import paired_hours, pivot_hourly
 from loadledger.operators.merge import (
     INSERTED,
+    KEPT,
+    UNCHANGED,
     UPDATED,
     merge_daily,
     merge_hourly,
-    merge_stats,
 )
 from loadledger.operators.quality import (
     Rule,
+    Watch,
     daily_rules,
     duplicate_keys,
     enforce,
+    enforce_findings,
     hourly_rules,
     incomplete_days,
     latest_rules,
@@ -55,6 +58,7 @@ from loadledger.sources.landing import (
 from loadledger.sources.tables import LAYERS, bounds_of, on_dates_of, read_layer, with_date
 
 STATS = "layer string, action string, row_count bigint"
+ACTIONS = (INSERTED, UPDATED, UNCHANGED, KEPT)
 # What a decoded batch may carry beside the history columns.
 TOTALS = ("declared_total", "record_count")
 
@@ -112,7 +116,8 @@ def incremental_refresh(
     them count. A run that dies before it leaves the tables as they were.
 
     ``require_complete`` stops the run on hours without both measure types and
-    on days with a wrong number of hours.
+    on days with a wrong number of hours. What the run supersedes stays on disk
+    until ``tables.clean_up``, so results that are held stay readable.
     """
     pin_utc(spark)
     run = uuid.uuid4().hex
@@ -127,8 +132,6 @@ def incremental_refresh(
             if not published:
                 for layer in LAYERS:
                     remove(spark, tables.run_path(root, layer, run))
-    if entries is not None:
-        tables.clean_up(spark, root)
     return spark.createDataFrame(stats, STATS)
 
 
@@ -154,54 +157,60 @@ def _refresh(
         return rows.select(*LAYERS[layer].names)
 
     resolved = stage_in(known_versions(incoming, stored("history", incoming)), folder, "resolved")
+    stats: list[tuple[str, str, int]] = []
+
+    def written(
+        rows: DataFrame, layer: str, watch: Watch, culprits: Callable[[DataFrame], dict[str, DataFrame]]
+    ) -> DataFrame:
+        """Write a layer's dates; the gate and the outcomes come out of the same pass."""
+        found = tables.write_run(rows, root, layer, run, watch, ACTIONS)
+        enforce_findings(watch.findings(), culprits(found))
+        stats.extend((layer, action, n) for action, n in watch.tally().items() if n)
+        return found
+
     newest = latest_per_key(resolved.select(*HISTORY_SCHEMA.names))
-    merged = with_date(merge_latest(stored("latest", incoming), newest))
-    latest = tables.write_run(merged, root, "latest", run)
+    latest = written(
+        with_date(merge_latest(stored("latest", incoming), newest)),
+        "latest",
+        Watch(latest_rules(contract), READING_KEY, "latest unique", 1, "action"),
+        lambda rows: {"latest unique": duplicate_keys(rows, READING_KEY)},
+    )
     touched = _changed(latest)
 
     readings = on_dates_of(latest, touched).join(
         touched.select(*HOUR_KEY).distinct(), list(HOUR_KEY), "left_semi"
     )
-    hours = merge_hourly(stored("hourly", touched), pivot_hourly(readings, contract))
-    hourly = tables.write_run(hours, root, "hourly", run)
+    hourly = written(
+        merge_hourly(stored("hourly", touched), pivot_hourly(readings, contract)),
+        "hourly",
+        Watch(hourly_rules() if require_complete else [], HOUR_KEY, "hourly unique", 11, "action"),
+        lambda rows: {
+            "actual and forecast paired": unpaired_hours(rows),
+            "hourly unique": duplicate_keys(rows, HOUR_KEY),
+        },
+    )
     changed_days = _changed(hourly).select(*DAY_KEY).distinct()
     whole = paired_hours(hourly.join(changed_days, list(DAY_KEY), "left_semi"))
-    days = merge_daily(stored("daily", touched), daily_kpi(whole))
-    daily = tables.write_run(days, root, "daily", run)
-    fresh = tables.write_run(
-        resolved.filter("fresh").select(*HISTORY_SCHEMA.names, "date"), root, "history", run
-    )
-
-    hour_rules = hourly_rules() if require_complete else []
-    day_rules = daily_rules(contract) if require_complete else []
-    gates = (
-        quality_report(latest, latest_rules(contract), READING_KEY, "latest unique", 1)
-        .unionByName(quality_report(hourly, hour_rules, HOUR_KEY, "hourly unique", 11))
-        .unionByName(quality_report(daily, day_rules, DAY_KEY, "daily unique", 21))
-    )
-    enforce(
-        gates,
-        {
-            "actual and forecast paired": unpaired_hours(hourly),
-            "complete days": incomplete_days(daily, contract),
-            "latest unique": duplicate_keys(latest, READING_KEY),
-            "hourly unique": duplicate_keys(hourly, HOUR_KEY),
-            "daily unique": duplicate_keys(daily, DAY_KEY),
+    daily = written(
+        merge_daily(stored("daily", touched), daily_kpi(whole)),
+        "daily",
+        Watch(daily_rules(contract) if require_complete else [], DAY_KEY, "daily unique", 21, "action"),
+        lambda rows: {
+            "complete days": incomplete_days(rows, contract),
+            "daily unique": duplicate_keys(rows, DAY_KEY),
         },
     )
+    appended = Watch()
+    fresh = tables.write_run(
+        resolved.filter("fresh").select(*HISTORY_SCHEMA.names, "date"), root, "history", run, appended
+    )
+    if appended.rows():
+        stats.append(("history", INSERTED, appended.rows()))
 
-    merges = {"latest": latest, "hourly": hourly, "daily": daily}
-    counted = spark.createDataFrame([], STATS)
     entries = fresh.select(F.lit("history").alias("layer"), "date")
-    for layer, rows in merges.items():
-        named = merge_stats(rows).withColumn("layer", F.lit(layer))
-        counted = counted.unionByName(named.select("layer", "action", "row_count"))
+    for layer, rows in {"latest": latest, "hourly": hourly, "daily": daily}.items():
         entries = entries.unionByName(_changed(rows).select(F.lit(layer).alias("layer"), "date"))
-    added = fresh.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit("history").alias("layer"), F.lit(INSERTED).alias("action"), "row_count"
-    )
-    found = counted.unionByName(added).filter("row_count > 0").collect()
-    return list(map(tuple, found)), entries.distinct().withColumn("run", F.lit(run))
+    return stats, entries.distinct().withColumn("run", F.lit(run))
 
 
 def new_files(files: DataFrame, history: DataFrame, contract: SeriesContract) -> DataFrame:

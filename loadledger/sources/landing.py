@@ -31,6 +31,10 @@ from loadledger.operators.quality import QualityError, Rule, audit_days, enforce
 from loadledger.session import scratch, stage_in
 
 
+# A payload's records as they are, whatever fields they hold.
+WHOLE_RECORDS = "response STRUCT<data: ARRAY<VARIANT>>"
+
+
 def open_zone(spark: SparkSession, root: str) -> None:
     """Create an empty landing zone if there is none; without rows no file is written."""
     nothing = spark.createDataFrame([], "value string, respondent string")
@@ -86,14 +90,18 @@ def accepted_counts(files: DataFrame, contract: SeriesContract) -> DataFrame:
 def decode_payload(files: DataFrame) -> DataFrame:
     """Files with their payload as a struct and the fingerprint of their bytes.
 
-    A file that is no valid payload gets null parts, not an error.
+    A file that is no valid payload gets null parts, not an error. ``records`` are
+    the whole records, with fields that the payload's schema does not name; they
+    are parsed only where a later step uses them.
     """
-    payload = F.from_json(F.col("content").cast("string"), PAYLOAD_SCHEMA)
+    text = F.col("content").cast("string")
+    payload = F.from_json(text, PAYLOAD_SCHEMA)
     return files.select(
         source_of("path").alias("source_path"),
         F.col("modificationTime").alias("source_modified_at"),
         content_fingerprint("content").alias("content_hash"),
         payload.alias("payload"),
+        F.from_json(text, WHOLE_RECORDS)["response"]["data"].alias("records"),
     ).select(
         "*",
         path_respondent(F.concat("source_path", F.lit("/"))).alias("path_respondent"),
@@ -122,11 +130,11 @@ def declared_totals(decoded: DataFrame) -> DataFrame:
     )
 
 
-def explode_records(decoded: DataFrame) -> DataFrame:
-    """One row per record, all fields as text.
+def explode_records(decoded: DataFrame, whole: bool = False) -> DataFrame:
+    """One row per record, all declared fields as text.
 
     A file without records gives one row of nulls, so that the required-field
-    rule sees it.
+    rule sees it. ``whole`` adds ``record``, the record with all its fields.
     """
     seen_at = F.try_to_timestamp(F.col("payload.ingestion_metadata.downloaded_at_utc"))
     declared, actual = _totals()
@@ -140,10 +148,14 @@ def explode_records(decoded: DataFrame) -> DataFrame:
         seen_at.alias("observed_at"),
         declared.alias("declared_total"),
         actual.alias("record_count"),
-        F.explode_outer("payload.response.data").alias("record"),
+        *(("records",) if whole else ()),
+        F.posexplode_outer("payload.response.data").alias("_at", "_declared"),
     )
-    fields = [F.col(f"record.`{name}`").alias(name) for name in RECORD_FIELDS]
-    return rows.select(*[c for c in rows.columns if c != "record"], *fields)
+    fields = [F.col(f"_declared.`{name}`").alias(name) for name in RECORD_FIELDS]
+    if whole:
+        fields.append(F.get("records", "_at").alias("record"))
+    kept = [c for c in rows.columns if c not in ("_at", "_declared", "records")]
+    return rows.select(*kept, *fields)
 
 
 def to_history(
@@ -197,7 +209,7 @@ def landed_days(decoded: DataFrame) -> DataFrame:
     ``check_landed`` says beforehand whether all files can be read; of one that
     cannot, no row comes out.
     """
-    rows = explode_records(decoded).filter("period IS NOT NULL")
+    rows = explode_records(decoded, whole=True).filter("period IS NOT NULL")
     rows = rows.withColumn("date", F.col("path_date"))
     return day_fingerprint(rows, extra=("version", "source_modified_at", "source_path"))
 
@@ -205,7 +217,7 @@ def landed_days(decoded: DataFrame) -> DataFrame:
 def payload_text(
     records: DataFrame, extra: tuple[str, ...] = (), seen_at: datetime | None = None
 ) -> DataFrame:
-    """One JSON payload per day: sorted records, their number as text, the download time."""
+    """One JSON payload per day: sorted whole records, their number as text, the download time."""
     days = day_records(records, extra)
     total = F.col("record_count").cast("string")
     head = '{"response":{"data":'

@@ -8,9 +8,10 @@ runs count there. One writer at a time is assumed.
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Sequence
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,7 @@ from loadledger.contract import (
     LATEST_SCHEMA,
 )
 from loadledger.functions.columns import period_date
+from loadledger.operators.quality import Watch
 from loadledger.operators.versions import key_lookup
 from loadledger.session import remove
 
@@ -30,7 +32,7 @@ LAYERS: dict[str, T.StructType] = {
     "hourly": HOURLY_SCHEMA,
     "daily": DAILY_SCHEMA,
 }
-COMMITS = "layer string, date date, run string, seq bigint"
+COMMITS = "layer string, date date, run string, seq bigint, at timestamp"
 
 Bounds = tuple[date, date]
 
@@ -63,7 +65,9 @@ def committed(spark: SparkSession, root: str) -> DataFrame:
 def commit(spark: SparkSession, root: str, entries: DataFrame) -> None:
     """Make (layer, date, run) rows count, all at once: they are one file, moved into place."""
     top = _commits(spark, root).agg(F.coalesce(F.max("seq"), F.lit(0)) + 1).first()[0]
-    rows = entries.select("layer", "date", "run", F.lit(top).cast("bigint").alias("seq"))
+    rows = entries.select(
+        "layer", "date", "run", F.lit(top).cast("bigint").alias("seq"), F.current_timestamp().alias("at")
+    )
     rows.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/_manifest")
 
 
@@ -108,18 +112,30 @@ def with_date(records: DataFrame) -> DataFrame:
     return records.withColumn("date", period_date("period"))
 
 
-def write_run(df: DataFrame, root: str, layer: str, run: str) -> DataFrame:
+def write_run(
+    df: DataFrame,
+    root: str,
+    layer: str,
+    run: str,
+    watch: Watch | None = None,
+    tallies: Sequence[str] = (),
+) -> DataFrame:
     """Write a run's rows of a layer, not yet visible, and read them back.
 
     Columns beyond the layer's own are kept for the run and never published.
     Rebalancing brings a date's rows together for few, large files, yet lets
     adaptive execution split a date that is much larger than the others.
+    ``watch`` judges the rows as they are written.
     """
     own = stored_schema(layer).names
     extra = [name for name in df.columns if name not in own]
     rows = df.select(*[n for n in own if n != "date"], *extra, "date")
     path = run_path(root, layer, run)
-    rows.hint("rebalance", F.col("date")).write.partitionBy("date").parquet(path)
+    if watch is None:
+        dealt = rows.hint("rebalance", F.col("date"))
+    else:
+        dealt = watch.watched(watch.numbered(rows).hint("rebalance", F.col("date")), tallies)
+    dealt.write.partitionBy("date").parquet(path)
     return df.sparkSession.read.schema(rows.schema).parquet(path)
 
 
@@ -130,19 +146,32 @@ def publish(df: DataFrame, root: str, layer: str, run: str) -> None:
     commit(spark, root, dates.select(F.lit(layer).alias("layer"), "date", F.lit(run).alias("run")))
 
 
-def clean_up(spark: SparkSession, root: str) -> None:
-    """Remove folders that no commit names: superseded dates and runs that died."""
-    used = {
-        f"{run_path(root, r['layer'], r['run'])}/date={r['date']}"
-        for r in committed(spark, root).collect()
-    }
-    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/run=*/date=*")
+def superseded(spark: SparkSession, root: str, keep: timedelta) -> DataFrame:
+    """(layer, date, run) that counted once, and for longer than ``keep`` have not."""
+    order = Window.partitionBy("layer", "date").orderBy("seq")
+    replaced = _commits(spark, root).filter("layer <> 'history'").withColumn("gone", F.lead(F.coalesce("at", F.timestamp_seconds(F.lit(0)))).over(order))
+    past = F.current_timestamp() - F.lit(keep)
+    return replaced.filter(F.col("gone") <= past).select("layer", "date", "run")
+
+
+def clean_up(spark: SparkSession, root: str, keep: timedelta) -> None:
+    """Remove folders that have not counted for ``keep``: superseded dates and runs that died.
+
+    No run does this by itself: whatever was read from the tables, or registered
+    as such, stays readable until the caller decides that nobody holds it any
+    more. A run still at work has younger folders than a sensible ``keep``.
+    """
+    for row in superseded(spark, root, keep).toLocalIterator():
+        remove(spark, f"{run_path(root, row['layer'], row['run'])}/date={row['date']}")
+    known = {r["run"] for r in _commits(spark, root).select("run").distinct().collect()}
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/run=*")
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    base = system.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(root)).toString()
+    now = spark.sql("SELECT unix_millis(current_timestamp())").first()[0]
     for status in system.globStatus(place) or []:
-        path = status.getPath().toString()
-        if root.rstrip("/") + path.removeprefix(base.rstrip("/")) not in used:
-            remove(spark, path)
+        path = status.getPath()
+        age = timedelta(milliseconds=now - status.getModificationTime())
+        if path.getName().removeprefix("run=") not in known and age >= keep:
+            remove(spark, path.toString())
 
 
 def bounds_of(df: DataFrame) -> Bounds | None:

@@ -19,10 +19,24 @@ from pyspark.sql import functions as F
 from loadledger.contract import HOURLY_SCHEMA, PERIOD_FORMAT, READING_KEY, SeriesContract
 from loadledger.functions import columns as fc
 from loadledger.functions import paths as fp
-from loadledger.operators import compare, daily, days, hourly, merge, quality, state, versions
+from loadledger.operators import (
+    compare,
+    coverage,
+    daily,
+    days,
+    hourly,
+    merge,
+    quality,
+    state,
+    trailing,
+    validity,
+    versions,
+)
 from loadledger.plans.landing import deliver_days, ingest_days as deliver_due
 from loadledger.plans.rebuild import daily_from_history, hourly_from_history
 from loadledger.plans.refresh import incremental_refresh, run_pipeline
+from loadledger.plans.snapshots import diff_snapshots, summarize_snapshots, write_snapshot
+from loadledger.plans.trailing import refresh_trailing, start_trailing
 from loadledger.session import fresh_dir, pin_utc
 from loadledger.sources import landing, snapshots, tables
 from loadledger.streaming.bronze import stream_bronze
@@ -183,6 +197,24 @@ def merge_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge_stats(merge_latest(spark, sf_dir))
 
 
+def validity_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = validity.validity_intervals(history(spark, sf_dir))
+    return found.select(*READING_KEY, "source_path", "valid_from", "valid_to")
+
+
+def as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event asks for the reading of its hour as it was served ten minutes and half a day later."""
+    later = F.explode(F.array(F.expr("interval 10 minutes"), F.expr("interval 12 hours")))
+    asked = history(spark, sf_dir).select(*READING_KEY, "source_path", "source_modified_at", later.alias("later"))
+    pairs = asked.select(
+        *READING_KEY,
+        F.col("source_path").alias("asked_by"),
+        (F.col("source_modified_at") + F.col("later")).alias("as_of"),
+    )
+    found = validity.as_of(history(spark, sf_dir), pairs)
+    return found.select(*READING_KEY, "asked_by", "as_of", "value", "source_path", "source_modified_at")
+
+
 def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     served = versions.latest_per_key(history(spark, sf_dir))
     found = versions.key_lookup(served, period="2024-01-15T12", respondent="WEB")
@@ -244,6 +276,14 @@ def trailing_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.trailing_kpi(_hourly(spark, sf_dir), CONTRACT)
 
 
+def trailing_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of the first delivery, brought up to date with what the second changes."""
+    path = fresh_dir(pin_utc(spark), "trailing")
+    first, every = _first_hourly(spark, sf_dir), _hourly(spark, sf_dir)
+    start_trailing(first, f"{path}/0")
+    return trailing.served_windows(refresh_trailing(spark, first, every, f"{path}/0", f"{path}/1"), CONTRACT)
+
+
 def weekend_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.weekend_share(_daily(spark, sf_dir))
 
@@ -298,6 +338,31 @@ def dq_daily_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gated_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layers that hold what they should not, judged as they are written."""
+    root = fresh_dir(pin_utc(spark), "layers")
+    hours, day_rules = quality.hourly_rules(), quality.daily_rules(CONTRACT)
+    layers = {
+        "latest": (
+            tables.with_date(history(spark, sf_dir)),
+            quality.Watch(quality.latest_rules(CONTRACT), READING_KEY, "latest unique", 1),
+        ),
+        "hourly": (
+            _twice_hourly(spark, sf_dir),
+            quality.Watch(hours, ("period", "respondent"), "hourly unique", 11),
+        ),
+        "daily": (
+            _twice_daily(spark, sf_dir),
+            quality.Watch(day_rules, ("date", "respondent"), "daily unique", 21),
+        ),
+    }
+    found = []
+    for layer, (rows, watch) in layers.items():
+        tables.write_run(rows, root, layer, "watched", watch)
+        found += [*watch.findings(), (watch.first + 9, f"{layer} rows", watch.rows())]
+    return spark.createDataFrame(found, "ordinal int, check string, violations long")
+
+
 def dq_complete_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.incomplete_days(_daily(spark, sf_dir), CONTRACT)
 
@@ -347,17 +412,34 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.expected_grid(_expected_days(spark, sf_dir), CONTRACT)
+
+
+def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.coverage_gaps(history(spark, sf_dir), _grid(spark, sf_dir))
+
+
+def _expected_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.to_date("source_modified_at")
     bounds = (
         history(spark, sf_dir)
         .groupBy("respondent")
         .agg(F.min(day).alias("first_date"), F.max(day).alias("last_date"))
     )
-    return quality.expected_grid(quality.date_range(bounds), CONTRACT)
+    return quality.date_range(bounds)
 
 
-def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.coverage_gaps(history(spark, sf_dir), _grid(spark, sf_dir))
+def coverage_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.coverage_bitmap(history(spark, sf_dir), _expected_days(spark, sf_dir), CONTRACT)
+
+
+def day_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.day_masks(history(spark, sf_dir), CONTRACT)
+
+
+def gap_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours that the first delivery left open."""
+    return coverage.gap_runs(history(spark, sf_dir, FIRST), _expected_days(spark, sf_dir), CONTRACT)
 
 
 # ---------------------------------------------------------------- landing
@@ -493,6 +575,17 @@ def day_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.day_fingerprint(delivered(spark, sf_dir))
 
 
+def record_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records twice, of which some have another eighth field the second time."""
+    root = fresh_dir(pin_utc(spark), "zone")
+    edition = F.expr("CASE WHEN respondent = 'WEB' AND day(date) % 2 = 0 THEN 2 ELSE 1 END")
+    for number in (F.lit(1), edition):
+        origin = F.struct(F.col("value-units").alias("unit"), number.alias("edition"))
+        records = delivered(spark, sf_dir).withColumn("origin", origin)
+        outcome = deliver_days(spark, records, root, CONTRACT, complete=False)
+    return outcome
+
+
 def classify_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = landing.landed_days(_decoded(spark, sf_dir, "first"))
     return days.classify_days(days.day_fingerprint(delivered(spark, sf_dir)), landed)
@@ -527,6 +620,22 @@ def diff_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.diff_summary(_diff(spark, sf_dir))
 
 
+def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """All records, and those of the first delivery, as stored snapshots with digests."""
+    path = fresh_dir(pin_utc(spark), "snapshots")
+    write_snapshot(delivered(spark, sf_dir), f"{path}/mine")
+    write_snapshot(first_delivered(spark, sf_dir), f"{path}/theirs")
+    return f"{path}/mine", f"{path}/theirs"
+
+
+def snapshot_digest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return diff_snapshots(spark, *_snapshots(spark, sf_dir)).drop("changed_fields")
+
+
+def digest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summarize_snapshots(spark, *_snapshots(spark, sf_dir))
+
+
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full series against what could be published after the first delivery."""
     mine = hourly.paired_hours(_hourly(spark, sf_dir))
@@ -744,6 +853,8 @@ QUERIES: dict[str, Query] = {
     "merge_latest": merge_latest,
     "merge_stats": merge_stats,
     "key_lookup": key_lookup,
+    "validity_intervals": validity_intervals,
+    "as_of": as_of,
     "preview_latest": preview_latest,
     # layers
     "pivot_hourly": pivot_hourly,
@@ -754,6 +865,7 @@ QUERIES: dict[str, Query] = {
     "merge_daily": merge_daily,
     "latest_dates": latest_dates,
     "trailing_kpi": trailing_kpi,
+    "trailing_refresh": trailing_refresh,
     "weekend_share": weekend_share,
     # quality
     "dq_row_rules": dq_row_rules,
@@ -761,6 +873,7 @@ QUERIES: dict[str, Query] = {
     "dq_pairing": dq_pairing,
     "dq_hourly_rules": dq_hourly_rules,
     "dq_daily_rules": dq_daily_rules,
+    "gated_write": gated_write,
     "dq_complete_days": dq_complete_days,
     "dq_coverage": dq_coverage,
     "dq_declared_total": dq_declared_total,
@@ -769,6 +882,9 @@ QUERIES: dict[str, Query] = {
     "duplicate_keys": duplicate_keys,
     "expected_grid": _grid,
     "coverage_gaps": coverage_gaps,
+    "coverage_bitmap": coverage_bitmap,
+    "day_masks": day_masks,
+    "gap_runs": gap_runs,
     # landing
     "landing_accept": landing_accept,
     "parse_landing_path": parse_landing_path,
@@ -781,12 +897,15 @@ QUERIES: dict[str, Query] = {
     "safe_numeric": safe_numeric,
     "parse_period": parse_period,
     "day_fingerprint": day_fingerprint,
+    "record_digest": record_digest,
     "classify_days": classify_days,
     "landing_conflicts": landing_conflicts,
     # compare
     "snapshot_diff": snapshot_diff,
     "changed_fields": changed_fields,
     "diff_summary": diff_summary,
+    "digest_diff": snapshot_digest_diff,
+    "digest_summary": digest_summary,
     "reconcile": reconcile,
     "reconcile_failures": reconcile_failures,
     "first_present": first_present,

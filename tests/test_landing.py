@@ -278,3 +278,50 @@ def test_forms_of_a_checkpoint(spark, tmp_path):
     judged = ingest_days(spark, source, str(tmp_path / "zone"), single, CONTRACT, "2026-09-30")
     assert sorted(r["date"].day for r in judged.collect()) == [27, 28, 29, 30]
     assert hours(single) == {"US48": "2026-09-30T23"}
+
+
+def with_origin(df, edition):
+    """An eighth field, an object whose keys are out of order."""
+    from pyspark.sql import functions as F
+
+    inner = F.struct(F.lit("b").alias("z"), F.lit("a").alias("a"))
+    return df.withColumn("origin", F.struct(F.lit("x").alias("unit"), F.lit(edition).alias("edition"), inner.alias("by")))
+
+
+def test_a_field_beyond_the_declared_ones_makes_a_revision(spark, tmp_path):
+    root = str(tmp_path)
+    records = records_df(spark, day_of_records(date(2026, 9, 26)) + day_of_records(date(2026, 9, 27)))
+    first = deliver_days(spark, with_origin(records, 1), root, CONTRACT)
+    assert {r["status"] for r in first.collect()} == {"NEW"}
+    text = next(iter(tmp_path.glob("**/day=26/version=canonical/*.txt"))).read_text()
+    held = json.loads(text)["response"]["data"][0]
+    assert held["origin"] == {"by": {"a": "a", "z": "b"}, "edition": 1, "unit": "x"}
+    assert '"origin":{"by":{"a":"a","z":"b"},"edition":1,"unit":"x"},"period"' in text
+    again = deliver_days(spark, with_origin(records, 1), root, CONTRACT)
+    assert {r["status"] for r in again.collect()} == {"UNCHANGED"}
+    mixed = with_origin(records.filter("day(date) = 26"), 1).unionByName(
+        with_origin(records.filter("day(date) = 27"), 2)
+    )
+    found = {r["date"].day: r["status"] for r in deliver_days(spark, mixed, root, CONTRACT).collect()}
+    assert found == {26: "UNCHANGED", 27: "REVISION"}
+    # the declared fields of both versions are the same, and are read as before
+    values = landing.read_records(spark, root, CONTRACT).select("period", "type", "value").distinct()
+    assert values.count() == 96
+
+
+def test_digest_of_a_foreign_file_does_not_depend_on_its_layout(spark, tmp_path):
+    records = day_of_records(date(2026, 9, 26))
+    for record_ in records:
+        record_["origin"] = {"b": [1, {"d": None, "c": 2}], "a": "\u00e9"}
+    zones = [tmp_path / name for name in ("plain", "mixed")]
+    write_file(zones[0], date(2026, 9, 26), records, T1)
+    shuffled = [dict(reversed(r.items())) for r in reversed(records)]
+    shuffled[0]["origin"] = dict(reversed(shuffled[0]["origin"].items()))
+    write_file(zones[1], date(2026, 9, 26), shuffled, T1)
+    digests = set()
+    for zone in zones:
+        files = landing.landing_accept(landing.scan_landing(spark, str(zone)), CONTRACT)
+        digests |= {r["fingerprint"] for r in landing.landed_days(landing.decode_payload(files)).collect()}
+    expected = sorted(records, key=lambda r: (r["period"], r["respondent"], r["type"]))
+    canonical = json.dumps(expected, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    assert digests == {hashlib.sha256(canonical.encode()).hexdigest()}

@@ -124,3 +124,46 @@ def test_grid_and_gaps(spark):
         records_df(spark, [record("2026-09-30T00", "D", "1")] * 3))
     assert sorted(tuple(r) for r in quality.coverage_gaps(changed, grid).collect()) == [
         ("2026-09-27T03", "US48", "D", "missing"), ("2026-09-30T00", "US48", "D", "unexpected")]
+
+
+def watched(spark, tmp_path, df, watch, tallies=()):
+    from loadledger.sources import tables
+
+    return tables.write_run(df, str(tmp_path), "hourly", "r", watch, tallies)
+
+
+def test_rules_seen_while_writing_are_those_of_a_report(spark, tmp_path):
+    data = [hour(f"2026-09-26T{h:02d}", forecast=None if h % 5 == 0 else 1.0) for h in range(24)]
+    df = hours_df(spark, data + data[3:6] + data[3:4]).repartition(5)
+    rules, key = quality.hourly_rules(), ("period", "respondent")
+    watch = quality.Watch(rules, key, "hourly unique", 11)
+    found = watched(spark, tmp_path, df, watch)
+    expected = quality.quality_report(df, rules, key, "hourly unique", 11)
+    assert watch.findings() == sorted(tuple(r) for r in expected.collect())
+    assert watch.findings()[-1] == (12, "hourly unique", 3)
+    assert watch.rows() == found.count() == 28 and found.columns == tables_columns()
+    with pytest.raises(quality.QualityError, match="paired: 6 violations"):
+        quality.enforce_findings(watch.findings())
+
+
+def tables_columns():
+    from loadledger.sources import tables
+
+    return tables.stored_schema("hourly").names
+
+
+def test_nothing_to_write_breaks_no_rule(spark, tmp_path):
+    watch = quality.Watch(quality.hourly_rules(), ("period", "respondent"), tallied="action")
+    df = hours_df(spark, []).selectExpr("*", "'kept' AS action")
+    found = watched(spark, tmp_path, df, watch, ("kept", "inserted"))
+    assert [n for _, _, n in watch.findings()] == [0, 0]
+    assert watch.tally() == {"kept": 0, "inserted": 0} and watch.rows() == found.count() == 0
+
+
+def test_tallies(spark, tmp_path):
+    df = hours_df(spark, [hour(f"2026-09-26T{h:02d}") for h in range(9)])
+    df = df.selectExpr("*", "CASE WHEN hour(period_ts) < 4 THEN 'kept' ELSE 'updated' END AS action")
+    watch = quality.Watch(tallied="action")
+    watched(spark, tmp_path, df, watch, ("kept", "inserted", "updated"))
+    assert watch.tally() == {"kept": 4, "inserted": 0, "updated": 5}
+    assert watch.findings() == []

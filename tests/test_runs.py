@@ -107,7 +107,7 @@ def equal_to_rebuild(spark, zone, root):
 
 
 # Every file operation of a run, in order; a run dies just before one of them.
-STEPS = ["latest", "hourly", "daily", "history", "commit", "clean_up"]
+STEPS = ["latest", "hourly", "daily", "history", "commit"]
 
 
 @pytest.mark.parametrize("dies_at", STEPS)
@@ -120,10 +120,10 @@ def test_a_run_that_dies_is_completed_by_the_next(spark, tmp_path, monkeypatch,
     with monkeypatch.context() as patch:
         write_run = tables.write_run
 
-        def dying_write(df, where, layer, run):
+        def dying_write(df, where, layer, *rest):
             if layer == dies_at:
                 raise OSError("disk gone")
-            return write_run(df, where, layer, run)
+            return write_run(df, where, layer, *rest)
 
         def dying(*_):
             raise OSError("disk gone")
@@ -131,16 +131,39 @@ def test_a_run_that_dies_is_completed_by_the_next(spark, tmp_path, monkeypatch,
         patch.setattr(tables, "write_run", dying_write)
         # nor does the dying run get to remove what it wrote
         patch.setattr(refresh, "remove", lambda *_: None)
-        if dies_at in ("commit", "clean_up"):
+        if dies_at == "commit":
             patch.setattr(tables, dies_at, dying)
         with pytest.raises(OSError, match="disk gone"):
             refresh.run_pipeline(spark, str(zone), root, CONTRACT)
-    if dies_at != "clean_up":
-        assert contents(spark, root) == before
+    assert contents(spark, root) == before
     refresh.run_pipeline(spark, str(zone), root, CONTRACT)
     equal_to_rebuild(spark, zone, root)
-    tables.clean_up(spark, root)
+    tables.clean_up(spark, root, timedelta(0))
     equal_to_rebuild(spark, zone, root)
+    # what the dead run wrote is gone, and so is what the last one superseded
+    assert len(list(Path(root).glob("latest/run=*/date=*"))) == 4
+    runs = {path.name for path in Path(root).glob("*/run=*")}
+    assert len(runs) == 2
+
+
+def test_a_held_result_survives_the_next_run(spark, tmp_path):
+    zone, root = tmp_path / "zone", str(tmp_path / "layers")
+    land_first(zone)
+    refresh.run_pipeline(spark, str(zone), root, CONTRACT)
+    held = {layer: tables.published(spark, root, layer) for layer in tables.LAYERS}
+    tables.register_tables(spark, root, "held_tables")
+    before = contents(spark, root)
+    land_revisions(zone)
+    refresh.run_pipeline(spark, str(zone), root, CONTRACT)
+    assert {layer: rows(df) for layer, df in held.items()} == before
+    named = {layer: spark.table(f"held_tables.{layer}") for layer in tables.LAYERS}
+    assert {layer: rows(df.select(*tables.LAYERS[layer].names)) for layer, df in named.items()} == before
+    # an age keeps what was superseded a moment ago, and only that call removes it
+    tables.clean_up(spark, root, timedelta(hours=1))
+    assert rows(held["daily"]) == before["daily"]
+    after = contents(spark, root)
+    tables.clean_up(spark, root, timedelta(0))
+    assert contents(spark, root) == after != before
 
 
 def test_no_copy_outlives_its_run(spark, tmp_path):
@@ -152,6 +175,7 @@ def test_no_copy_outlives_its_run(spark, tmp_path):
     land_revisions(zone)
     refresh.run_pipeline(spark, str(zone), str(root), CONTRACT)
     assert set(shared.glob("*")) == before
+    tables.clean_up(spark, str(root), timedelta(0))
     # one folder per date, and one more for the revised date's history
     assert len(list(root.glob("latest/run=*/date=*"))) == 4
     assert len(list(root.glob("daily/run=*/date=*"))) == 4
