@@ -10,9 +10,8 @@ fewer packers, so that half-empty bins remain in the last packer only.
 
 from __future__ import annotations
 
-import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -22,12 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadledger.llm.bpe import PRETOKEN, Encoder, MergeList
+from loadledger.llm.bpe import Encoder, MergeList
 from loadledger.llm.tables import stage
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECE}, bin long, offset long, left_open boolean"
 OPEN_BINS = 1024
+PART_CHARS = 1 << 17  # text handed to the library at a time, at most twice as much
 PACKER_PIECES = 20_000  # pieces of left-over bins that one packer takes on
 
 
@@ -111,23 +111,60 @@ def _pack_stream(
     yield batch()
 
 
-@lru_cache(maxsize=2)
-def packing_encoder(path: str) -> Encoder:
-    """An encoder whose short pieces are merged by a compiled library, which gives the same ids.
+# Fixed value: PRETOKEN for a compiled library, whose possessive repeats do not go back.
+COMPILED = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+
 
-    The library ranks merges by the ids that they make, so it is used where these rise.
+class LibraryEncoder:
+    """Text to packed ids by a compiled library, which gives the same ids.
+
+    A text is handed over in parts that begin at lone blanks between visible
+    characters. Where there is none for long, the transducer finds the parts.
     """
-    merges = MergeList(path)
-    if merges.made != sorted(merges.made) or max(merges.byte_id) > merges.made[0]:
-        return Encoder(merges)
-    ranks = {merges.bytes_of[i]: i for i in (*merges.byte_id, *merges.made)}
-    library = tiktoken.Encoding("pieces", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={})
-    ids_of = library._encode_single_piece
 
-    def merged(pieces: list[bytes]) -> list[bytes]:
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in map(ids_of, pieces)]
+    def __init__(self, merges: MergeList) -> None:
+        ranks = {merges.bytes_of[i]: i for i in (*merges.byte_id, *merges.made)}
+        library = tiktoken.Encoding(
+            "merges", pat_str=COMPILED, mergeable_ranks=ranks, special_tokens=merges.special
+        )
+        self.encode, self.special = library.encode_to_numpy, set(merges.special)
+        self.plain = Encoder(merges)
+
+    def blocks(self, texts: Iterable[str]) -> Iterator[tuple[int, bytes]]:
+        """Number of a text and packed ids, in order; long texts come in several blocks."""
+        for number, text in enumerate(texts):
+            yield number, b""
+            start = 0
+            while start < len(text):
+                end = self._boundary(text, start + PART_CHARS)
+                if end is None:
+                    rest = text[start:]
+                    yield from ((number, packed) for _, packed in self.plain.blocks([rest]))
+                    break
+                ids = self.encode(text[start:end], allowed_special=self.special)
+                yield number, ids.astype("<u4", copy=False).tobytes()
+                start = end
+
+    @staticmethod
+    def _boundary(text: str, at: int) -> int | None:
+        """Where the part that goes up to about ``at`` ends; None where there is no sure place."""
+        if at >= len(text):
+            return len(text)
+        stop = min(len(text) - 1, at + PART_CHARS)
+        while 0 < (at := text.find(" ", at, stop)):
+            if not (text[at - 1].isspace() or text[at + 1].isspace()):
+                return at
+            at += 1
+        return None
 
-    return Encoder(merges, merged)
+
+@lru_cache(maxsize=2)
+def packing_encoder(path: str) -> Encoder | LibraryEncoder:
+    """The compiled library where it ranks merges as the list does: by ids that rise with them."""
+    merges = MergeList(path)
+    rising = merges.made == sorted(merges.made) and max(merges.byte_id) <= merges.made[0]
+    plain = not any(" " in name for name in merges.special)
+    return LibraryEncoder(merges) if rising and plain else Encoder(merges)
 
 
 def document_pieces(

@@ -99,3 +99,35 @@ def test_repeated_rows_nulls_and_empty_tables(spark):
     assert sorted((r["doc_id"] or 0, r["length"]) for r in found) == [(0, 2), (1, 3), (1, 3)]
     assert len({(r["sequence_id"], r["offset"]) for r in found}) == 3
     assert packing.pack_documents(documents(spark, []), PATH).collect() == []
+
+
+PIECES = ["a", "The", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u2028", "\u3000", "\ufeff",
+          "e\u0301", "中文", "'s", "'LL", "'", "''s", "!!", "12", "²", "½", "٣", "🙂", "<|endoftext|>", "<|endof", "\x00", "don't "]
+
+
+def library_ids(text):
+    encoder = packing.packing_encoder(PATH)
+    assert isinstance(encoder, packing.LibraryEncoder)
+    return np.frombuffer(b"".join(p for _, p in encoder.blocks([text])), "<u4").tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=16).map("".join) | st.text(max_size=60))
+def test_compiled_ids_are_those_of_the_library(text):
+    assert library_ids(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_compiled_ids_around_every_kind_of_character():
+    import sys
+
+    chars = [chr(c) for c in range(0, min(sys.maxunicode, 0x3100)) if not 0xD800 <= c < 0xE000]
+    for before, after in (("a", " b"), (" ", "a"), ("!", " \n")):
+        text = "".join(f"{before}{c}{after}" for c in chars)
+        assert library_ids(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_long_texts_in_parts(monkeypatch):
+    monkeypatch.setattr(packing, "PART_CHARS", 500)
+    for text in ("word and word " * 900, "x" * 4000, " " * 3000 + "a b" * 300, "ab cd " * 200 + "-" * 3000 + " e f" * 99,
+                 "a <|endoftext|> b " * 200, "\n a" * 900):
+        assert library_ids(text) == LIBRARY.encode(text, add_special_tokens=False).ids
