@@ -287,9 +287,11 @@ def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
 
         return _batches(records(), payloads)
 
-    # A few names, but much to read behind each: they are dealt out one by one.
+    # A few names, but much to read behind each. They are dealt out by another hash than that of
+    # ``distinct``, into a fixed number of tasks, which adaptive execution leaves as they are.
     bundles = index.select("bundle").distinct()
-    return bundles.repartition(shuffle_partitions(index.sparkSession), "bundle").mapInArrow(read, RECORD)
+    dealt = bundles.repartition(shuffle_partitions(index.sparkSession), F.xxhash64("bundle"))
+    return dealt.mapInArrow(read, RECORD)
 
 
 def lookup(index: DataFrame) -> DataFrame:

@@ -82,3 +82,12 @@ def test_damage_is_noticed(spark):
         assert "damaged payload" in str(error)
     else:
         raise AssertionError("damage went unnoticed")
+
+
+def test_bundles_are_read_in_many_tasks(spark, tmp_path):
+    pages = spark.range(400).selectExpr("id AS page_id", "'u' AS url", "concat('page ', id) AS html").repartition(16)
+    index = warc.write_archives(pages, str(tmp_path / "archives"))
+    bundles = index.select("bundle").distinct().count()
+    assert bundles >= 4
+    found = warc.read_archives(index).groupBy(F.spark_partition_id()).count()
+    assert found.count() >= 3  # of four tasks
