@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadledger.llm.spans import Span, by_kind, covered, digest_of, worded
+from loadledger.llm.spans import Cover, Span, by_kind, digest_of, worded
 from loadledger.llm.tables import sampled_texts
 
 KINDS = ("email", "ip", "card", "phone")
@@ -322,10 +322,11 @@ def fit(examples: list[tuple[str, str, str, list[Span]]], rounds: int = 12) -> F
 
 def _apart(spans: list[Span]) -> list[Span]:
     """Spans that no earlier kind or place overlaps: what a segmentation can hold."""
-    out: list[Span] = []
+    out, held = [], Cover()
     for span in spans:
-        if not covered(span[1], span[2], out):
+        if not held.holds(span[1], span[2]):
             out.append(span)
+            held.add(span[1], span[2])
     return out
 
 
@@ -365,13 +366,14 @@ def all_spans(text: str, learned: Field) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans) of a text, both by kind and start."""
     base = base_spans(text)
     extra: list[Span] = []
+    held = Cover(base)
     if _HIT.search(text):
         for low, high in stretches(text):
             before, after = text[max(0, low - 1) : low], text[high : high + 1]
             stretch = Stretch.of(text[low:high], before, after)
             for kind, i, j in learned.best(stretch):
                 start, end = low + stretch.edges[i], low + stretch.edges[j]
-                if not covered(start, end, base):
+                if not held.holds(start, end):
                     extra.append((kind, start, end))
     return by_kind(base, KINDS), by_kind(base + extra, KINDS)
 

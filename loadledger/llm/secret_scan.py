@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadledger.llm.spans import Span, by_start, covered, digest_of, worded
+from loadledger.llm.spans import Cover, Span, by_start, digest_of, worded
 from loadledger.llm.tables import sampled_texts
 
 # The base rules.
@@ -78,11 +78,11 @@ def base_spans(text: str) -> list[Span]:
 
 def candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
     """Key-like runs with letters and digits that no base span touches."""
-    out = []
+    out, held = [], Cover(base)
     for match in CANDIDATE.finditer(text):
         run = match.group()
         if any(c.isdigit() for c in run) and any(c.isalpha() for c in run):
-            if not covered(match.start(), match.end(), base):
+            if not held.holds(*match.span()):
                 out.append(match.span())
     return out
 

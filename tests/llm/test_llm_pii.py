@@ -125,3 +125,16 @@ def test_long_texts_take_linear_time(field, text):
     base, spans = pii.all_spans(text, field)
     assert set(base) <= set(spans)
     assert time.process_time() - start < 60
+
+
+def test_a_text_full_of_findings_takes_linear_time(field):
+    line = "mail user{0}@example.com from 10.0.{1}.7 call +1 202 555 01{1} "
+    text = "".join(line.format(n, n % 90 + 10) for n in range(1500))
+    longer = "".join(line.format(n, n % 90 + 10) for n in range(6000))
+    seconds = []
+    for each in (text, longer):
+        start = time.process_time()
+        base, _ = pii.all_spans(each, field)
+        seconds.append(time.process_time() - start)
+    assert len(base) >= 12_000
+    assert seconds[1] < 8 * seconds[0] + 1

@@ -191,3 +191,33 @@ def test_long_texts_and_empty_tables(spark, net):
     empty = documents(spark, [])
     assert secret_scan.find_secrets(empty, net).collect() == []
     assert secret_scan.find_secrets(empty, secret_scan.learn(empty)).collect() == []
+
+
+def test_a_text_full_of_findings_takes_linear_time():
+    import time
+
+    line = "password = hunter{0}secret 0123456789abcdef01234567{0} and run{0}AbCdEf12345678xyz "
+    text = "".join(line.format(n) for n in range(14_000))
+    assert len(text) > 1_000_000
+    start = time.process_time()
+    base = secret_scan.base_spans(text)
+    found = secret_scan.candidates(text, base)
+    assert time.process_time() - start < 5
+    assert len(base) == 28_000 and len(found) == 14_000
+
+
+def test_cover_is_that_of_all_pairs():
+    from random import Random
+
+    from loadledger.llm.spans import Cover
+
+    rng = Random(2)
+    for _ in range(200):
+        spans = [("k", a, a + rng.randint(1, 6)) for a in (rng.randint(0, 40) for _ in range(rng.randint(0, 9)))]
+        cover = Cover()
+        for span in rng.sample(spans, len(spans)):
+            cover.add(span[1], span[2])
+        for a in range(0, 48):
+            for b in range(a + 1, 49):
+                touched = any(a < e and s < b for _, s, e in spans)
+                assert cover.holds(a, b) == Cover(spans).holds(a, b) == touched
