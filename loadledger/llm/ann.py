@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadledger.llm.tables import stage
+from loadledger.llm.tables import shuffle_partitions, stage
 
 TABLES = 6
 CELL = 2.0  # width of a cell in standard deviations of a projection
@@ -106,7 +106,7 @@ def _vectors(column: pa.Array) -> np.ndarray:
 
 
 def usable(table: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """(vec_id, embedding) rows that take part: finite, not zero, of the commonest length."""
+    """(vec_id, embedding) rows that take part: finite and not zero."""
     v = F.col("embedding")
     sound = (
         v.isNotNull()
@@ -114,10 +114,7 @@ def usable(table: DataFrame, vec_id: str, embedding: str) -> DataFrame:
         & F.exists(v, lambda x: x != 0)
     )
     own = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"))
-    own = own.filter("vec_id IS NOT NULL").filter(F.coalesce(sound, F.lit(False)))
-    sizes = own.groupBy(F.size("embedding").alias("size")).count()
-    common = sizes.orderBy(F.desc("count"), F.desc("size")).first()
-    return own.filter(F.size("embedding") == (common["size"] if common else 0))
+    return own.filter("vec_id IS NOT NULL").filter(F.coalesce(sound, F.lit(False)))
 
 
 def _points(rows: DataFrame, keep: int) -> DataFrame:
@@ -151,7 +148,10 @@ def _exact(query: np.ndarray, points: np.ndarray) -> np.ndarray:
 
 
 def _calibrated(points: DataFrame, queries: DataFrame, hashes: Hashes, k: int) -> int:
-    """Probes per table that reach TARGET of the true neighbours of sampled queries."""
+    """Probes per table that reach TARGET of the true neighbours of sampled queries.
+
+    0 where MOST_PROBES would not: then no number of probes is worth its visits.
+    """
     sample = queries.orderBy(F.xxhash64("point"), "point").limit(SAMPLE)
     rows = sample.select("point", "embedding").collect()
     if not rows:
@@ -184,7 +184,8 @@ def _calibrated(points: DataFrame, queries: DataFrame, hashes: Hashes, k: int) -
         return 1
     cells = np.floor(hashes.places(np.array([r["embedding"] for r in near], np.float64), False)).astype(np.int64)
     starts = hashes.places(asked, True)
-    first = np.full(len(near), MOST_PROBES)
+    never = np.iinfo(np.int64).max
+    first = np.full(len(near), never)
     by_query: dict[int, list[int]] = {}
     for n, r in enumerate(near):
         by_query.setdefault(r["asked"], []).append(n)
@@ -199,7 +200,11 @@ def _calibrated(points: DataFrame, queries: DataFrame, hashes: Hashes, k: int) -
                 # Later probes matter only while some neighbour is not yet reached sooner.
                 if not wanted or rank >= max(first[n] for n in own) or rank >= MOST_PROBES:
                     break
-    return int(np.quantile(first, TARGET, method="higher")) + 1
+    needed = int(np.quantile(first, TARGET, method="higher"))
+    return needed + 1 if needed < MOST_PROBES else 0
+
+
+RESULT = "query_id long, rank int, vec_id long, score double"
 
 
 def search(
@@ -211,23 +216,41 @@ def search(
     no candidate. Ties go to the smaller id. Rows that are equal in id and vector
     count once; an id with several vectors is a candidate with each, and such a
     query is answered for its least point. Null ids, and vectors that are null,
-    zero, not finite, or of another length than most, take no part. Other columns
-    are not read. An empty table gives no rows.
+    zero or not finite, take no part. Vectors of different lengths have no product; a query's
+    candidates are those of its own length. A query whose probes found fewer than
+    ``k`` is compared with all vectors, as are all queries where no
+    reasonable number of probes would do. Other columns are not read. An empty table
+    gives no rows.
     """
-    spark = table.sparkSession
     rows = usable(table, vec_id, embedding)
+    sizes = [r[0] for r in rows.select(F.size("embedding")).distinct().collect()]
+    asks = F.col("vec_id") % every == 0
+    if len(sizes) > 1:  # an id with vectors of several lengths asks with the shortest
+        shortest = F.min(F.size("embedding")).over(Window.partitionBy("vec_id"))
+        asks = asks & (F.size("embedding") == shortest)
+    rows = rows.withColumn("asks", asks)
+    parts = [_search(rows.filter(F.size("embedding") == size), k) for size in sorted(sizes)]
+    found = parts[0] if parts else table.sparkSession.createDataFrame([], RESULT)
+    for more in parts[1:]:
+        found = found.unionByName(more)
+    return found
+
+
+def _search(rows: DataFrame, k: int) -> DataFrame:
+    """``search`` among vectors of one length; ``asks`` marks the queries."""
+    spark = rows.sparkSession
+    asking, rows = rows.filter("asks").drop("asks"), rows.drop("asks")
     points = stage(_points(rows, k + 1), "ann-points")
     asking = stage(
-        rows.filter(F.col("vec_id") % every == 0).distinct().join(points.select("point", "embedding"), "embedding")
+        asking.distinct().join(points.select("point", "embedding"), "embedding")
         .groupBy("vec_id").agg(F.min(F.struct("point", "embedding")).alias("p"))
         .select(F.col("vec_id").alias("query_id"), "p.point", "p.embedding"),
         "ann-asking",
     )
-    result = "query_id long, rank int, vec_id long, score double"
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    facts = points.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("length"), F.max(F.size("embedding")).alias("dims")).first()
+    facts = points.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("ids"), F.max(norm).alias("length"), F.max(F.size("embedding")).alias("dims")).first()
     if not facts["n"]:
-        return spark.createDataFrame([], result)
+        return spark.createDataFrame([], RESULT)
     queries = asking.groupBy("point").agg(F.first("embedding").alias("embedding"))
     queries = stage(queries, "ann-queries")
     hashes = Hashes.drawn(facts["dims"], projections_for(facts["n"]), facts["length"])
@@ -268,18 +291,12 @@ def search(
     dealt = placed.join(buckets, ["table", "bucket"]).withColumn("block", F.pmod(F.xxhash64("point"), "blocks"))
     dealt = dealt.select("table", part_of.alias("part"), "point", "bucket")
 
-    wanted = queries.mapInArrow(visits, "point string, table int, bucket long").join(buckets, ["table", "bucket"])
+    # What a query visits is much more than the query: queries are dealt out evenly first.
+    even = queries.repartition(shuffle_partitions(spark), F.xxhash64("point"))
+    wanted = even.mapInArrow(visits, "point string, table int, bucket long").join(buckets, ["table", "bucket"])
     wanted = wanted.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1).cast("array<long>")))
     wanted = wanted.select("point", "table", part_of.alias("part"), "bucket").distinct()
     wanted = stage(wanted.groupBy("table", "part", "point").agg(F.collect_list("bucket").alias("buckets")), "ann-visits")
-    loads = wanted.groupBy("table", "part").agg(F.ceil(F.count(F.lit(1)) / PART_QUERIES).alias("shares"))
-
-    left = dealt.join(loads, ["table", "part"]).join(points.select("point", "embedding"), "point")
-    left = left.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1).cast("array<long>")))
-    right = wanted.join(loads, ["table", "part"]).join(queries, "point")
-    right = right.withColumn("share", F.pmod(F.xxhash64("point"), "shares"))
-    keys = ["table", "part", "share"]
-    left, right = left.select(*keys, "point", "bucket", "embedding"), right.select(*keys, "point", "buckets", "embedding")
     keep = k + 1 + SPARE
 
     def answer(held: pa.Table, asked: pa.Table) -> pa.Table:
@@ -319,17 +336,52 @@ def search(
             scores_ += _exact(q[n], x[rows_]).tolist()
         return pa.table({"query": pa.array(queries_, "string"), "point": pa.array(points_, "string"), "score": pa.array(scores_, "float64")})
 
-    met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(answer, "query string, point string, score double")
+    keys = ["table", "part", "share"]
+
+    def met(dealt: DataFrame, wanted: DataFrame) -> DataFrame:
+        """(query, point, score) of the best that queries find in the parts they visit."""
+        loads = wanted.groupBy("table", "part").agg(F.ceil(F.count(F.lit(1)) / PART_QUERIES).alias("shares"))
+        left = dealt.join(loads, ["table", "part"]).join(points.select("point", "embedding"), "point")
+        left = left.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1).cast("array<long>")))
+        right = wanted.join(loads, ["table", "part"]).join(queries, "point")
+        right = right.withColumn("share", F.pmod(F.xxhash64("point"), "shares"))
+        left = left.select(*keys, "point", "bucket", "embedding")
+        right = right.select(*keys, "point", "buckets", "embedding")
+        both = left.groupBy(*keys).cogroup(right.groupBy(*keys))
+        return both.applyInArrow(answer, "query string, point string, score double")
+
     least = F.substring_index("point", ":", 1).cast("long")
     order = Window.partitionBy("query").orderBy(F.desc("score"), least, F.col("point"))
-    merged = met.groupBy("query", "point").agg(F.max("score").alias("score"))
-    merged = merged.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= keep).drop("n")
-    # Points become ids, least first; one more than k, as a query's own id goes.
-    ids = merged.join(points.select("point", "ids"), "point").select("query", "score", F.explode("ids").alias("vec_id"))
-    by_id = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    near = ids.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
-    near = near.withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1)
-    out = asking.select("query_id", F.col("point").alias("query")).join(near, "query").filter("vec_id <> query_id")
+
+    def near(found: DataFrame) -> DataFrame:
+        """(query, score, vec_id): points become ids, least first; one more than k, as a query's own id goes."""
+        merged = found.groupBy("query", "point").agg(F.max("score").alias("score"))
+        merged = merged.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= keep).drop("n")
+        ids = merged.join(points.select("point", "ids"), "point").select("query", "score", F.explode("ids").alias("vec_id"))
+        by_id = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+        best = ids.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
+        return best.withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1).drop("n")
+
+    # Where every vector is one bucket, a visit to all of its parts is an exact search, in blocks.
+    all_dealt = points.select(
+        F.lit(0).alias("table"), F.pmod(F.xxhash64("point"), F.lit(parts_)).alias("part"), "point",
+        F.lit(0).cast("long").alias("bucket"),
+    )
+
+    def compared(some: DataFrame) -> DataFrame:
+        every_part = F.explode(F.sequence(F.lit(0), F.lit(parts_ - 1)).cast("array<long>")).alias("part")
+        visiting = some.select("point", F.lit(0).alias("table"), every_part, F.array(F.lit(0).cast("long")).alias("buckets"))
+        return near(met(all_dealt, visiting))
+
+    if probes:
+        probed = stage(near(met(dealt, wanted)), "ann-near")
+        enough = probed.groupBy("query").count().filter(F.col("count") >= min(k + 1, facts["ids"]))
+        short = stage(queries.join(enough, queries["point"] == enough["query"], "left_anti").select("point"), "ann-short")
+        if not short.isEmpty():
+            probed = probed.join(short, probed["query"] == short["point"], "left_anti").unionByName(compared(short))
+    else:
+        probed = compared(queries.select("point"))
+    out = asking.select("query_id", F.col("point").alias("query")).join(probed, "query").filter("vec_id <> query_id")
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     out = out.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k)
     return out.select("query_id", "rank", "vec_id", "score")

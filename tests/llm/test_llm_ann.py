@@ -99,7 +99,7 @@ def test_a_large_bucket_is_split(spark, monkeypatch):
 def test_odd_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, None]),
-            (7, [1.0, 2.0, 3.0]), (8, []), (None, [9.0, 9.0]), (20, [2.0, 1.0]), (40, None)]
+            (7, [1.0, 2.0, 3.0]), (8, []), (9, [4.0]), (None, [9.0, 9.0]), (20, [2.0, 1.0]), (40, None)]
     found = results(ann.search(table(spark, rows)))
     assert found == {0: [(20, 2.0), (1, 0.5)], 20: [(0, 2.0), (1, 1.5)]}
 
@@ -133,3 +133,32 @@ def test_probes_come_in_order_of_estimated_success(place):
     grid = np.stack(np.meshgrid(*[span] * len(place)), -1).reshape(-1, len(place)) + home
     cheaper = sum(cost(b) < costs[-1] - 1e-9 for b in grid)
     assert cheaper <= len(order)
+
+
+def test_queries_with_too_few_candidates_are_completed_exactly(spark, monkeypatch):
+    monkeypatch.setattr(ann, "_calibrated", lambda *_: 1)  # hardly reaches beyond the own bucket
+    rng = np.random.default_rng(8)
+    rows = [(n, v.astype(np.float32).tolist()) for n, v in enumerate(rng.normal(size=(300, 12)))]
+    found = results(ann.search(table(spark, rows)))
+    assert set(found) == {n for n in range(0, 300, 20)} and all(len(f) == 20 for f in found.values())
+
+
+def test_all_vectors_are_compared_where_probes_would_not_do(spark, monkeypatch):
+    monkeypatch.setattr(ann, "MOST_PROBES", 1)
+    monkeypatch.setattr(ann, "PART_VALUES", 200)
+    rng = np.random.default_rng(9)
+    rows = [(n, v.astype(np.float32).tolist()) for n, v in enumerate(rng.normal(size=(300, 6)))]
+    found, truth = results(ann.search(table(spark, rows), k=7)), brute(rows, 20, 7)
+    assert {q: [i for i, _ in f] for q, f in found.items()} == {q: [i for i, _ in t] for q, t in truth.items()}
+
+
+def test_vectors_of_each_length_are_searched_among_their_own(spark):
+    rng = np.random.default_rng(10)
+    rows = [(n, rng.normal(size=2 + n % 2).astype(np.float32).tolist()) for n in range(0, 63)]
+    rows += [(20, [1.0, 2.0, 3.0])]  # asks with the shorter of its vectors
+    found = results(ann.search(table(spark, rows), k=3))
+    for n in (0, 20, 40, 60):
+        own = [(i, v) for i, v in rows if len(v) == 2]
+        assert [i for i, _ in found[n]] == [i for i, _ in brute(own, 20, 3)[n]]
+    asked = ann.search(table(spark, [(0, [1.0]), (1, [2.0]), (2, [1.0, 1.0]), (20, [1.0, 2.0])]))
+    assert results(asked) == {0: [(1, 2.0)], 20: [(2, 3.0)]}
