@@ -619,18 +619,8 @@ def _strings() -> dict[str, str]:
             SELECT respondent, date, version, record_count, CAST(record_count AS VARCHAR) AS total
             FROM files""",
         "content_fingerprint": "SELECT respondent, date, version, content_hash FROM files",
-        "explode_records": """
-            SELECT l.version, r.period, r.respondent, r.respondent_name, r.type, r.type_name,
-              r.value AS value_raw, r.value_units
-            FROM (
-              SELECT 'first' AS delivery, * FROM records_first
-              UNION ALL SELECT 'all', * FROM records_all) AS r
-            JOIN (
-              SELECT 'first' AS delivery, date, respondent, 'canonical' AS version FROM days_first
-              UNION ALL SELECT 'all', date, respondent,
-                CASE status WHEN 'NEW' THEN 'canonical' ELSE 'revision_' || fingerprint END
-              FROM classified WHERE status <> 'UNCHANGED') AS l
-            ON l.delivery = r.delivery AND l.date = r.date AND l.respondent = r.respondent""",
+        "explode_records": _LANDED_ROWS.format(columns=_RECORD_COLUMNS, joined=""),
+        "packed_zone": _LANDED_ROWS.format(columns=_RECORD_COLUMNS, joined=""),
         "safe_numeric": "SELECT event_id, value_raw, value FROM raw_feed",
         "parse_period": """
             SELECT period, CAST(try_strptime(period, '%Y-%m-%dT%H') AS TIMESTAMP) AS period_ts,
@@ -727,6 +717,12 @@ def _strings() -> dict[str, str]:
             JOIN served_day s ON s.date = CAST(substr(l.period, 1, 10) AS DATE)
               AND s.respondent = l.respondent
             JOIN files f ON f.date = s.date AND f.respondent = s.respondent AND f.version = s.version""",
+        "stream_notices": _LANDED_ROWS.format(
+            columns="r.period, r.respondent, r.type, CAST(r.value AS DOUBLE) AS value, r.value_units, "
+            "l.version, f.content_hash",
+            joined=" JOIN files f ON f.date = l.date AND f.respondent = l.respondent AND f.version = l.version",
+        ),
+        "stream_latest_state": f"SELECT {HISTORY} FROM latest_all",
         "stream_late_files": """
             SELECT l.period, l.respondent, l.type, l.value, l.value_units, 'canonical' AS version, f.content_hash
             FROM latest_first l
@@ -767,6 +763,19 @@ def _strings() -> dict[str, str]:
     }
 
 
+_RECORD_COLUMNS = """l.version, r.period, r.respondent, r.respondent_name, r.type, r.type_name,
+              r.value AS value_raw, r.value_units"""
+_LANDED_ROWS = """
+            SELECT {columns}
+            FROM (
+              SELECT 'first' AS delivery, * FROM records_first
+              UNION ALL SELECT 'all', * FROM records_all) AS r
+            JOIN (
+              SELECT 'first' AS delivery, date, respondent, 'canonical' AS version FROM days_first
+              UNION ALL SELECT 'all', date, respondent,
+                CASE status WHEN 'NEW' THEN 'canonical' ELSE 'revision_' || fingerprint END
+              FROM classified WHERE status <> 'UNCHANGED') AS l
+            ON l.delivery = r.delivery AND l.date = r.date AND l.respondent = r.respondent{joined}"""
 _TRAILING = """
             SELECT respondent, window_days, first_date, last_date, hour_count,
               hour_count = window_days * 24 AS is_covered, total_energy_mwh, peak_demand_mwh,

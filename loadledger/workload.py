@@ -38,7 +38,8 @@ from loadledger.plans.refresh import incremental_refresh, run_pipeline
 from loadledger.plans.snapshots import diff_snapshots, summarize_snapshots, write_snapshot
 from loadledger.plans.trailing import refresh_trailing, start_trailing
 from loadledger.session import fresh_dir, pin_utc
-from loadledger.sources import landing, snapshots, tables
+from loadledger.sources import landing, packed, snapshots, tables
+from loadledger.streaming import latest, notices
 from loadledger.streaming.bronze import stream_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -539,7 +540,10 @@ def content_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def explode_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = landing.explode_records(_decoded(spark, sf_dir))
+    return _record_rows(landing.explode_records(_decoded(spark, sf_dir)))
+
+
+def _record_rows(rows: DataFrame) -> DataFrame:
     return rows.select(
         "version",
         "period",
@@ -794,6 +798,49 @@ def stream_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _served(spark, root)
 
 
+def stream_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries that announce their files; those of the second carry times long past."""
+    zone, told, root = (fresh_dir(pin_utc(spark), name) for name in ("zone", "notices", "layers"))
+    checkpoint = fresh_dir(spark, "stream")
+    for records, old in ((first_delivered(spark, sf_dir), False), (delivered(spark, sf_dir), True)):
+        notices.deliver_and_announce(spark, records, zone, told, CONTRACT, complete=False)
+        if old:
+            _set_times(spark, f"{zone}/{FILES}/version=revision_*/*.txt", datetime(2020, 1, 1))
+            _set_times(spark, f"{zone}/{FILES}/version=canonical/*.txt", datetime(2019, 1, 1))
+        query = notices.stream_notices(
+            spark, zone, told, root, checkpoint, CONTRACT, require_complete=False
+        )
+        query.awaitTermination()
+    return tables.published(spark, root, "history").select(
+        *READING_KEY, "value", "value_units", fp.path_version("source_path").alias("version"), "content_hash"
+    )
+
+
+def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries of history rows, each taken by a query of its own from the same state."""
+    path = fresh_dir(pin_utc(spark), "latest")
+    for delivery in (FIRST, SECOND, "true"):
+        history(spark, sf_dir, delivery).write.mode("append").parquet(f"{path}/history")
+        query = latest.stream_latest(spark, f"{path}/history", f"{path}/updates", f"{path}/checkpoint")
+        query.awaitTermination()
+    return latest.served_latest(spark, f"{path}/updates")
+
+
+def packed_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of both deliveries, of which the first was packed before the second came."""
+    zone, where = fresh_dir(pin_utc(spark), "zone"), fresh_dir(spark, "packed")
+    for records in (first_delivered(spark, sf_dir), delivered(spark, sf_dir)):
+        packed.pack_zone(spark, landing_zone(spark, zone), where, CONTRACT)
+        deliver_days(spark, records, zone, CONTRACT, complete=False)
+    files = landing.landing_accept(packed.scan_packed(spark, zone, where), CONTRACT)
+    return _record_rows(landing.explode_records(landing.decode_payload(files)))
+
+
+def landing_zone(spark: SparkSession, zone: str) -> str:
+    landing.open_zone(spark, zone)
+    return zone
+
+
 def pipeline_touched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both deliveries, then a run after the canonical files got a later time."""
     zone, root = fresh_dir(pin_utc(spark), "zone"), fresh_dir(spark, "layers")
@@ -921,6 +968,9 @@ QUERIES: dict[str, Query] = {
     "stream_bronze": stream_latest,
     "layers_from_landing": layers_from_landing,
     "stream_late_files": stream_late_files,
+    "stream_notices": stream_notices,
+    "stream_latest_state": stream_latest_state,
+    "packed_zone": packed_zone,
     "pipeline_touched_files": pipeline_touched_files,
     "observed_order": observed_order,
     "complete_days_refresh": complete_days_refresh,

@@ -23,7 +23,7 @@ WRITING = {
     "classify_days", "landing_conflicts", "dq_declared_total", "dq_accepted_files", "read_snapshot",
     "incremental_refresh", "refresh_outcome", "stream_bronze", "layers_from_landing", "ingest_days",
     "stream_late_files", "pipeline_touched_files", "observed_order", "complete_days_refresh", "registered_tables",
-    "record_digest", "gated_write", "digest_diff", "digest_summary", "trailing_refresh",
+    "stream_notices", "stream_latest_state", "packed_zone", "record_digest", "gated_write", "digest_diff", "digest_summary", "trailing_refresh",
 }
 
 
