@@ -67,20 +67,29 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 def literal_counts(urls: DataFrame, rules: Sequence[Rule]) -> dict[str, int]:
-    """How many URLs hold each literal; as many rows as the rules have literals."""
+    """How many URLs hold each literal; as many rows as the rules have literals.
+
+    The literals, which the rules bound, are a broadcast table that the URLs' tokens meet.
+    """
     wanted = sorted({t for rule in rules for t in rule.literals})
+    if not wanted:
+        return {}
     tokens = F.array_distinct(F.regexp_extract_all("url", F.lit(TOKEN), F.lit(0)))
     lower = F.transform(tokens, lambda t: F.translate(t, ascii_uppercase, ascii_lowercase))
-    both = F.array_intersect(F.array_union(tokens, lower), F.array(*map(F.lit, wanted)))
-    found = urls.select(F.explode(both).alias("token")).groupBy("token").count()
-    return {row["token"]: row["count"] for row in found.collect()} if wanted else {}
+    each = urls.select(F.explode(F.array_union(tokens, lower)).alias("token"))
+    known = urls.sparkSession.createDataFrame([(t,) for t in wanted], "token string")
+    found = each.join(F.broadcast(known), "token").groupBy("token").count()
+    return {row["token"]: row["count"] for row in found.collect()}
 
 
 class RuleIndex:
+    """Rules by their rarest literal; a pattern is compiled when a URL first comes to it."""
+
     def __init__(self, rules: Sequence[Rule], counts: dict[str, int]) -> None:
         self.by_token: dict[str, list[int]] = {}
         self.always: list[int] = []
-        self.rules = [(re.compile(r.pattern, re.DOTALL), r) for r in rules]
+        self.rules = rules
+        self.compiled: dict[int, re.Pattern] = {}
         for number, rule in enumerate(rules):
             if rule.literals:
                 rarest = min(rule.literals, key=lambda t: (counts.get(t, 0), t))
@@ -89,13 +98,19 @@ class RuleIndex:
                 self.always.append(number)
         self.tokens = re.compile(TOKEN).findall
 
+    def _matches(self, number: int, subject: str) -> bool:
+        pattern = self.compiled.get(number)
+        if pattern is None:
+            pattern = self.compiled[number] = re.compile(self.rules[number].pattern, re.DOTALL)
+        return pattern.match(subject) is not None
+
     def judge(self, host: str, path: str) -> tuple[str | None, str | None]:
         """(rule name, verdict) of the rule that decides, nulls where none matches."""
         subject = host + path
         numbers = set(self.always)
         for token in set(self.tokens(subject)):
             numbers.update(self.by_token.get(token, ()))
-        hits = [(r.weight, -n, r) for n in numbers if (c := self.rules[n])[0].match(subject) and (r := c[1])]
+        hits = [(self.rules[n].weight, -n, self.rules[n]) for n in numbers if self._matches(n, subject)]
         if not hits:
             return None, None
         best = max(hits, key=lambda h: h[:2])[2]
@@ -108,8 +123,9 @@ def judge_urls(
     """(page_id, host, path, rule, verdict) per row of ``pages``.
 
     Named rules come before the method's own; where neither matches ``default``
-    holds. A null url, or one without ``://``, has an empty host and path. Rows
-    are judged one by one, repeated ones too; other columns are not read.
+    holds. A null url, or one without ``://``, has an empty host and path. Of rules with
+    equal weight the earlier one decides. Urls may have any length. Rows
+    are judged one by one, repeated ones too; an empty table gives no rows; other columns are not read.
     """
     urls = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"))
     counts = literal_counts(urls, [*rules, *own_rules])

@@ -71,3 +71,18 @@ def test_rules_are_filed_under_their_rarest_token():
     assert index.always == []
     # a token that the rule's end could be part of is no token of the URL
     assert url_filter.prefix_rule("a.com", "/en", "block").literals == ("a", "com")
+
+
+def test_very_many_rules_and_a_very_long_url(spark):
+    rules = [url_filter.prefix_rule(f"site{n}.example.org", f"/part{n % 7}/", "block") for n in range(100_000)]
+    urls = [f"https://www.site{n}.example.org/part{n % 7}/x" for n in range(0, 100_000, 997)]
+    urls += [f"https://site5.example.org/part6/{'a/' * 200_000}", "https://site5.example.org/part5/" + "b" * 400_000, "no url"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    found = {r["page_id"]: r for r in url_filter.judge_urls(pages, rules).collect()}
+    for n in range(0, 100_000, 997):
+        assert found[n // 997]["rule"] == f"site{n}.example.org/part{n % 7}/"
+    last = len(urls)
+    assert [found[n]["rule"] for n in (last - 3, last - 2, last - 1)] == [None, "site5.example.org/part5/", None]
+    index = url_filter.RuleIndex(rules, {"example": 10**6, "org": 10**6, **{f"part{n}": 10**4 for n in range(7)}})
+    index.judge("site5.example.org", "/part5/")
+    assert len(index.compiled) == 1  # of 100,000
