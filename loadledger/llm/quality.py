@@ -1,13 +1,15 @@
 """Text quality from random-indexing word vectors and a small network.
 
 Every word has a sparse random index vector, derived from its hash. A word's
-vector is its own index vector plus the sum of those around it in a sample,
-so that words of like surroundings come close. A document is the mean and
+vector is its own index vector plus what its surroundings in a sample add up to,
+so that words of like surroundings come close. Words too rare in the sample to
+have surroundings of their own take those of their class (upper case, digits and so
+on), and keep their own index vector. A document is the mean and
 the spread of its words' vectors. A network of two layers turns that into a
 probability, whose temperature is set on documents the network has not seen.
 
 What is learned comes from a bounded sample of labelled documents: at most
-SAMPLE of them, and VOCABULARY words. Scoring reads every whole text.
+SAMPLE of them, and the surroundings of VOCABULARY words. Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadledger.session import scratch, stage_in
+
 SAMPLE = 6000
 VOCABULARY = 2048
 DIMENSIONS = 64
@@ -47,17 +51,30 @@ def class_of(word: str) -> str:
     return "<title>" if word.istitle() else "<mixed>"
 
 
+def marks_of(word: str) -> int:
+    """The word's hash, of which each of NONZERO groups of bits chooses a place and a sign."""
+    return xxhash.xxh3_64_intdigest(word.encode()) >> 16 | 1 << 48
+
+
+def places_and_signs(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per word NONZERO places, one in each part of the vector, and their signs."""
+    bits = marks[:, None] >> (8 * np.arange(NONZERO)) & 255
+    width = DIMENSIONS // NONZERO
+    return np.arange(NONZERO) * width + (bits >> 1) % width, 1 - 2 * (bits & 1)
+
+
 def index_vector(word: str) -> np.ndarray:
     """A few ones and minus ones at places that the word's hash chooses."""
-    rng = np.random.default_rng(xxhash.xxh3_64_intdigest(word.encode()))
+    places, signs = places_and_signs(np.array([marks_of(word)]))
     vector = np.zeros(DIMENSIONS, np.float32)
-    places = rng.choice(DIMENSIONS, NONZERO, replace=False)
-    vector[places] = rng.choice(np.array([-1, 1], np.float32), NONZERO)
+    vector[places[0]] = signs[0]
     return vector
 
 
 class WordIds(dict):
-    """Number of a word in the vocabulary, else that of its class."""
+    """Number of a word in the vocabulary, else that of its class with the word's marks above it."""
+
+    BITS = 14
 
     def __init__(self, names: list[str]) -> None:
         super().__init__({name: n for n, name in enumerate(names)})
@@ -66,43 +83,60 @@ class WordIds(dict):
         self.sign = np.array([n == "<signs>" or n not in CLASSES and class_of(n) == "<signs>" for n in names])
 
     def __missing__(self, word: str) -> int:
-        number = self[class_of(word)] if word else 0
+        number = self[class_of(word)] | marks_of(word) << self.BITS
         if len(self) < self.limit:
             self[word] = number
         return number
 
 
-def _numbers(words: list[str], ids: WordIds) -> np.ndarray:
-    numbers = np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
-    same = np.fromiter(map(hash, words), np.int64, len(words))
-    again = np.zeros(len(words), bool)
-    for gap in range(1, min(REPEAT, len(words) - 1) + 1):
+def _numbers(words: list[str], ids: WordIds, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of words, their marks (0 in the vocabulary, and for a word said again), and
+    what the next words of the text must know: the last few words."""
+    both = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+    numbers, marks = (both & (1 << ids.BITS) - 1).astype(np.int32), both >> ids.BITS
+    same = np.concatenate([before, np.fromiter(map(hash, words), np.int64, len(words))])
+    again = np.zeros(len(same), bool)
+    for gap in range(1, min(REPEAT, len(same) - 1) + 1):
         again[gap:] |= same[gap:] == same[:-gap]
-    numbers[again & ~ids.sign[numbers]] = ids["<again>"]
-    return numbers
+    said = again[len(before) :] & ~ids.sign[numbers]
+    numbers[said], marks[said] = ids["<again>"], 0
+    return numbers, marks, same[-REPEAT:]
 
 
-def word_numbers(text: str, ids: WordIds) -> Iterator[np.ndarray]:
-    """Numbers of the words of a text, in chunks."""
+def word_numbers(text: str, ids: WordIds) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers and marks of the words of a text, in chunks that know the words before them."""
+    last = np.empty(0, np.int64)
     if len(text) <= CHUNK_WORDS:
         if words := WORD.findall(text):
-            yield _numbers(words, ids)
+            yield _numbers(words, ids, last)[:2]
         return
     held: list[str] = []
     for match in WORD.finditer(text):
         held.append(match.group())
         if len(held) == CHUNK_WORDS:
-            yield _numbers(held, ids)
+            numbers, marks, last = _numbers(held, ids, last)
+            yield numbers, marks
             held = []
     if held:
-        yield _numbers(held, ids)
+        yield _numbers(held, ids, last)[:2]
 
 
 def pooled(text: str | None, ids: WordIds, vectors: np.ndarray) -> np.ndarray:
-    """Mean and standard deviation of the vectors of a text's words, zeros without words."""
+    """Mean and standard deviation of the vectors of a text's words, zeros without words.
+
+    The vector of a word with marks is that of its class and its own index vector.
+    """
     counts = np.zeros(len(vectors), np.int64)
-    for numbers in word_numbers(text or "", ids):
+    own = np.zeros(len(CLASSES) * DIMENSIONS, np.int64)  # sums of index vectors by class
+    hits = np.zeros(DIMENSIONS, np.int64)
+    for numbers, marks in word_numbers(text or "", ids):
         counts += np.bincount(numbers, minlength=len(vectors))
+        rare = np.flatnonzero(marks)
+        if len(rare):
+            places, signs = places_and_signs(marks[rare])
+            keys = (numbers[rare][:, None] * DIMENSIONS + places).ravel()
+            own += np.bincount(keys, signs.ravel(), minlength=len(own)).astype(np.int64)
+            hits += np.bincount(places.ravel(), minlength=DIMENSIONS)
     n = counts.sum()
     if not n:
         return np.zeros(2 * DIMENSIONS, np.float32)
@@ -110,6 +144,10 @@ def pooled(text: str | None, ids: WordIds, vectors: np.ndarray) -> np.ndarray:
     share = (counts[there] / n).astype(np.float32)
     mean = share @ vectors[there]
     square = share @ (vectors[there] ** 2)
+    if hits.any():
+        mine = (own.reshape(len(CLASSES), DIMENSIONS) / (n * np.sqrt(NONZERO))).astype(np.float32)
+        mean = mean + mine.sum(0)
+        square = square + 2 * (mine * vectors[: len(CLASSES)]).sum(0) + (hits / (n * NONZERO)).astype(np.float32)
     return np.concatenate([mean, np.sqrt(np.maximum(square - mean**2, 0))])
 
 
@@ -194,7 +232,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int) -
     """(text, y) of at most ``size`` labelled documents that may be learned from.
 
     Those with the least hashes of doc_id are taken. Null, conflicting and held-out
-    labels are left out. The sampled ids, bounded by ``size``, are broadcast.
+    labels are left out. Of a doc_id that several rows of ``docs`` have, the least text counts.
+    The sampled ids, bounded by ``size``, are broadcast.
     """
     doc_id = F.col("doc_id").cast("long").alias("doc_id")
     known = labels.select(doc_id, F.col(label).cast("int").alias("y")).filter(
@@ -203,7 +242,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int) -
     known = known.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("most"))
     chosen = known.filter("y = most").orderBy(F.xxhash64("doc_id"), "doc_id").limit(size).select("doc_id", "y")
     texts = docs.select(doc_id, F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("text", "y")
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("text", "y")
 
 
 def learn_vectors(sample: DataFrame) -> tuple[list[str], np.ndarray]:
@@ -218,7 +258,7 @@ def learn_vectors(sample: DataFrame) -> tuple[list[str], np.ndarray]:
         near = np.zeros((WINDOW, size * size), np.int64)
         for part in parts:
             for text in part.column(0).to_pylist():
-                for numbers in word_numbers(text or "", ids):
+                for numbers, _ in word_numbers(text or "", ids):
                     for gap in range(1, WINDOW + 1):
                         key = numbers[:-gap].astype(np.int64) * size + numbers[gap:]
                         found, times = np.unique(key, return_counts=True)
@@ -245,8 +285,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", size: int
     Without both labels in the sample there is no network and every score is
     the smoothed share of label 1.
     """
-    sample = labelled_sample(docs, labels, label, size).cache()
-    try:
+    with scratch(docs.sparkSession, "labelled") as folder:
+        sample = stage_in(labelled_sample(docs, labels, label, size), folder, "sample")
         names, vectors = learn_vectors(sample)
 
         def features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,9 +295,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", size: int
                 rows = [pooled(t, ids, vectors).tobytes() for t in part.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, "binary"), part.column(1)], ["x", "y"])
 
-        rows = sorted(map(tuple, sample.mapInArrow(features, "x binary, y int").collect()))
-    finally:
-        sample.unpersist()
+        dealt = sample.repartition(4)
+        rows = sorted(map(tuple, dealt.mapInArrow(features, "x binary, y int").collect()))
     y = np.array([r[1] for r in rows], np.float64)
     prior = float((y.sum() + 1) / (len(y) + 2))
     network = None
@@ -301,7 +340,13 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
 
 def judge_documents(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of ``docs``."""
+    """(doc_id, held_out, score, predicted) for every row of ``docs``.
+
+    A null or empty text is scored as one without words, a text of any length as a
+    whole. Repeated rows are scored each on their own and alike. A null doc_id stays
+    null and is not held out. Without labels every score is the same; an empty table gives no
+    rows. Columns other than doc_id and text are not read.
+    """
     model = learn(docs, labels, size=size)
     doc_id = F.col("doc_id").cast("long")
     narrow = docs.select(doc_id.alias("doc_id"), F.col("text").cast("string").alias("text"))

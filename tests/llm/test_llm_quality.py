@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from helpers import by_id, documents, prose
 
 from loadledger.llm import quality
@@ -74,12 +77,67 @@ def test_nulls_empties_repeats_and_long_texts(spark):
     assert len(found) == 6 and all(0 <= r["score"] <= 1 for r in found)
     empty = [r["score"] for r in found if not (r["text"] or "").strip()]
     assert len(empty) == 3 and len(set(empty)) == 1
-    # a text read in chunks is pooled as a whole
-    ids, parts = quality.WordIds(model.names), list(quality.word_numbers(long, quality.WordIds(model.names)))
-    assert len(parts) > 1
-    counts = np.bincount(np.concatenate(parts), minlength=len(model.names))
-    share = counts / counts.sum()
-    assert np.allclose(quality.pooled(long, ids, model.vectors)[: quality.DIMENSIONS], share @ model.vectors, atol=1e-4)
+    assert len(list(quality.word_numbers(long, quality.WordIds(model.names)))) > 1
+    by_text = {r["text"]: r["score"] for r in found}
+    for text in (long, "text"):
+        assert by_text[text] == pytest.approx(plain_score(text, model), abs=1e-4)
+
+
+def plain_vector(word, model):
+    """A word's vector, told once more from its definition."""
+    own = np.zeros(quality.DIMENSIONS)
+    mark = xxhash.xxh3_64_intdigest(word.encode()) >> 16
+    for n in range(6):
+        byte = mark >> (8 * n) & 255
+        own[10 * n + (byte >> 1) % 10] = -1 if byte & 1 else 1
+    if word in model.names:
+        return model.vectors[model.names.index(word)]
+    return model.vectors[model.names.index(quality.class_of(word))] + own / np.sqrt(6)
+
+
+def plain_score(text, model):
+    """Score of a text word by word: vectors, mean, spread, network, temperature."""
+    words, vectors = re.findall(r"\w+|[^\w\s]+", text), []
+    for n, word in enumerate(words):
+        said = word in words[max(0, n - 4) : n]
+        signs = not (word[0].isalnum() or word[0] == "_")
+        vectors.append(model.vectors[0] if said and not signs else plain_vector(word, model))
+    x = np.concatenate([np.mean(vectors, 0), np.std(vectors, 0)])
+    net = model.network
+    hidden = [max(0.0, float(((x - net.mean) / net.scale) @ net.w1[:, h] + net.b1[h])) for h in range(len(net.b1))]
+    logit = sum(a * b for a, b in zip(hidden, net.w2)) + net.b2
+    return 1 / (1 + math.exp(-logit / net.temperature))
+
+
+def test_scores_equal_a_plain_forward_pass(spark):
+    docs, labels = labelled(spark, 120)
+    model = quality.learn(docs, labels)
+    assert model.network is not None and model.names[0] == "<again>"
+    for row in quality.scored(docs, model).limit(40).collect():
+        assert row["score"] == pytest.approx(plain_score(row["text"], model), abs=2e-3)
+
+
+def test_a_repeat_is_seen_across_a_chunk_border(monkeypatch):
+    ids = quality.WordIds([*quality.CLASSES])
+    text = "one two three four one five six seven eight six nine " * 3
+    whole = [n.tolist() for n, _ in quality.word_numbers(text, ids)]
+    monkeypatch.setattr(quality, "CHUNK_WORDS", 4)
+    parts = [n.tolist() for n, _ in quality.word_numbers(text, ids)]
+    assert len(parts) > 5 and sum(parts, []) == sum(whole, [])
+    assert whole[0][4] == 0 and whole[0][9] == 0
+
+
+def test_words_beyond_the_vocabulary_count():
+    vectors = np.ones((len(quality.CLASSES), quality.DIMENSIONS), np.float32)
+    ids = quality.WordIds([*quality.CLASSES])
+    one, other = (quality.pooled(word, ids, vectors) for word in ("apple", "pear"))
+    assert not np.allclose(one, other)
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark):
+    docs, labels = labelled(spark, 30)
+    many = docs.unionByName(docs.filter("doc_id < 2").crossJoin(spark.range(500)).drop("id"))
+    assert quality.labelled_sample(many, labels, "quality", 10).count() == 10
 
 
 def test_without_labels_every_score_is_the_prior(spark):
