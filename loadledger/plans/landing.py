@@ -19,7 +19,7 @@ from loadledger.sources.landing import (
     landed_versions,
     landed_versions_of,
     landing_accept,
-    scan_landing,
+    scan_days,
 )
 
 
@@ -63,7 +63,7 @@ def deliver_days(
         )
         # A repeated delivery finds its versions and writes nothing.
         due = delivered.join(named, list(DAY_KEY))
-        land_days(due, root, contract, complete, seen_at, landed)
+        land_days(due, root, contract, complete, seen_at, landed, checked=True)
     return judged
 
 
@@ -101,9 +101,7 @@ def ingest_days(
         due = stage_in(records.join(wanted, ["respondent", "date"], "left_semi"), folder, "due")
         due = due.select(*records.columns)
         judged = deliver_days(spark, due, root, contract, complete=complete)
-        bounds = judged.agg(F.min("date").alias("a"), F.max("date").alias("b")).first()
-        dates = [bounds["a"], bounds["b"]] if bounds["a"] is not None else []
-        files = landing_accept(scan_landing(spark, root, dates), contract)
+        files = landing_accept(scan_days(spark, root, judged), contract)
         stored = landed_versions(files).select(*DAY_KEY).distinct()
         lost = judged.join(stored, list(DAY_KEY), "left_anti").select(*DAY_KEY).limit(1).collect()
         if lost:

@@ -49,13 +49,14 @@ from loadledger.session import pin_utc, remove, scratch, stage_in
 from loadledger.sources import tables
 from loadledger.sources.landing import (
     accepted_counts,
+    between,
     decode_payload,
     explode_records,
     landing_accept,
     scan_landing,
     to_history,
 )
-from loadledger.sources.tables import LAYERS, bounds_of, on_dates_of, read_layer, with_date
+from loadledger.sources.tables import LAYERS, days_of, on_dates_of, read_layer, with_date
 
 STATS = "layer string, action string, row_count bigint"
 ACTIONS = (INSERTED, UPDATED, UNCHANGED, KEPT)
@@ -148,12 +149,12 @@ def _refresh(
     own = [*HISTORY_SCHEMA.names, *[n for n in TOTALS if n in batch.columns]]
     incoming = stage_in(with_date(batch.select(*own)), folder, "incoming")
     enforce(gate_records(incoming, contract))
-    bounds = bounds_of(incoming)
-    if bounds is None:
+    days = days_of(incoming)
+    if not days:
         return [], None
 
     def stored(layer: str, changed: DataFrame) -> DataFrame:
-        rows = on_dates_of(read_layer(spark, root, layer, bounds), changed)
+        rows = on_dates_of(read_layer(spark, root, layer, days), changed)
         return rows.select(*LAYERS[layer].names)
 
     resolved = stage_in(known_versions(incoming, stored("history", incoming)), folder, "resolved")
@@ -251,8 +252,8 @@ def run_pipeline(
     files = landing_accept(scanned, contract)
     enforce(not_empty_report(files.select("path"), "accepted files present"))
     with scratch(spark, "files") as folder:
-        bounds = (min(dates), max(dates)) if dates else None
-        history = read_layer(spark, root, "history", bounds)
+        span = between(min(dates), max(dates)) if dates else None
+        history = read_layer(spark, root, "history", span)
         due = stage_in(new_files(files, history, contract), folder, "due")
         span = due.agg(
             F.count(F.lit(1)).alias("n"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +42,26 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def folders_of_age(spark: SparkSession, pattern: str, age: timedelta) -> Iterator[str]:
+    """Paths that match the pattern and have not changed for ``age``, by the session's clock."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    now = spark.sql("SELECT unix_millis(current_timestamp())").first()[0]
+    for status in system.globStatus(place) or []:
+        if timedelta(milliseconds=now - status.getModificationTime()) >= age:
+            yield status.getPath().toString()
+
+
+def clear_staged(spark: SparkSession, age: timedelta) -> None:
+    """Remove what ``stage`` and ``fresh_dir`` left in the shared folder at least ``age`` ago.
+
+    A lazy result reads such folders for as long as it is held, so nothing removes them by
+    itself; call this with more than the time that any job and result may take.
+    """
+    for path in folders_of_age(spark, f"{shared_root(spark)}/loadledger/*", age):
+        remove(spark, path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.contract import (
@@ -50,23 +50,43 @@ def scan_landing(
     whatever the layout below, and only files between the two come back. The
     bytes are read only where a later step uses them.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if dates is None:
-        return files.load(root)
+        return _zone_files(spark).load(root)
     if not dates:
         return spark.createDataFrame([], FILE_SCHEMA)
     first, last = min(dates), max(dates)
-    months = [
-        f"year={n // 12:04d}/month={n % 12 + 1:02d}"
-        for n in range(first.year * 12 + first.month - 1, last.year * 12 + last.month)
-    ]
+    months = range(first.year * 12 + first.month - 1, last.year * 12 + last.month)
+    return _scan_months(spark, root, months).filter(path_date("path").between(F.lit(first), F.lit(last)))
+
+
+def scan_days(spark: SparkSession, root: str, days: DataFrame) -> DataFrame:
+    """Files of the days whose ``date`` is in ``days``.
+
+    Only the months that these lie in are listed, so one late revision of an old
+    day does not list all that came since. The calendar bounds how many months there can be.
+    """
+    dates = days.select("date").filter("date IS NOT NULL").distinct()
+    months = dates.select(F.expr("year(date) * 12 + month(date) - 1").alias("n")).distinct()
+    listed = sorted(r["n"] for r in months.collect())
+    if not listed:
+        return spark.createDataFrame([], FILE_SCHEMA)
+    files = _scan_months(spark, root, listed).withColumn("_date", path_date("path"))
+    return files.join(dates, files["_date"] == dates["date"], "left_semi").drop("_date")
+
+
+def _zone_files(spark: SparkSession) -> DataFrameReader:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+
+
+def _scan_months(spark: SparkSession, root: str, months: Sequence[int]) -> DataFrame:
+    """Files of the given months, counted from year 0, whatever the layout below."""
+    folders = ",".join(f"year={n // 12:04d}/month={n % 12 + 1:02d}" for n in months)
     try:
-        found = files.load(f"{root}/respondent=*/{{{','.join(months)}}}")
+        return _zone_files(spark).load(f"{root}/respondent=*/{{{folders}}}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], FILE_SCHEMA)  # nothing has landed in these months
-    return found.filter(path_date("path").between(F.lit(first), F.lit(last)))
 
 
 def between(start: date, end: date) -> list[date]:
@@ -246,6 +266,7 @@ def land_days(
     complete: bool = True,
     seen_at: datetime | None = None,
     landed: DataFrame | None = None,
+    checked: bool = False,
 ) -> None:
     """Write one file per day and version below ``root``.
 
@@ -255,14 +276,17 @@ def land_days(
     repartitioning is needed. A version that is already there is not written
     again; other content under a known version is an error, and nothing is
     written then. ``landed`` gives the versions of these days, if the caller
-    knows them.
+    knows them; ``checked`` says that the caller found the days fit and holds the
+    records in files.
     """
     spark = records.sparkSession
     if "version" not in records.columns:
         records = records.withColumn("version", F.lit(CANONICAL))
-    check_days(records, contract, complete)
+    if not checked:
+        check_days(records, contract, complete)
     with scratch(spark, "landing") as folder:
-        records = stage_in(records, folder, "records")
+        if not checked:
+            records = stage_in(records, folder, "records")
         if landed is None:
             landed = landed_versions_of(spark, root, records, contract)
         keys = [*DAY_KEY, "version"]
@@ -287,11 +311,9 @@ def land_days(
 def landed_versions_of(
     spark: SparkSession, root: str, records: DataFrame, contract: SeriesContract
 ) -> DataFrame:
-    """Fingerprints of what the zone holds between the first and the last day of ``records``."""
+    """Fingerprints of what the zone holds of the days of ``records``."""
     open_zone(spark, root)
-    bounds = records.agg(F.min("date").alias("a"), F.max("date").alias("b")).first()
-    dates = [bounds["a"], bounds["b"]] if bounds["a"] is not None else []
-    decoded = decode_payload(landing_accept(scan_landing(spark, root, dates), contract))
+    decoded = decode_payload(landing_accept(scan_days(spark, root, records), contract))
     check_landed(decoded)
     return landed_days(decoded)
 

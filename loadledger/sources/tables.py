@@ -24,7 +24,7 @@ from loadledger.contract import (
 from loadledger.functions.columns import period_date
 from loadledger.operators.quality import Watch
 from loadledger.operators.versions import key_lookup
-from loadledger.session import remove
+from loadledger.session import folders_of_age, remove
 
 LAYERS: dict[str, T.StructType] = {
     "history": HISTORY_SCHEMA,
@@ -34,8 +34,6 @@ LAYERS: dict[str, T.StructType] = {
 }
 COMMITS = "layer string, date date, run string, seq bigint, at timestamp"
 
-Bounds = tuple[date, date]
-
 
 def stored_schema(layer: str) -> T.StructType:
     """The layer's columns plus the partition column ``date`` at the end."""
@@ -71,23 +69,24 @@ def commit(spark: SparkSession, root: str, entries: DataFrame) -> None:
     rows.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/_manifest")
 
 
-def _folders(spark: SparkSession, root: str, layer: str, bounds: Bounds | None) -> list[str]:
+def _folders(spark: SparkSession, root: str, layer: str, days: Sequence[date] | None) -> list[str]:
     entries = committed(spark, root).filter(F.col("layer") == layer)
-    if bounds is not None:
-        entries = entries.filter(F.col("date").between(*map(F.lit, bounds)))
+    if days is not None:
+        wanted = spark.createDataFrame([(day,) for day in days], "date date")
+        entries = entries.join(wanted, "date", "left_semi")
     found = entries.select("run", F.col("date").cast("string").alias("date")).distinct()
     return sorted(f"{run_path(root, layer, r['run'])}/date={r['date']}" for r in found.collect())
 
 
 def read_layer(
-    spark: SparkSession, root: str, layer: str, bounds: Bounds | None = None
+    spark: SparkSession, root: str, layer: str, days: Sequence[date] | None = None
 ) -> DataFrame:
-    """A layer with its partition column, or only the dates from the first to the last given.
+    """A layer with its partition column, or only the given dates of it.
 
     The folders that count are named one by one, so files of other dates, and of
     runs that count no more, are not even listed.
     """
-    folders = _folders(spark, root, layer, bounds)
+    folders = _folders(spark, root, layer, days)
     if not folders:
         return spark.createDataFrame([], stored_schema(layer))
     reader = spark.read.schema(stored_schema(layer))
@@ -103,7 +102,7 @@ def find(spark: SparkSession, root: str, layer: str, **key: object) -> DataFrame
     """Rows of a stored layer by key. A period or date in the key prunes partitions."""
     day = key.get("date") or str(key.get("period", ""))[:10]
     day = date.fromisoformat(str(day)) if day else None
-    rows = read_layer(spark, root, layer, (day, day) if day else None)
+    rows = read_layer(spark, root, layer, [day] if day else None)
     return key_lookup(rows, **key).select(*LAYERS[layer].names)
 
 
@@ -164,20 +163,15 @@ def clean_up(spark: SparkSession, root: str, keep: timedelta) -> None:
     for row in superseded(spark, root, keep).toLocalIterator():
         remove(spark, f"{run_path(root, row['layer'], row['run'])}/date={row['date']}")
     known = {r["run"] for r in _commits(spark, root).select("run").distinct().collect()}
-    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/run=*")
-    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    now = spark.sql("SELECT unix_millis(current_timestamp())").first()[0]
-    for status in system.globStatus(place) or []:
-        path = status.getPath()
-        age = timedelta(milliseconds=now - status.getModificationTime())
-        if path.getName().removeprefix("run=") not in known and age >= keep:
-            remove(spark, path.toString())
-
-
-def bounds_of(df: DataFrame) -> Bounds | None:
-    """The first and the last date in ``df``, or None without rows."""
-    row = df.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
-    return (row["first"], row["last"]) if row["first"] is not None else None
+    for path in folders_of_age(spark, f"{root.rstrip('/')}/*/run=*", keep):
+        if path.rsplit("run=", 1)[1].rstrip("/") not in known:
+            remove(spark, path)
+
+
+def days_of(df: DataFrame) -> list[date]:
+    """The dates that occur in ``df``; the calendar bounds how many there can be."""
+    found = df.select("date").filter("date IS NOT NULL").distinct()
+    return sorted(row["date"] for row in found.collect())
 
 
 def on_dates_of(layer: DataFrame, changed: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from loadledger.sources.landing import (
     decode_payload,
     explode_records,
     landing_accept,
-    scan_landing,
+    scan_days,
     to_history,
 )
 
@@ -49,13 +49,6 @@ def announce(spark: SparkSession, told: str, files: DataFrame) -> None:
             staged.coalesce(1).write.mode("append").parquet(told)
 
 
-def _announced(spark: SparkSession, landing: str, days: DataFrame, contract: SeriesContract) -> DataFrame:
-    """The zone's accepted files of the months that ``date`` of the given rows lie in."""
-    bounds = days.agg(F.min("date").alias("a"), F.max("date").alias("b")).first()
-    dates = [bounds["a"], bounds["b"]] if bounds["a"] is not None else []
-    return landing_accept(scan_landing(spark, landing, dates), contract)
-
-
 def deliver_and_announce(
     spark: SparkSession,
     records: DataFrame,
@@ -71,7 +64,7 @@ def deliver_and_announce(
     of a delivery that died in between are told of by the next one.
     """
     judged = deliver_days(spark, records, landing, contract, seen_at=seen_at, complete=complete)
-    announce(spark, told, _announced(spark, landing, judged, contract).select("path", "modificationTime"))
+    announce(spark, told, landing_accept(scan_days(spark, landing, judged), contract).select("path", "modificationTime"))
     return judged
 
 
@@ -98,7 +91,7 @@ def stream_notices(
         session = batch.sparkSession
         with scratch(session, "told") as folder:
             rows = stage_in(batch, folder, "rows")
-            files = _announced(session, landing, rows, contract)
+            files = landing_accept(scan_days(session, landing, rows), contract)
             chosen = files.join(rows.select("path").distinct(), "path", "left_semi")
             records = to_history(explode_records(decode_payload(chosen)), contract, totals=True)
             incremental_refresh(session, records, root, contract, require_complete)

@@ -77,6 +77,18 @@ def test_date_range_lists_only_its_months(spark, tmp_path):
     assert landing.scan_landing(spark, str(tmp_path), []).count() == 0
 
 
+def test_only_the_months_of_the_days_are_listed(spark, tmp_path):
+    old, new = date(2019, 3, 5), date(2026, 9, 26)
+    for day in (old, date(2022, 1, 1), date(2026, 9, 1), new):
+        write_file(tmp_path, day, day_of_records(day), T1)
+    days_ = spark.createDataFrame([(old,), (new,), (new,), (None,)], "date date")
+    files = landing.scan_days(spark, str(tmp_path), days_)
+    assert {r["path"][-15:] for r in files.collect()} == {f"{old}.json", f"{new}.json"}
+    assert not any("2022" in path for path in files.inputFiles())
+    assert landing.scan_days(spark, str(tmp_path), days_.limit(0)).count() == 0
+    assert landing.scan_days(spark, str(tmp_path), days_.selectExpr("date + 99999 AS date")).count() == 0
+
+
 def test_observed_time_is_read(spark, tmp_path):
     body = {"response": {"data": [record("2026-09-26T00", "D", "1")], "total": "1"},
             "ingestion_metadata": {"downloaded_at_utc": "2026-10-01T08:00:00+00:00"}}

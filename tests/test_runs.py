@@ -12,6 +12,7 @@ import pytest
 from conftest import rows
 from series import CONTRACT, T1, T2, T3, day_of_records, days_from, records_df, write_file
 
+from loadledger import session
 from loadledger.operators import quality
 from loadledger.plans import refresh
 from loadledger.plans.landing import deliver_days
@@ -166,6 +167,18 @@ def test_a_held_result_survives_the_next_run(spark, tmp_path):
     assert contents(spark, root) == after != before
 
 
+def test_staged_folders_go_when_asked_for(spark):
+    held = session.stage(spark.range(3).toDF("n"), "held")
+    folder = Path(held.inputFiles()[0].removeprefix("file:")).parent
+    session.clear_staged(spark, timedelta(hours=1))
+    assert held.count() == 3 and folder.exists()
+    other = folder.with_name("held-long-ago")
+    other.mkdir()
+    os.utime(other, (0, 0))
+    session.clear_staged(spark, timedelta(hours=1))
+    assert folder.exists() and not other.exists()
+
+
 def test_no_copy_outlives_its_run(spark, tmp_path):
     zone, root = tmp_path / "zone", tmp_path / "layers"
     shared = Path(spark.sparkContext.getConf().get("spark.checkpoint.dir")) / "loadledger"
