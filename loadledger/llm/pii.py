@@ -19,7 +19,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from math import exp, log
+from math import exp, inf, log
 
 import numpy as np
 import pyarrow as pa
@@ -189,9 +189,17 @@ class Stretch:
         return Stretch(edges, segments)
 
 
+# What can stand before an entity: none in its stretch, or the last one's kind.
+LAST = ("none", *KINDS)
+
+
 @dataclass
 class Field:
-    """Weights of (kind, feature); a lone atom outside all entities weighs nothing."""
+    """Weights of (kind, feature); a lone atom outside all entities weighs nothing.
+
+    Features tell of a whole segment, and of which kind the entity before it is,
+    however many atoms outside lie between the two.
+    """
 
     weights: dict[tuple[str, str], float] = field(default_factory=lambda: defaultdict(float))
 
@@ -199,58 +207,118 @@ class Field:
         get = self.weights.get
         return [sum(get((kind, f), 0.0) for f in found) for kind in KINDS]
 
+    def moves(self) -> list[list[float]]:
+        """Weight of each kind after each of LAST."""
+        return [[self.weights.get((kind, f"last={last}"), 0.0) for kind in KINDS] for last in LAST]
+
     def best(self, stretch: Stretch) -> list[Span]:
         """Kinds and atom ranges of the segmentation with the greatest score."""
-        ending: dict[int, list[tuple[int, str, float]]] = {}
+        moves, kinds = self.moves(), range(len(KINDS))
+        # A segment that costs more than it and what follows it can gain is in no best one.
+        entry = [max(row[k] for row in moves) for k in kinds]
+        onward = [max(moves[k + 1][m] - min(row[m] for row in moves) for m in kinds) for k in kinds]
+        ending: dict[int, list[tuple[int, int, float]]] = {}
         known: dict[tuple[str, ...], list[float]] = {}  # segments of one look, as in long lists
         for i, j, found in stretch.segments:
             own = known.get(found)
             if own is None:
                 own = known[found] = self.scores(found)
-            kind = max(range(len(KINDS)), key=own.__getitem__)
-            if own[kind] > 0:  # less than leaving its atoms out
-                ending.setdefault(j, []).append((i, KINDS[kind], own[kind]))
+            for k in kinds:
+                if own[k] + entry[k] + onward[k] > 0:
+                    ending.setdefault(j, []).append((i, k, own[k]))
         n = len(stretch.edges) - 1
-        total, chosen = [0.0] * (n + 1), [None] * (n + 1)
+        total = [[0.0] + [-inf] * len(KINDS)]
+        chosen: list[list[tuple[int, int] | None]] = [[None] * len(LAST)]
         for j in range(1, n + 1):
-            total[j] = total[j - 1]
-            for i, kind, score in ending.get(j, ()):
-                if total[i] + score > total[j]:
-                    total[j], chosen[j] = total[i] + score, (kind, i, j)
-        out, j = [], n
+            now, back = list(total[j - 1]), [None] * len(LAST)
+            for i, k, score in ending.get(j, ()):
+                for last, before in enumerate(total[i]):
+                    if before + moves[last][k] + score > now[k + 1]:
+                        now[k + 1], back[k + 1] = before + moves[last][k] + score, (i, last)
+            total.append(now)
+            chosen.append(back)
+        out, j, last = [], n, max(range(len(LAST)), key=total[n].__getitem__)
         while j > 0:
-            if chosen[j] is None:
+            step = chosen[j][last]
+            if step is None:
                 j -= 1
             else:
-                out.append(chosen[j])
-                j = chosen[j][1]
+                out.append((KINDS[last - 1], step[0], j))
+                j, last = step
         return out[::-1]
 
-    def learn(self, stretch: Stretch, gold: set[Span], rate: float, decay: float) -> None:
-        """One step up the log likelihood of the gold segmentation."""
-        n = len(stretch.edges) - 1
+    def _sums(self, stretch: Stretch) -> tuple[list, list[list[float]], list[list[float]], float]:
+        """Scored segments, sums of all segmentations before and after each place, and of all."""
+        n, moves = len(stretch.edges) - 1, self.moves()
         scored = [(i, j, found, self.scores(found)) for i, j, found in stretch.segments]
         ending, starting = defaultdict(list), defaultdict(list)
         for one in scored:
             ending[one[1]].append(one)
             starting[one[0]].append(one)
-        forward, backward = [0.0] * (n + 1), [0.0] * (n + 1)
+        forward = [[0.0] + [-inf] * len(KINDS)]
         for j in range(1, n + 1):
-            forward[j] = _sum([forward[j - 1], *(forward[i] + s for i, _, _, own in ending[j] for s in own)])
+            now = list(forward[j - 1])
+            if ending[j]:
+                for k in range(len(KINDS)):
+                    more = [f + moves[p][k] + own[k] for i, _, _, own in ending[j] for p, f in enumerate(forward[i])]
+                    now[k + 1] = _sum([now[k + 1], *more])
+            forward.append(now)
+        backward = [[0.0] * len(LAST)] * (n + 1)
         for i in range(n - 1, -1, -1):
-            backward[i] = _sum([backward[i + 1], *(backward[j] + s for _, j, _, own in starting[i] for s in own)])
+            if starting[i]:
+                backward[i] = [
+                    _sum([stay, *(backward[j][k + 1] + move[k] + own[k] for _, j, _, own in starting[i] for k in range(len(KINDS)))])
+                    for stay, move in zip(backward[i + 1], moves)
+                ]
+            else:
+                backward[i] = backward[i + 1]
+        return scored, forward, backward, _sum(forward[n])
+
+    def likelihood(self, stretch: Stretch, gold: set[Span]) -> float:
+        """Log likelihood of the gold segmentation."""
+        scored, _, _, every = self._sums(stretch)
+        held, moves = {(i, j): own for i, j, _, own in scored}, self.moves()
+        total, last = 0.0, 0
+        for kind, i, j in sorted(gold, key=lambda g: g[1]):
+            k = KINDS.index(kind)
+            total += held[i, j][k] + moves[last][k]
+            last = k + 1
+        return total - every
+
+    def slopes(self, stretch: Stretch, gold: set[Span]) -> Iterator[tuple[tuple[str, ...], str, float]]:
+        """(features, kind, slope of the log likelihood) of segments and of what precedes them."""
+        scored, forward, backward, every = self._sums(stretch)
+        moves, after, last = self.moves(), {}, 0
+        for kind, i, j in sorted(gold, key=lambda g: g[1]):
+            after[kind, i, j], last = last, KINDS.index(kind) + 1
+        chances = [[0.0] * len(KINDS) for _ in LAST]
         for i, j, found, own in scored:
-            for kind, score in zip(KINDS, own):
-                chance = exp(min(0.0, forward[i] + score + backward[j] - forward[n]))
-                slope = ((kind, i, j) in gold) - chance
-                if abs(slope) > 1e-4:
-                    for name in found:
-                        key = (kind, name)
-                        self.weights[key] += rate * (slope - decay * self.weights[key])
+            for k, kind in enumerate(KINDS):
+                each = [
+                    exp(min(0.0, f + moves[p][k] + own[k] + backward[j][k + 1] - every)) if f > -inf else 0.0
+                    for p, f in enumerate(forward[i])
+                ]
+                for p, chance in enumerate(each):
+                    chances[p][k] += chance
+                yield found, kind, ((kind, i, j) in gold) - sum(each)
+        for p, last_kind in enumerate(LAST):
+            for k, kind in enumerate(KINDS):
+                seen = sum(g[0] == kind and before == p for g, before in after.items())
+                yield (f"last={last_kind}",), kind, seen - chances[p][k]
+
+    def learn(self, stretch: Stretch, gold: set[Span], rate: float, decay: float) -> None:
+        """One step up the log likelihood of the gold segmentation."""
+        for found, kind, slope in list(self.slopes(stretch, gold)):
+            if abs(slope) > 1e-4:
+                for name in found:
+                    key = (kind, name)
+                    self.weights[key] += rate * (slope - decay * self.weights[key])
 
 
 def _sum(values: list[float]) -> float:
     top = max(values)
+    if top == -inf:
+        return top
     return top + log(sum(exp(v - top) for v in values))
 
 
@@ -382,7 +450,8 @@ def find_personal_data(docs: DataFrame, learned: Field) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) per row of ``docs``.
 
     Spans count code points. The numbers count base spans. A null text is
-    empty and has none; repeated rows are read each on their own. Other columns
+    empty and has none; repeated rows are read each on their own. A text of any length is
+    read whole, in time that goes with its length. An empty table gives no rows. Other columns
     are not read.
     """
 

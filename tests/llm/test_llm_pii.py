@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+from functools import lru_cache
+from collections import defaultdict
 import hashlib
 import re
 import time
 
+import numpy as np
 import pytest
 from helpers import by_id, documents, prose
 from hypothesis import given, settings
@@ -77,18 +80,61 @@ def test_segmentation_is_the_best_one(field):
     """Dynamic programming against trying every set of segments that do not overlap."""
     for part in ("+1 (826) 555-4081 190.137.22.204", "a@b.org 4111111111111111", "1.2.3.4 5.6.7.8"):
         stretch = pii.Stretch.of(part, " ", " ")
-        scored = [(i, j, k, s) for i, j, found in stretch.segments for k, s in zip(pii.KINDS, field.scores(found)) if s > 0]
+        moves = field.moves()
+        scored = [(i, j, k, s) for i, j, found in stretch.segments for k, s in enumerate(field.scores(found))]
 
-        def best(at):
-            later = [(i, j, k, s) for i, j, k, s in scored if i >= at]
-            return max([0.0, *(s + best(j) for _, j, _, s in later)])
+        @lru_cache(maxsize=None)
+        def best(at, last):
+            later = [(j, k, s + moves[last][k]) for i, j, k, s in scored if i >= at]
+            return max([0.0, *(s + best(j, k + 1) for j, k, s in later)])
 
         by = {(i, j, k): s for i, j, k, s in scored}
-        chosen = field.best(stretch)
-        assert sum(by[i, j, k] for k, i, j in chosen) == pytest.approx(best(0))
+        chosen, total, last = field.best(stretch), 0.0, 0
+        for kind, i, j in chosen:
+            k = pii.KINDS.index(kind)
+            total, last = total + by[i, j, k] + moves[last][k], k + 1
+        assert total == pytest.approx(best(0, 0))
         assert all(a[2] <= b[1] for a, b in zip(chosen, chosen[1:]))
 
 
+def test_the_entity_before_counts():
+    """Where two kinds are as likely by themselves, the one that follows the last entity better is chosen."""
+    stretch = pii.Stretch.of("a@b.org 1.2.3.4", " ", " ")
+    field = pii.Field()
+    mail, address = ((i, j, f) for i, j, f in stretch.segments if (i, j) in ((0, 5), (6, 13)))
+    field.weights["email", mail[2][1]] = 2.0
+    for kind in ("ip", "phone"):
+        field.weights[kind, address[2][1]] = 1.0
+    field.weights["phone", "last=email"] = 0.5
+    assert field.best(stretch) == [("email", 0, 5), ("phone", 6, 13)]
+    field.weights["phone", "last=email"] = -0.5
+    assert field.best(stretch) == [("email", 0, 5), ("ip", 6, 13)]
+
+
+def test_slopes_are_those_of_the_likelihood():
+    stretch = pii.Stretch.of("a@b.org 1.2.3.4 +1 555 555 5555", " ", " ")
+    gold = pii.gold_of(stretch, [("email", 0, 7), ("ip", 8, 15), ("phone", 16, 31)])
+    assert len(gold) == 3
+    rng = np.random.default_rng(4)
+    field = pii.Field()
+    names = {(kind, n) for kind in pii.KINDS for _, _, f in stretch.segments for n in f}
+    names |= {(kind, f"last={last}") for kind in pii.KINDS for last in pii.LAST}
+    for key in sorted(names):
+        field.weights[key] = float(rng.normal(0, 0.2))
+    slopes = defaultdict(float)
+    for found, kind, slope in field.slopes(stretch, gold):
+        for name in found:
+            slopes[kind, name] += slope
+    some = [k for k in sorted(names) if k[1].startswith("last=")] + sorted(names)[::7]
+    for key in some:
+        kept, values = field.weights[key], []
+        for step in (1e-5, -1e-5):
+            field.weights[key] = kept + step
+            values.append(field.likelihood(stretch, gold))
+        field.weights[key] = kept
+        assert slopes[key] == pytest.approx((values[0] - values[1]) / 2e-5, abs=1e-4)
+
+
 def test_likelihood_gradient():
     """A step along the gradient makes the gold segmentation likelier."""
     stretch = pii.Stretch.of("1.2.3.4 +1 555 555 5555", " ", " ")
