@@ -46,6 +46,8 @@ KNOWN = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 CANDIDATE = re.compile(r"[A-Za-z0-9_+/=-]{16,}")
+# Texts that may hold something to learn from, in the words of Spark's expressions.
+LIKELY = r"(?i:passw(?:or)?d|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[A-Za-z0-9_+/=-]{16}"
 DOCUMENTS = 300  # documents whose contexts and findings are learned from
 PER_DOCUMENT = 8  # findings, and places for made-up ones, taken from each
 MADE = 1600  # made-up findings, secrets and look-alikes in turn
@@ -326,11 +328,9 @@ def labelled_findings(rows: list[tuple]) -> tuple[list[np.ndarray], np.ndarray]:
     return codes, np.array(labels, np.float32)
 
 
-def learn(docs: DataFrame, documents: int = DOCUMENTS) -> CharNetwork:
-    """Fit the network to findings in a bounded sample of documents, and to made-up ones.
-
-    The sample is the ``documents`` rows with the least hashes; each gives at most PER_DOCUMENT findings and as many places.
-    """
+def learning_rows(docs: DataFrame, documents: int) -> list[tuple]:
+    """``findings`` of a bounded sample: a third of any documents, for their surroundings, the
+    others of documents that may hold findings."""
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -341,10 +341,19 @@ def learn(docs: DataFrame, documents: int = DOCUMENTS) -> CharNetwork:
                 arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds)]
                 yield pa.RecordBatch.from_arrays(arrays, ["label", "codes", "before", "after"])
 
-    sample = sampled_texts(docs, documents)
+    plain = documents // 3
+    sample = sampled_texts(docs, plain).unionByName(sampled_texts(docs, documents - plain, LIKELY)).distinct()
     found = sample.mapInArrow(read, "label int, codes binary, before string, after string")
-    rows = sorted(map(tuple, found.collect()), key=lambda r: (r[0] is None, r[0] or 0, *r[1:]))
-    return train(*labelled_findings(rows))
+    return sorted(map(tuple, found.collect()), key=lambda r: (r[0] is None, r[0] or 0, *r[1:]))
+
+
+def learn(docs: DataFrame, documents: int = DOCUMENTS) -> CharNetwork:
+    """Fit the network to findings in a bounded sample of documents, and to made-up ones.
+
+    The sample is ``documents`` rows, those with the least hashes of their sort; each gives at
+    most PER_DOCUMENT findings and as many places.
+    """
+    return train(*labelled_findings(learning_rows(docs, documents)))
 
 
 def all_spans(texts: list[str], net: CharNetwork) -> list[tuple[list[Span], list[Span]]]:
@@ -365,8 +374,9 @@ def find_secrets(docs: DataFrame, net: CharNetwork) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) per row of ``docs``.
 
     Spans count code points. The numbers count base spans. A null text is
-    empty and has none; repeated rows are read each on their own. Other columns
-    are not read.
+    empty and has none; repeated rows are read each on their own. A text of any length is
+    read whole, in time that goes with its length, however many findings it holds. An
+    empty table gives no rows. Other columns are not read.
     """
 
     def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

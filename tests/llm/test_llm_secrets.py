@@ -221,3 +221,11 @@ def test_cover_is_that_of_all_pairs():
             for b in range(a + 1, 49):
                 touched = any(a < e and s < b for _, s, e in spans)
                 assert cover.holds(a, b) == Cover(spans).holds(a, b) == touched
+
+
+def test_the_sample_holds_real_findings(spark):
+    texts = [f"{prose(n, 30)} api_key = Zk{n:04d}hTq9 and {prose(n)}" if n % 40 == 0 else prose(n, 30) for n in range(400)]
+    texts += [None, "", "run aB3dE5gH7jK9mN1pQ3 here"]
+    rows = secret_scan.learning_rows(documents(spark, texts), 60)
+    assert sum(r[0] == 1 for r in rows) == 10 and sum(r[0] == 0 for r in rows) == 1
+    assert sum(r[0] is None for r in rows) >= 20 * secret_scan.PER_DOCUMENT
