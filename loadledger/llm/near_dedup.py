@@ -388,7 +388,8 @@ def near_copies(
     row, repeated ones too. A null, empty or blank text has no shingles, no
     links, and its own doc_id as component. Null doc_ids count in no minimum: a
     group of nothing else has a null component. ``kept`` says that doc_id and
-    component are the same. Other columns are not read.
+    component are the same. A text of any length counts as a whole; an empty table gives
+    no rows. Other columns are not read.
     """
     signed = stage(signed_documents(docs, length, percent, hashes), "near-signed")
     worded = signed.filter("node IS NOT NULL")

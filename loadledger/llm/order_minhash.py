@@ -163,7 +163,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     next document, which is another one. A single document is its own next. A
     null text counts as empty. Returns one row per input row with (doc_id,
     n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next). Other columns are not read; an empty table gives no rows.
+    near_next). Texts may have any length; a run of n characters without a blank gives up to n units.
+    Other columns are not read; an empty table gives no rows.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc_id = F.col("doc_id").cast("long")

@@ -205,7 +205,8 @@ def write_archives(
     Of rows with equal html (null counts as empty) the one with the smallest
     page_id is a response, the others are revisits that refer to it; if that
     row itself is repeated, each copy is a response. A null page_id has the
-    identifier ``<urn:page:>``. Other columns are not read. An empty table gives
+    identifier ``<urn:page:>``. Html of any length is one record, in a frame of its own where it is
+    longer than a frame. Other columns are not read. An empty table gives
     an empty index and no file.
     """
     spark = pages.sparkSession

@@ -34,7 +34,7 @@ def corpus():
 def steps(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("sf"))
     texts = corpus()
-    docs = documents(spark, texts, clash=False)
+    docs = documents(spark, texts, clash=True)
     docs.write.parquet(f"{folder}/documents.parquet")
     labels = [(n, int(n % 5 != 0), 0) for n in range(300)]
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
@@ -80,7 +80,7 @@ def test_run_applies_all_stages(spark, steps):
 
 
 def test_empty_tables(spark, tmp_path):
-    documents(spark, [], clash=False).write.parquet(f"{tmp_path}/documents.parquet")
+    documents(spark, [], clash=True).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
@@ -102,4 +102,4 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_has_one_query():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
