@@ -1,7 +1,13 @@
 """From raw documents to packed training sequences, in four stages.
 
 Each stage takes what the one before it kept, written as Parquet and read again.
-All but the last return the columns of the documents.
+All but the last return the columns of the documents, whatever their names.
+
+In every stage a null text counts as empty and stays null, texts of any length are read
+whole, and an empty table gives an empty one. Rows given several times are judged alike;
+of those with words near-copy removal keeps one, of those without words one per doc_id. Of a group of
+near copies the row with the least doc_id stays, of several such rows that with the least key of
+doc_id and text. A null doc_id stays null.
 """
 
 from __future__ import annotations
